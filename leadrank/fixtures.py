@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadrank.functions.contacts import slot_column
+from leadrank.functions.contacts import FIELDS, SLOTS, slot_column
 from leadrank.operators.embedding import mean_pool
 from leadrank.sources.keywords import keyword_table
 
@@ -78,28 +78,30 @@ LAST_NAMES = ("Kim", "Lopez", "Moss", "Ng")
 EMAILS = ("ana@mail.com", "bk@mail.com", "info@mail.com", "c.lopez@mail", "", "Moss.D@mail.org ", "a@b@mail.com")
 
 
-def contact_sql(field: str, slot: int) -> str:
-    """SQL for a made-up contact field of a customer row, on any engine."""
-    step, values = {
+def contact_rule(field: str, slot: int) -> tuple[int, tuple[str, ...]]:
+    """Step and values of a made-up contact field.
+
+    The value is number ``(c_custkey + step) % (len(values) + 1)``; there is one
+    residue more than values, and that one stays null.
+    """
+    return {
         "title": (slot * slot, TITLES),
         "first_name": (slot, FIRST_NAMES),
         "last_name": (slot * 2, LAST_NAMES),
         "email": (slot * 3, EMAILS),
     }[field]
-    cases = " ".join(f"when {i} then '{v}'" for i, v in enumerate(values))
-    # One residue more than there are values: that one stays null.
-    return f"case (c_custkey + {step}) % {len(values) + 1} {cases} end"
 
 
 def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``company_id`` and three contact slots for every customer."""
+
+    def value(field: str, slot: int):
+        step, values = contact_rule(field, slot)
+        at = (F.col("c_custkey") + step) % (len(values) + 1)
+        return F.get(F.array(*[F.lit(v) for v in values]), at.cast("int")).alias(slot_column(field, slot))
+
     return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("company_id"),
-        *[
-            F.expr(contact_sql(field, slot)).alias(slot_column(field, slot))
-            for slot in (1, 2, 3)
-            for field in ("title", "first_name", "last_name", "email")
-        ],
+        F.col("c_custkey").alias("company_id"), *[value(f, s) for s in SLOTS for f in FIELDS]
     )
 
 

@@ -38,6 +38,15 @@ def word_tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
+def has_words(text: Column) -> Column:
+    """Does the text hold any letter or digit, so that it has tokens?
+
+    Filter on this rather than on the tokens: a filter on a computed column is
+    pushed to the scan and would compute it twice.
+    """
+    return text.rlike(r"[\p{L}\p{N}]")
+
+
 def sentences(text: Column) -> Column:
     """Split at whitespace after ``.?!`` when an ASCII letter follows."""
     return F.split(text, r"(?<=[.?!])[ \t\n\r\f\x0B]+(?=[A-Za-z])")

@@ -82,12 +82,14 @@ def term_counts(text: Column, dims: int) -> Column:
     slots = F.sort_array(F.transform(word_tokens(text), lambda t: hash_dim(t, dims)))
 
     def runs(d: Column) -> Column:
-        last = F.size(d) - 1
-        # An empty text must give no index at all, so the sequence is guarded.
-        indexes = F.when(last < 0, F.array().cast("array<int>")).otherwise(
-            F.sequence(F.lit(0), F.greatest(last, F.lit(0)))
+        # Places where a slot differs from the one before it.
+        before = F.concat(F.array(F.lit(-1)), d)
+        starts = let(
+            before,
+            lambda b: F.filter(
+                F.transform(d, lambda x, i: F.when(x != F.get(b, i), i)), lambda i: i.isNotNull()
+            ),
         )
-        starts = F.filter(indexes, lambda i: (i == 0) | (F.get(d, i) != F.get(d, i - 1)))
         return let(
             starts,
             lambda s: F.transform(

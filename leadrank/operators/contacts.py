@@ -80,6 +80,11 @@ def reachable(df: DataFrame, prefix: str = COLUMN_PREFIX) -> DataFrame:
     return df.where(F.col(f"`{slot_column('email', 1, prefix)}`") != "")
 
 
+def has_plausible_contact(prefix: str = COLUMN_PREFIX) -> Column:
+    """True for the rows that ``reachable`` keeps, without rewriting the slots."""
+    return F.exists(people_array(prefix), plausible)
+
+
 def contact_list(df: DataFrame, column: str) -> DataFrame:
     """Trimmed, non-blank, distinct addresses."""
     return df.select(strip(F.col(column)).alias(column)).where(F.col(column) != "").distinct()

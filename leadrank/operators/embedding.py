@@ -8,37 +8,45 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
+from leadrank.functions.text import has_words, sentences
 from leadrank.functions.vectors import hash_vector
+from leadrank.operators.rows import exploded, inlined
+from leadrank.session import spread
 
 
 def hashed_terms(
     texts: DataFrame, row_id: str, text: str, dims: int = 256, normalize: bool = True
 ) -> DataFrame:
     """``(row_id, terms)``: hashed bag of words; texts without words drop out."""
-    out = texts.select(row_id, hash_vector(F.col(text), dims, normalize).alias("terms"))
-    return out.where(F.size("terms") > 0)
+    usable = spread(texts.select(row_id, text)).where(has_words(F.col(text)))
+    return usable.select(row_id, hash_vector(F.col(text), dims, normalize).alias("terms"))
 
 
 def hashed_terms_long(
     texts: DataFrame, row_id: str, text: str, dims: int = 256, normalize: bool = True
 ) -> DataFrame:
     """``(row_id, dim, v)`` rows of the same vectors."""
-    return hashed_terms(texts, row_id, text, dims, normalize).select(row_id, F.inline("terms"))
+    terms = hashed_terms(texts, row_id, text, dims, normalize)
+    return inlined(terms, [row_id], F.col("terms"), ["dim", "v"])
+
+
+def sentence_rows(texts: DataFrame, row_id: str, text: str) -> DataFrame:
+    """``(row_id, pos, sentence)``"""
+    return exploded(texts, [row_id], sentences(F.col(text)), "sentence", "pos")
 
 
 def count_without_vector(texts: DataFrame, text: str) -> DataFrame:
     """One row: how many texts have no vector because they hold no word."""
     return texts.agg(
-        F.count_if(F.col(text).isNull() | ~F.col(text).rlike(r"[\p{L}\p{N}]")).alias("dropped")
+        F.count_if(F.col(text).isNull() | ~has_words(F.col(text))).alias("dropped")
     )
 
 
 def phrase_vectors(phrases: DataFrame, dims: int = 256) -> DataFrame:
     """Key table ``(name, weight, terms)`` from ``(name, weight)``."""
     terms = hash_vector(F.col("name"), dims)
-    return phrases.select("name", F.col("weight").cast("double").alias("weight"), terms.alias("terms")).where(
-        F.size("terms") > 0
-    )
+    usable = phrases.where(has_words(F.col("name")))
+    return usable.select("name", F.col("weight").cast("double").alias("weight"), terms.alias("terms"))
 
 
 def mean_pool(tokens: DataFrame, row_id: str, vec: str, mask: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from leadrank.functions.text import phrase_count, spaced_tokens, substring_count, word_count
 from leadrank.operators.keys import local_keys, with_key_blocks
 from leadrank.operators.ranking import minmax
+from leadrank.operators.rows import exploded
 from leadrank.session import Reuse
 
 UNROLLED_KEYS = 128
@@ -58,7 +59,7 @@ def phrase_counts(
     if tokenize:
         docs = docs.withColumn(text, spaced_tokens(F.col(text)))
     found, _ = phrase_values(docs, doc_id, keys, _counter(F.col(text), tokenize, escape))
-    return found.select(doc_id, F.explode("hits").alias("h")).select(
+    return exploded(found, [doc_id], F.col("hits"), "h").select(
         doc_id, "h.name", F.col("h.n").cast("bigint").alias("n")
     )
 
@@ -97,7 +98,7 @@ def term_frequency(docs: DataFrame, doc_id: str, text: str, keys: DataFrame) ->
     found, _ = phrase_values(
         docs, doc_id, keys, lambda name: substring_count(body, name), [word_count(body).alias("words")]
     )
-    return found.select(doc_id, "words", F.explode("hits").alias("h")).select(
+    return exploded(found, [doc_id, "words"], F.col("hits"), "h").select(
         doc_id, "h.name", (F.col("h.n") / F.nullif(F.col("words"), F.lit(0))).alias("tf")
     )
 
@@ -110,7 +111,7 @@ def containment_idf(docs: DataFrame, doc_id: str, text: str, keys: DataFrame) ->
     """``(name, docs_with, idf)`` with idf = ln(documents / (1 + documents containing))."""
     found, _ = phrase_values(docs, doc_id, keys, lambda name: F.contains(F.col(text), name).cast("int"))
     return (
-        found.select(F.explode("hits").alias("h"))
+        exploded(found, [], F.col("hits"), "h")
         .groupBy(F.col("h.name").alias("name"))
         .agg(F.sum("h.n").cast("bigint").alias("docs_with"), F.count(F.lit(1)).alias("_all"))
         .select("name", "docs_with", _containment_idf(F.col("_all"), F.col("docs_with")).alias("idf"))

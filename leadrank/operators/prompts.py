@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from leadrank.functions.text import let, strip
 from leadrank.operators.ranking import top_n
+from leadrank.operators.rows import exploded
 
 # Chat roles.
 SYSTEM, USER, ASSISTANT = "system", "user", "assistant"
@@ -98,7 +99,7 @@ def founders(replies: DataFrame, reply_id: str, text: str) -> DataFrame:
 
     Lines without ``: `` or without a role are dropped.
     """
-    lines = replies.select(reply_id, F.posexplode(F.split(text, "\n")).alias("line", "_raw"))
+    lines = exploded(replies, [reply_id], F.split(text, "\n"), "_raw", "line")
     people = lines.select(reply_id, "line", strip(F.col("_raw")).alias("_raw")).where(
         F.startswith("_raw", F.lit("Founder"))
     )

@@ -50,8 +50,12 @@ def combined(df: DataFrame, keyword: str, sector: str | None, combine: str = "su
 
 
 def best_first(score: str, row_id: str) -> list[Column]:
-    """Order by score, best first, nulls last; the id breaks ties."""
-    return [F.desc_nulls_last(score), F.asc(row_id)]
+    """Order by score, best first, nulls last; the id breaks ties.
+
+    Scores that agree to nine digits are ties: below that, sums taken in
+    another order differ, and copies of a text would swap places between runs.
+    """
+    return [F.desc_nulls_last(F.round(score, 9)), F.asc(row_id)]
 
 
 def _positions(df: DataFrame, order: list[Column], reuse: Reuse) -> DataFrame:

@@ -7,9 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from leadrank.functions import vectors as V
-from leadrank.functions.text import let
+from leadrank.functions.text import has_words, let
 from leadrank.operators.keys import Key, key_array, local_keys, with_key_blocks
-from leadrank.session import Reuse
+from leadrank.operators.rows import exploded, inlined
+from leadrank.session import Reuse, spread
 
 
 @dataclass(frozen=True)
@@ -46,7 +47,7 @@ class HashedText:
 
     def usable(self, rows: DataFrame) -> DataFrame:
         # A text without letters or digits has no vector.
-        return rows.where(F.col(self.column).rlike(r"[\p{L}\p{N}]"))
+        return spread(rows).where(has_words(F.col(self.column)))
 
     def against_local(self, keys: list[Key], mode: str) -> Column:
         used = sorted({dim for key in keys for dim, _ in key.terms or ()})
@@ -87,9 +88,7 @@ def similarity_rows(rows: DataFrame, row_id: str, keys: DataFrame, shape, mode:
         blocked = base
         names, sims = F.array(*[F.lit(k.name) for k in local]), shape.against_local(local, mode)
     wide = blocked.select(row_id, names.alias("name"), sims.alias("sim"))
-    return wide.select(row_id, F.explode(F.arrays_zip("name", "sim")).alias("p")).select(
-        row_id, "p.name", "p.sim"
-    )
+    return inlined(wide, [row_id], F.arrays_zip("name", "sim"), ["name", "sim"])
 
 
 def soft_idf(total: Column, count: Column) -> Column:
@@ -136,7 +135,7 @@ def soft_scores(
         # Read twice: for the idf of each key and for the scores.
         sims = reuse.keep(sims)
         idfs = (
-            sims.select(F.posexplode("sims").alias("pos", "sim"))
+            exploded(sims, [], F.col("sims"), "sim", "pos")
             .groupBy("pos")
             .agg(soft_idf(F.sum("sim"), F.count(F.lit(1))).alias("idf"))
             .agg(F.array_sort(F.collect_list(F.struct("pos", "idf"))).alias("idfs"))
@@ -166,14 +165,10 @@ def _blocked_scores(rows, row_id, groups, shape, mode, weighting, carry) -> Data
         part = keys.withColumn("name", F.concat(F.lit(group + sep), F.col("name")))
         tagged = part if tagged is None else tagged.unionByName(part, allowMissingColumns=True)
     if weighting != "none":
-        pairs = with_key_blocks(base, tagged, row_id).select(
-            F.explode(
-                F.arrays_zip(
-                    F.col("keys.name").alias("name"),
-                    shape.against_column(F.col("keys"), mode).alias("sim"),
-                )
-            ).alias("p")
+        zipped = F.arrays_zip(
+            F.col("keys.name").alias("name"), shape.against_column(F.col("keys"), mode).alias("sim")
         )
+        pairs = exploded(with_key_blocks(base, tagged, row_id), [], zipped, "p")
         # The pairs are summed as they are made; only one row per key and task
         # reaches the shuffle.
         idf = pairs.groupBy(F.col("p.name").alias("name")).agg(

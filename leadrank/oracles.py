@@ -90,7 +90,7 @@ scored AS (SELECT {row_id}, keyword_score, sector_score, {minmax('x')} AS score
 
 def scores_out(row_id: str, rank: bool) -> str:
     cols = ", ".join(f"{r6(c)} AS {c}" for c in ("keyword_score", "sector_score", "score"))
-    tail = f", row_number() OVER (ORDER BY score DESC, {row_id}) AS rank" if rank else ""
+    tail = f", row_number() OVER (ORDER BY round(scored.score, 9) DESC, {row_id}) AS rank" if rank else ""
     return f"SELECT {row_id}, {cols}{tail} FROM scored"
 
 
@@ -163,11 +163,15 @@ def spread_words(col: str) -> str:
 
 
 def phrase_counts(source: str, row_id: str, text: str) -> str:
+    # One branch per phrase, so that each pattern is a constant.
+    branches = [
+        f"SELECT {row_id}, '{name}' AS name, {weight}::DOUBLE AS weight, "
+        f"len(regexp_extract_all(t, '[^{WORD}]{name.replace(' ', '  ')}[^{WORD}]'))::BIGINT AS n FROM spread"
+        for name, weight in X.PHRASES.items()
+    ]
     return f"""
-spread AS (SELECT {row_id}, {spread_words(f'lower({text})')} AS t FROM {source}),
-counts AS (SELECT {row_id}, name, weight,
-  len(regexp_extract_all(t, '[^{WORD}]' || replace(name, ' ', '  ') || '[^{WORD}]'))::BIGINT AS n
-  FROM spread, phrases)"""
+spread AS MATERIALIZED (SELECT {row_id}, {spread_words(f'lower({text})')} AS t FROM {source}),
+counts AS ({' UNION ALL '.join(branches)})"""
 
 
 def spaced(col: str) -> str:
@@ -186,9 +190,17 @@ cells AS (SELECT company_id, name, weight, tf, idf, tf * idf AS tfidf FROM tf JO
 
 # Contacts.
 
+
+
+def contact(field: str, slot: int) -> str:
+    step, values = X.contact_rule(field, slot)
+    cases = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
+    return f"CASE (c_custkey + {step}) % {len(values) + 1} {cases} END"
+
+
 PEOPLE = "people AS (" + " UNION ALL ".join(
     f"SELECT c_custkey AS company_id, {slot} AS slot, "
-    + ", ".join(f"{clean(X.contact_sql(f, slot))} AS {f}" for f in FIELDS)
+    + ", ".join(f"{clean(contact(f, slot))} AS {f}" for f in FIELDS)
     + " FROM customer"
     for slot in SLOTS
 ) + ")"
@@ -415,7 +427,7 @@ lead_docs AS (SELECT doc_id AS company_id, text AS d, lang, {EMAIL_1} AS email_1
     q["l1_lead_ranking"] = "WITH " + ",".join([CONTACTS, lead_docs, *text_scored("lead_docs", 256)]) + f""",
 best AS (SELECT company_id, lang, email_1, keyword_score, sector_score, score FROM scored JOIN lead_docs USING (company_id) WHERE {words('d')} >= 20)
 SELECT company_id, lang, email_1, {r6('keyword_score')} AS keyword_score, {r6('sector_score')} AS sector_score, {r6('score')} AS score,
-  row_number() OVER (ORDER BY best.score DESC, company_id) AS rank FROM best QUALIFY rank <= 500"""
+  row_number() OVER (ORDER BY round(best.score, 9) DESC, company_id) AS rank FROM best QUALIFY rank <= 500"""
     q["l2_relevance_rank"] = dense_scores("mult", "sum", True)
     q["l2_text_rank"] = "WITH " + ",".join([DOCS, *text_scored("docs", 2**18)]) + " " + scores_out("company_id", True)
     q["l3_legacy_rank"] = dense_scores("legacy_mult", "product", True)
@@ -426,7 +438,7 @@ by_phrase AS (SELECT site, name, weight, sum(n) AS n FROM counts JOIN sited USIN
 by_site AS (SELECT site, {PRESENCE} AS score FROM by_phrase GROUP BY site),
 lengths AS (SELECT site, (sum(length(text)) + count(*) - 1)::BIGINT AS chars FROM site_pages GROUP BY site),
 dense AS (SELECT site, score, chars, score * 1e6 / nullif(chars, 0) AS density FROM by_site JOIN lengths USING (site))
-SELECT site, score, chars, {r6('density')} AS density, row_number() OVER (ORDER BY dense.density DESC NULLS LAST, site) AS rank FROM dense"""
+SELECT site, score, chars, {r6('density')} AS density, row_number() OVER (ORDER BY round(dense.density, 9) DESC NULLS LAST, site) AS rank FROM dense"""
     q["l6_cosine_top500"] = f"""
-{cosine} SELECT vec_id, {r6('x')} AS score, row_number() OVER (ORDER BY x DESC, vec_id) AS rank FROM s QUALIFY rank <= 500"""
+{cosine} SELECT vec_id, {r6('x')} AS score, row_number() OVER (ORDER BY round(x, 9) DESC, vec_id) AS rank FROM s QUALIFY rank <= 500"""
     return q

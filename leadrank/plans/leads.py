@@ -33,11 +33,12 @@ def lead_ranking(
 
     The length filter comes after scoring: idf and scaling are taken over all
     reachable companies. Only ids and scores go through scoring; the columns of
-    the companies that made the cut are joined back at the end.
+    the companies that made the cut are joined back at the end, and only their
+    contact slots are rewritten.
     """
     base = C.drop_merge_leftovers(companies) if rename else companies
     if verify_email:
-        base = C.reachable(C.compact_contacts(base))
+        base = base.where(C.has_plausible_contact())
     base = C.drop_missing(base, description)
     scored = scored_rows(
         base.select(row_id, description),
@@ -52,4 +53,5 @@ def lead_ranking(
     cut = choose_top(scored, best_first("score", row_id), F.col("_words"), min_words, n).drop("_words")
     if n <= BROADCAST_ROWS:
         cut = F.broadcast(cut)
-    return base.join(cut, row_id)
+    best = base.join(cut, row_id)
+    return C.compact_contacts(best) if verify_email else best

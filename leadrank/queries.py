@@ -14,6 +14,7 @@ from leadrank.functions import text as T
 from leadrank.functions import vectors as V
 from leadrank.functions.contacts import FIELDS, SLOTS, slot_column, title_rank
 from leadrank.operators import clusters, contacts, embedding, messages, phrases, prompts, ranking, sites
+from leadrank.operators.rows import inlined
 from leadrank.operators.similarity import Dense, HashedText, similarity_rows, soft_idf_table, soft_scores
 from leadrank.plans import leads, relevance
 from leadrank.session import scratch_path
@@ -97,7 +98,7 @@ def b3_unpack(spark, sf):
 @query
 def b4_email_ok(spark, sf):
     people = X.contacts(spark, sf).select("company_id", F.filter(contacts.people_array(), contacts.plausible).alias("p"))
-    return people.select("company_id", F.inline("p"))
+    return inlined(people, ["company_id"], F.col("p"), ["slot", *FIELDS])
 
 
 @query
@@ -145,7 +146,7 @@ def b10_label_sample(spark, sf):
 
 @query
 def c1_sentences(spark, sf):
-    return X.companies(spark, sf).select("company_id", F.posexplode(T.sentences(F.col("Description"))).alias("pos", "sentence"))
+    return embedding.sentence_rows(X.companies(spark, sf), "company_id", "Description")
 
 
 @query
@@ -280,7 +281,7 @@ def d4_hash_embed_raw(spark, sf):
 def d5_keyword_vectors(spark, sf):
     keys = X.table(spark, sf, "benchmark").select(F.col("text").alias("name"), (F.col("item_id") + 1).alias("weight"))
     vecs = embedding.phrase_vectors(keys)
-    return vecs.select("name", "weight", F.inline("terms")).select("name", "weight", "dim", rounded("v").alias("v"))
+    return round_columns(inlined(vecs, ["name", "weight"], F.col("terms"), ["dim", "v"]), "v")
 
 
 def _pairs(spark, sf, mode) -> DataFrame:
@@ -496,7 +497,7 @@ def s1_requests(spark, sf):
 @query
 def s2_request_parse(spark, sf):
     parsed = requests.parse_requests(X.form_rows(spark, sf))
-    return parsed.select("request_id", "sector", "file_id", F.inline("phrases"))
+    return inlined(parsed, ["request_id", "sector", "file_id"], F.col("phrases"), ["name", "weight"])
 
 
 @query

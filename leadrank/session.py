@@ -56,6 +56,17 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a table of few files over all cores before heavy per-row work.
+
+    Tables with at least as many files as cores already scan in parallel and
+    are left alone, so a big table is never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    files = len(df.inputFiles())
+    return df.repartition(cores) if 0 < files < cores else df
+
+
 class Reuse:
     """Tables read more than once by a job.
 

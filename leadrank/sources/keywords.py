@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leadrank.functions.text import spaced_tokens
+from leadrank.operators.rows import exploded
 
 
 def parse_keywords(objects: DataFrame, set_id: str, json: str, tokenize: bool = False) -> DataFrame:
@@ -23,7 +24,7 @@ def parse_keywords(objects: DataFrame, set_id: str, json: str, tokenize: bool =
             F.raise_error(F.concat(F.lit("keyword weights must be integers: "), F.coalesce("_json", F.lit("null")))),
         ).otherwise(F.col("_e")),
     )
-    rows = checked.select(set_id, F.posexplode("_e").alias("pos", "e"))
+    rows = exploded(checked, [set_id], F.col("_e"), "e", "pos")
     name = F.lower("e.key")
     if tokenize:
         name = spaced_tokens(name)
