@@ -8,7 +8,8 @@ the keys arrive as a column.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType, StructType
 
 from leadrank.functions.text import let, word_tokens
 
@@ -133,40 +134,58 @@ def sparse_dot(terms: Column, other: Column) -> Column:
     return F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x.v * value_at(x.dim))
 
 
-def arrow_similarity(key_vectors: list[list[float]], mode: str, alpha: float = 0.5):
-    """Function of a dense vector column: its similarity to every key, in order.
+def map_vectors(rows: DataFrame, keep: list[str], vec: str, compute, out: str, out_type: DataType) -> DataFrame:
+    """``keep`` columns and ``out``, computed from a dense vector column in Arrow batches.
+
+    ``compute`` gets the batch's vectors as a matrix and the batch itself, and
+    returns an Arrow array. The work stays where the rows lie.
+    """
+    kept = rows.select(*keep, F.col(vec).cast("array<double>").alias("_vec"))
+    schema = StructType([f for f in kept.schema.fields if f.name != "_vec"]).add(out, out_type)
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            flat = np.asarray(batch.column("_vec").flatten(), dtype=np.float64)
+            made = compute(flat.reshape(batch.num_rows, -1), batch)
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [made], names=[*keep, out])
+
+    return kept.mapInArrow(run, schema)
+
+
+def key_similarity(key_vectors: list[tuple[float, ...]], mode: str, alpha: float = 0.5):
+    """Function for ``map_vectors``: similarity of each row to every key, in order.
 
     The key matrix travels with the task, so the caller must have checked its
     size. Zero vectors give nulls.
     """
     _require_mode(mode)
-    keys = [list(v) for v in key_vectors]
-    # Plain values for the closure: workers need not import this package.
-    gap_limit = EQUAL_GAP
 
-    @F.arrow_udf("array<double>")
-    def compare(vectors):
+    def compute(x, _):
         import numpy as np
         import pyarrow as pa
 
-        k = np.asarray(keys, dtype=np.float64)
-        rows = len(vectors)
-        x = np.asarray(vectors.flatten(), dtype=np.float64).reshape(rows, k.shape[1])
+        k = np.asarray(key_vectors, dtype=np.float64)
         with np.errstate(divide="ignore", invalid="ignore"):
             k = k / np.linalg.norm(k, axis=1, keepdims=True)
-            x = x / np.linalg.norm(x, axis=1, keepdims=True)
-            cos = x @ k.T
+            cos = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ k.T
             gap = 1.0 - cos
-            dist = np.where(gap < gap_limit, 0.0, np.sqrt(2.0 * np.maximum(gap, 0.0)))
-            out = {
-                "cosine": lambda: cos,
-                "euclid": lambda: np.where(np.isnan(cos), np.nan, dist),
-                "mult": lambda: dist * (cos + 1.0) / 2.0,
-                "legacy_mult": lambda: dist * cos,
-                "add": lambda: (cos + 1.0) * (alpha / 2.0) + (1.0 - alpha) / (dist + 1.0),
-            }[mode]()
-        values = pa.array(out.ravel(), from_pandas=True)
-        offsets = pa.array(np.arange(0, out.size + 1, k.shape[0], dtype=np.int32))
-        return pa.ListArray.from_arrays(offsets, values)
-
-    return compare
+            dist = np.where(gap < EQUAL_GAP, 0.0, np.sqrt(2.0 * np.maximum(gap, 0.0)))
+        if mode == "cosine":
+            sims = cos
+        elif mode == "euclid":
+            sims = dist
+        elif mode == "mult":
+            sims = dist * (cos + 1.0) / 2.0
+        elif mode == "legacy_mult":
+            sims = dist * cos
+        else:
+            sims = (cos + 1.0) * (alpha / 2.0) + (1.0 - alpha) / (dist + 1.0)
+        offsets = pa.array(np.arange(0, sims.size + 1, len(k), dtype=np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(sims.ravel(), from_pandas=True))
+
+    return compute

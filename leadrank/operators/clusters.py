@@ -9,7 +9,9 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, IntegerType
 
+from leadrank.functions.vectors import map_vectors
 from leadrank.session import Reuse
 
 MAX_CENTROIDS = 4096
@@ -28,21 +30,19 @@ def kmeans(rows: DataFrame, row_id: str, vec: str, k: int, seed: int = 0, reuse:
     return model, model.transform(features).select(row_id, "cluster")
 
 
-def nearest_udf(centroids: list[list[float]]):
-    """Index of the nearest centroid (Euclidean, first wins ties) per vector."""
+def nearest(centroids: list[list[float]]):
+    """For ``map_vectors``: index of the nearest centroid, the first in a tie."""
 
-    @F.arrow_udf("int")
-    def nearest(vectors):
+    def compute(x, _):
         import numpy as np
         import pyarrow as pa
 
         c = np.asarray(centroids, dtype=np.float64)
-        x = np.asarray(vectors.flatten(), dtype=np.float64).reshape(len(vectors), c.shape[1])
         # |x|^2 is the same for all centroids and cannot change the order.
         cost = (c * c).sum(axis=1) - 2.0 * (x @ c.T)
         return pa.array(cost.argmin(axis=1).astype(np.int32))
 
-    return nearest
+    return compute
 
 
 def centroid_rows(centroids: DataFrame) -> list[tuple[int, list[float]]]:
@@ -53,19 +53,21 @@ def centroid_rows(centroids: DataFrame) -> list[tuple[int, list[float]]]:
     return sorted((row.cluster, list(row.vec)) for row in rows)
 
 
-def _assigned(rows: DataFrame, row_id: str, vec: str, current: list[tuple[int, list[float]]]) -> DataFrame:
-    nearest = nearest_udf([v for _, v in current])
+def _assigned(
+    rows: DataFrame, keep: list[str], vec: str, current: list[tuple[int, list[float]]]
+) -> DataFrame:
     names = F.array(*[F.lit(c) for c, _ in current])
-    usable = rows.where(F.col(vec).isNotNull()).select(row_id, F.col(vec).cast("array<double>").alias("vec"))
-    return usable.withColumn("_at", nearest("vec")).select(row_id, "vec", F.get(names, "_at").alias("cluster"))
+    usable = rows.where(F.col(vec).isNotNull())
+    placed = map_vectors(usable, keep, vec, nearest([v for _, v in current]), "_at", IntegerType())
+    return placed.select(*keep, F.get(names, "_at").alias("cluster"))
 
 
 def assign(rows: DataFrame, row_id: str, vec: str, centroids: DataFrame) -> DataFrame:
     """``(row_id, cluster)``: nearest given centroid of each row."""
-    return _assigned(rows, row_id, vec, centroid_rows(centroids)).select(row_id, "cluster")
+    return _assigned(rows, [row_id], vec, centroid_rows(centroids))
 
 
-def lloyd_steps(rows: DataFrame, row_id: str, vec: str, centroids: DataFrame, steps: int) -> DataFrame:
+def lloyd_steps(rows: DataFrame, vec: str, centroids: DataFrame, steps: int) -> DataFrame:
     """``(cluster, n, vec)`` after some assign-and-average steps from given centroids.
 
     Between steps only the centroids travel. A cluster that loses all its rows
@@ -74,9 +76,9 @@ def lloyd_steps(rows: DataFrame, row_id: str, vec: str, centroids: DataFrame, st
     current = centroid_rows(centroids)
     for step in range(steps):
         moved = (
-            _assigned(rows, row_id, vec, current)
+            _assigned(rows, [vec], vec, current)
             .groupBy("cluster")
-            .agg(F.count(F.lit(1)).alias("n"), Summarizer.mean(array_to_vector("vec")).alias("_mean"))
+            .agg(F.count(F.lit(1)).alias("n"), Summarizer.mean(array_to_vector(F.col(vec).cast("array<double>"))).alias("_mean"))
             .select("cluster", "n", vector_to_array("_mean").alias("vec"))
         )
         if step == steps - 1:
@@ -112,8 +114,7 @@ def silhouette_squared(rows: DataFrame, row_id: str, vec: str, label: str) -> Da
         raise ValueError(f"more than {MAX_CENTROIDS} clusters")
     stats = sorted((m.label, m.n, list(m.s), m.q) for m in moments)
 
-    @F.arrow_udf("double")
-    def width(vectors, labels):
+    def width(x, batch):
         import numpy as np
         import pyarrow as pa
 
@@ -121,12 +122,11 @@ def silhouette_squared(rows: DataFrame, row_id: str, vec: str, label: str) -> Da
         sizes = np.array([float(s[1]) for s in stats])
         sums = np.array([s[2] for s in stats])
         squares = np.array([s[3] for s in stats])
-        x = np.asarray(vectors.flatten(), dtype=np.float64).reshape(len(vectors), sums.shape[1])
-        own = np.searchsorted(names, np.asarray(labels))
+        own = np.searchsorted(names, np.asarray(batch.column(label)))
         totals = sizes * (x * x).sum(axis=1, keepdims=True) + squares - 2.0 * (x @ sums.T)
         return pa.array(_widths(totals, sizes, own))
 
-    return usable.withColumn("s", width("vec", F.col(label))).select(row_id, label, "s")
+    return map_vectors(usable, [row_id, label], "vec", width, "s", DoubleType())
 
 
 def _widths(totals, sizes, own):

@@ -31,7 +31,8 @@ def plain_number(value: Column) -> Column:
         F.substr(digits, F.lit(1), F.lit(1)),
         F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise(F.lit("")),
         F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.lpad(F.abs(exponent).cast("string"), 2, "0"),
+        F.when(F.abs(exponent) < 10, F.lit("0")).otherwise(F.lit("")),
+        F.abs(exponent).cast("string"),
     )
     written = (
         F.when(exponent.isNull(), text)

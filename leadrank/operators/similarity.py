@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from leadrank.functions import vectors as V
 from leadrank.functions.text import has_words, let
@@ -22,9 +23,10 @@ class Dense:
     def usable(self, rows: DataFrame) -> DataFrame:
         return rows.where(F.col(self.column).isNotNull())
 
-    def against_local(self, keys: list[Key], mode: str) -> Column:
-        compare = V.arrow_similarity([list(k.vec) for k in keys], mode)
-        return compare(F.col(self.column).cast("array<double>"))
+    def against_local(self, rows: DataFrame, keep: list[str], keys: list[Key], mode: str) -> DataFrame:
+        """``keep`` columns and ``sims``, one similarity per key."""
+        compute = V.key_similarity([k.vec for k in keys], mode)
+        return V.map_vectors(rows, keep, self.column, compute, "sims", ArrayType(DoubleType()))
 
     def against_column(self, keys: Column, mode: str) -> Column:
         vec = V.l2_normalize(F.col(self.column).cast("array<double>"))
@@ -49,9 +51,10 @@ class HashedText:
         # A text without letters or digits has no vector.
         return spread(rows).where(has_words(F.col(self.column)))
 
-    def against_local(self, keys: list[Key], mode: str) -> Column:
+    def against_local(self, rows: DataFrame, keep: list[str], keys: list[Key], mode: str) -> DataFrame:
         used = sorted({dim for key in keys for dim, _ in key.terms or ()})
-        return self._compare(key_array(keys), mode, lambda dim: dim.isin(used))
+        sims = self._compare(key_array(keys), mode, lambda dim: dim.isin(used))
+        return rows.select(*keep, sims.alias("sims"))
 
     def against_column(self, keys: Column, mode: str) -> Column:
         return self._compare(keys, mode, None)
@@ -82,12 +85,13 @@ def similarity_rows(rows: DataFrame, row_id: str, keys: DataFrame, shape, mode:
     base = shape.usable(rows)
     local = local_keys(keys)
     if local is None:
-        blocked = with_key_blocks(base, keys, row_id)
-        names, sims = F.col("keys.name"), shape.against_column(F.col("keys"), mode)
+        sims = shape.against_column(F.col("keys"), mode)
+        wide = with_key_blocks(base, keys, row_id).select(row_id, F.col("keys.name").alias("name"), sims.alias("sim"))
     else:
-        blocked = base
-        names, sims = F.array(*[F.lit(k.name) for k in local]), shape.against_local(local, mode)
-    wide = blocked.select(row_id, names.alias("name"), sims.alias("sim"))
+        names = F.array(*[F.lit(k.name) for k in local])
+        wide = shape.against_local(base, [row_id], local, mode).select(
+            row_id, names.alias("name"), F.col("sims").alias("sim")
+        )
     return inlined(wide, [row_id], F.arrays_zip("name", "sim"), ["name", "sim"])
 
 
@@ -127,8 +131,7 @@ def soft_scores(
     flat = [key for keys in local.values() for key in keys]
     if not flat:
         raise ValueError("at least one key is needed")
-    extra = [c.alias(name) for name, c in carry.items()]
-    sims = shape.usable(rows).select(row_id, *extra, shape.against_local(flat, mode).alias("sims"))
+    sims = shape.against_local(shape.usable(rows).withColumns(carry), [row_id, *carry], flat, mode)
     if weighting == "none":
         weights = F.array(*[F.lit(k.weight) for k in flat])
     else:
@@ -181,8 +184,7 @@ def _blocked_scores(rows, row_id, groups, shape, mode, weighting, carry) -> Data
         F.col("keys"),
         lambda s, k: F.struct(k["name"].alias("name"), F.coalesce(s * k.weight, F.lit(0.0)).alias("x")),
     )
-    extra = [c.alias(name) for name, c in carry.items()]
-    scored = with_key_blocks(base, tagged, row_id).select(row_id, *extra, weighted.alias("w"))
+    scored = with_key_blocks(base.withColumns(carry), tagged, row_id).select(row_id, *carry, weighted.alias("w"))
 
     def group_sum(group: str) -> Column:
         mine = F.filter("w", lambda x: F.startswith(x["name"], F.lit(group + sep)))
@@ -214,8 +216,7 @@ def best_key(rows: DataFrame, row_id: str, keys: DataFrame, shape, mode: str = "
 
     if local is not None:
         names = F.array(*[F.lit(k.name) for k in local])
-        # The Arrow function must not run inside a lambda: select it first.
-        wide = base.select(row_id, shape.against_local(local, mode).alias("sims"))
+        wide = shape.against_local(base, [row_id], local, mode)
         return wide.select(row_id, best(names, F.col("sims")).alias("b")).select(row_id, "b.name", "b.sim")
     per_block = with_key_blocks(base, keys, row_id).select(
         row_id, best(F.col("keys.name"), shape.against_column(F.col("keys"), mode)).alias("b")

@@ -402,7 +402,7 @@ def g1_kmeans(spark, sf):
 
 @query
 def g1_lloyd_steps(spark, sf):
-    moved = clusters.lloyd_steps(X.vectors(spark, sf), "vec_id", "vec", X.first_centroids(spark, sf), 2)
+    moved = clusters.lloyd_steps(X.vectors(spark, sf), "vec", X.first_centroids(spark, sf), 2)
     return moved.select("cluster", "n", F.posexplode("vec").alias("dim", "v")).select("cluster", "n", "dim", rounded("v").alias("v"))
 
 

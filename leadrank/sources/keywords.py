@@ -33,7 +33,7 @@ def parse_keywords(objects: DataFrame, set_id: str, json: str, tokenize: bool =
 
 def read_keywords(spark: SparkSession, path: str, tokenize: bool = False) -> DataFrame:
     """Keyword table ``(name, weight)`` from one JSON file."""
-    text = spark.read.option("wholetext", True).text(path).select(F.lit(0).alias("_set"), "value")
+    text = spark.read.text(path, wholetext=True).select(F.lit(0).alias("_set"), "value")
     return parse_keywords(text, "_set", "value", tokenize).select(
         "name", F.col("weight").cast("double").alias("weight")
     )
