@@ -12,7 +12,7 @@ from leadrank.functions.text import phrase_count, spaced_tokens, substring_count
 from leadrank.operators.keys import local_keys, with_key_blocks
 from leadrank.operators.ranking import minmax
 from leadrank.operators.rows import exploded
-from leadrank.session import Reuse
+from leadrank.session import Reuse, spread
 
 UNROLLED_KEYS = 128
 
@@ -26,6 +26,7 @@ def phrase_values(
     table was too large for the plan and had to be joined in blocks.
     """
     carry = carry or []
+    docs = spread(docs)
     local = local_keys(keys, UNROLLED_KEYS)
     if local is not None:
         # Literal phrases, so each pattern is compiled once per task.

@@ -111,18 +111,12 @@ def numbered(
 
     Group sizes are counted first (one small row per group and task). Groups
     above the limit are numbered through a range shuffle, which spreads one
-    group over many tasks; all others use a plain window.
+    group over many tasks; all others use a plain window. Of very many large
+    groups the MAX_HOT_GROUPS largest are spread: any other is then smaller
+    than that share of the table.
     """
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg((F.count(F.lit(1)) / MAX_HOT_GROUPS).cast("bigint").alias("t"))
-    # At most MAX_HOT_GROUPS groups can each hold more than total / MAX_HOT_GROUPS.
-    hot = [
-        row.asDict()
-        for row in sizes.where(F.col("_n") > hot_rows)
-        .where(F.col("_n") > total.scalar())
-        .select(*group)
-        .collect()
-    ]
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    hot = [row.asDict() for row in sizes.orderBy(F.desc("_n")).limit(MAX_HOT_GROUPS).select(*group).collect()]
     window = Window.partitionBy(*group).orderBy(*order)
 
     def windowed(part: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from leadrank.functions.text import html_text
 from leadrank.operators.phrases import density, phrase_counts
 from leadrank.operators.ranking import HOT_ROWS, numbered
-from leadrank.session import Reuse
+from leadrank.session import Reuse, spread
 
 PAGES_PER_PART = 10_000
 
@@ -30,13 +30,15 @@ def page_text(pages: DataFrame) -> DataFrame:
 def site_pages(pages: DataFrame, lang: str = "en") -> DataFrame:
     """``(site, page_id, text)``: each site's home page and its pages in ``lang``.
 
-    The home page is the one with the lowest id, whatever its language. It is
-    found per site and joined back by page id, which is unique.
+    The home page is the one with the lowest id, whatever its language. Pages
+    in the language need no look-up; among the others, home pages are found by
+    page id, which is unique, so no site is a hot value of the join.
     """
     sited = pages.withColumn("site", site_of(F.col("url"))).where(F.col("site").isNotNull())
-    homes = sited.groupBy("site").agg(F.min("page_id").alias("page_id")).select("page_id", F.lit(True).alias("_home"))
-    kept = sited.join(homes, "page_id", "left").where(F.col("_home") | in_language(F.col("url"), lang))
-    return kept.select("site", "page_id", html_text(F.col("html")).alias("text"))
+    homes = sited.groupBy("site").agg(F.min("page_id").alias("page_id")).select("page_id")
+    wanted = in_language(F.col("url"), lang)
+    kept = sited.where(wanted).unionByName(sited.where(~wanted).join(homes, "page_id", "left_semi").select(*sited.columns))
+    return spread(kept).select("site", "page_id", html_text(F.col("html")).alias("text"))
 
 
 def site_text(

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leadrank.functions.text import word_count
 from leadrank.operators import contacts as C
 from leadrank.operators.embedding import phrase_vectors
 from leadrank.operators.ranking import best_first, choose_top
 from leadrank.operators.similarity import HashedText
-from leadrank.plans.relevance import scored_rows
-from leadrank.session import Reuse
+from leadrank.plans.relevance import scored_rows, sector_phrases
+from leadrank.session import Reuse, durable
+from leadrank.sources.keywords import keyword_table, read_keywords
 
 BROADCAST_ROWS = 100_000
+ROW_ID = "_row"
 
 
 def lead_ranking(
@@ -31,14 +33,14 @@ def lead_ranking(
 ) -> DataFrame:
     """Best ``n`` companies with all their columns, scores and rank.
 
+    ``row_id`` must be unique.
     The length filter comes after scoring: idf and scaling are taken over all
     reachable companies. Only ids and scores go through scoring; the columns of
     the companies that made the cut are joined back at the end, and only their
     contact slots are rewritten.
     """
-    base = C.drop_merge_leftovers(companies) if rename else companies
-    if verify_email:
-        base = base.where(C.has_plausible_contact())
+    cleaned = C.drop_merge_leftovers(companies) if rename else companies
+    base = cleaned.where(C.has_plausible_contact()) if verify_email else cleaned
     base = C.drop_missing(base, description)
     scored = scored_rows(
         base.select(row_id, description),
@@ -53,5 +55,22 @@ def lead_ranking(
     cut = choose_top(scored, best_first("score", row_id), F.col("_words"), min_words, n).drop("_words")
     if n <= BROADCAST_ROWS:
         cut = F.broadcast(cut)
-    best = base.join(cut, row_id)
+    best = cleaned.join(cut, row_id)
     return C.compact_contacts(best) if verify_email else best
+
+
+def rank_company_file(
+    spark: SparkSession, path: str, keywords: dict[str, float] | str, sector: str | None = None, **options
+) -> DataFrame:
+    """``lead_ranking`` of a company CSV. ``keywords`` is a mapping or the path of a JSON file.
+
+    Columns are read as text, in whatever set the file has. Rows get numbers
+    as ids; a checkpoint fixes them and spares reading the CSV twice.
+    """
+    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    companies = durable(raw.withColumn(ROW_ID, F.monotonically_increasing_id()))
+    phrases = read_keywords(spark, keywords) if isinstance(keywords, str) else keyword_table(spark, keywords)
+    sectors = None
+    if sector:
+        sectors = sector_phrases(spark.createDataFrame([(sector,)], "sector string"), "sector")
+    return lead_ranking(companies, ROW_ID, phrases, sectors, **options).drop(ROW_ID)

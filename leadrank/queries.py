@@ -525,9 +525,9 @@ def s4_scored_requests(spark, sf):
     rows.write.json(inbox)
     docs = X.companies(spark, sf)
 
-    def score(request: dict) -> DataFrame:
-        keys = keywords.keyword_table(spark, dict(request["phrases"]))
-        best = leads.lead_ranking(docs, "company_id", keys, verify_email=False, rename=False, n=20)
+    def score(request: dict, reuse) -> DataFrame:
+        keys = keywords.keyword_table(spark, request["phrases"])
+        best = leads.lead_ranking(docs, "company_id", keys, verify_email=False, rename=False, n=20, reuse=reuse)
         return best.select(F.lit(request["email"]).alias("email"), "company_id", "score", "rank")
 
     files = X.form_files(spark, sf)

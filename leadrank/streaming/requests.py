@@ -12,6 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from leadrank.plans.leads import rank_company_file
+from leadrank.session import Reuse
+
 # Column order is that of the form sheet.
 REQUEST_SCHEMA = StructType(
     [StructField(name, StringType()) for name in ("submitted", "email", "sector", "phrases", "link")]
@@ -102,19 +105,29 @@ def _trigger(writer, once: bool):
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime="30 seconds")
 
 
+def company_file_scorer(spark: SparkSession, folder: str, **options) -> Callable[[dict, Reuse], DataFrame]:
+    """Scorer that ranks the request's company CSV from ``folder``."""
+
+    def score(request: dict, reuse: Reuse) -> DataFrame:
+        path = f"{folder}/{request['file_name']}"
+        return rank_company_file(spark, path, request["phrases"], request["sector"], reuse=reuse, **options)
+
+    return score
+
+
 def answer_requests(
     stream: DataFrame,
     files: DataFrame,
-    score: Callable[[dict], DataFrame],
+    score: Callable[[dict, Reuse], DataFrame],
     out: str,
     checkpoint: str,
     once: bool = True,
 ):
     """Score every request of the stream; returns the started query.
 
-    ``score`` gets a request as a dict (``phrases`` is a list of
-    ``(name, weight)``) and returns its result table, which is stored under
-    ``out/results``. Rejected and failed requests go to ``out/errors`` with
+    ``score`` gets a request as a dict (``phrases`` maps name to weight) and
+    returns its result table, which is stored under ``out/results``; what it
+    keeps in the ``Reuse`` is freed then. Rejected and failed requests go to ``out/errors`` with
     their reason, and the stream goes on.
     """
 
@@ -124,12 +137,13 @@ def answer_requests(
         # each accepted one is a distributed job of its own.
         for row in gate_requests(parse_requests(batch), files).toLocalIterator():
             request = row.asDict()
-            request["phrases"] = [(p["name"], p["weight"]) for p in request["phrases"]]
+            request["phrases"] = {p["name"]: p["weight"] for p in request["phrases"]}
             problem = request["error"]
             if problem is None:
                 try:
                     target = f"{out}/results/request_id={request['request_id']}"
-                    score(request).write.mode("overwrite").parquet(target)
+                    with Reuse() as reuse:
+                        score(request, reuse).write.mode("overwrite").parquet(target)
                 except Exception as failure:  # a failed request must not stop the stream
                     problem = f"{type(failure).__name__}: {failure}"
             if problem is not None:

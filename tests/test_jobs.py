@@ -96,12 +96,43 @@ def test_answers_and_errors(spark):
     form(spark, *rows).write.json(inbox)
     files = spark.createDataFrame([("f1", "list.csv"), ("f2", "list.xlsx")], "file_id string, file_name string")
 
-    def score(request):
+    def score(request, reuse):
         if request["email"] == "boom":
             raise RuntimeError("no file")
-        return keyword_table(spark, dict(request["phrases"]))
+        return keyword_table(spark, request["phrases"])
 
     requests.answer_requests(requests.read_requests(spark, inbox), files, score, out, state).awaitTermination()
     assert spark.read.parquet(f"{out}/results").count() == 3
     errors = sorted(r.error for r in spark.read.parquet(f"{out}/errors").collect())
     assert errors == ["RuntimeError: no file", "a weight is not a number", "the file is not a .csv", "the file is not a .csv"]
+
+
+def company_file(spark, folder, name):
+    rows = X.companies(spark, "/root/testdata/sf0.001").join(X.contacts(spark, "/root/testdata/sf0.001"), "company_id")
+    df = rows.withColumnRenamed("lang", "lang_x").withColumn("lang_y", F.lit("?"))
+    tables.write_csv(df.coalesce(1), f"{folder}/{name}")
+    return rows
+
+
+def test_company_file_equals_the_table(spark, tmp_path):
+    rows = company_file(spark, tmp_path, "list.csv")
+    (tmp_path / "keys.json").write_text('{"And the": 10, "worthless": 20}')
+    got = leads.rank_company_file(spark, str(tmp_path / "list.csv"), str(tmp_path / "keys.json"), "Thatin. Of the", n=30)
+    assert "_row" not in got.columns and "lang" in got.columns
+    from leadrank.plans.relevance import sector_phrases
+
+    sectors = sector_phrases(spark.createDataFrame([("Thatin. Of the",)], "s string"), "s")
+    want = leads.lead_ranking(rows, "company_id", keyword_table(spark, {"and the": 10, "worthless": 20}), sectors, n=30)
+    pick = lambda df: sorted((round(r["score"], 9), int(r["company_id"])) for r in df.collect())
+    assert pick(got) == pick(want)
+
+
+def test_request_with_company_file(spark, tmp_path):
+    company_file(spark, tmp_path, "list.csv")
+    inbox, out, state = (scratch_path(spark, n) for n in ("in", "out", "state"))
+    form(spark, {"phrases": "and the=2", "sector": "Thatin. Of the"}, {"phrases": "and the", "link": "id=f3"}).write.json(inbox)
+    files = spark.createDataFrame([("f1", "list.csv"), ("f3", "gone.csv")], "file_id string, file_name string")
+    scorer = requests.company_file_scorer(spark, str(tmp_path), n=5)
+    requests.answer_requests(requests.read_requests(spark, inbox), files, scorer, out, state).awaitTermination()
+    assert spark.read.parquet(f"{out}/results").count() == 5
+    assert "PATH_NOT_FOUND" in spark.read.parquet(f"{out}/errors").first().error
