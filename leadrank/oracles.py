@@ -422,6 +422,15 @@ QUALIFY pos = max(pos) OVER (PARTITION BY request_id, name)"""
 WITH {FORMS} SELECT file_id, 'list ' || p.c_custkey || CASE c.c_mktsegment WHEN 'BUILDING' THEN '.xlsx' ELSE '.csv' END AS file_name,
   coalesce(error, CASE c.c_mktsegment WHEN 'BUILDING' THEN 'the file is not a .csv' END) AS error
 FROM parsed p JOIN customer c USING (c_custkey)"""
+    q["s4_scored_requests"] = f"""
+WITH {KEYS}, {DOCS}, {hashed('docs', 'company_id', 'd', 256, 'dv')}, {text_pairs('phrases', 'kp', 256)}, {soft('kp', 'kw', 'company_id')},
+asked AS (SELECT lower(c_mktsegment) AS email, count(*)::DOUBLE AS n FROM customer WHERE c_mktsegment <> 'BUILDING' GROUP BY ALL),
+raw AS (SELECT email, company_id, sum(coalesce(sim * idf * CASE name WHEN 'and the' THEN n ELSE 1.0 END, 0)) AS x
+  FROM kp JOIN kw_idf USING (name), asked WHERE name IN ('and the', 'worthless') GROUP BY ALL),
+scored AS (SELECT email, company_id, (x - min(x) OVER w) / (max(x) OVER w - min(x) OVER w) AS s FROM raw WINDOW w AS (PARTITION BY email)),
+placed AS (SELECT email, company_id, s, row_number() OVER (PARTITION BY email ORDER BY round(s, 9) DESC, company_id) AS rank
+  FROM scored JOIN docs USING (company_id) WHERE {words('d')} >= 20)
+SELECT email, company_id, {r6('s')} AS score, rank FROM placed WHERE rank <= 20"""
     lead_docs = f"""
 lead_docs AS (SELECT doc_id AS company_id, text AS d, lang, {EMAIL_1} AS email_1 FROM documents JOIN compact ON company_id = doc_id WHERE {EMAIL_1} <> '')"""
     q["l1_lead_ranking"] = "WITH " + ",".join([CONTACTS, lead_docs, *text_scored("lead_docs", 256)]) + f""",

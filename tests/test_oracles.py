@@ -10,7 +10,7 @@ from leadrank.compare import differences, duckdb_views
 
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
-ROWS_ONLY = {"g1_kmeans", "g4_k_sweep", "s4_scored_requests"}
+ROWS_ONLY = {"g1_kmeans", "g4_k_sweep"}
 
 
 @pytest.fixture(scope="module")
