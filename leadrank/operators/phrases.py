@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from leadrank.functions.text import phrase_count, spaced_tokens, substring_count, word_count
-from leadrank.operators.keys import local_keys, with_key_blocks
+from leadrank.operators.keys import Key, local_keys, with_key_blocks
 from leadrank.operators.ranking import minmax
 from leadrank.operators.rows import exploded
 from leadrank.session import Reuse, spread
@@ -19,11 +19,12 @@ UNROLLED_KEYS = 128
 
 def phrase_values(
     docs: DataFrame, doc_id: str, keys: DataFrame, value, carry: list[Column] | None = None
-) -> tuple[DataFrame, bool]:
+) -> tuple[DataFrame, list[Key] | None]:
     """``hits: array<struct<name, weight, n>>`` per document; ``value(name)`` gives n.
 
-    Also tells whether a document fills one row. It does unless the phrase
-    table was too large for the plan and had to be joined in blocks.
+    Also returns the phrases in the order of ``hits``. That is None when the
+    phrase table was too large for the plan and had to be joined in blocks; a
+    document then fills one row per block.
     """
     carry = carry or []
     docs = spread(docs)
@@ -38,16 +39,16 @@ def phrase_values(
                 for k in local
             ]
         )
-        return docs.select(doc_id, *carry, hits.alias("hits")), True
+        return docs.select(doc_id, *carry, hits.alias("hits")), local
     joined = with_key_blocks(docs, keys.select("name", "weight"), doc_id, UNROLLED_KEYS)
     hits = F.transform(
         "keys",
         lambda k: F.struct(k["name"].alias("name"), k.weight.alias("weight"), value(k["name"]).alias("n")),
     )
-    return joined.select(doc_id, *carry, hits.alias("hits")), False
+    return joined.select(doc_id, *carry, hits.alias("hits")), None
 
 
-def _counter(text: Column, tokenize: bool, escape: bool):
+def word_counter(text: Column, tokenize: bool, escape: bool):
     if not tokenize:
         return lambda name: phrase_count(text, name, escape)
     return lambda name: phrase_count(text, spaced_tokens(name), escape)
@@ -59,13 +60,13 @@ def phrase_counts(
     """``(doc_id, name, n)``: whole-word, case-blind occurrences of each phrase."""
     if tokenize:
         docs = docs.withColumn(text, spaced_tokens(F.col(text)))
-    found, _ = phrase_values(docs, doc_id, keys, _counter(F.col(text), tokenize, escape))
+    found, _ = phrase_values(docs, doc_id, keys, word_counter(F.col(text), tokenize, escape))
     return exploded(found, [doc_id], F.col("hits"), "h").select(
         doc_id, "h.name", F.col("h.n").cast("bigint").alias("n")
     )
 
 
-def _presence(hits: Column) -> Column:
+def presence(hits: Column) -> Column:
     """Sum of weight * count, plus twice the weight of each phrase seen."""
     return F.aggregate(
         hits,
@@ -80,11 +81,11 @@ def presence_score(
     """``(doc_id, score, density)``; density is per million characters of text."""
     length = F.length(text).cast("bigint").alias("chars")
     body = docs.withColumn("_body", spaced_tokens(F.col(text)) if tokenize else F.col(text))
-    found, whole = phrase_values(
-        body, doc_id, keys, _counter(F.col("_body"), tokenize, escape), [length]
+    found, local = phrase_values(
+        body, doc_id, keys, word_counter(F.col("_body"), tokenize, escape), [length]
     )
-    scored = found.select(doc_id, "chars", _presence(F.col("hits")).alias("score"))
-    if not whole:
+    scored = found.select(doc_id, "chars", presence(F.col("hits")).alias("score"))
+    if local is None:
         scored = scored.groupBy(doc_id).agg(F.first("chars").alias("chars"), F.sum("score").alias("score"))
     return scored.select(doc_id, "score", density(F.col("score"), F.col("chars")).alias("density"))
 

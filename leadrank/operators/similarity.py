@@ -133,22 +133,21 @@ def soft_scores(
         raise ValueError("at least one key is needed")
     sims = shape.against_local(shape.usable(rows).withColumns(carry), [row_id, *carry], flat, mode)
     if weighting == "none":
-        weights = F.array(*[F.lit(k.weight) for k in flat])
+        factors = [k.weight for k in flat]
     else:
-        # Read twice: for the idf of each key and for the scores.
+        # Read twice: for the idf of each key and for the scores. The idfs, one
+        # number per key, become constants, so that every later pass over the
+        # scores sees the same values.
         sims = reuse.keep(sims)
-        idfs = (
+        idfs = dict(
             exploded(sims, [], F.col("sims"), "sim", "pos")
             .groupBy("pos")
             .agg(soft_idf(F.sum("sim"), F.count(F.lit(1))).alias("idf"))
-            .agg(F.array_sort(F.collect_list(F.struct("pos", "idf"))).alias("idfs"))
-            .select(F.col("idfs.idf"))
+            .collect()
         )
-        factors = F.array(*[F.lit(k.weight) for k in flat])
-        sims = sims.withColumn("_idf", idfs.scalar())
-        weights = F.zip_with(F.col("_idf"), factors, lambda i, w: i * w)
+        factors = [None if idfs.get(i) is None else idfs[i] * k.weight for i, k in enumerate(flat)]
 
-    sims = sims.withColumn("_w", weights)
+    sims = sims.withColumn("_w", F.array(*[F.lit(x).cast("double") for x in factors]))
     out, start = [], 1
     for name, keys in local.items():
         part = F.slice(

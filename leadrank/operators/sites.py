@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from leadrank.functions.text import html_text
-from leadrank.operators.phrases import density, phrase_counts
+from leadrank.operators.phrases import density, phrase_values, presence, word_counter
 from leadrank.operators.ranking import HOT_ROWS, numbered
+from leadrank.operators.rows import exploded
 from leadrank.session import Reuse, spread
 
 PAGES_PER_PART = 10_000
@@ -73,13 +74,25 @@ def site_scores(pages: DataFrame, keys: DataFrame, lang: str = "en") -> DataFram
     length counts one separator between pages.
     """
     texts = site_pages(pages, lang)
-    chars = texts.groupBy("site").agg((F.sum(F.length("text")) + F.count(F.lit(1)) - 1).alias("chars"))
-    counts = phrase_counts(texts.withColumn("_row", F.struct("site", "page_id")), "_row", "text", keys)
-    per_phrase = counts.groupBy(F.col("_row.site").alias("site"), "name").agg(F.sum("n").alias("n"))
-    # One row per site and phrase by now.
-    scored = per_phrase.join(keys.select("name", "weight"), "name").groupBy("site").agg(
-        F.sum(F.col("weight") * (F.col("n") + F.when(F.col("n") > 0, F.lit(2)).otherwise(F.lit(0)))).cast("double").alias("score")
-    )
-    return scored.join(chars, "site").select(
-        "site", "score", "chars", density(F.col("score"), F.col("chars")).alias("density")
+    chars = F.length("text").cast("bigint").alias("chars")
+    found, local = phrase_values(
+        texts, "page_id", keys, word_counter(F.col("text"), False, True), [F.col("site"), chars]
     )
+    if local is not None:
+        # One pass and one shuffle of one row per site and task.
+        sums = [F.sum(F.get("hits", F.lit(i)).n).alias(f"n{i}") for i in range(len(local))]
+        per_site = found.groupBy("site").agg(
+            (F.sum("chars") + F.count(F.lit(1)) - 1).alias("chars"), *sums
+        )
+        hits = F.array(
+            *[F.struct(F.lit(k.weight).alias("weight"), F.col(f"n{i}").alias("n")) for i, k in enumerate(local)]
+        )
+        scored = per_site.select("site", "chars", presence(hits).alias("score"))
+    else:
+        counts = exploded(found, ["site"], F.col("hits"), "h")
+        per_phrase = counts.groupBy("site", "h.name", "h.weight").agg(F.sum("h.n").alias("n"))
+        hit = F.struct("weight", "n")
+        lengths = texts.groupBy("site").agg((F.sum(F.length("text")) + F.count(F.lit(1)) - 1).alias("chars"))
+        scores = per_phrase.groupBy("site").agg(F.sum(presence(F.array(hit))).alias("score"))
+        scored = scores.join(lengths, "site")
+    return scored.select("site", "score", "chars", density(F.col("score"), F.col("chars")).alias("density"))

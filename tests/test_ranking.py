@@ -151,10 +151,15 @@ def test_site_text_and_parts(spark):
     ]
 
 
-def test_site_scores_equal_scores_of_the_whole_text(spark):
+@pytest.mark.parametrize("blocked", [False, True])
+def test_site_scores_equal_scores_of_the_whole_text(spark, monkeypatch, blocked):
+    from leadrank.operators import phrases
     from leadrank.operators.phrases import presence_score
     from leadrank.sources.keywords import keyword_table
 
+    if blocked:
+        monkeypatch.setattr(phrases, "local_keys", lambda *a: None)
+        monkeypatch.setattr(phrases, "UNROLLED_KEYS", 1)
     keys = keyword_table(spark, {"and the": 10, "none": 1})
     got = sorted((r.site, r.score, r.density) for r in sites.site_scores(web(spark), keys).collect())
     # Pages joined by line breaks: a phrase cannot run over one.
