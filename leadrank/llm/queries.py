@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadrank.llm import packed_ids, sentencepieces
+from leadrank.llm import packed_ids, sentencepieces, simhash
 from leadrank.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op4_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, bits=3)
+    return found.select("doc_id", simhash.hexadecimal(F.col("print")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 @query
 def op8_sentencepiece(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
