@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadrank.llm import packed_ids, sentencepieces, simhash
+from leadrank.llm import decontaminate, packed_ids, sentencepieces, simhash
 from leadrank.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op3_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op4_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, bits=3)
