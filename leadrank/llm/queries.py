@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadrank.llm import decontaminate, packed_ids, sentencepieces, simhash
+from leadrank.llm import decontaminate, packed_ids, quality, secrets, sentencepieces, simhash
+from leadrank.llm.shared import stored
 from leadrank.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +44,23 @@ def op4_simhash(spark, sf_dir):
     return found.select("doc_id", simhash.hexadecimal(F.col("print")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+@query
+def op5_quality(spark, sf_dir):
+    featured = stored(quality.features(table(spark, sf_dir, "documents")), "quality-features")
+    model = quality.learn(featured, table(spark, sf_dir, "labels"))
+    scored = quality.score(featured, model)
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def op6_secrets(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan_versions(docs, scratch_path(spark, "blob-ledger"), path="doc_id")
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("spans").cast("binary"), 256).alias("base_sha256"), "spans"
+    )
+
+
 @query
 def op8_sentencepiece(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
