@@ -229,7 +229,7 @@ def learn(featured: DataFrame, labels: DataFrame, key: str = "doc_id", label: st
 def score(featured: DataFrame, model: Model, cut: float = 0.3) -> DataFrame:
     """``featured`` without ``x``, with ``score`` and ``predicted``."""
     names = [c for c in featured.columns if c != "x"]
-    schema = featured.select(*names).schema.add("score", "double").add("predicted", "int")
+    schema = featured.select(*names).schema.add("score", "double").add("predicted", "integer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
