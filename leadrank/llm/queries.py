@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadrank.llm import decontaminate, packed_ids, quality, secrets, sentencepieces, simhash
+from leadrank.llm import decontaminate, language, packed_ids, quality, secrets, sentencepieces, simhash
 from leadrank.llm.shared import stored
 from leadrank.session import scratch_path
 
@@ -73,3 +73,10 @@ def op9_packed_ids(spark, sf_dir):
     folder = scratch_path(spark, "packed-ids")
     manifest = packed_ids.write_packed(docs, vocabulary("byte_bpe_50k.json"), folder)
     return packed_ids.digests(packed_ids.read_packed(manifest, folder))
+
+
+@query
+def op10_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(docs, language.learn(docs))
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
