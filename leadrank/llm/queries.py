@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadrank.llm import decontaminate, language, packed_ids, quality, secrets, sentencepieces, simhash
+from leadrank.llm import decontaminate, language, packed_ids, quality, secrets, sentencepieces, simhash, warc
 from leadrank.llm.shared import stored
 from leadrank.session import scratch_path
 
@@ -33,6 +33,13 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op2_warc(spark, sf_dir):
+    folder = scratch_path(spark, "warc")
+    read = warc.read(warc.write(table(spark, sf_dir, "pages"), folder), folder)
+    return read.select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op3_decontamination(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
