@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,8 @@ MAGIC, VERSION = b"LRPK", 1
 HEAD = "<4sIIIQQQ"
 HEAD_BYTES = struct.calcsize(HEAD)
 BLOCK_IDS = 8192
+#: Marks that may end a word of letters.
+MARKS = ".,;:!?"
 #: A file is closed when it holds this many ids.
 FILE_IDS = 4_000_000
 
@@ -141,15 +144,33 @@ class Encoder:
         self.library = tokenizer_of(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.cache = ChunkCache(self._new)
+        self.marks = dict(zip(MARKS, self._batch(list(MARKS)), strict=True))
 
     def _batch(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _new(self, chunks: list[str]) -> list[bytes | None]:
-        plain = [c for c in chunks if (w := c[1:] if c[:1] == "\n" else c) and not (w[0].isspace() or w[-1].isspace())]
-        plain = [c for c in plain if not any(s in c for s in self.special)]
-        made = dict(zip(plain, self._batch([c if c[0] == "\n" else f" {c}" for c in plain]), strict=True))
-        return [made.get(c) for c in chunks]
+        """Ids of new chunks; None for chunks whose text must go to the library whole."""
+        # The library's split parts letters from a mark behind them, so each is encoded once.
+        words, ended, others = [], [], []
+        for c in chunks:
+            if c.isalpha():
+                words.append(c)
+            elif c[-1:] in MARKS and c[:-1].isalpha():
+                ended.append(c)
+            else:
+                others.append(c)
+        breaks = [c for c in others if c[:1] == "\n" and c[1:].strip() == c[1:] != ""]
+        plain = [c for c in others if c[:1] != "\n" and c.strip() == c != ""]
+        if self.special:
+            breaks, plain = ([c for c in part if not any(s in c for s in self.special)] for part in (breaks, plain))
+        words += {c[:-1] for c in ended}.difference(self.cache.known, words)
+        spaced = words + plain
+        made = dict(zip(spaced + breaks, self._batch([f" {c}" for c in spaced] + breaks), strict=True))
+        known = self.cache.known
+        for c in ended:
+            made[c] = (made.get(c[:-1]) or known[c[:-1]]) + self.marks[c[-1]]
+        return list(map(made.get, chunks))
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as unsigned 32-bit numbers."""
@@ -222,7 +243,7 @@ def read_packed(manifest: DataFrame, folder: str) -> DataFrame:
     """
     # One row per file, so this window is bounded by the number of files.
     before = F.sum("n_ids").over(Window.orderBy("partition", "place").rowsBetween(Window.unboundedPreceding, -1))
-    files = manifest.select("file", F.coalesce(before, F.lit(0)).alias("first")).repartition("file")
+    files = manifest.select("file", F.coalesce(before, F.lit(0)).alias("first")).repartition(max(1, manifest.count()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:

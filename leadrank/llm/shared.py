@@ -95,16 +95,20 @@ class ChunkCache:
     """Values of text chunks, of at most ``size`` chunks at a time.
 
     ``make`` gives the values of a list of new chunks. When the cache is full,
-    only the chunks of the current group stay.
+    the chunks that came again since the last time stay, or only those of the
+    current group where these are too many.
     """
 
-    def __init__(self, make: Callable[[list[str]], Iterable], size: int = 300_000) -> None:
-        self.make, self.size, self.known = make, size, {}
+    def __init__(self, make: Callable[[list[str]], Iterable], size: int = 600_000) -> None:
+        self.make, self.size, self.known, self.again = make, size, {}, set()
 
     def of(self, chunks: set[str]) -> dict:
         new = list(chunks.difference(self.known))
+        self.again.update(chunks.intersection(self.known))
         if len(self.known) + len(new) > self.size:
-            self.known = {c: self.known[c] for c in chunks if c in self.known}
+            kept = self.again if 2 * len(self.again) <= self.size else chunks.intersection(self.known)
+            self.known = {c: self.known[c] for c in kept}
+            self.again = set()
         self.known.update(zip(new, self.make(new), strict=True))
         return self.known
 
