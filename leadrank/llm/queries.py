@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadrank.llm import decontaminate, language, packed_ids, quality, secrets, sentencepieces, simhash, warc
+from leadrank.llm import decontaminate, language, packed_ids, quality, secrets, sentencepieces, simhash, substrings, warc
 from leadrank.llm.shared import stored
 from leadrank.session import scratch_path
 
@@ -68,6 +68,12 @@ def op6_secrets(spark, sf_dir):
     )
 
 
+@query
+def op7_substrings(spark, sf_dir):
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query
 def op8_sentencepiece(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
