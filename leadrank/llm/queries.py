@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadrank.llm import decontaminate, language, packed_ids, quality, secrets, sentencepieces, simhash, substrings, warc
+from leadrank.llm import decontaminate, language, packed_ids, quality, quantised, secrets, sentencepieces, simhash, substrings, warc
 from leadrank.llm.shared import stored
 from leadrank.session import scratch_path
 
@@ -33,6 +33,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_quantised(spark, sf_dir):
+    found = quantised.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95)
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
 @query
 def op2_warc(spark, sf_dir):
     folder = scratch_path(spark, "warc")

@@ -265,11 +265,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3, key: str =
     ``component`` is the smallest key that links reach, the row's own included.
     """
     prints = stored(fingerprints(docs, shingle, key, text), "simhash-prints")
-    classes = stored(prints.groupBy("print").agg(F.min("id").alias("id")), "simhash-classes")
-    named = classes.where("id is not null")
-    roots = connected_components(links(named, bits))
-    of_class = named.join(roots, "id", "left").select("print", F.coalesce("component", "id").alias("component"))
-    return prints.join(of_class, "print", "left").select(F.col("id").alias(key), "print", "component")
+    # A class is known by its fingerprint, as a repeated key may be in several.
+    classes = stored(prints.groupBy("print").agg(F.min("id").alias("least")), "simhash-classes")
+    roots = connected_components(links(classes.select("print", F.col("print").alias("id")), bits))
+    member = classes.join(roots.withColumnRenamed("id", "print"), "print", "left")
+    member = member.select("print", "least", F.coalesce("component", "print").alias("root"))
+    named = member.groupBy("root").agg(F.min("least").alias("component"))
+    of_class = member.join(named, "root").select("print", "component")
+    return prints.join(of_class, "print").select(F.col("id").alias(key), "print", "component")
 
 
 def hexadecimal(print_: Column) -> Column:
