@@ -41,26 +41,36 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     featured = stored(quality.features(keyed, others=["__lr_digest"]), "pipeline-features")
     model = quality.learn(featured, table(spark, sf_dir, "labels"))
     bad = quality.score(featured, model).where("predicted = 0").select(F.col("doc_id").alias("__lr_id"), F.col("__lr_digest").alias("__lr_bad")).distinct()
+    bad = stored(bad, "pipeline-bad")
     same = F.col("doc_id").eqNullSafe(F.col("__lr_id")) & F.col("__lr_digest").eqNullSafe(F.col("__lr_bad"))
     return keyed.join(bad, same, "left_anti").select(*names)
 
 
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` but for the ids in ``gone``.
+
+    The ids are a stored table, so that Spark knows its size: it broadcasts a
+    small one and no text moves; a large one is a shuffled join.
+    """
+    ids = stored(gone.select(F.col("doc_id").alias("__lr_id")).distinct(), "pipeline-gone")
+    return docs.join(ids, F.col("doc_id") == F.col("__lr_id"), "left_anti")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(docs, shingle=3, bits=3)
-    gone = found.where("doc_id <> component").select(F.col("doc_id").alias("__lr_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__lr_id"), "left_anti")
+    return _without(docs, found.where("doc_id <> component"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     hits = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    gone = hits.select(F.col("doc_id").alias("__lr_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__lr_id"), "left_anti")
+    return _without(docs, hits)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Findings are blobs' findings, so they meet the texts by address and doc_id."""
     found = secrets.scan_versions(docs, scratch_path(spark, "pipeline-ledger"), path="doc_id")
     found = found.where("spans <> ''").select(F.col("doc_id").alias("__lr_id"), F.col("blob").alias("__lr_blob"), F.col("spans").alias("__lr_spans")).distinct()
+    found = stored(found, "pipeline-findings")
     address = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
     same = F.col("doc_id").eqNullSafe(F.col("__lr_id")) & (F.col("__lr_at") == F.col("__lr_blob"))
     marked = docs.withColumn("__lr_at", address).join(found, same, "left").select(*docs.columns, "__lr_spans")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from leadrank.session import scratch_path
 
 #: Texts are worked on in groups of about this many characters.
-GROUP_CHARS = 4_000_000
+GROUP_CHARS = 2_000_000
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -104,6 +104,8 @@ def fingerprints(docs: DataFrame, shingle: int = 3, key: str = "doc_id", text: s
             for a, b in groups_of(texts):
                 prints = prints_of(texts[a:b], shingle).view(np.int64)
                 yield pa.RecordBatch.from_arrays([rows.column(0).slice(a, b - a), pa.array(prints)], names=["id", "print"])
+        # The worker waits for other tasks; what it does not use goes back.
+        pa.default_memory_pool().release_unused()
 
     return docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text")).mapInArrow(run, "id bigint, print bigint")
 
