@@ -64,10 +64,6 @@ def l2_normalize(vec: Column) -> Column:
     return let(F.nullif(l2_norm(vec), F.lit(0.0)), lambda n: F.transform(vec, lambda x: x / n))
 
 
-def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / F.nullif(l2_norm(a) * l2_norm(b), F.lit(0.0))
-
-
 def hash_dim(token: Column, dims: int) -> Column:
     """Slot of a token: first 32 bits of its MD5, modulo ``dims``."""
     prefix = F.substring(F.md5(token.cast("binary")), 1, 8)
@@ -125,13 +121,34 @@ def hash_vector(text: Column, dims: int, normalize: bool = True) -> Column:
     return let(term_counts(text, dims), weigh)
 
 
-def sparse_dot(terms: Column, other: Column) -> Column:
-    """Dot product of two ``(dim, v)`` arrays; meant for short ones."""
+def matrix_of(column):
+    """Rows of an Arrow list column as a matrix; a null list is a row of NaN.
+
+    Lists of unequal length are an error: cut up evenly they would mix rows.
+    """
+    import numpy as np
+    import pyarrow.compute as pc
+
+    sizes = pc.list_value_length(column)
+    lengths = pc.unique(pc.drop_null(sizes)).to_pylist()
+    if len(lengths) > 1:
+        raise ValueError(f"vectors of unequal length: {sorted(lengths)[:5]}")
+    width = lengths[0] if lengths else 0
+    flat = np.asarray(pc.list_flatten(column), dtype=np.float64)
+    if column.null_count == 0 or width == 0:
+        return flat.reshape(len(column), width)
+    out = np.full((len(column), width), np.nan)
+    out[pc.is_valid(column).to_numpy(zero_copy_only=False)] = flat.reshape(-1, width)
+    return out
 
-    def value_at(dim: Column) -> Column:
-        return F.coalesce(F.get(F.filter(other, lambda t: t.dim == dim), F.lit(0)).v, F.lit(0.0))
 
-    return F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x.v * value_at(x.dim))
+def list_array(matrix):
+    """Arrow lists from the rows of a matrix; NaN becomes null."""
+    import numpy as np
+    import pyarrow as pa
+
+    offsets = np.arange(len(matrix) + 1, dtype=np.int32) * np.int32(matrix.shape[1])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.ravel(), from_pandas=True))
 
 
 def map_vectors(rows: DataFrame, keep: list[str], vec: str, compute, out: str, out_type: DataType) -> DataFrame:
@@ -144,48 +161,38 @@ def map_vectors(rows: DataFrame, keep: list[str], vec: str, compute, out: str, o
     schema = StructType([f for f in kept.schema.fields if f.name != "_vec"]).add(out, out_type)
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            flat = np.asarray(batch.column("_vec").flatten(), dtype=np.float64)
-            made = compute(flat.reshape(batch.num_rows, -1), batch)
+            made = compute(matrix_of(batch.column("_vec")), batch)
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [made], names=[*keep, out])
 
     return kept.mapInArrow(run, schema)
 
 
-def key_similarity(key_vectors: list[tuple[float, ...]], mode: str, alpha: float = 0.5):
-    """Function for ``map_vectors``: similarity of each row to every key, in order.
+def similarity_values(cos, mode: str, alpha: float = 0.5):
+    """``similarity`` on a matrix of cosines."""
+    import numpy as np
 
-    The key matrix travels with the task, so the caller must have checked its
-    size. Zero vectors give nulls.
-    """
-    _require_mode(mode)
+    if mode == "cosine":
+        return cos
+    gap = 1.0 - cos
+    dist = np.where(gap < EQUAL_GAP, 0.0, np.sqrt(2.0 * np.maximum(gap, 0.0)))
+    dist = np.where(np.isnan(cos), np.nan, dist)
+    if mode == "euclid":
+        return dist
+    if mode == "mult":
+        return dist * (cos + 1.0) / 2.0
+    if mode == "legacy_mult":
+        return dist * cos
+    return (cos + 1.0) * (alpha / 2.0) + (1.0 - alpha) / (dist + 1.0)
 
-    def compute(x, _):
-        import numpy as np
-        import pyarrow as pa
 
-        k = np.asarray(key_vectors, dtype=np.float64)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            k = k / np.linalg.norm(k, axis=1, keepdims=True)
-            cos = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ k.T
-            gap = 1.0 - cos
-            dist = np.where(gap < EQUAL_GAP, 0.0, np.sqrt(2.0 * np.maximum(gap, 0.0)))
-        if mode == "cosine":
-            sims = cos
-        elif mode == "euclid":
-            sims = dist
-        elif mode == "mult":
-            sims = dist * (cos + 1.0) / 2.0
-        elif mode == "legacy_mult":
-            sims = dist * cos
-        else:
-            sims = (cos + 1.0) * (alpha / 2.0) + (1.0 - alpha) / (dist + 1.0)
-        offsets = pa.array(np.arange(0, sims.size + 1, len(k), dtype=np.int32))
-        return pa.ListArray.from_arrays(offsets, pa.array(sims.ravel(), from_pandas=True))
-
-    return compute
+def unit_rows(x):
+    """Rows scaled to length one; NaN for zero rows."""
+    import numpy as np
+
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)

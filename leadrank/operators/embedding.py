@@ -35,13 +35,6 @@ def sentence_rows(texts: DataFrame, row_id: str, text: str) -> DataFrame:
     return exploded(texts, [row_id], sentences(F.col(text)), "sentence", "pos")
 
 
-def count_without_vector(texts: DataFrame, text: str) -> DataFrame:
-    """One row: how many texts have no vector because they hold no word."""
-    return texts.agg(
-        F.count_if(F.col(text).isNull() | ~has_words(F.col(text))).alias("dropped")
-    )
-
-
 def phrase_vectors(phrases: DataFrame, dims: int = 256) -> DataFrame:
     """Key table ``(name, weight, terms)`` from ``(name, weight)``."""
     terms = hash_vector(F.col("name"), dims)

@@ -1,9 +1,9 @@
 """Key tables: weighted phrases, sectors or centroids compared with every row.
 
-A key table is small in practice (a dozen phrases, a few hundred sectors), and
-then it becomes constants of the plan: each row is compared with all keys where
-it lies, with no join. The size is checked first. A larger key table is split
-into blocks and joined, block by block, on a salted block number.
+A key table is small in practice (a dozen phrases, some thousand sectors), and
+then it is one broadcast matrix: each row is compared with all keys where it
+lies, with no join. Its size in bytes is checked first. A larger key table is
+split into blocks and joined, block by block, on a salted block number.
 """
 
 from __future__ import annotations
@@ -11,10 +11,12 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-MAX_LOCAL_KEYS = 512
-MAX_LOCAL_VALUES = 2_000_000
+#: Keys of one block of the joined form.
+BLOCK_KEYS = 512
+#: Largest key table that is broadcast.
+MAX_KEY_BYTES = 128 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -25,58 +27,42 @@ class Key:
     terms: tuple | None = None  # sparse (dim, v) pairs
 
 
-def local_keys(keys: DataFrame, max_keys: int = MAX_LOCAL_KEYS) -> list[Key] | None:
-    """Key rows on the driver in name order, or None when there are too many.
+def local_keys(keys: DataFrame, max_bytes: int | None = None, max_keys: int | None = None) -> list[Key] | None:
+    """Key rows on the driver, or None when they are too large.
 
-    Reads at most ``max_keys + 1`` rows. ``keys`` has ``name``, ``weight`` and
-    optionally ``vec`` (dense) or ``terms`` (sparse).
+    ``keys`` has ``name``, ``weight`` and optionally ``vec`` (dense) or ``terms``
+    (sparse). A column ``pos`` gives their order; without it they are in name
+    order. The bytes are added up before anything is read.
     """
-    rows = keys.limit(max_keys + 1).collect()
-    if len(rows) > max_keys:
+    size = F.lit(64).cast("bigint") + F.octet_length("name")
+    for name, width in (("vec", 8), ("terms", 16)):
+        if name in keys.columns:
+            size = size + width * F.greatest(F.size(name), F.lit(0))
+    total = keys.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")).first()
+    if (total["bytes"] or 0) > (MAX_KEY_BYTES if max_bytes is None else max_bytes):
+        return None
+    if max_keys is not None and total["n"] > max_keys:
         return None
     out = []
-    for row in rows:
+    for row in keys.collect():
         values = row.asDict()
         terms = values.get("terms")
         vec = values.get("vec")
-        out.append(
-            Key(
-                values["name"],
-                float(values["weight"]),
-                None if vec is None else tuple(float(x) for x in vec),
-                None if terms is None else tuple((int(t["dim"]), float(t["v"])) for t in terms),
-            )
+        key = Key(
+            values["name"],
+            float(values["weight"]),
+            None if vec is None else tuple(float(x) for x in vec),
+            None if terms is None else tuple((int(t["dim"]), float(t["v"])) for t in terms),
         )
-    if sum(len(k.vec or k.terms or ()) for k in out) > MAX_LOCAL_VALUES:
-        return None
-    return sorted(out, key=lambda k: k.name)
-
-
-def key_array(keys: list[Key]) -> Column:
-    """Constant ``array<struct<name, weight, vec, terms>>`` for a local key list."""
-
-    def terms(key: Key) -> Column:
-        pairs = [F.struct(F.lit(d).alias("dim"), F.lit(v).alias("v")) for d, v in key.terms or ()]
-        return F.array(*pairs).cast("array<struct<dim:int,v:double>>")
-
-    return F.array(
-        *[
-            F.struct(
-                F.lit(k.name).alias("name"),
-                F.lit(k.weight).alias("weight"),
-                F.array(*[F.lit(x) for x in k.vec or ()]).cast("array<double>").alias("vec"),
-                terms(k).alias("terms"),
-            )
-            for k in keys
-        ]
-    )
+        out.append((values.get("pos") or 0, key.name, key))
+    return [k for *_, k in sorted(out, key=lambda x: x[:2])]
 
 
 def with_key_blocks(
     rows: DataFrame,
     keys: DataFrame,
     row_id: str,
-    block_rows: int = MAX_LOCAL_KEYS,
+    block_rows: int = BLOCK_KEYS,
     salts: int | None = None,
 ) -> DataFrame:
     """Every row once per key block, with the block's keys in column ``keys``.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from leadrank.functions.text import clean_field, let
-from leadrank.operators.ranking import HOT_ROWS, numbered
+from leadrank.operators.ranking import numbered
 from leadrank.session import Reuse
 
 # The directions, in output order.
@@ -13,62 +13,72 @@ DIRECTIONS = ("from", "to")
 MAX_WIDE = 1000
 
 
-def contact_messages(contacts: DataFrame, messages: DataFrame) -> DataFrame:
-    """``(email, direction, message_id, sent, content)`` for matching mail.
+def matched_ids(contacts: DataFrame, messages: DataFrame) -> DataFrame:
+    """``(email, direction, message_id, sent)`` for matching mail, without bodies.
 
-    ``contacts`` has ``email``; ``messages`` has ``message_id``, ``sent``,
-    ``from_addr``, ``to_addrs`` (array) and ``content``. Both directions come
-    from one pass over the messages and one join. Addresses are distinct on the
-    contact side, so a busy contact is a hot value on one side only, which
-    adaptive execution can split.
+    Addresses are distinct on the contact side, so a busy address is a hot value
+    on one side only, which adaptive execution can split. An address that is no
+    contact, such as the mailbox's own, matches nothing and is dropped by the join.
     """
-    addressed = messages.select(
-        "message_id",
-        "sent",
-        "content",
-        F.explode(
-            F.concat(
-                F.array(F.struct(F.lit("from").alias("direction"), clean_field(F.col("from_addr")).alias("addr"))),
-                F.transform(
-                    F.array_distinct(F.transform("to_addrs", clean_field)),
-                    lambda a: F.struct(F.lit("to").alias("direction"), a.alias("addr")),
-                ),
-            )
-        ).alias("a"),
+    own = F.array(F.struct(F.lit("from").alias("direction"), clean_field(F.col("from_addr")).alias("addr")))
+    others = F.transform(
+        F.array_distinct(F.transform("to_addrs", clean_field)),
+        lambda a: F.struct(F.lit("to").alias("direction"), a.alias("addr")),
     )
+    both = F.concat(own, F.coalesce(others, F.array().cast("array<struct<direction:string,addr:string>>")))
+    addressed = messages.select("message_id", "sent", F.explode(both).alias("a"))
     people = contacts.select("email", clean_field(F.col("email")).alias("_addr")).where(F.col("_addr") != "").distinct()
     joined = addressed.join(people, F.col("a.addr") == F.col("_addr"))
-    return joined.select("email", F.col("a.direction").alias("direction"), "message_id", "sent", "content")
+    return joined.select("email", F.col("a.direction").alias("direction"), "message_id", "sent")
+
+
+def contact_messages(contacts: DataFrame, messages: DataFrame) -> DataFrame:
+    """``(email, direction, message_id, sent, content)`` for matching mail.
+
+    ``contacts`` has ``email``; ``messages`` has ``message_id`` (unique), ``sent``,
+    ``from_addr``, ``to_addrs`` (array) and ``content``. Bodies join last, by id.
+    """
+    return matched_ids(contacts, messages).join(messages.select("message_id", "content"), "message_id").select(
+        "email", "direction", "message_id", "sent", "content"
+    )
 
 
-def message_index(matched: DataFrame, hot_rows: int = HOT_ROWS, reuse: Reuse | None = None) -> DataFrame:
+def message_index(matched: DataFrame, reuse: Reuse | None = None) -> DataFrame:
     """Add ``message_index``, 1-based within (email, direction), oldest first."""
-    return numbered(matched, ["email", "direction"], ["sent", "message_id"], "message_index", hot_rows, reuse)
+    return numbered(matched, ["email", "direction"], ["sent", "message_id"], "message_index", reuse)
 
 
-def long_table(contacts: DataFrame, messages: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def long_table(contacts: DataFrame, messages: DataFrame, reuse: Reuse | None = None) -> DataFrame:
     """``(email, direction, message_index, message_content)``; contacts without mail drop out."""
-    indexed = message_index(contact_messages(contacts, messages), hot_rows)
-    return indexed.select("email", "direction", "message_index", F.col("content").alias("message_content"))
+    indexed = message_index(matched_ids(contacts, messages), reuse)
+    bodies = messages.select("message_id", F.col("content").alias("message_content"))
+    return indexed.join(bodies, "message_id").select("email", "direction", "message_index", "message_content")
 
 
-def wide_table(contacts: DataFrame, long: DataFrame, max_columns: int = MAX_WIDE) -> DataFrame:
-    """One row per contact: ``from_1..n``, ``to_1..m``; contacts without mail kept.
+def wide_table(contacts: DataFrame, long: DataFrame, max_columns: int = MAX_WIDE, reuse: Reuse | None = None) -> DataFrame:
+    """``email``, ``from_1..n``, ``to_1..m``; contacts without mail kept.
 
-    The width is the largest index found. A table wider than ``max_columns`` is
-    refused, since cutting it would lose mail; the long table holds everything.
+    The width is the largest index found. Where a direction needs more than half
+    of ``max_columns``, its mail goes on in further rows of the contact, and
+    ``row`` (from 0) numbers them; otherwise each contact has one row and there
+    is no such column.
     """
+    long = (reuse or Reuse()).keep(long)
     found = {r["direction"]: r["m"] for r in long.groupBy("direction").agg(F.max("message_index").alias("m")).collect()}
-    widths = [(d, int(found.get(d) or 0)) for d in DIRECTIONS]
-    if sum(w for _, w in widths) > max_columns:
-        raise ValueError(f"{widths} needs more than {max_columns} columns; use the long table")
+    most = max(1, max_columns // len(DIRECTIONS))
+    widths = [(d, min(most, int(found.get(d) or 0))) for d in DIRECTIONS]
     slots = [f"{d}_{i}" for d, w in widths for i in range(1, w + 1)]
     people = contacts.select("email").distinct()
     if not slots:
         return people
-    slotted = long.withColumn("_slot", F.concat_ws("_", "direction", F.col("message_index").cast("string")))
-    pivoted = slotted.groupBy("email").pivot("_slot", slots).agg(F.first("message_content"))
-    return people.join(pivoted, "email", "left")
+    at = F.col("message_index") - 1
+    slotted = long.withColumn("_slot", F.concat_ws("_", "direction", (at % most + 1).cast("string")))
+    if max(int(m or 0) for m in found.values()) <= most:
+        pivoted = slotted.groupBy("email").pivot("_slot", slots).agg(F.first("message_content"))
+        return people.join(pivoted, "email", "left")
+    slotted = slotted.withColumn("row", F.floor(at / most).cast("bigint"))
+    pivoted = slotted.groupBy("email", "row").pivot("_slot", slots).agg(F.first("message_content"))
+    return people.join(pivoted, "email", "left").withColumn("row", F.coalesce("row", F.lit(0)))
 
 
 def header_value(headers: Column, name: str) -> Column:

@@ -28,7 +28,7 @@ def phrase_values(
     """
     carry = carry or []
     docs = spread(docs)
-    local = local_keys(keys, UNROLLED_KEYS)
+    local = local_keys(keys, max_keys=UNROLLED_KEYS)
     if local is not None:
         # Literal phrases, so each pattern is compiled once per task.
         hits = F.array(
@@ -127,7 +127,7 @@ def tf_idf(docs: DataFrame, doc_id: str, text: str, keys: DataFrame) -> DataFram
     small, left to the planner otherwise.
     """
     idf = containment_idf(docs, doc_id, text, keys).select("name", "idf")
-    small = local_keys(keys, UNROLLED_KEYS) is not None
+    small = local_keys(keys, max_keys=UNROLLED_KEYS) is not None
     tf = term_frequency(docs, doc_id, text, keys).join(F.broadcast(keys.select("name", "weight")) if small else keys.select("name", "weight"), "name")
     return tf.join(F.broadcast(idf) if small else idf, "name").select(
         doc_id, "name", "weight", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf")
@@ -139,24 +139,26 @@ def tf_idf_scores(
 ) -> DataFrame:
     """``(doc_id, raw, score)``: weighted TF-IDF sum per document, min-max scaled."""
     reuse = reuse or Reuse()
-    local = local_keys(keys, UNROLLED_KEYS)
+    local = local_keys(keys, max_keys=UNROLLED_KEYS)
     if local is None:
         cells = tf_idf(docs, doc_id, text, keys)
         raw = cells.groupBy(doc_id).agg(F.sum(F.col("weight") * F.col("tfidf")).alias("raw"))
     else:
-        idfs = containment_idf(docs, doc_id, text, keys).agg(
-            F.array_sort(F.collect_list(F.struct("name", "idf"))).alias("a")
-        )
         body = F.col(text)
         found, _ = phrase_values(
             docs, doc_id, keys, lambda name: substring_count(body, name), [word_count(body).alias("words")]
         )
-        # Both arrays are in name order.
-        terms = F.zip_with("hits", "_idfs", lambda h, i: h.weight * h.n * i.idf)
-        raw = found.withColumn("_idfs", idfs.scalar()).select(
+        # The texts are read once: a document contains a key where its count is
+        # not zero, and an empty key everywhere.
+        counts = reuse.keep(found.select(doc_id, "words", F.transform("hits", lambda h: h.n).alias("n")))
+        seen = [
+            F.count(F.lit(1)) if k.name == "" else F.count_if(F.get("n", F.lit(i)) > 0) for i, k in enumerate(local)
+        ]
+        idfs = counts.agg(F.array(*[_containment_idf(F.count(F.lit(1)), s) for s in seen]).alias("a"))
+        weights = F.array(*[F.lit(k.weight) for k in local])
+        terms = F.zip_with(F.zip_with("n", "_idfs", lambda n, i: n * i), weights, lambda x, w: x * w)
+        raw = counts.withColumn("_idfs", idfs.scalar()).select(
             doc_id,
-            (F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x) / F.nullif(F.col("words"), F.lit(0))).alias(
-                "raw"
-            ),
+            (F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x) / F.nullif(F.col("words"), F.lit(0))).alias("raw"),
         )
     return minmax(reuse.keep(raw), {"raw": "score"})

@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from leadrank.functions.text import let, strip
-from leadrank.operators.ranking import top_n
 from leadrank.operators.rows import exploded
 
 # Chat roles.
 SYSTEM, USER, ASSISTANT = "system", "user", "assistant"
-MAX_EXAMPLES = 1000
 
 
 def plain_number(value: Column) -> Column:
@@ -65,13 +63,12 @@ def request_table(
 ) -> DataFrame:
     """Add ``messages``: system text, example pairs in order, then the row's prompt.
 
-    ``examples`` is a short table ``(idx, input, output)``; its size is checked.
+    ``examples`` is a short table ``(idx, input, output)``.
     """
     shots: list[Column] = []
     if examples is not None:
-        rows = examples.select("idx", "input", "output").limit(MAX_EXAMPLES + 1).collect()
-        if len(rows) > MAX_EXAMPLES:
-            raise ValueError(f"more than {MAX_EXAMPLES} examples do not fit into a prompt")
+        # All examples are part of every prompt, so a prompt's size bounds them.
+        rows = examples.select("idx", "input", "output").collect()
         for row in sorted(rows, key=lambda r: r["idx"]):
             shots += [message(USER, F.lit(row["input"])), message(ASSISTANT, F.lit(row["output"]))]
     return prompts.withColumn(
@@ -80,11 +77,6 @@ def request_table(
     )
 
 
-def first_rows(df: DataFrame, row_id: str, n: int) -> DataFrame:
-    """Only the first ``n`` rows by id."""
-    return top_n(df, [F.asc(row_id)], n, out=None)
-
-
 def limited_result(df: DataFrame, row_id: str, n: int, column: str, result: Column) -> DataFrame:
     """All rows; ``column`` holds ``result`` for the first ``n`` by id, else null.
 

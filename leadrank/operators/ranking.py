@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leadrank.session import Reuse
 
-HOT_ROWS = 2_000_000
-MAX_HOT_GROUPS = 1000
+#: Cuts of more rows than this are ranked through the range shuffle.
+ONE_TASK_ROWS = 100_000
 
 
 def scaled(value: Column, low: Column, high: Column) -> Column:
@@ -91,58 +91,57 @@ def ranked(df: DataFrame, order: list[Column], out: str = "rank", reuse: Reuse |
     return placed.withColumn(out, (F.col("_at") + 1).cast("bigint")).drop("_at")
 
 
-def top_n(df: DataFrame, order: list[Column], n: int, out: str | None = "rank") -> DataFrame:
-    """First ``n`` rows, with a rank that is numbered after the cut."""
+def top_n(
+    df: DataFrame, order: list[Column], n: int, out: str | None = "rank", reuse: Reuse | None = None
+) -> DataFrame:
+    """First ``n`` rows, with a rank that is numbered after the cut.
+
+    A large ``n`` goes through the range shuffle, so that the cut never meets in
+    one task.
+    """
+    if n > ONE_TASK_ROWS:
+        # Ranks are taken before the cut here; they are the same.
+        large = ranked(df, order, out or "_rank", reuse)
+        large = large.where(F.col(out or "_rank") <= n)
+        return large if out else large.drop("_rank")
     cut = df.orderBy(*order).limit(n)
     if out is None:
         return cut
     return cut.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
 
 
-def numbered(
-    df: DataFrame,
-    group: list[str],
-    order: list[str],
-    out: str,
-    hot_rows: int = HOT_ROWS,
-    reuse: Reuse | None = None,
+def running_total(
+    df: DataFrame, group: list[str], order: list[str], amount: Column, out: str, reuse: Reuse | None = None
 ) -> DataFrame:
-    """1-based number of each row within its group; ``order`` must be total.
+    """Sum of ``amount`` over the rows of the group before each row; ``order`` must be total.
 
-    Group sizes are counted first (one small row per group and task). Groups
-    above the limit are numbered through a range shuffle, which spreads one
-    group over many tasks; all others use a plain window. Of very many large
-    groups the MAX_HOT_GROUPS largest are spread: any other is then smaller
-    than that share of the table.
+    Rows are range-shuffled on group and order, which spreads a large group over
+    many tasks. Then amounts are added up per partition and group, and a row's
+    total is that before it there plus the group's in earlier partitions. The
+    sums join back on partition and group, a key that no group makes hot. Pass
+    ids only and join payloads afterwards.
     """
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    hot = [row.asDict() for row in sizes.orderBy(F.desc("_n")).limit(MAX_HOT_GROUPS).select(*group).collect()]
-    window = Window.partitionBy(*group).orderBy(*order)
-
-    def windowed(part: DataFrame) -> DataFrame:
-        return part.withColumn(out, F.row_number().over(window).cast("bigint"))
-
-    if not hot:
-        return windowed(df)
-    is_hot = F.lit(False)
-    for values in hot:
-        match = F.lit(True)
-        for name, value in values.items():
-            match = match & F.col(name).eqNullSafe(F.lit(value))
-        is_hot = is_hot | match
-    placed = _positions(df.where(is_hot), [F.asc(c) for c in group + order], reuse or Reuse())
-    firsts = placed.groupBy(*group).agg(F.min("_at").alias("_first"))
-    same = None
-    firsts = firsts.select(*[F.col(c).alias(f"_g_{c}") for c in group], "_first")
-    for c in group:
-        eq = F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-        same = eq if same is None else same & eq
-    large = (
-        placed.join(F.broadcast(firsts), same)
-        .withColumn(out, (F.col("_at") - F.col("_first") + 1).cast("bigint"))
-        .select(*df.columns, out)
+    total = [F.asc(c) for c in group + order]
+    ranged = df.withColumn("_amount", amount.cast("bigint")).orderBy(*total).withColumn("_mid", F.monotonically_increasing_id())
+    ranged = (reuse or Reuse()).keep(ranged).withColumn("_part", F.shiftright("_mid", 33))
+    before = (Window.unboundedPreceding, -1)
+    sums = ranged.groupBy("_part", *group).agg(F.sum("_amount").alias("_sum"))
+    # A group has one row per partition here.
+    earlier = F.sum("_sum").over(Window.partitionBy(*group).orderBy("_part").rowsBetween(*before))
+    sums = sums.select(
+        F.col("_part").alias("_p"), *[F.col(c).alias(f"_g_{c}") for c in group], F.coalesce(earlier, F.lit(0)).alias("_earlier")
     )
-    return windowed(df.where(~is_hot)).unionByName(large)
+    same = F.col("_part") == F.col("_p")
+    for c in group:
+        same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    here = F.sum("_amount").over(Window.partitionBy("_part", *group).orderBy("_mid").rowsBetween(*before))
+    within = ranged.withColumn("_here", F.coalesce(here, F.lit(0)))
+    return within.join(sums, same).withColumn(out, F.col("_here") + F.col("_earlier")).select(*df.columns, out)
+
+
+def numbered(df: DataFrame, group: list[str], order: list[str], out: str, reuse: Reuse | None = None) -> DataFrame:
+    """1-based number of each row within its group; ``order`` must be total. See ``running_total``."""
+    return running_total(df, group, order, F.lit(1), out, reuse).withColumn(out, F.col(out) + 1)
 
 
 def choose_top(

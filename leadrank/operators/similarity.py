@@ -1,18 +1,25 @@
-"""Similarity of rows and keys, soft TF-IDF scores, closest key."""
+"""Similarity of rows and keys, soft TF-IDF scores, closest key.
+
+Rows without a vector (no word in the text, a null or zero vector) stay, with
+null similarities and scores, and count as rows.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, StringType, StructType
 
 from leadrank.functions import vectors as V
-from leadrank.functions.text import has_words, let
-from leadrank.operators.keys import Key, key_array, local_keys, with_key_blocks
+from leadrank.functions.text import let
+from leadrank.operators.keys import Key, local_keys, with_key_blocks
 from leadrank.operators.rows import exploded, inlined
 from leadrank.session import Reuse, spread
 
+#: Rows whose similarities are computed at once.
+STEP_ROWS = 1024
+
 
 @dataclass(frozen=True)
 class Dense:
@@ -20,13 +27,24 @@ class Dense:
 
     column: str = "vec"
 
-    def usable(self, rows: DataFrame) -> DataFrame:
-        return rows.where(F.col(self.column).isNotNull())
+    def prepared(self, rows: DataFrame) -> tuple[DataFrame, Column]:
+        return rows, F.col(self.column).cast("array<double>")
+
+    def key_side(self, keys: list[Key]):
+        """What a task needs of the keys."""
+        import numpy as np
+
+        return V.unit_rows(np.array([k.vec for k in keys], dtype=np.float64)).T
+
+    @staticmethod
+    def cosines(side, column):
+        import numpy as np
 
-    def against_local(self, rows: DataFrame, keep: list[str], keys: list[Key], mode: str) -> DataFrame:
-        """``keep`` columns and ``sims``, one similarity per key."""
-        compute = V.key_similarity([k.vec for k in keys], mode)
-        return V.map_vectors(rows, keep, self.column, compute, "sims", ArrayType(DoubleType()))
+        rows = V.matrix_of(column)
+        if rows.shape[1] == 0:
+            # No row of the batch has a vector.
+            return np.full((len(rows), side.shape[1]), np.nan)
+        return V.unit_rows(rows) @ side
 
     def against_column(self, keys: Column, mode: str) -> Column:
         vec = V.l2_normalize(F.col(self.column).cast("array<double>"))
@@ -40,29 +58,49 @@ class Dense:
 class HashedText:
     """Rows that carry text, embedded as a hashed bag of words where they lie.
 
-    Only the slots that some key uses take part in the dot products, but the
-    norm covers the whole text.
+    Words are hashed and counted in the JVM; the counts of a batch meet the key
+    matrix in numpy. Only slots that some key uses take part in the products,
+    but the norm covers the whole text.
     """
 
     column: str = "text"
     dims: int = 256
 
-    def usable(self, rows: DataFrame) -> DataFrame:
-        # A text without letters or digits has no vector.
-        return spread(rows).where(has_words(F.col(self.column)))
-
-    def against_local(self, rows: DataFrame, keep: list[str], keys: list[Key], mode: str) -> DataFrame:
-        used = sorted({dim for key in keys for dim, _ in key.terms or ()})
-        sims = self._compare(key_array(keys), mode, lambda dim: dim.isin(used))
-        return rows.select(*keep, sims.alias("sims"))
+    def prepared(self, rows: DataFrame) -> tuple[DataFrame, Column]:
+        return spread(rows), V.term_counts(F.col(self.column), self.dims)
+
+    def key_side(self, keys: list[Key]):
+        import numpy as np
+
+        used = np.array(sorted({d for k in keys for d, _ in k.terms or ()}), dtype=np.int64)
+        matrix = np.zeros((len(used), len(keys)))
+        for at, key in enumerate(keys):
+            for d, v in key.terms or ():
+                matrix[np.searchsorted(used, d), at] += v
+        return used, matrix
+
+    @staticmethod
+    def cosines(side, column):
+        import numpy as np
+        import pyarrow.compute as pc
+
+        used, matrix = side
+        sizes = np.asarray(pc.fill_null(pc.list_value_length(column), 0), dtype=np.int64)
+        flat = pc.list_flatten(column)
+        dim, n = (np.asarray(flat.field(i), dtype=np.int64) for i in (0, 1))
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        norm = np.sqrt(np.bincount(row, n * n, len(sizes)))
+        at = np.searchsorted(used, dim)
+        hit = at < len(used)
+        hit[hit] = used[at[hit]] == dim[hit]
+        counts = np.zeros((len(sizes), len(used)))
+        counts[row[hit], at[hit]] = n[hit]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return (counts @ matrix) / np.where(norm > 0, norm, np.nan)[:, None]
 
     def against_column(self, keys: Column, mode: str) -> Column:
-        return self._compare(keys, mode, None)
-
-    def _compare(self, keys: Column, mode: str, used) -> Column:
         def against(counts: Column) -> Column:
-            hits = counts if used is None else F.filter(counts, lambda x: used(x.dim))
-            pair = F.struct(hits.alias("hits"), V.counts_norm(counts).alias("norm"))
+            pair = F.struct(counts.alias("hits"), V.counts_norm(counts).alias("norm"))
             return let(
                 pair,
                 lambda p: F.transform(keys, lambda k: V.similarity(_hit_dot(k.terms, p.hits) / p.norm, mode)),
@@ -80,19 +118,68 @@ def _hit_dot(terms: Column, hits: Column) -> Column:
     return F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t.v * count_at(t.dim))
 
 
+def _compared(rows: DataFrame, keep: list[str], keys: list[Key], shape, mode: str, finish, made: StructType) -> DataFrame:
+    """``finish(similarities, kept columns)`` of every batch; rows stay where they lie.
+
+    The key matrix is broadcast once; its size was checked by ``local_keys``.
+    """
+    V._require_mode(mode)
+    rows, column = shape.prepared(rows)
+    kept = rows.select(*keep, column.alias("_x"))
+    schema = StructType([f for f in kept.schema.fields if f.name != "_x"])
+    for field in made.fields:
+        schema = schema.add(field)
+    side = rows.sparkSession.sparkContext.broadcast(shape.key_side(keys))
+    cosines = shape.cosines
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for start in range(0, batch.num_rows, STEP_ROWS):
+                part = batch.slice(start, STEP_ROWS)
+                sims = V.similarity_values(cosines(side.value, part.column("_x")), mode)
+                arrays = finish(sims, [part.column(c) for c in keep])
+                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    return kept.mapInArrow(run, schema)
+
+
+def _sims(rows: DataFrame, keep: list[str], keys: list[Key], shape, mode: str) -> DataFrame:
+    """``keep`` columns and ``sims``, one similarity per key."""
+
+    def finish(sims, kept):
+        return [*kept, V.list_array(sims)]
+
+    return _compared(rows, keep, keys, shape, mode, finish, StructType().add("sims", ArrayType(DoubleType())))
+
+
+def _joined_sims(shape, mode: str) -> Column:
+    """Similarities to the keys of a block; nulls for a row without a vector."""
+    return F.coalesce(
+        shape.against_column(F.col("keys"), mode), F.transform("keys", lambda k: F.lit(None).cast("double"))
+    )
+
+
 def similarity_rows(rows: DataFrame, row_id: str, keys: DataFrame, shape, mode: str = "mult") -> DataFrame:
     """Long form ``(row_id, name, sim)`` of all similarities."""
-    base = shape.usable(rows)
     local = local_keys(keys)
     if local is None:
-        sims = shape.against_column(F.col("keys"), mode)
+        base, _ = shape.prepared(rows)
+        sims = _joined_sims(shape, mode)
         wide = with_key_blocks(base, keys, row_id).select(row_id, F.col("keys.name").alias("name"), sims.alias("sim"))
-    else:
-        names = F.array(*[F.lit(k.name) for k in local])
-        wide = shape.against_local(base, [row_id], local, mode).select(
-            row_id, names.alias("name"), F.col("sims").alias("sim")
-        )
-    return inlined(wide, [row_id], F.arrays_zip("name", "sim"), ["name", "sim"])
+        return inlined(wide, [row_id], F.arrays_zip("name", "sim"), ["name", "sim"])
+    names = [k.name for k in local]
+
+    def finish(sims, kept):
+        import numpy as np
+        import pyarrow as pa
+
+        at = pa.array(np.repeat(np.arange(len(sims)), len(names)))
+        return [kept[0].take(at), pa.array(names * len(sims), pa.string()), pa.array(sims.ravel(), from_pandas=True)]
+
+    made = StructType().add("name", StringType()).add("sim", DoubleType())
+    return _compared(rows, [row_id], local, shape, mode, finish, made)
 
 
 def soft_idf(total: Column, count: Column) -> Column:
@@ -126,41 +213,71 @@ def soft_scores(
     carry = carry or {}
     local = {name: local_keys(keys) for name, keys in groups.items()}
     if any(keys is None for keys in local.values()):
-        return _blocked_scores(rows, row_id, groups, shape, mode, weighting, carry)
+        # Scaling reads the scores more than once.
+        return reuse.keep(_blocked_scores(rows, row_id, groups, shape, mode, weighting, carry))
+
+    import numpy as np
 
     flat = [key for keys in local.values() for key in keys]
     if not flat:
         raise ValueError("at least one key is needed")
-    sims = shape.against_local(shape.usable(rows).withColumns(carry), [row_id, *carry], flat, mode)
-    if weighting == "none":
-        factors = [k.weight for k in flat]
-    else:
-        # Read twice: for the idf of each key and for the scores. The idfs, one
-        # number per key, become constants, so that every later pass over the
-        # scores sees the same values.
-        sims = reuse.keep(sims)
-        idfs = dict(
-            exploded(sims, [], F.col("sims"), "sim", "pos")
-            .groupBy("pos")
-            .agg(soft_idf(F.sum("sim"), F.count(F.lit(1))).alias("idf"))
-            .collect()
-        )
-        factors = [None if idfs.get(i) is None else idfs[i] * k.weight for i, k in enumerate(flat)]
-
-    sims = sims.withColumn("_w", F.array(*[F.lit(x).cast("double") for x in factors]))
-    out, start = [], 1
-    for name, keys in local.items():
-        part = F.slice(
-            F.zip_with("sims", "_w", lambda s, w: F.coalesce(s * w, F.lit(0.0))), start, len(keys)
-        )
-        out.append(F.aggregate(part, F.lit(0.0), lambda acc, x: acc + x).alias(name))
+    factors = np.zeros((len(flat), len(local)))
+    start = 0
+    for at, keys in enumerate(local.values()):
+        factors[start : start + len(keys), at] = [k.weight for k in keys]
         start += len(keys)
-    return sims.select(row_id, *carry, *out)
+    # Read twice: for the idf of each key and for the scores.
+    sims = reuse.keep(_sims(rows.withColumns(carry), [row_id, *carry], flat, shape, mode))
+    if weighting != "none":
+        idfs = np.zeros(len(flat))
+        totals = _sums(sims, len(flat)).groupBy("pos").agg(soft_idf(F.sum("total"), F.sum("n")).alias("idf"))
+        # One number per key; a key without an idf adds nothing.
+        for row in totals.collect():
+            idfs[row["pos"]] = row["idf"] or 0.0
+        factors *= idfs[:, None]
+    names = list(local)
+
+    def weigh(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            x = V.matrix_of(batch.column("sims"))
+            scores = np.where(np.isnan(x), 0.0, x) @ factors
+            scores[np.isnan(x).all(axis=1)] = np.nan
+            made = [pa.array(scores[:, i], from_pandas=True) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=[*batch.schema.names[:-1], *names])
+
+    schema = StructType([f for f in sims.schema.fields if f.name != "sims"])
+    for name in names:
+        schema = schema.add(name, DoubleType())
+    return sims.mapInArrow(weigh, schema)
+
+
+def _sums(sims: DataFrame, width: int) -> DataFrame:
+    """``(pos, total, n)``: per key and task, the summed similarity and the number of rows."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total, n = np.zeros(width), 0
+        for batch in batches:
+            if batch.num_rows:
+                total += np.nansum(V.matrix_of(batch.column(0)), axis=0)
+                n += batch.num_rows
+        if n:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(width, dtype=np.int32)), pa.array(total), pa.array(np.full(width, n))], names=["pos", "total", "n"]
+            )
+
+    return sims.select("sims").mapInArrow(run, "pos int, total double, n bigint")
 
 
 def _blocked_scores(rows, row_id, groups, shape, mode, weighting, carry) -> DataFrame:
-    """``soft_scores`` for key tables too large to be plan constants."""
-    base = shape.usable(rows)
+    """``soft_scores`` for key tables too large to broadcast."""
+    base, _ = shape.prepared(rows)
     sep = "\x1f"
     tagged = None
     for group, keys in groups.items():
@@ -168,7 +285,7 @@ def _blocked_scores(rows, row_id, groups, shape, mode, weighting, carry) -> Data
         tagged = part if tagged is None else tagged.unionByName(part, allowMissingColumns=True)
     if weighting != "none":
         zipped = F.arrays_zip(
-            F.col("keys.name").alias("name"), shape.against_column(F.col("keys"), mode).alias("sim")
+            F.col("keys.name").alias("name"), _joined_sims(shape, mode).alias("sim")
         )
         pairs = exploded(with_key_blocks(base, tagged, row_id), [], zipped, "p")
         # The pairs are summed as they are made; only one row per key and task
@@ -181,12 +298,14 @@ def _blocked_scores(rows, row_id, groups, shape, mode, weighting, carry) -> Data
     weighted = F.zip_with(
         shape.against_column(F.col("keys"), mode),
         F.col("keys"),
-        lambda s, k: F.struct(k["name"].alias("name"), F.coalesce(s * k.weight, F.lit(0.0)).alias("x")),
+        lambda s, k: F.struct(k["name"].alias("name"), F.when(s.isNotNull(), F.coalesce(s * k.weight, F.lit(0.0))).alias("x")),
     )
     scored = with_key_blocks(base.withColumns(carry), tagged, row_id).select(row_id, *carry, weighted.alias("w"))
 
     def group_sum(group: str) -> Column:
-        mine = F.filter("w", lambda x: F.startswith(x["name"], F.lit(group + sep)))
+        mine = F.filter("w", lambda x: F.startswith(x["name"], F.lit(group + sep)) & x.x.isNotNull())
+        # A row without a vector has none at all, and null for its score.
+        mine = F.when(F.size(mine) > 0, mine)
         return F.sum(F.aggregate(mine, F.lit(0.0), lambda acc, x: acc + x.x)).alias(group)
 
     return scored.groupBy(row_id).agg(
@@ -197,29 +316,35 @@ def _blocked_scores(rows, row_id, groups, shape, mode, weighting, carry) -> Data
 def best_key(rows: DataFrame, row_id: str, keys: DataFrame, shape, mode: str = "mult") -> DataFrame:
     """The most similar key of each row: ``(row_id, name, sim)``.
 
-    The first key in name order wins ties.
+    The first key wins ties, by ``pos`` where the keys have one, else by name. A
+    row without a vector has no key.
     """
-    base = shape.usable(rows)
     local = local_keys(keys)
-
-    def best(names: Column, sims: Column) -> Column:
-        return let(
-            sims,
-            lambda s: let(
-                F.array_max(s),
-                lambda m: F.struct(
-                    F.get(names, F.array_position(s, m).cast("int") - 1).alias("name"), m.alias("sim")
-                ),
-            ),
-        )
-
     if local is not None:
-        names = F.array(*[F.lit(k.name) for k in local])
-        wide = shape.against_local(base, [row_id], local, mode)
-        return wide.select(row_id, best(names, F.col("sims")).alias("b")).select(row_id, "b.name", "b.sim")
-    per_block = with_key_blocks(base, keys, row_id).select(
-        row_id, best(F.col("keys.name"), shape.against_column(F.col("keys"), mode)).alias("b")
+        names = [k.name for k in local]
+
+        def finish(sims, kept):
+            import numpy as np
+            import pyarrow as pa
+
+            known = ~np.isnan(sims).all(axis=1)
+            at = np.where(np.isnan(sims), -np.inf, sims).argmax(axis=1)
+            best = np.where(known, sims[np.arange(len(sims)), at], np.nan)
+            found = [names[i] if k else None for i, k in zip(at.tolist(), known.tolist())]
+            return [kept[0], pa.array(found, pa.string()), pa.array(best, from_pandas=True)]
+
+        made = StructType().add("name", StringType()).add("sim", DoubleType())
+        return _compared(rows, [row_id], local, shape, mode, finish, made)
+    base, _ = shape.prepared(rows)
+    ordered = keys if "pos" in keys.columns else keys.withColumn("pos", F.lit(0))
+    options = F.zip_with(
+        shape.against_column(F.col("keys"), mode),
+        F.col("keys"),
+        lambda s, k: F.struct((-s).alias("n"), k["pos"].alias("pos"), k["name"].alias("name")),
+    )
+    # Of equal similarities the first key has the smallest (pos, name).
+    per_block = with_key_blocks(base, ordered, row_id).select(
+        row_id, F.array_min(F.filter(options, lambda o: o.n.isNotNull())).alias("b")
     )
-    # Smaller names win ties, so the minimum of (-sim, name) is the answer.
-    chosen = per_block.groupBy(row_id).agg(F.min(F.struct((-F.col("b.sim")).alias("n"), F.col("b.name").alias("name"))).alias("m"))
+    chosen = per_block.groupBy(row_id).agg(F.min("b").alias("m"))
     return chosen.select(row_id, F.col("m.name").alias("name"), (-F.col("m.n")).alias("sim"))

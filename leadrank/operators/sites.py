@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from leadrank.functions.text import html_text
 from leadrank.operators.phrases import density, phrase_values, presence, word_counter
-from leadrank.operators.ranking import HOT_ROWS, numbered
+from leadrank.operators.ranking import running_total
 from leadrank.operators.rows import exploded
 from leadrank.session import Reuse, spread
 
-PAGES_PER_PART = 10_000
+#: Bytes of text at which a site goes on in another part.
+PART_BYTES = 64 * 1024 * 1024
 
 
 def site_of(url: Column) -> Column:
@@ -43,27 +44,24 @@ def site_pages(pages: DataFrame, lang: str = "en") -> DataFrame:
 
 
 def site_text(
-    pages: DataFrame,
-    lang: str = "en",
-    sep: str = " ",
-    pages_per_part: int = PAGES_PER_PART,
-    hot_rows: int = HOT_ROWS,
-    reuse: Reuse | None = None,
+    pages: DataFrame, lang: str = "en", part_bytes: int = PART_BYTES, reuse: Reuse | None = None
 ) -> DataFrame:
-    """``(site, part, text)``: page texts joined in order, home page first.
+    """``(site, part, text)``: the home page's text, one space, and the other pages' without anything between.
 
-    Nearly every site is one part. A site with more than ``pages_per_part``
-    pages continues in part 1, 2, ..., so no task ever gathers a whole huge
-    site; the parts put together with ``sep`` are the full text.
+    Nearly every site is one part. A site with more than ``part_bytes`` of text
+    continues in part 1, 2, ..., so no task ever gathers a whole huge site; the
+    parts put together are the full text.
     """
-    placed = numbered(site_pages(pages, lang), ["site"], ["page_id"], "_n", hot_rows, reuse)
-    part = F.floor((F.col("_n") - 1) / pages_per_part).cast("bigint")
-    texts = F.transform(F.array_sort(F.collect_list(F.struct("_n", "text"))), lambda x: x.text)
-    return (
-        placed.withColumn("part", part)
-        .groupBy("site", "part")
-        .agg(F.array_join(texts, sep).alias("text"))
-    )
+    reuse = reuse or Reuse()
+    texts = reuse.keep(site_pages(pages, lang))
+    sizes = texts.select("site", "page_id", F.octet_length("text").alias("_bytes"))
+    placed = running_total(sizes, ["site"], ["page_id"], F.col("_bytes"), "_before", reuse)
+    placed = placed.select("page_id", F.floor(F.col("_before") / part_bytes).cast("bigint").alias("part"))
+    homes = texts.groupBy("site").agg(F.min("page_id").alias("page_id")).select("page_id", F.lit(True).alias("_home"))
+    parted = texts.join(placed, "page_id").join(homes, "page_id", "left")
+    body = F.when(F.col("_home"), F.concat("text", F.lit(" "))).otherwise(F.col("text"))
+    ordered = F.array_sort(F.collect_list(F.struct("page_id", body.alias("text"))))
+    return parted.groupBy("site", "part").agg(F.array_join(F.transform(ordered, lambda x: x.text), "").alias("text"))
 
 
 def site_scores(pages: DataFrame, keys: DataFrame, lang: str = "en") -> DataFrame:
@@ -71,7 +69,7 @@ def site_scores(pages: DataFrame, keys: DataFrame, lang: str = "en") -> DataFram
 
     Counts are taken per page and added up per site, so the text of a site is
     never gathered. A phrase does not run over from one page to the next; the
-    length counts one separator between pages.
+    length counts the space behind the home page.
     """
     texts = site_pages(pages, lang)
     chars = F.length("text").cast("bigint").alias("chars")
@@ -82,7 +80,7 @@ def site_scores(pages: DataFrame, keys: DataFrame, lang: str = "en") -> DataFram
         # One pass and one shuffle of one row per site and task.
         sums = [F.sum(F.get("hits", F.lit(i)).n).alias(f"n{i}") for i in range(len(local))]
         per_site = found.groupBy("site").agg(
-            (F.sum("chars") + F.count(F.lit(1)) - 1).alias("chars"), *sums
+            (F.sum("chars") + 1).alias("chars"), *sums
         )
         hits = F.array(
             *[F.struct(F.lit(k.weight).alias("weight"), F.col(f"n{i}").alias("n")) for i, k in enumerate(local)]
@@ -92,7 +90,7 @@ def site_scores(pages: DataFrame, keys: DataFrame, lang: str = "en") -> DataFram
         counts = exploded(found, ["site"], F.col("hits"), "h")
         per_phrase = counts.groupBy("site", "h.name", "h.weight").agg(F.sum("h.n").alias("n"))
         hit = F.struct("weight", "n")
-        lengths = texts.groupBy("site").agg((F.sum(F.length("text")) + F.count(F.lit(1)) - 1).alias("chars"))
+        lengths = texts.groupBy("site").agg((F.sum(F.length("text")) + 1).alias("chars"))
         scores = per_phrase.groupBy("site").agg(F.sum(presence(F.array(hit))).alias("score"))
         scored = scores.join(lengths, "site")
     return scored.select("site", "score", "chars", density(F.col("score"), F.col("chars")).alias("density"))

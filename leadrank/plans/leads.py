@@ -64,11 +64,13 @@ def rank_company_file(
 ) -> DataFrame:
     """``lead_ranking`` of a company CSV. ``keywords`` is a mapping or the path of a JSON file.
 
-    Columns are read as text, in whatever set the file has. Rows get numbers
-    as ids; a checkpoint fixes them and spares reading the CSV twice.
+    Columns are read as text, in whatever set the file has. Such a file is one
+    task to read; its rows get numbers there and are dealt over all cores, and a
+    checkpoint fixes both and spares reading the CSV twice.
     """
     raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    companies = durable(raw.withColumn(ROW_ID, F.monotonically_increasing_id()))
+    cores = spark.sparkContext.defaultParallelism
+    companies = durable(raw.withColumn(ROW_ID, F.monotonically_increasing_id()).repartition(cores))
     phrases = read_keywords(spark, keywords) if isinstance(keywords, str) else keyword_table(spark, keywords)
     sectors = None
     if sector:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -30,14 +32,18 @@ def local_session(cpus: int | str = 8, app: str = "leadrank") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder for checkpoints and scratch tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset
-    (tests, local runs) a temporary folder is made and kept for the session.
+    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, a local
+    master gets a temporary folder that goes with the process; on any other
+    master the executors could not see it, so that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         folder = spark.conf.get("leadrank.local.scratch", None)
     if folder is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="leadrank-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("leadrank.local.scratch", folder)
     return folder.rstrip("/")
 
@@ -56,15 +62,22 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: A table that the planner takes for larger than this is left as it was read.
+SPREAD_BYTES = 1 << 30
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a table of few files over all cores before heavy per-row work.
+    """Deal a small table over all cores before heavy per-row work.
 
-    Tables with at least as many files as cores already scan in parallel and
-    are left alone, so a big table is never shuffled for this.
+    A few files give a few tasks, however many cores there are. Only tables
+    below ``SPREAD_BYTES`` are dealt out, so what this shuffles is bounded; a
+    larger one is split by its scan already. The planner's estimate decides;
+    no file is listed.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    files = len(df.inputFiles())
-    return df.repartition(cores) if 0 < files < cores else df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(size) > SPREAD_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 class Reuse:

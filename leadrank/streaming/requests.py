@@ -8,6 +8,8 @@ under the request's id with overwrite, so a replayed batch changes nothing.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -115,6 +117,18 @@ def company_file_scorer(spark: SparkSession, folder: str, **options) -> Callable
     return score
 
 
+def _store_errors(problems: DataFrame, out: str) -> None:
+    """Write ``(request_id, error)`` rows under ``out/errors``, each over its own former one, in one job."""
+    writer = problems.select("request_id", "error").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("request_id").parquet(f"{out}/errors")
+
+
+def _drop_error(spark: SparkSession, out: str, request_id: str) -> None:
+    """Remove the error of an earlier, failed try."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out}/errors/request_id={request_id}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def answer_requests(
     stream: DataFrame,
     files: DataFrame,
@@ -122,33 +136,42 @@ def answer_requests(
     out: str,
     checkpoint: str,
     once: bool = True,
+    at_once: int = 4,
 ):
     """Score every request of the stream; returns the started query.
 
     ``score`` gets a request as a dict (``phrases`` maps name to weight) and
     returns its result table, which is stored under ``out/results``; what it
-    keeps in the ``Reuse`` is freed then. Rejected and failed requests go to ``out/errors`` with
-    their reason, and the stream goes on.
+    keeps in the ``Reuse`` is freed then. Rejected and failed requests go to
+    ``out/errors`` with their reason, and the stream goes on. All rejects of a
+    batch are one write. Accepted requests come to the driver a window at a time
+    and ``at_once`` of them are scored together, each a distributed job; a
+    success removes the error of an earlier try.
     """
 
     def handle(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        # The number of form rows per batch is bounded by maxFilesPerTrigger;
-        # each accepted one is a distributed job of its own.
-        for row in gate_requests(parse_requests(batch), files).toLocalIterator():
-            request = row.asDict()
+
+        def answer(request: dict) -> tuple[str, str] | None:
             request["phrases"] = {p["name"]: p["weight"] for p in request["phrases"]}
-            problem = request["error"]
-            if problem is None:
-                try:
-                    target = f"{out}/results/request_id={request['request_id']}"
-                    with Reuse() as reuse:
-                        score(request, reuse).write.mode("overwrite").parquet(target)
-                except Exception as failure:  # a failed request must not stop the stream
-                    problem = f"{type(failure).__name__}: {failure}"
-            if problem is not None:
-                note = spark.createDataFrame([(problem,)], "error string")
-                note.write.mode("overwrite").parquet(f"{out}/errors/request_id={request['request_id']}")
+            request_id = request["request_id"]
+            try:
+                with Reuse() as reuse:
+                    score(request, reuse).write.mode("overwrite").parquet(f"{out}/results/request_id={request_id}")
+                _drop_error(spark, out, request_id)
+            except Exception as failure:  # a failed request must not stop the stream
+                return request_id, f"{type(failure).__name__}: {failure}"
+            return None
+
+        with Reuse() as reuse:
+            gated = reuse.keep(gate_requests(parse_requests(batch), files))
+            _store_errors(gated.where("error is not null"), out)
+            # A request that arrives twice in a batch is one.
+            accepted = gated.where("error is null").dropDuplicates(["request_id"]).toLocalIterator()
+            with ThreadPoolExecutor(at_once) as pool:
+                while window := [row.asDict() for row in islice(accepted, 16 * at_once)]:
+                    if failed := [f for f in pool.map(answer, window) if f is not None]:
+                        _store_errors(spark.createDataFrame(failed, "request_id string, error string"), out)
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return _trigger(writer, once).start()

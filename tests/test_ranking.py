@@ -22,17 +22,18 @@ def test_rank_equals_a_window(spark):
     assert sorted(got.collect(), key=lambda r: r.id) == sorted(want.collect(), key=lambda r: r.id)
 
 
-@pytest.mark.parametrize("hot_rows", [10, 100, 10_000])
-def test_numbering_with_hot_groups(spark, hot_rows):
-    df = numbers(spark, 900)
-    got = ranking.numbered(df, ["g"], ["score", "id"], "n", hot_rows=hot_rows)
+def test_numbering_with_hot_groups(spark):
+    # 2,000 small groups, and one that holds most rows and spans all partitions.
+    df = spark.range(12_000).select("id", F.when(F.col("id") < 2000, F.col("id")).otherwise(-1).alias("g"), (F.col("id") % 7).alias("score"))
+    df = df.unionAll(df.where("id < 500").select(F.col("id") + 20_000, "g", "score"))
+    got = ranking.numbered(df, ["g"], ["score", "id"], "n")
     want = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("score", "id")).cast("bigint"))
     assert sorted(got.collect(), key=lambda r: r.id) == sorted(want.collect(), key=lambda r: r.id)
 
 
 def test_numbering_of_a_null_group(spark):
     df = spark.range(50).select("id", F.when(F.col("id") > 45, F.lit("a")).alias("g"))
-    got = ranking.numbered(df, ["g"], ["id"], "n", hot_rows=10).collect()
+    got = ranking.numbered(df, ["g"], ["id"], "n").collect()
     assert sorted((r.id, r.n) for r in got) == [(i, i + 1 if i <= 45 else i - 45) for i in range(50)]
 
 
@@ -75,9 +76,8 @@ def people(spark):
     return spark.createDataFrame([("ann@x.com",), ("bo@x.com",), ("cy@x.com",)], "email string")
 
 
-@pytest.mark.parametrize("hot_rows", [1, 1000])
-def test_long_table(spark, hot_rows):
-    got = messages.long_table(people(spark), mail(spark), hot_rows).collect()
+def test_long_table(spark):
+    got = messages.long_table(people(spark), mail(spark)).collect()
     assert sorted(tuple(r) for r in got) == [
         ("ann@x.com", "from", 1, "c2"),
         ("ann@x.com", "from", 2, "c1"),
@@ -95,8 +95,30 @@ def test_wide_table(spark):
         ("bo@x.com", None, None, "c2"),
         ("cy@x.com", None, None, None),
     ]
-    with pytest.raises(ValueError, match="long table"):
-        messages.wide_table(people(spark), long, max_columns=2)
+
+
+def test_wide_table_goes_on_in_further_rows(spark):
+    long = spark.range(1500).select(
+        F.lit("ann@x.com").alias("email"), F.lit("to").alias("direction"), (F.col("id") + 1).alias("message_index"), F.col("id").cast("string").alias("message_content")
+    )
+    wide = messages.wide_table(people(spark), long, max_columns=1000)
+    rows = {(r.email, r.row): r for r in wide.collect()}
+    assert set(rows) == {("ann@x.com", 0), ("ann@x.com", 1), ("ann@x.com", 2), ("bo@x.com", 0), ("cy@x.com", 0)}
+    assert [rows["ann@x.com", k][f"to_{i}"] for k in range(3) for i in range(1, 501)] == [str(i) for i in range(1500)]
+
+
+def test_bodies_stay_out_of_the_match(spark):
+    plan = messages.matched_ids(people(spark), mail(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert "content" not in plan.split("Join")[0]
+
+
+def test_large_top_n_has_no_single_partition(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 13).alias("score"))
+    cut = ranking.top_n(df, [F.desc("score"), F.asc("id")], 3_000_000)
+    assert cut.count() == 1000 and cut.where("rank = 1").first().score == 12
+    ranked = ranking.top_n(df, [F.desc("score"), F.asc("id")], 200_000)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "GlobalLimit" not in plan and "TakeOrdered" not in plan
 
 
 def payload(spark, parts):
@@ -141,13 +163,14 @@ def web(spark):
 
 
 def test_site_text_and_parts(spark):
+    # One space behind the home page, nothing between the others.
     got = sites.site_text(web(spark)).collect()
-    assert sorted(tuple(r) for r in got) == [("a.example.com", 0, "and the and the and the"), ("b.example.com", 0, "none")]
-    cut = sites.site_text(web(spark), pages_per_part=2, hot_rows=1).collect()
+    assert sorted(tuple(r) for r in got) == [("a.example.com", 0, "and the and the andthe"), ("b.example.com", 0, "none ")]
+    cut = sites.site_text(web(spark), part_bytes=15).collect()
     assert sorted(tuple(r) for r in cut) == [
         ("a.example.com", 0, "and the and the and"),
         ("a.example.com", 1, "the"),
-        ("b.example.com", 0, "none"),
+        ("b.example.com", 0, "none "),
     ]
 
 
@@ -158,13 +181,19 @@ def test_site_scores_equal_scores_of_the_whole_text(spark, monkeypatch, blocked)
     from leadrank.sources.keywords import keyword_table
 
     if blocked:
-        monkeypatch.setattr(phrases, "local_keys", lambda *a: None)
+        monkeypatch.setattr(phrases, "local_keys", lambda *a, **k: None)
         monkeypatch.setattr(phrases, "UNROLLED_KEYS", 1)
     keys = keyword_table(spark, {"and the": 10, "none": 1})
     got = sorted((r.site, r.score, r.density) for r in sites.site_scores(web(spark), keys).collect())
-    # Pages joined by line breaks: a phrase cannot run over one.
-    whole = sites.site_text(web(spark), sep="\n")
-    want = sorted(tuple(r) for r in presence_score(whole, "site", "text", keys).collect())
+    # Pages joined by line breaks: a phrase cannot run over one. The length holds one space.
+    pages = sites.site_pages(web(spark)).groupBy("site").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", "text"))), lambda x: x.text), "\n").alias("text"),
+        (F.sum(F.length("text")) + 1).alias("chars"),
+    )
+    want = [
+        (r.site, r.score, r.score * 1e6 / r.chars)
+        for r in presence_score(pages, "site", "text", keys).join(pages, "site").orderBy("site").collect()
+    ]
     assert [g[0] for g in got] == [w[0] for w in want]
     for g, w in zip(got, want):
         assert g[1:] == pytest.approx(w[1:])

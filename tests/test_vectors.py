@@ -60,7 +60,7 @@ def test_soft_scores(spark, cloud, monkeypatch, blocked):
     x, k = cloud
     if blocked:
         small = similarity.with_key_blocks
-        monkeypatch.setattr(similarity, "local_keys", lambda *a: None)
+        monkeypatch.setattr(similarity, "local_keys", lambda *a, **k: None)
         monkeypatch.setattr(similarity, "with_key_blocks", lambda *a: small(*a, block_rows=3, salts=4))
     groups = {"a": keys(spark, k[:4]), "b": keys(spark, k[4:])}
     got = similarity.soft_scores(vecs(spark, x), "id", groups, DENSE, carry={"twice": F.col("id") * 2}).orderBy("id").collect()
@@ -80,7 +80,7 @@ def test_best_key(spark, cloud, monkeypatch, blocked):
     x, k = cloud
     if blocked:
         small = similarity.with_key_blocks
-        monkeypatch.setattr(similarity, "local_keys", lambda *a: None)
+        monkeypatch.setattr(similarity, "local_keys", lambda *a, **k: None)
         monkeypatch.setattr(similarity, "with_key_blocks", lambda *a: small(*a, block_rows=3, salts=4))
     got = similarity.best_key(vecs(spark, x), "id", keys(spark, k), DENSE, "cosine").orderBy("id").collect()
     cos = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ (k / np.linalg.norm(k, axis=1, keepdims=True)).T
@@ -102,7 +102,49 @@ def test_no_positive_sum_gives_no_idf(spark):
 def test_zero_and_null_vectors(spark):
     df = spark.createDataFrame([(1, [0.0, 0.0]), (2, None), (3, [1.0, 1.0])], "id long, vec array<double>")
     got = {r.id: r.sim for r in similarity.similarity_rows(df, "id", keys(spark, [[1, 0]]), DENSE, "cosine").collect()}
-    assert got == {1: None, 3: pytest.approx(2**-0.5)}
+    assert got == {1: None, 2: None, 3: pytest.approx(2**-0.5)}
+
+
+def test_unequal_lengths_are_an_error(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 2.0, 3.0]), (3, [1.0])], "id long, vec array<double>")
+    with pytest.raises(Exception, match="unequal length"):
+        similarity.similarity_rows(df.coalesce(1), "id", keys(spark, [[1, 0]]), DENSE, "cosine").collect()
+
+
+@pytest.mark.parametrize("blocked", [False, True])
+def test_rows_without_a_vector_stay_and_count(spark, monkeypatch, blocked):
+    if blocked:
+        monkeypatch.setattr(similarity, "local_keys", lambda *a, **k: None)
+    df = spark.createDataFrame([(1, "a b"), (2, " .!"), (3, None), (4, "b c")], "id long, t string")
+    phrases = embedding.phrase_vectors(spark.createDataFrame([("b", 2.0)], "name string, weight double"), 64)
+    shape = HashedText("t", 64)
+    got = {r.id: r.s for r in similarity.soft_scores(df, "id", {"s": phrases}, shape, "cosine").collect()}
+    both = 2**-0.5
+    # The idf counts all four rows.
+    assert got == {1: pytest.approx(2 * both * np.log(4 / (2 * both))), 2: None, 3: None, 4: got[1]}
+    ranked = relevance.text_rank(df, "id", "t", spark.createDataFrame([("b", 2.0)], "name string, weight double"), dims=64)
+    assert sorted((r.rank, r.score is None) for r in ranked.collect()) == [(1, False), (2, False), (3, True), (4, True)]
+
+
+def test_many_long_keys_are_planned_quickly(spark):
+    import time
+
+    docs = spark.range(200).select("id", F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(30)), lambda i: F.concat(F.lit("w"), (F.col("id") * 7 + i) % 300))).alias("t"))
+    phrases = spark.range(200).select(
+        F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(49)), lambda i: F.concat(F.lit("w"), (F.col("id") * 3 + i) % 400))).alias("name"), F.lit(1.0).alias("weight")
+    )
+    terms = embedding.phrase_vectors(phrases, 2**16)
+    terms.count()
+    start = time.perf_counter()
+    similarity.soft_scores(docs, "id", {"s": terms}, HashedText("t", 2**16), weighting="none")._jdf.queryExecution().executedPlan()
+    assert time.perf_counter() - start < 10
+    best = similarity.best_key(docs, "id", terms, HashedText("t", 2**16), "cosine")
+    assert best.where("name is not null").count() == 200
+
+
+def test_position_decides_ties(spark):
+    table = keys(spark, [[1, 0], [2, 0]]).withColumn("pos", F.when(F.col("name") == "k0", 1).otherwise(0))
+    assert similarity.best_key(vecs(spark, [[1, 0]]), "id", table, DENSE, "cosine").first().name == "k1"
 
 
 @pytest.mark.parametrize("blocked", [False, True])
@@ -120,7 +162,7 @@ def test_hashed_text_equals_dense_vectors(spark, sf, monkeypatch, blocked):
     want = {r.company_id: r.s for r in want.collect()}
     if blocked:
         small = similarity.with_key_blocks
-        monkeypatch.setattr(similarity, "local_keys", lambda *a: None)
+        monkeypatch.setattr(similarity, "local_keys", lambda *a, **k: None)
         monkeypatch.setattr(similarity, "with_key_blocks", lambda *a: small(*a, block_rows=3, salts=4))
         got = similarity.soft_scores(docs, "company_id", {"s": phrases}, HashedText("Description", 64))
     got = {r.company_id: r.s for r in got.collect()}
@@ -130,7 +172,6 @@ def test_hashed_text_equals_dense_vectors(spark, sf, monkeypatch, blocked):
 def test_texts_without_words_have_no_vector(spark):
     df = spark.createDataFrame([(1, "a b a"), (2, " .!"), (3, None)], "id long, t string")
     assert [r.id for r in embedding.hashed_terms(df, "id", "t").collect()] == [1]
-    assert embedding.count_without_vector(df, "t").first().dropped == 2
     counts = {r.v for r in embedding.hashed_terms_long(df, "id", "t", normalize=False).collect()}
     assert counts == {1.0, 2.0}
 
