@@ -11,22 +11,22 @@ What may be lost on the way is bounded:
 
 * probes suffice. A vector ``y`` within ``r`` of query ``x`` lies in the cell of
   centroid ``c`` only if ``(y-x).(c-c0)`` makes up half of ``|x-c|^2 - |x-c0|^2``,
-  where ``c0`` is the query's own centroid. That product is at most ``r |c-c0|``;
-  with ``deviations=None`` every list within that bound is probed and no link can
-  be missed. In many dimensions the bound is never met: over directions of
-  ``y-x`` the product has a standard deviation of ``r |c-c0| / sqrt(d)``, with
-  ``d`` the effective dimension of the sample (squared trace of its covariance
-  over the trace of the square). By default lists within three of these are
-  probed, which misses about one list in a thousand at the far end of ``r`` and
-  fewer for closer pairs; measured recall is in the README.
+  where ``c0`` is the query's own centroid. That product is at most ``r |c-c0|``,
+  and ``|x-c|`` is at most ``r`` beyond the farthest vector of the list. Every
+  list within both bounds is probed and no link can be missed. ``deviations``
+  narrows the first bound to that many standard deviations of the product over
+  directions of ``y-x``, and then links are missed; no query uses it.
 * the coded distance may be off by the vector's coding error ``e``, which is
   stored with the code. Candidates with coded distance above ``r + e`` are out;
   the rest are compared by exact cosine in double precision.
 
 Centroids and code words are fitted on a bounded sample of the vectors; every
-vector is in the index. Equal vectors are one class with a count. Lists longer
-than ``block`` are dealt over several blocks, and the queries of a list likewise,
-so that no task holds more than a block of each. A task returns link counts per
+vector is in the index. Equal vectors are one class with a count. Neighbouring
+lists share a group of at most ``block`` vectors, and longer lists are dealt over
+several groups. A query goes once to each group that holds a list it probes; of
+two groups only one sends its queries to the other, so that each pair meets once.
+The coded vectors of a group are put together again, and one matrix product
+compares them with a batch of queries. A task returns link counts per
 class and the edges of a spanning forest, not pairs.
 
 Vectors that are null, empty, zero, or hold null or non-finite components, and
@@ -48,10 +48,10 @@ from leadrank.llm.shared import share, stored
 
 SAMPLE_ROWS = 16_384
 SUBSPACES, WORDS = 16, 256
-#: Vectors and queries of a list that meet in one step.
-BLOCK = 4096
-#: Standard deviations that probes cover.
-DEVIATIONS = 3.0
+#: Vectors of a group at most.
+BLOCK = 2048
+#: Queries of a record batch at most.
+QUERIES = 8192
 SLACK = 1e-6
 
 
@@ -92,21 +92,72 @@ class Quantiser:
             error += ((cut[:, j] - words[codes[:, j]]) ** 2).sum(axis=1)
         return lists, codes, np.sqrt(error)
 
-    def probes(self, x: np.ndarray, radius: float, deviations: float | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(row, list) of every list that may hold a vector within the radius."""
+    def probes(
+        self, x: np.ndarray, radius: float, deviations: float | None = None, reach: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(row, list) of every list that may hold a vector within the radius.
+
+        ``reach`` is the distance of each list's farthest vector to its centroid.
+        """
         d = distances(x, self.centroids)
         own = d.argmin(axis=1)
         apart = np.sqrt(distances(self.centroids[own], self.centroids))
         part = 1.0 if deviations is None else min(1.0, deviations / np.sqrt(self.dimension))
-        return np.nonzero(d - d.min(axis=1, keepdims=True) <= 2 * part * (radius + SLACK) * apart + SLACK)
+        may = d - d.min(axis=1, keepdims=True) <= 2 * part * (radius + SLACK) * apart + SLACK
+        if reach is not None:
+            may &= np.sqrt(d) <= radius + reach[None, :] + SLACK
+        return np.nonzero(may)
+
+    def decoded(self, lists: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The vectors that codes stand for."""
+        parts = np.stack([words[codes[:, j]] for j, words in enumerate(self.codebook)], axis=1)
+        return self.centroids[lists] + parts.reshape(len(codes), -1)[:, : self.dims]
 
     def coded(self, x: np.ndarray, number: int, codes: np.ndarray) -> np.ndarray:
-        """Distances from each query to each coded vector of a list, by table look-up."""
-        cut = self.parts(x - self.centroids[number])
-        total = np.zeros((len(x), len(codes)))
-        for j, words in enumerate(self.codebook):
-            total += distances(cut[:, j], words)[:, codes[:, j]]
-        return np.sqrt(np.maximum(total, 0))
+        """Distances from each query to each coded vector of a list."""
+        return np.sqrt(distances(x, self.decoded(np.full(len(codes), number), codes)))
+
+
+@dataclass
+class Layout:
+    """Where the vectors of each list lie: ``count`` groups from ``first`` on."""
+
+    first: np.ndarray
+    count: np.ndarray
+    reach: np.ndarray
+
+    @property
+    def groups(self) -> int:
+        return int((self.first + self.count).max())
+
+    def homes(self, ids: np.ndarray, lists: np.ndarray) -> np.ndarray:
+        return self.first[lists] + ids * 2654435761 % (1 << 31) % self.count[lists]
+
+    def visits(self, home: np.ndarray, row: np.ndarray, where: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, group) once for each group that a row's probes lead to and that is not to come to the row's own."""
+        to = np.zeros((len(home), self.groups), bool)
+        for k in range(int(self.count[where].max(initial=0))):
+            more = self.count[where] > k
+            to[row[more], self.first[where[more]] + k] = True
+        group = np.arange(self.groups)[None, :]
+        mine = home[:, None]
+        return np.nonzero(to & ((mine == group) | ((mine < group) == ((mine + group) % 2 == 1))))
+
+
+def lay_out(model: Quantiser, sizes: dict[int, tuple[int, float]], block: int) -> Layout:
+    """Groups of at most ``block`` vectors, as far as equal shares go, from size and reach of each list."""
+    n = len(model.centroids)
+    first, count, reach = np.zeros(n, np.int64), np.ones(n, np.int64), np.full(n, -np.inf)
+    # Lists that are near each other share groups.
+    region = distances(model.centroids, k_means(model.centroids, max(1, int(np.sqrt(n))))).argmin(axis=1)
+    group, held = -1, block
+    for number in np.argsort(region, kind="stable").tolist():
+        size, reach[number] = sizes.get(number, (0, -np.inf))
+        if held + size > block:
+            group, held = group + 1, 0
+        first[number], count[number] = group, max(1, -(-size // block))
+        group, held = group + int(count[number]) - 1, held + size if count[number] == 1 else block
+    return Layout(first, count, reach)
 
 
 def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -149,52 +200,46 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def links(
-    classes: DataFrame, model: Quantiser, least: float, blocks: dict[int, int], block: int = BLOCK, deviations: float | None = DEVIATIONS
-) -> DataFrame:
+def links(classes: DataFrame, model: Quantiser, least: float, layout: Layout, deviations: float | None = None) -> DataFrame:
     """From ``(id, vec, n)`` classes: ``(id, n_links, other)`` rows.
 
     ``n_links`` adds up to the number of vectors in linked classes; ``other``, where
-    present, is the end of a forest edge. ``blocks`` says over how many blocks a
-    list is dealt. Data and queries of a list are dealt by the same hash; a query
-    goes to all blocks of a list it probes, once for each, and data stay.
+    present, is the end of a forest edge.
     """
     radius = float(np.sqrt(2 - 2 * least))
-    sent = classes.sparkSession.sparkContext.broadcast((model, blocks))
-    entry = "list int, block int, is_query boolean, id bigint, n bigint, vec array<double>, code binary, error double"
+    sent = classes.sparkSession.sparkContext.broadcast((model, layout))
+    entry = "group int, is_query boolean, home int, list int, id bigint, n bigint, vec array<double>, code binary, error double"
     schema = pa.schema(
-        [("list", pa.int32()), ("block", pa.int32()), ("is_query", pa.bool_()), ("id", pa.int64()), ("n", pa.int64()), ("vec", pa.list_(pa.float64())), ("code", pa.binary()), ("error", pa.float64())]
-    )
+        [("group", pa.int32()), ("is_query", pa.bool_()), ("home", pa.int32()), ("list", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("vec", pa.list_(pa.float64())), ("code", pa.binary()), ("error", pa.float64())]
+    )
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, blocks = sent.value
+        model, layout = sent.value
         for rows in batches:
             for a in range(0, rows.num_rows, 1024):
                 part = rows.slice(a, 1024)
                 ids, counts = (part.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
                 x = unit(rows_of(part.column(2), model.dims))
                 lists, codes, error = model.encode(x)
-                dealt = np.array([blocks.get(int(c), 1) for c in lists])
-                own = (ids * 2654435761 % (1 << 31)) % dealt
+                home = layout.homes(ids, lists)
 
-                def out(row: np.ndarray, where: np.ndarray, at: np.ndarray, query: bool) -> pa.RecordBatch:
+                def out(row: np.ndarray, group: np.ndarray, query: bool) -> pa.RecordBatch:
                     m = len(row)
                     ends = pa.array(np.arange(0, (m + 1) * model.dims, model.dims, dtype=np.int32))
                     return pa.RecordBatch.from_arrays(
                         [
-                            pa.array(where.astype(np.int32)), pa.array(at.astype(np.int32)), pa.array(np.full(m, query)), pa.array(ids[row]), pa.array(counts[row]),
-                            pa.ListArray.from_arrays(ends, pa.array(x[row].reshape(-1))),
+                            pa.array(group.astype(np.int32)), pa.array(np.full(m, query)), pa.array(home[row].astype(np.int32)), pa.array(lists[row].astype(np.int32)),
+                            pa.array(ids[row]), pa.array(counts[row]), pa.ListArray.from_arrays(ends, pa.array(x[row].reshape(-1))),
                             pa.array([None] * m if query else [codes[r].tobytes() for r in row.tolist()], pa.binary()),
                             pa.array(np.zeros(m) if query else error[row]),
                         ],
                         schema=schema,
                     )
 
-                yield out(np.arange(len(x)), lists, own, False)
-                row, where = model.probes(x, radius, deviations)
-                many = np.array([blocks.get(int(c), 1) for c in where])
-                at = np.concatenate([np.arange(m) for m in many.tolist()]) if len(many) else many
-                yield out(np.repeat(row, many), np.repeat(where, many), at, True)
+                yield out(np.arange(len(x)), home, False)
+                row, group = layout.visits(home, *model.probes(x, radius, deviations, layout.reach))
+                for b in range(0, len(row), QUERIES):
+                    yield out(row[b : b + QUERIES], group[b : b + QUERIES], True)
 
     made = classes.select("id", "n", "vec").mapInArrow(index, entry)
 
@@ -202,19 +247,28 @@ def links(
         model, _ = sent.value
         result = pa.schema([("id", pa.int64()), ("n_links", pa.int64()), ("other", pa.int64())])
 
-        def step(number: int, data: list[pa.RecordBatch], asked: pa.RecordBatch) -> pa.RecordBatch | None:
-            """Queries of one batch against the block's data."""
+        def held(data: list[pa.RecordBatch]) -> tuple[np.ndarray, ...]:
+            """Of a group: vectors, ids, counts, decoded vectors and the least product with a query that may be linked."""
             table = pa.Table.from_batches(data).combine_chunks()
-            col = lambda t, k: t.column(k).to_numpy(zero_copy_only=False) if isinstance(t, pa.RecordBatch) else t.column(k).to_numpy()
-            y, ids, counts, error = rows_of(table.column(5).combine_chunks(), model.dims), col(table, 3), col(table, 4), col(table, 7)
-            codes = np.frombuffer(b"".join(table.column(6).to_pylist()), np.uint8).reshape(len(y), -1)
-            x, q_ids, q_counts = rows_of(asked.column(5), model.dims), col(asked, 3), col(asked, 4)
+            lists, ids, counts, error = (table.column(k).to_numpy() for k in (3, 4, 5, 8))
+            codes = np.frombuffer(b"".join(table.column(7).to_pylist()), np.uint8).reshape(len(ids), -1)
+            near = model.decoded(lists, codes)
+            # |x-y|^2 = 1 + |y|^2 - 2xy for queries of length one.
+            product = (1 + (near * near).sum(axis=1) - (radius + error + SLACK) ** 2) / 2 - SLACK
+            return rows_of(table.column(6).combine_chunks(), model.dims), ids, counts, near, product
+
+        def step(group: int, data: tuple[np.ndarray, ...], asked: pa.RecordBatch) -> pa.RecordBatch | None:
+            """Queries of one batch against the group's data."""
+            y, ids, counts, near, product = data
+            home, q_ids, q_counts = (asked.column(k).to_numpy(zero_copy_only=False) for k in (2, 4, 5))
+            x = rows_of(asked.column(6), model.dims)
             left, right = [], []
             for a in range(0, len(x), 256):
-                near = model.coded(x[a : a + 256], number, codes) <= radius + error[None, :] + SLACK
-                i, j = np.nonzero(near & (q_ids[a : a + 256, None] < ids[None, :]))
-                exact = np.einsum("ij,ij->i", x[a + i], y[j])
-                linked = exact >= least
+                i, j = np.nonzero(x[a : a + 256] @ near.T >= product[None, :])
+                # Within the group each pair comes up twice.
+                once = (home[a + i] != group) | (q_ids[a + i] < ids[j])
+                i, j = i[once], j[once]
+                linked = np.einsum("ij,ij->i", x[a + i], y[j]) >= least
                 left.append(a + i[linked])
                 right.append(j[linked])
             i, j = np.concatenate(left), np.concatenate(right)
@@ -243,31 +297,30 @@ def links(
             other = pa.array([None] * (len(sums) - len(ends)) + [int(e[1]) for e in ends], pa.int64())
             return pa.RecordBatch.from_arrays([pa.array(out_ids), pa.array(sums), other], schema=result)
 
-        now: tuple | None = None
-        data: list[pa.RecordBatch] = []
+        now, data, ready = None, [], None
         for rows in batches:
-            lists, at, query = (rows.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-            cuts = np.flatnonzero((np.diff(lists) != 0) | (np.diff(at) != 0) | (np.diff(query.astype(np.int8)) != 0)) + 1
-            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(lists)], strict=True):
+            groups, query = (rows.column(k).to_numpy(zero_copy_only=False) for k in range(2))
+            cuts = np.flatnonzero((np.diff(groups) != 0) | (np.diff(query.astype(np.int8)) != 0)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(groups)], strict=True):
                 if a == b:
                     continue
-                if (lists[a], at[a]) != now:
-                    now, data = (lists[a], at[a]), []
+                if groups[a] != now:
+                    now, data, ready = groups[a], [], None
                 if not query[a]:
                     data.append(rows.slice(a, b - a))
                 elif data:
-                    for c in range(a, b, block):
-                        if (out := step(int(lists[a]), data, rows.slice(c, min(block, b - c)))) is not None:
-                            yield out
+                    ready = ready or held(data)
+                    if (out := step(int(now), ready, rows.slice(a, b - a))) is not None:
+                        yield out
 
-    # The data of a block come before its queries.
-    spread = made.repartition("list", "block").sortWithinPartitions("list", "block", "is_query")
+    # The data of a group come before its queries.
+    spread = made.repartition("group").sortWithinPartitions("group", "is_query")
     return spread.mapInArrow(search, "id bigint, n_links bigint, other bigint")
 
 
 def near_duplicates(
     vectors: DataFrame, least: float = 0.95, key: str = "vec_id", vector: str = "embedding", lists: int | None = None, block: int = BLOCK, sample_rows: int = SAMPLE_ROWS,
-    deviations: float | None = DEVIATIONS,
+    deviations: float | None = None,
 ) -> DataFrame:
     """``(key, n_links, component_id)`` of every row.
 
@@ -299,13 +352,13 @@ def near_duplicates(
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            number = distances(unit(rows_of(part.column(0), dims)), sent.value.centroids).argmin(axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(number.astype(np.int32))], names=["list"])
+            d = distances(unit(rows_of(part.column(0), dims)), sent.value.centroids)
+            yield pa.RecordBatch.from_arrays([pa.array(d.argmin(axis=1).astype(np.int32)), pa.array(np.sqrt(d.min(axis=1)))], names=["list", "far"])
 
-    sizes = classes.select("vec").mapInArrow(listed, "list int").groupBy("list").agg(F.count(F.lit(1)).alias("n"))
     # One row per list, 4,096 at most.
-    blocks = {r["list"]: -(-r["n"] // block) for r in sizes.where(F.col("n") > block).collect()}
-    found = stored(links(classes, model, least, blocks, block, deviations), "vector-links")
+    sizes = classes.select("vec").mapInArrow(listed, "list int, far double").groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far"))
+    layout = lay_out(model, {r["list"]: (r["n"], r["far"]) for r in sizes.collect()}, block)
+    found = stored(links(classes, model, least, layout, deviations), "vector-links")
     counts = found.groupBy("id").agg(F.sum("n_links").alias("linked"))
     roots = connected_components(found.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
     member = classes.select("id", "least", "n", "vec").join(roots, "id", "left").withColumn("component", F.coalesce("component", "id"))

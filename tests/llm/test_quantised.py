@@ -82,3 +82,17 @@ def test_query(spark, sf):
     found = all_queries()["op1_quantised"](spark, sf).collect()
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in found) == brute(rows)
     assert all(r.kept == (r.vec_id == r.component_id) for r in found)
+
+
+def test_default_probes_lose_no_link_of_groups_in_few_directions(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for g in range(8):
+        centre, plane = rng.normal(size=64), np.linalg.qr(rng.normal(size=(64, 4)))[0]
+        centre /= np.linalg.norm(centre)
+        for k in range(150):
+            rows.append((150 * g + k, (centre + 0.12 * plane @ rng.normal(size=4)).tolist()))
+    rows += [(2000 + k, rng.normal(size=64).tolist()) for k in range(400)]
+    want = brute(rows)
+    assert sum(n for _, n, _ in want) > 10_000
+    assert got(spark, rows) == want
