@@ -7,8 +7,10 @@ one seed for each mask. Where two are equal, the item is laid along the text at
 that offset, and the pair counts if at least 0.8 of the item's tokens are the
 same, place by place. The two masks together find every item of 13 or more
 tokens with up to a fifth of them replaced (all placements were tried up to 16
-tokens, random and evenly spaced ones up to 40), and every exact item of 6.
-Items of fewer tokens hold no seed and match nothing.
+tokens, random and evenly spaced ones up to 40). Items of fewer tokens hold
+instead seeds of one to three tokens in a row, end to end: with ``m`` tokens
+that may differ, one of ``m + 1`` pieces is the same in the text, so none is
+missed. Texts give only the kinds of seeds that some item holds.
 
 The scan, the seeds, the join with the item seeds and the verification are one
 narrow stage: the seeds of the items are broadcast, up to a checked number, and
@@ -26,6 +28,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 #: Fixed masks: 1 counts, 0 is ignored.
 MASKS = ("111011", "101111")
+#: Seeds of items under ``LONG`` tokens.
+SHORT_MASKS = ("1", "11", "111")
+LONG = 13
+KINDS = MASKS + SHORT_MASKS
 SPAN = len(MASKS[0])
 BREAK = r"[^\p{L}\p{N}]+"
 #: Item seeds that are broadcast at most; a seed is a row of about 40 bytes.
@@ -42,15 +48,32 @@ def _windows(words: Column) -> Column:
     return F.arrays_zip(words.alias("w0"), *[F.slice(words, k + 1, F.greatest(F.size(words), F.lit(1))).alias(f"w{k}") for k in range(1, SPAN)])
 
 
-def seeds(table: DataFrame, keep: list[str], words: str) -> DataFrame:
-    """``keep``, ``pos`` (0-based) and ``seed`` for each position and mask."""
+def seeds(table: DataFrame, keep: list[str], words: str, kinds: list[int]) -> DataFrame:
+    """``keep``, ``pos`` (0-based), ``kind`` and ``seed`` for each position and mask in ``kinds``."""
     # The outer form: an inner one filters on the array's size and computes it twice.
-    at = table.select(*keep, F.posexplode_outer(_windows(F.col(words))).alias("pos", "t")).where(f"t.`w{SPAN - 1}` is not null")
-    return at.select(*keep, "pos", F.explode(F.array(*[_seed(m) for m in range(len(MASKS))])).alias("seed"))
+    shortest = min(len(KINDS[k]) for k in kinds)
+    at = table.select(*keep, F.posexplode_outer(_windows(F.col(words))).alias("pos", "t")).where(f"t.`w{shortest - 1}` is not null")
+    of = F.array(*[F.struct(F.lit(k).alias("kind"), _seed(k, shortest).alias("seed")) for k in kinds])
+    made = at.select(*keep, "pos", F.explode(of).alias("s")).select(*keep, "pos", "s.kind", "s.seed")
+    return made if all(len(KINDS[k]) == shortest for k in kinds) else made.where("seed is not null")
 
 
-def _seed(mask: int) -> Column:
-    return F.xxhash64(F.lit(mask), *[F.col(f"t.w{k}") for k, c in enumerate(MASKS[mask]) if c == "1"])
+def _seed(kind: int, sure: int) -> Column:
+    """Null where fewer tokens follow than the mask spans; ``sure`` of them do."""
+    mask = KINDS[kind]
+    made = F.xxhash64(F.lit(kind), *[F.col(f"t.w{k}") for k, c in enumerate(mask) if c == "1"])
+    return made if len(mask) <= sure else F.when(F.col(f"t.w{len(mask) - 1}").isNotNull(), made)
+
+
+def _item_seeds(bench: DataFrame, least: float) -> DataFrame:
+    """``item_id``, ``item_pos``, ``kind`` and ``seed``: long items under both masks, short ones in pieces end to end."""
+    n = F.size("item")
+    pieces = n - F.ceil(F.lit(least) * n) + 1
+    short = F.greatest(F.lit(1), F.least(F.lit(len(SHORT_MASKS)), F.floor(n / pieces))).cast("int")
+    made = seeds(bench.withColumn("span", F.when(n < LONG, short)), ["item_id", "span"], "item", list(range(len(KINDS))))
+    fits = F.col("span").isNull() & (F.col("kind") < len(MASKS))
+    fits |= (F.col("kind") == F.col("span") + (len(MASKS) - 1)) & (F.col("pos") % F.col("span") == 0)
+    return made.where(fits).select("item_id", F.col("pos").alias("item_pos"), "kind", "seed").distinct()
 
 
 def _same(words: Column, item: Column, offset: Column) -> Column:
@@ -71,19 +94,23 @@ def contaminated(
     Of several places the best one counts.
     """
     texts = docs.select(F.col(key).alias("id"), tokens(F.col("text")).alias("words"))
-    bench = items.select("item_id", F.array_remove(tokens(F.col("text")), "").alias("item")).where(F.size("item") >= SPAN)
-    wanted = seeds(bench, ["item_id"], "item").select("item_id", F.col("pos").alias("item_pos"), "seed").distinct()
-    if wanted.count() <= max_broadcast:
+    bench = items.select("item_id", F.array_remove(tokens(F.col("text")), "").alias("item")).where(F.size("item") > 0)
+    wanted = _item_seeds(bench, least)
+    # One row per mask.
+    held = {r["kind"]: r["count"] for r in wanted.groupBy("kind").count().collect()}
+    kinds = sorted(held) or list(range(len(MASKS)))
+    wanted = wanted.drop("kind")
+    if sum(held.values()) <= max_broadcast:
         # Items hold no more rows than their seeds, so both sides are bounded.
         hits = (
-            seeds(texts, ["id", "words"], "words")
+            seeds(texts, ["id", "words"], "words", kinds)
             .join(F.broadcast(wanted), "seed")
             .join(F.broadcast(bench), "item_id")
             .withColumn("offset", F.col("pos") - F.col("item_pos"))
         )
     else:
         hits = (
-            seeds(texts, ["id"], "words")
+            seeds(texts, ["id"], "words", kinds)
             .join(wanted, "seed")
             .select("id", "item_id", (F.col("pos") - F.col("item_pos")).alias("offset"))
             .distinct()

@@ -61,3 +61,18 @@ def test_plan_has_no_python(spark, docs_of):
     items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     plan = decontaminate.contaminated(docs_of([(1, ITEM)]), items)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan
+
+
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_short_items_of_every_length(spark, docs_of, most, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SPAN", 1)  # brute() skips items under it
+    items, docs = [], []
+    for size in range(1, 15):
+        words = [f"n{size}w{k}" for k in range(size)]
+        items.append((size, " ".join(words)))
+        for gone in itertools.chain.from_iterable(itertools.combinations(range(size), m) for m in range(size // 5 + 1)):
+            docs.append((len(docs), "before " + " ".join("other" if k in gone else w for k, w in enumerate(words)) + " behind"))
+    want = brute(docs, items)
+    monkeypatch.undo()
+    assert len(want) == len(docs)
+    assert found(spark, docs, items, docs_of, max_broadcast=most) == want
