@@ -76,3 +76,10 @@ def test_short_items_of_every_length(spark, docs_of, most, monkeypatch):
     monkeypatch.undo()
     assert len(want) == len(docs)
     assert found(spark, docs, items, docs_of, max_broadcast=most) == want
+
+
+def test_null_ids_with_hits_in_both_branches(spark, docs_of):
+    docs = [(None, ITEM), (None, "other words " + ITEM), (1, ITEM), (None, "nothing of it")]
+    broadcast, shuffled = (decontaminate.contaminated(docs_of(docs), spark.createDataFrame([(1, ITEM)], "item_id long, text string"), max_broadcast=n) for n in (10**6, 0))
+    assert {r.doc_id for r in shuffled.collect()} == {None, 1}
+    assert sorted(map(str, shuffled.collect())) == sorted(map(str, broadcast.collect()))
