@@ -204,25 +204,92 @@ def k_sweep(rows: DataFrame, row_id: str, vec: str, ks=range(2, 100), seed: int
     """``(k, silhouette)`` for each k, on one stored feature table.
 
     The squared-distance silhouette is used unless ``exact`` asks for the
-    quadratic one.
+    quadratic one, which takes all pairs once for all k.
     """
     spark = rows.sparkSession
-    results = []
     with Reuse() as reuse:
         features = reuse.keep(
             _features(rows, row_id, vec).withColumn("vec", vector_to_array("features"))
         )
         evaluator = ClusteringEvaluator(predictionCol="cluster", featuresCol="features")
+        results, centres = [], []
         for k in ks:
             model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(features)
-            placed = model.transform(features)
             if exact:
-                score = silhouette_exact(placed, row_id, "vec", "cluster").agg(F.avg("s")).first()[0]
+                centres.append((int(k), [list(map(float, c)) for c in model.clusterCenters()]))
             else:
-                score = evaluator.evaluate(placed)
-            results.append((int(k), float(score)))
+                results.append((int(k), float(evaluator.evaluate(model.transform(features)))))
+        if centres:
+            scores = _exact_scores(features.select(F.col(row_id).alias("id"), "vec"), centres).collect()
+            results = [(r["k"], r["silhouette"]) for r in sorted(scores)]
     return spark.createDataFrame(results, "k int, silhouette double")
 
 
+def _exact_scores(rows: DataFrame, centres: list[tuple[int, list[list[float]]]], block_rows: int = 512) -> DataFrame:
+    """``(k, silhouette)``: mean Euclidean silhouette under each set of centroids.
+
+    A task keeps one block of rows, takes the distances to all others block by
+    block and adds them up by cluster for every k; it returns one sum per k.
+    """
+    blocks = max(1, math.ceil(rows.count() / block_rows))
+    packed = (
+        rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+        .groupBy("block")
+        .agg(F.collect_list("vec").alias("r"))
+        .select("block", F.size("r").alias("n"), F.flatten("r").alias("flat"))
+    )
+    mine = packed.select(F.col("block").alias("home"), F.col("n").alias("my_n"), F.col("flat").alias("my_flat"))
+    theirs = packed.select("n", "flat", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("home"))
+    spread = theirs.join(mine, "home").select("home", "my_n", "my_flat", "n", "flat")
+    sent = rows.sparkSession.sparkContext.broadcast(centres)
+
+    def sums(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        sets = [(k, np.asarray(c)) for k, c in sent.value]
+
+        def labels(x):
+            return [((c * c).sum(axis=1) - 2.0 * (x @ c.T)).argmin(axis=1) for _, c in sets]
+
+        def vectors(column, i, n):
+            return column[i].values.to_numpy(zero_copy_only=False).reshape(n, -1)
+
+        def finish(own, totals, sizes):
+            made = []
+            for (k, _), at, total, size in zip(sets, own, totals, sizes, strict=True):
+                full = size > 0
+                names = np.cumsum(full) - 1
+                s = _widths(total[:, full], size[full], names[at]) if full.sum() > 1 else np.zeros(len(at))
+                made.append((k, float(s.sum()), len(at)))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([m[0] for m in made], pa.int32()), pa.array([m[1] for m in made]), pa.array([m[2] for m in made], pa.int64())],
+                names=["k", "total", "n"],
+            )
+
+        now = None
+        for rows in batches:
+            home, my_n, n = (rows.column(i).to_pylist() for i in (0, 1, 3))
+            for i in range(rows.num_rows):
+                if home[i] != now:
+                    if now is not None:
+                        yield finish(own, totals, sizes)
+                    now, x = home[i], vectors(rows.column(2), i, my_n[i])
+                    own = labels(x)
+                    totals, sizes = [np.zeros((len(x), len(c))) for _, c in sets], [np.zeros(len(c)) for _, c in sets]
+                y = vectors(rows.column(4), i, n[i])
+                gaps = np.stack([np.sqrt(((x - row) ** 2).sum(axis=1)) for row in y])
+                for at, total, size in zip(labels(y), totals, sizes, strict=True):
+                    order = np.argsort(at, kind="stable")
+                    names, starts = np.unique(at[order], return_index=True)
+                    total[:, names] += np.add.reduceat(gaps[order], starts, axis=0).T
+                    size += np.bincount(at, minlength=len(size))
+        if now is not None:
+            yield finish(own, totals, sizes)
+
+    partial = spread.repartition("home").sortWithinPartitions("home").mapInArrow(sums, "k int, total double, n long")
+    return partial.groupBy("k").agg((F.sum("total") / F.sum("n")).alias("silhouette"))
+
+
 def best_k(sweep: DataFrame) -> DataFrame:
     return sweep.orderBy(F.desc("silhouette"), "k").limit(1)

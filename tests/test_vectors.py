@@ -255,3 +255,28 @@ def test_lloyd_steps(spark):
     got = clusters.lloyd_steps(df, "vec", start, 3).collect()
     assert sorted((r.cluster, r.n, list(r.vec)) for r in got) == [(0, 2, [0.0, 1.0]), (1, 2, [10.0, 1.0])]
     assert keyword_table(spark, {"a": 1}).first().weight == 1.0
+
+
+def test_exact_sweep_equals_the_exact_silhouette_of_each_k(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(i, rng.normal(size=3).tolist()) for i in range(700)], "id long, vec array<double>")
+    for r in clusters.k_sweep(df, "id", "vec", [2, 9], exact=True).collect():
+        _, placed = clusters.kmeans(df, "id", "vec", r.k)
+        s = clusters.silhouette_exact(df.join(placed, "id"), "id", "vec", "cluster").agg({"s": "avg"}).first()[0]
+        assert abs(s - r.silhouette) < 1e-9
+
+
+def test_the_query_sweeps_all_counts(spark, monkeypatch):
+    import inspect
+
+    from leadrank import queries
+
+    asked = []
+    plain = inspect.signature(clusters.k_sweep)
+    monkeypatch.setattr(queries.clusters, "k_sweep", lambda *a, **k: asked.append(plain.bind(*a, **k)))
+    monkeypatch.setattr(queries.X, "vectors", lambda *_: None)
+    queries.all_queries()["g4_k_sweep"](spark, "")
+    asked[0].apply_defaults()
+    assert list(asked[0].arguments["ks"]) == list(range(2, 100)) and asked[0].arguments["exact"]
