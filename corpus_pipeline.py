@@ -9,7 +9,8 @@ return the columns of ``documents``:
   scored like all others.
 * near duplicates: of documents whose SimHash fingerprints are linked, the one
   with the smallest doc_id stays (rows without an id stay).
-* decontamination: documents that hold 0.8 or more of a benchmark item go.
+* decontamination: texts that hold 0.8 or more of a benchmark item go, whatever
+  their ids.
 * secrets: findings are cut out of the texts; ``n_chars`` follows.
 * encoding: doc_id, the number of SentencePiece ids, and digests of the ids and
   of the decoded text.
@@ -62,8 +63,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    hits = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, hits)
+    # By the text's digest: what a text holds does not depend on its id.
+    keyed = docs.withColumn("__lr_digest", F.sha2(F.col("text").cast("binary"), 256))
+    hits = decontaminate.contaminated(keyed, table(spark, sf_dir, "benchmark"), key="__lr_digest")
+    gone = stored(hits.select(F.col("__lr_digest").alias("__lr_gone")).distinct(), "pipeline-gone")
+    return keyed.join(gone, F.col("__lr_digest") == F.col("__lr_gone"), "left_anti").select(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

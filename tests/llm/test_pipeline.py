@@ -59,3 +59,11 @@ def test_empty_tables(spark, corpus, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{corpus[0]}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_leaks_go_by_text_and_not_by_id(spark, corpus):
+    folder, texts, _ = corpus
+    rows = [(7, texts[210]), (7, texts[1]), (None, texts[210]), (None, texts[2]), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.decontaminated(spark, docs, folder).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [rows[1], rows[3], rows[4]]))
