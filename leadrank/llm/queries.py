@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadrank.llm import decontaminate, language, packed_ids, quality, quantised, secrets, sentencepieces, simhash, substrings, warc
+from leadrank.llm import (
+    decontaminate,
+    heap_bounds,
+    importance,
+    language,
+    packed_ids,
+    quality,
+    quantised,
+    retrieval_packing,
+    secrets,
+    sentencepieces,
+    simhash,
+    substrings,
+    warc,
+)
 from leadrank.llm.shared import stored
 from leadrank.session import scratch_path
 
@@ -99,3 +113,21 @@ def op10_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = language.predict(docs, language.learn(docs))
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op11_clusters(spark, sf_dir):
+    found = heap_bounds.cluster(table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join("centroid", ",").cast("binary"), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+@query
+def op12_packing(spark, sf_dir):
+    pieces = retrieval_packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op13_resampling(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
