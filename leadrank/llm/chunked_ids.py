@@ -10,15 +10,29 @@ as texts of their own.
 
 from __future__ import annotations
 
+import codecs
 import os
+import re
 from collections.abc import Callable
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Marks that may end a word of letters.
-MARKS = ".,;:!?"
+#: Marks that may end a word of letters: those of ASCII, without digits.
+MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+#: Letters of scripts whose letters all tools agree on: Latin, Greek, Cyrillic, kana, Han and Hangul.
+LETTERS = re.compile(
+    "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0391-\u03a1\u03a3-\u03ff\u0400-\u0481\u048a-\u052f"
+    "\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]+)(" + f"[{re.escape(MARKS)}]*)"
+)
+#: Letters whose lower case depends on their place or is more than one character, and the Greek ones that are symbols.
+UNLIKE = re.compile("[\u0130\u03a3\u03f0-\u03ff\u03cf-\u03d7]")
+#: How byte-level vocabularies write a space.
+SPACE = "\u0120"
+#: Runs of marks that are kept at most.
+MAX_TAILS = 100_000
 #: Chunks that are kept at most, and chunks in one call of the library.
 KEPT, JOINED = 600_000, 2_000
 
@@ -30,6 +44,27 @@ def tokenizer_of(path: str):
     return Tokenizer.from_file(path)
 
 
+def _byte_characters() -> str:
+    """The character that stands for each byte: itself where it is a visible one, else one from 256 on; spaces stay."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    of = {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+    return "".join(" " if b == 32 else of[b] for b in range(256))
+
+
+BYTE_CHARACTERS = _byte_characters()
+
+
+def _word_model(library):
+    """The library's model behind a split at white space, without its normalizer."""
+    from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import WhitespaceSplit
+
+    made = Tokenizer(library.model)
+    made.pre_tokenizer = WhitespaceSplit()
+    return made
+
+
 def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Places ``starts[i], starts[i] + 1, ...`` of all runs, one run after the other."""
     return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
@@ -73,18 +108,37 @@ class ChunkTable:
 
 
 class ChunkedEncoder:
-    """Base: the library, the bulk encoding of chunks, and the gather."""
+    """Base: the library, the bulk encoding of chunks, and the gather.
+
+    Most chunks are a word of plain letters, perhaps with marks behind it. The
+    library's split parts the two; the marks are few and encoded once, and words go
+    to the vocabulary's model without normalizer and split, many at a time, for
+    which nothing is left to do there.
+    """
 
     def __init__(self, path: str) -> None:
         self.library = tokenizer_of(path)
         added = self.library.get_added_tokens_decoder()
         self.special = [t.content for t in added.values()]
-        #: Whether no special token lies within letters and a mark.
-        self.quick = not any(s[:-1].isalpha() or s.isalpha() for s in self.special)
+        #: Whether no special token lies within letters and marks.
+        self.plain = all(re.search(f"[{re.escape(MARKS)}][^{re.escape(MARKS)}]", s) for s in self.special)
         # A token that takes white space beside it would not part chunks cleanly.
-        plain = [(i, t.content) for i, t in added.items() if t.special and not (t.lstrip or t.rstrip or t.normalized)]
-        self.mark_id, self.mark = plain[0] if plain else (None, "")
+        clean = [(i, t.content) for i, t in added.items() if t.special and not (t.lstrip or t.rstrip or t.normalized)]
+        self.mark_id, self.mark = clean[0] if clean else (None, "")
         self.cache = ChunkTable(self._new)
+        self.tails: dict[str, np.ndarray] = {"": np.empty(0, np.uint32)}
+        self.words = _word_model(self.library)
+        names = self.library.get_vocab(with_added_tokens=False)
+        self.edge = np.zeros(max(names.values(), default=0) + 1, bool)
+        for name, i in names.items():
+            self.edge[i] = self.at_edge(name)
+
+    def at_edge(self, token: str) -> bool:
+        """Whether every word has just one such token, at the end that ``EDGE_LAST`` tells."""
+        raise NotImplementedError
+
+    #: Whether the token that parts words is the last one of a word.
+    EDGE_LAST = True
 
     @property
     def vocabulary(self) -> int:
@@ -112,27 +166,70 @@ class ChunkedEncoder:
             parts.append(np.delete(ids, cuts))
         return np.concatenate(parts), np.concatenate(sizes)
 
+    def mapped(self, words: list[str]) -> str:
+        """Words in the characters that byte-level vocabularies write bytes in, with spaces between them."""
+        return codecs.charmap_decode(" ".join(words).encode(), "strict", BYTE_CHARACTERS)[0]
+
+    def _word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and number of ids of words of plain letters."""
+        parts, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for a in range(0, len(words), JOINED):
+            some = words[a : a + JOINED]
+            ids = np.array(self.words.encode_batch_fast([self.mapped(some)], add_special_tokens=False)[0].ids, np.uint32)
+            edges = np.flatnonzero(self.edge[ids])
+            if len(edges) != len(some):
+                raise ValueError("words do not part")
+            sizes.append(np.diff(np.append(-1, edges)) if self.EDGE_LAST else np.diff(np.append(edges, len(ids))))
+            parts.append(ids)
+        return np.concatenate(parts), np.concatenate(sizes)
+
     def _new(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and sizes of new chunks; size -1 for chunks whose text must go to the library whole."""
-        made = [self.form(c) for c in chunks]
-        order: dict[str, int] = {}
-        base = np.array([-1 if f is None else order.setdefault(f[0], len(order)) for f in made], np.int64)
-        ends = np.array([-1 if f is None else f[1] for f in made], np.int64)
-        ids, sizes = self._bulk(list(order))
+        words: dict[str, int] = {}
+        others: dict[str, int] = {}
+        places, tails = [], []
+        for chunk in chunks:
+            word, tail = self.parted(chunk)
+            if word is not None:
+                places.append(words.setdefault(word, len(words)))
+                tails.append(tail)
+            else:
+                form = self.form(chunk)
+                # Others are numbered from -2 down.
+                places.append(-1 if form is None else -2 - others.setdefault(form, len(others)))
+                tails.append("")
+        place = np.array(places, np.int64)
+        place[place < -1] = len(words) - 2 - place[place < -1]
+        (ids, sizes), (more, more_sizes) = self._word_ids(list(words)), self._bulk(list(others))
+        ids, sizes = np.concatenate([ids, more]), np.concatenate([sizes, more_sizes])
         starts = np.cumsum(sizes) - sizes
-        good = base >= 0
-        own = np.where(good, sizes[base], 0) if len(sizes) else np.zeros(len(base), np.int64)
-        full = own + (good & (ends >= 0))
-        places = np.cumsum(full) - full
+        new = [t for t in dict.fromkeys(tails) if t not in self.tails]
+        self.tails.update(zip(new, self.whole(new), strict=True))
+        held = {t: k for k, t in enumerate(dict.fromkeys(tails))}
+        ends = [self.tails[t] for t in held]
+        end_of = np.array([held[t] for t in tails], np.int64)
+        end_sizes = np.array([len(e) for e in ends], np.int64)
+        if len(self.tails) > MAX_TAILS:
+            self.tails = {"": self.tails[""]}
+        good = place >= 0
+        own = np.zeros(len(place), np.int64)
+        own[good] = sizes[place[good]]
+        full = own + np.where(good, end_sizes[end_of], 0)
+        to = np.cumsum(full) - full
         out = np.empty(int(full.sum()), np.uint32)
-        if len(sizes):
-            out[ragged(places, own)] = ids[ragged(starts[base], own)]
-        ended = good & (ends >= 0)
-        out[places[ended] + own[ended]] = ends[ended]
+        out[ragged(to[good], own[good])] = ids[ragged(starts[place[good]], own[good])]
+        behind = full - own
+        flat_ends = np.concatenate(ends)
+        end_starts = np.cumsum(end_sizes) - end_sizes
+        out[ragged(to[good] + own[good], behind[good])] = flat_ends[ragged(end_starts[end_of[good]], behind[good])]
         return out, np.where(good, full, -1)
 
-    def form(self, chunk: str) -> tuple[str, int] | None:
-        """The text to encode for a chunk, and the id of a mark behind it or -1; None if the chunk cannot stand alone."""
+    def parted(self, chunk: str) -> tuple[str | None, str]:
+        """A chunk's word, as the vocabulary's model takes it, and the marks behind it; None for any other chunk."""
+        raise NotImplementedError
+
+    def form(self, chunk: str) -> str | None:
+        """The text to encode for another chunk; None if it cannot stand alone."""
         raise NotImplementedError
 
     def chunks(self, texts: pa.Array) -> pa.ListArray:
@@ -190,25 +287,31 @@ class ByteLevelEncoder(ChunkedEncoder):
 
     #: Before the first chunk of a text. No chunk holds a line break but at its start.
     FIRST = "\n\n"
-
-    def __init__(self, path: str) -> None:
-        super().__init__(path)
-        self.ends = {m: int(x[0]) for m, x in zip(MARKS, self.whole(list(MARKS)), strict=True) if len(x) == 1}
-
-    def form(self, chunk: str) -> tuple[str, int] | None:
-        if self.quick and chunk.isalpha():
-            return f" {chunk}", -1
-        if self.quick and chunk[-1:] in self.ends and chunk[:-1].isalpha():
-            # The library's split parts letters from a mark behind them.
-            return f" {chunk[:-1]}", self.ends[chunk[-1]]
+    EDGE_LAST = False
+
+    def at_edge(self, token: str) -> bool:
+        return token.startswith(SPACE)
+
+    def mapped(self, words: list[str]) -> str:
+        return SPACE + super().mapped(words).replace(" ", f" {SPACE}")
+
+    def parted(self, chunk: str) -> tuple[str | None, str]:
+        if self.plain and chunk.isascii():
+            if chunk.isalpha():
+                return chunk, ""
+            word = chunk.rstrip(MARKS)
+            if word.isalpha():
+                return word, chunk[len(word) :]
+        elif self.plain and (found := LETTERS.fullmatch(chunk)):
+            return found.groups()
+        return None, ""
+
+    def form(self, chunk: str) -> str | None:
         lead = self.FIRST if chunk.startswith(self.FIRST) else "\n" if chunk.startswith("\n") else ""
         body = chunk[len(lead) :]
         if body.strip() != body or body == "" or any(s in body for s in self.special):
             return None
-        before = {"": " ", "\n": "\n", self.FIRST: ""}[lead]
-        if body[-1] in self.ends and body[:-1].isalpha():
-            return before + body[:-1], self.ends[body[-1]]
-        return before + body, -1
+        return {"": " ", "\n": "\n", self.FIRST: ""}[lead] + body
 
     def chunks(self, texts: pa.Array) -> pa.ListArray:
         return pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
@@ -225,19 +328,27 @@ class WordLevelEncoder(ChunkedEncoder):
     special token goes to the library whole.
     """
 
-    def __init__(self, path: str) -> None:
-        super().__init__(path)
-        self.ends = {m: int(x[0]) for m, x in zip(MARKS, self.whole(list(MARKS)), strict=True) if len(x) == 1}
-
-    def form(self, chunk: str) -> tuple[str, int] | None:
-        if not (self.quick and chunk[:-1].isalpha()) and any(s in chunk.lower() for s in self.special):
+    def at_edge(self, token: str) -> bool:
+        return token.endswith("</w>")
+
+    def parted(self, chunk: str) -> tuple[str | None, str]:
+        # The vocabulary has lower case only, one character at a time.
+        if self.plain and chunk.isascii():
+            if chunk.isalpha():
+                return chunk.lower(), ""
+            word = chunk.rstrip(MARKS)
+            if word.isalpha():
+                return word.lower(), chunk[len(word) :]
+        elif self.plain and (found := LETTERS.fullmatch(chunk)):
+            word, tail = found.groups()
+            if is_normalized("NFC", word) and not UNLIKE.search(word):
+                return word.lower(), tail
+        return None, ""
+
+    def form(self, chunk: str) -> str | None:
+        if any(s in chunk.lower() for s in self.special):
             return None
-        if chunk.isascii():
-            # The vocabulary has lower case only; letters beyond ASCII may compose otherwise once lowered.
-            chunk = chunk.lower()
-            if chunk[-1:] in self.ends and chunk[:-1].isalpha():
-                return chunk[:-1], self.ends[chunk[-1]]
-        return chunk, -1
+        return chunk
 
     def chunks(self, texts: pa.Array) -> pa.ListArray:
         return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")

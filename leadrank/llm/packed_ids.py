@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import struct
 import uuid
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,14 +30,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from leadrank.llm.shared import ChunkCache, groups_of, once, pieces_of, put, read_range, stored
+from leadrank.llm.chunked_ids import ByteLevelEncoder as Encoder
+from leadrank.llm.shared import groups_of, once, put, read_range, stored
 
 MAGIC, VERSION = b"LRPK", 1
 HEAD = "<4sIIIQQQ"
 HEAD_BYTES = struct.calcsize(HEAD)
 BLOCK_IDS = 8192
-#: Marks that may end a word of letters.
-MARKS = ".,;:!?"
 #: A file is closed when it holds this many ids.
 FILE_IDS = 4_000_000
 
@@ -123,72 +121,6 @@ class PackedFile:
         return unpack(data, self.bits, held)[start - a * self.block : stop - a * self.block]
 
 
-def tokenizer_of(path: str):
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
-class Encoder:
-    """The library's ids of whole texts, with distinct chunks encoded once.
-
-    Texts are cut at single spaces and line breaks between other characters,
-    where the byte-level split of the vocabulary always cuts. A text with other
-    runs of white space, or with a special token, goes to the library whole.
-    """
-
-    def __init__(self, path: str) -> None:
-        self.library = tokenizer_of(path)
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.cache = ChunkCache(self._new)
-        self.marks = dict(zip(MARKS, self._batch(list(MARKS)), strict=True))
-
-    def _batch(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _new(self, chunks: list[str]) -> list[bytes | None]:
-        """Ids of new chunks; None for chunks whose text must go to the library whole."""
-        # The library's split parts letters from a mark behind them, so each is encoded once.
-        words, ended, others = [], [], []
-        for c in chunks:
-            if c.isalpha():
-                words.append(c)
-            elif c[-1:] in MARKS and c[:-1].isalpha():
-                ended.append(c)
-            else:
-                others.append(c)
-        breaks = [c for c in others if c[:1] == "\n" and c[1:].strip() == c[1:] != ""]
-        plain = [c for c in others if c[:1] != "\n" and c.strip() == c != ""]
-        if self.special:
-            breaks, plain = ([c for c in part if not any(s in c for s in self.special)] for part in (breaks, plain))
-        words += {c[:-1] for c in ended}.difference(self.cache.known, words)
-        spaced = words + plain
-        made = dict(zip(spaced + breaks, self._batch([f" {c}" for c in spaced] + breaks), strict=True))
-        known = self.cache.known
-        for c in ended:
-            made[c] = (made.get(c[:-1]) or known[c[:-1]]) + self.marks[c[-1]]
-        return list(map(made.get, chunks))
-
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as unsigned 32-bit numbers."""
-        split = [pieces_of(t) if t else [] for t in texts]
-        firsts = self._batch([s[0] if s else "" for s in split])
-        known = self.cache.of(set().union(*split)) if split else {}
-        out = []
-        for text, first, chunks in zip(texts, firsts, split, strict=True):
-            try:
-                # A text that starts with white space has no plain first chunk.
-                if chunks and known[chunks[0]] is None or chunks[:1] and chunks[0][:1] == "\n":
-                    raise TypeError
-                out.append(first + b"".join([known[c] for c in chunks[1:]]))
-            except TypeError:
-                out.append(self._batch([text])[0])
-        return out
-
-
 def write_packed(
     docs: DataFrame, tokenizer_file: str, folder: str, end_id: int = 0, file_ids: int = FILE_IDS
 ) -> DataFrame:
@@ -201,7 +133,7 @@ def write_packed(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = once(f"packed-ids {tokenizer_file}", lambda: Encoder(tokenizer_file))
-        bits = bits_for(max(encoder.library.get_vocab_size(with_added_tokens=True), end_id + 1))
+        bits = bits_for(max(encoder.vocabulary, end_id + 1))
         end = np.array([end_id], "<u4").tobytes()
         part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex[:12]
         names: list[int | None] = []
