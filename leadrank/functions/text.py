@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
-
 from pyspark.sql import Column, functions as F
 
 # The whitespace class used everywhere, and its characters.
@@ -87,48 +85,3 @@ def spaced_tokens(text: Column) -> Column:
 def reply_tail(text: Column) -> Column:
     """From the first ``of `` to the end of that line, or null."""
     return F.nullif(F.regexp_extract(text, r"(of [^\n]*)", 1), F.lit(""))
-
-
-# What is not visible: comments, and elements whose content is no text. The
-# leftmost one decides, so a tag inside a comment or a script opens nothing, and
-# each element ends at its own closing tag or, where that is missing, with the page.
-HIDDEN = (
-    r"(?is)<!--.*?(-->|\z)|<script[\s/>].*?(</script\s*>|\z)|<style[\s/>].*?(</style\s*>|\z)"
-)
-HEAD = r"(?is)<head[\s/>].*?</head\s*>"
-
-
-def entity_chars() -> dict[str, str]:
-    """Character of each named entity of HTML 4; a hard space is a space."""
-    names = {name: chr(code) for name, code in name2codepoint.items()}
-    return names | {"nbsp": " ", "apos": "'"}
-
-
-def unescape(text: Column) -> Column:
-    """Named and numeric entities as characters, each once; others stay."""
-    named = F.create_map(*[F.lit(x) for pair in entity_chars().items() for x in pair])
-
-    def decoded(part: Column, i: Column) -> Column:
-        name = F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
-        hexa = F.lower(F.substr(name, F.lit(2), F.lit(1))) == "x"
-        digits = F.when(hexa, F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(F.substr(name, F.lit(2)))
-        code = F.when(F.startswith(name, F.lit("#")), digits.cast("int"))
-        usable = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        char = (
-            F.when(code == 160, F.lit(" "))
-            .when(usable, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
-            .when(name != "", F.element_at(named, name))
-        )
-        rest = F.substr(part, F.length(name) + 2)
-        return F.when(i == 0, part).when(char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), part))
-
-    parts = F.transform(F.split(text, "&", -1), decoded)
-    return F.when(F.contains(text, F.lit("&")), F.array_join(parts, "")).otherwise(text)
-
-
-def html_text(html: Column) -> Column:
-    """Visible text of a page: no scripts, styles, comments, head or tags."""
-    out = F.regexp_replace(html, HIDDEN, " ")
-    out = F.regexp_replace(out, HEAD, " ")
-    out = F.regexp_replace(out, r"<[^>]*>", " ")
-    return strip(F.regexp_replace(let(out, unescape), WHITESPACE, " "))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leadrank.functions.text import html_text
-from leadrank.operators.phrases import density, phrase_values, presence, word_counter
+from leadrank.functions.html import html_text
+from leadrank.operators.phrases import density, hits, key_parts
 from leadrank.operators.ranking import running_total
-from leadrank.operators.rows import exploded
 from leadrank.session import Reuse, spread
 
 #: Bytes of text at which a site goes on in another part.
@@ -29,39 +30,62 @@ def page_text(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", html_text(F.col("html")).alias("text"))
 
 
-def site_pages(pages: DataFrame, lang: str = "en") -> DataFrame:
-    """``(site, page_id, text)``: each site's home page and its pages in ``lang``.
+def _kept_pages(pages: DataFrame, lang: str) -> DataFrame:
+    """``(site, page_id, html)`` of each site's home page and its pages in ``lang``.
 
-    The home page is the one with the lowest id, whatever its language. Pages
-    in the language need no look-up; among the others, home pages are found by
-    page id, which is unique, so no site is a hot value of the join.
+    Pages in the language need no look-up; among the others, home pages are found
+    by page id, which is unique, so no site is a hot value of the join.
     """
-    sited = pages.withColumn("site", site_of(F.col("url"))).where(F.col("site").isNotNull())
+    sited = pages.select("page_id", "url", "html", site_of(F.col("url")).alias("site")).where(F.col("site").isNotNull())
     homes = sited.groupBy("site").agg(F.min("page_id").alias("page_id")).select("page_id")
     wanted = in_language(F.col("url"), lang)
-    kept = sited.where(wanted).unionByName(sited.where(~wanted).join(homes, "page_id", "left_semi").select(*sited.columns))
+    others = sited.where(~wanted).join(homes, "page_id", "left_semi").select(*sited.columns)
+    return sited.where(wanted).unionByName(others).select("site", "page_id", "html")
+
+
+def _texts(kept: DataFrame) -> DataFrame:
     return spread(kept).select("site", "page_id", html_text(F.col("html")).alias("text"))
 
 
+def site_pages(pages: DataFrame, lang: str = "en") -> DataFrame:
+    """``(site, page_id, text)``: each site's home page and its pages in ``lang``.
+
+    The home page is the one with the lowest id, whatever its language.
+    """
+    return _texts(_kept_pages(pages, lang))
+
+
 def site_text(
     pages: DataFrame, lang: str = "en", part_bytes: int = PART_BYTES, reuse: Reuse | None = None
 ) -> DataFrame:
     """``(site, part, text)``: the home page's text, one space, and the other pages' without anything between.
 
-    Nearly every site is one part. A site with more than ``part_bytes`` of text
-    continues in part 1, 2, ..., so no task ever gathers a whole huge site; the
-    parts put together are the full text.
+    A site is one part as long as its pages hold no more than ``part_bytes``, and
+    its texts move once. Only larger sites are numbered: those continue in part 1,
+    2, ..., so no task ever gathers a whole huge site; the parts put together are
+    the full text.
     """
     reuse = reuse or Reuse()
-    texts = reuse.keep(site_pages(pages, lang))
-    sizes = texts.select("site", "page_id", F.octet_length("text").alias("_bytes"))
-    placed = running_total(sizes, ["site"], ["page_id"], F.col("_bytes"), "_before", reuse)
+    kept = reuse.keep(_kept_pages(pages, lang))
+    # A text is at most twice as long as its page: few short names stand for longer characters.
+    sizes = kept.groupBy("site").agg(F.sum(F.octet_length("html") * 2).alias("_bytes"))
+    large = reuse.keep(sizes.where(F.col("_bytes") > part_bytes).select("site"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("page_id", "text"))), lambda x: x.text)
+    # The home page has the lowest id of its site, so it is the first.
+    first = F.concat(F.get(ordered, F.lit(0)), F.lit(" "), F.array_join(F.slice(ordered, 2, F.greatest(F.size(ordered), F.lit(1))), ""))
+    none = F.lit(0).cast("bigint").alias("part")
+    if large.isEmpty():
+        return _texts(kept).groupBy("site").agg(first.alias("text")).select("site", none, "text")
+    # Pages are told apart by their unique ids, so that no site is a hot value of a join.
+    ids = reuse.keep(kept.select("site", "page_id").join(large, "site", "left_semi").select("page_id"))
+    small = _texts(kept.join(ids, "page_id", "left_anti")).groupBy("site").agg(first.alias("text"))
+    texts = reuse.keep(_texts(kept.join(ids, "page_id", "left_semi")))
+    lengths = texts.select("site", "page_id", F.octet_length("text").alias("_bytes"))
+    placed = running_total(lengths, ["site"], ["page_id"], F.col("_bytes"), "_before", reuse)
     placed = placed.select("page_id", F.floor(F.col("_before") / part_bytes).cast("bigint").alias("part"))
-    homes = texts.groupBy("site").agg(F.min("page_id").alias("page_id")).select("page_id", F.lit(True).alias("_home"))
-    parted = texts.join(placed, "page_id").join(homes, "page_id", "left")
-    body = F.when(F.col("_home"), F.concat("text", F.lit(" "))).otherwise(F.col("text"))
-    ordered = F.array_sort(F.collect_list(F.struct("page_id", body.alias("text"))))
-    return parted.groupBy("site", "part").agg(F.array_join(F.transform(ordered, lambda x: x.text), "").alias("text"))
+    parted = texts.join(placed, "page_id").groupBy("site", "part")
+    parted = parted.agg(F.when(F.col("part") == 0, first).otherwise(F.array_join(ordered, "")).alias("text"))
+    return small.select("site", none, "text").unionByName(parted)
 
 
 def site_scores(pages: DataFrame, keys: DataFrame, lang: str = "en") -> DataFrame:
@@ -73,24 +97,21 @@ def site_scores(pages: DataFrame, keys: DataFrame, lang: str = "en") -> DataFram
     """
     texts = site_pages(pages, lang)
     chars = F.length("text").cast("bigint").alias("chars")
-    found, local = phrase_values(
-        texts, "page_id", keys, word_counter(F.col("text"), False, True), [F.col("site"), chars]
-    )
-    if local is not None:
-        # One pass and one shuffle of one row per site and task.
-        sums = [F.sum(F.get("hits", F.lit(i)).n).alias(f"n{i}") for i in range(len(local))]
-        per_site = found.groupBy("site").agg(
-            (F.sum("chars") + 1).alias("chars"), *sums
-        )
-        hits = F.array(
-            *[F.struct(F.lit(k.weight).alias("weight"), F.col(f"n{i}").alias("n")) for i, k in enumerate(local)]
-        )
-        scored = per_site.select("site", "chars", presence(hits).alias("score"))
-    else:
-        counts = exploded(found, ["site"], F.col("hits"), "h")
-        per_phrase = counts.groupBy("site", "h.name", "h.weight").agg(F.sum("h.n").alias("n"))
-        hit = F.struct("weight", "n")
-        lengths = texts.groupBy("site").agg((F.sum(F.length("text")) + 1).alias("chars"))
-        scores = per_phrase.groupBy("site").agg(F.sum(presence(F.array(hit))).alias("score"))
-        scored = scores.join(lengths, "site")
+    spark = pages.sparkSession
+    scores = []
+    for part in key_parts(keys) or [[]]:
+        found = hits(texts, ["site", chars], F.col("text"), part, True)
+        # A site's count of a phrase is the sum over its pages; -1 stands for the page itself.
+        page = F.struct(F.lit(-1).alias("i"), (F.col("chars")).alias("n"))
+        counts = found.select("site", F.explode(F.concat(F.array(page), F.coalesce("hits", F.array()))).alias("h"))
+        sums = counts.groupBy("site", "h.i").agg(F.sum("h.n").alias("n"))
+        weights = spark.createDataFrame([(i, k.weight) for i, k in enumerate(part)], "i int, weight double")
+        # The weights are within the size that may be sent.
+        weighed = sums.join(F.broadcast(weights), "i", "left")
+        own = F.when(F.col("i") >= 0, F.col("weight") * (F.col("n") + 2)).otherwise(F.lit(0.0))
+        length = F.when(F.col("i") < 0, F.col("n"))
+        scores.append(weighed.groupBy("site").agg(F.sum(own).alias("score"), (F.max(length) + 1).alias("chars")))
+    scored = reduce(DataFrame.unionAll, scores)
+    if len(scores) > 1:
+        scored = scored.groupBy("site").agg(F.sum("score").alias("score"), F.max("chars").alias("chars"))
     return scored.select("site", "score", "chars", density(F.col("score"), F.col("chars")).alias("density"))

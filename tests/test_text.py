@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadrank.functions import text as T
+from leadrank.functions.html import html_text, visible_text
 from leadrank.operators import phrases, prompts
 from leadrank.sources.keywords import keyword_table, parse_keywords, read_keywords
 
@@ -66,7 +67,7 @@ def test_tf_idf_small_case(spark):
     assert scores == {0: 0.0, 1: 0.0, 2: 1.0}
 
 
-def test_large_phrase_tables_take_the_join(spark, monkeypatch):
+def test_large_phrase_tables_go_in_parts(spark, monkeypatch):
     table = docs(spark, "msp MSP cloud", "cloud and cloud", "none")
     keys = keyword_table(spark, {"msp": 5, "cloud": 5, "and": 2})
     direct = [
@@ -75,8 +76,8 @@ def test_large_phrase_tables_take_the_join(spark, monkeypatch):
         sorted(phrases.tf_idf(table, "id", "t", keys).collect()),
         sorted(phrases.tf_idf_scores(table, "id", "t", keys).collect()),
     ]
-    monkeypatch.setattr(phrases, "local_keys", lambda *a, **k: None)
-    monkeypatch.setattr(phrases, "UNROLLED_KEYS", 2)
+    monkeypatch.setattr(phrases, "MAX_KEY_BYTES", 70)
+    assert len(phrases.key_parts(keys)) > 1
     joined = [
         sorted(phrases.phrase_counts(table, "id", "t", keys).collect()),
         sorted(phrases.presence_score(table, "id", "t", keys).collect()),
@@ -89,6 +90,80 @@ def test_large_phrase_tables_take_the_join(spark, monkeypatch):
             assert tuple(x) == pytest.approx(tuple(y))
 
 
+ODD_TEXTS = [
+    "", " ", "la", "là la éla laé LA", "a a a a a", "ab-ab ab_ab ab", "c++ c++x xc++ ++c", "Straße STRASSE ſt ST", "K k K ΑΣ ας σ Σ",
+    "mark\u0301 mark e\u0301a ea", "x\u200dy x y", "٣ 3 a٣", "İi ıI i̇", "日本 日本語 日", "😀a 😀 a", "a.b a.b.a.b axb", "AB aB\tAb\nab", "_a_ a", "№ n o", "\x00a a",
+]
+ODD_PHRASES = [
+    "la", "a a", "ab", "c++", "++c", "+", "straße", "st", "k", "ας", "Σ", "mark", "ea", "x", "٣", "i", "İ", "日本", "😀", "a.b", "A.B.A", "_a_", "a", "aa", "№", "\\E", "-", " ",
+]
+
+
+def test_counts_are_those_of_the_pattern(spark):
+    """The automaton against a regular expression per phrase."""
+    table = docs(spark, *ODD_TEXTS)
+    keys = keyword_table(spark, {p: 1 for p in ODD_PHRASES})
+    names = [r.name for r in keys.collect()]
+    counts = F.array(*[F.struct(F.lit(p).alias("name"), T.phrase_count(F.col("t"), F.lit(p)).cast("bigint").alias("n")) for p in names])
+    want = table.select("id", F.inline(counts))
+    got = phrases.phrase_counts(table, "id", "t", keys)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    parts = F.array(*[F.struct(F.lit(p).alias("name"), T.substring_count(F.col("t"), F.lit(p)).alias("n")) for p in names])
+    want = table.select("id", F.inline(parts))
+    got = phrases.grid(table, ["id"], F.col("t"), keys, False)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_counts(spark, seed):
+    import random
+    import re
+
+    rng = random.Random(seed)
+    alphabet = "aAbB é-._ "
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 60))) for _ in range(60)]
+    names = sorted({"".join(rng.choices("ab é-", k=rng.randint(1, 4))) for _ in range(60)})
+    got = {(r.id, r.name): r.n for r in phrases.phrase_counts(docs(spark, *texts), "id", "t", spark.createDataFrame([(n, 1.0) for n in names], "name string, weight double")).collect()}
+    for i, t in enumerate(texts):
+        for n in names:
+            assert got[i, n] == len(re.findall(r"\b" + re.escape(n) + r"\b", t.lower(), re.IGNORECASE)), (t, n)
+
+
+def test_null_texts_and_empty_phrases(spark):
+    table = spark.createDataFrame([(1, None), (2, ""), (3, "a b")], "id long, t string")
+    keys = spark.createDataFrame([("", 1.0), ("a", 2.0)], "name string, weight double")
+    got = {(r.id, r.name): r.n for r in phrases.phrase_counts(table, "id", "t", keys).collect()}
+    assert got == {(1, ""): None, (1, "a"): None, (2, ""): 0, (2, "a"): 0, (3, ""): 4, (3, "a"): 1}
+    scores = {r.id: r.score for r in phrases.presence_score(table, "id", "t", keys).collect()}
+    assert scores == {1: None, 2: 0.0, 3: 12.0}
+    seen = {r.name: (r.docs_with, r.idf) for r in phrases.containment_idf(table, "id", "t", keys).collect()}
+    assert seen == {"": (2, 0.0), "a": (1, pytest.approx(math.log(1.5)))}
+    empty = table.limit(0)
+    assert phrases.phrase_counts(empty, "id", "t", keys).collect() == []
+    assert phrases.phrase_counts(table, "id", "t", keys.limit(0)).collect() == []
+
+
+def test_ten_thousand_phrases_move_no_text(spark):
+    """One pass, no join and no shuffle of texts; the counts are those of a few patterns."""
+    import contextlib
+    import io
+
+    names = [f"w{i} w{i + 1}" for i in range(9_990)] + ["w1", "w2 w3 w4", "W5", "w5 w6", "zz", "w", "1 w2", "w7 w8 w9 w10", "w8 w9", "w9"]
+    keys = spark.createDataFrame([(n, 1.0) for n in dict.fromkeys(names)], "name string, weight double")
+    table = docs(spark, *[" ".join(f"w{j % 40}" for j in range(i, i + 200)) for i in range(50)])
+    scored = phrases.presence_score(table.hint("coalesce", 1), "id", "t", keys)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        scored.explain()
+    assert "Join" not in out.getvalue() and "Generate" not in out.getvalue()
+    picked = list(dict.fromkeys(names[:60] + names[-10:]))
+    weighted = F.array(*[F.struct(F.lit(1.0).alias("weight"), T.phrase_count(F.col("t"), F.lit(n)).alias("n")) for n in picked if n.lower() != "w5"])
+    some = keys.where(F.col("name").isin([n for n in picked if n != "W5"]))
+    got = {r.id: r.score for r in phrases.presence_score(table, "id", "t", some).collect()}
+    assert got == {r.id: r.s for r in table.select("id", phrases.presence(weighted).alias("s")).collect()}
+    assert {r.id for r in scored.where("score > 0").collect()} == set(range(50))
+
+
 def test_reply_tail(spark):
     assert one(spark, T.reply_tail(F.col("t")), t="because of x\ny") == "of x"
     assert one(spark, T.reply_tail(F.col("t")), t="none") is None
@@ -96,7 +171,7 @@ def test_reply_tail(spark):
 
 def test_html_text(spark):
     page = "<html><head><title>x</title></head><body><!-- a <b> --><p>A&amp;B <b>c</b></p><script>var t='</p>';</script> &lt;d&gt;</body>"
-    assert one(spark, T.html_text(F.col("t")), t=page) == "A&B c <d>"
+    assert one(spark, html_text(F.col("t")), t=page) == "A&B c <d>"
 
 
 @pytest.mark.parametrize(
@@ -113,7 +188,47 @@ def test_html_text(spark):
     ],
 )
 def test_html_text_cases(spark, page, text):
-    assert one(spark, T.html_text(F.col("t")), t=page) == text
+    assert one(spark, html_text(F.col("t")), t=page) == text
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<a title="1 > 0">go</a>', "go"),
+        ("<a title='>' href=x\"y>z</a>", "z"),
+        ("a < b <c> d", "a < b d"),
+        ("<p hidden>x<p>y", "y"),
+        ("<ul><li HIDDEN=until-found>a<ul><li>b</ul><li>c</ul>", "c"),
+        ("<section><b hidden>q</section>r", "r"),
+        ("<div hidden><div>x</div>y</div>z", "z"),
+        ("<img alt='a>b' hidden>c<br hidden>d", "c d"),
+        ('<p data-hidden="hidden" title="hidden">s', "s"),
+        ("x<template><p>t</p></template>y", "x y"),
+        ('<a href="x>go</a> more', "go more"),
+        ("x<!-->y<!--a--!>z<!-- never closed", "x y z"),
+        ("<!DOCTYPE html><?xml a?>x</ y>z</>", "x z"),
+        ("<textarea><b>&amp;</textarea>t", "<b>& t"),
+        ("<title>T<b></title>u<title>", "u"),
+        ("<script/>a</script >b", "b"),
+        ("shown<a href=never", "shown"),
+        ("&copy;&copy &notit; &hellip;&CounterClockwiseContourIntegral;", "©&copy &notit; …∳"),
+        ("</p></p>x<b><i></b>y</i>", "x y"),
+        ("", ""),
+        ("<", "<"),
+        ("<a", ""),
+    ],
+)
+def test_pages_as_browsers_read_them(spark, page, text):
+    assert visible_text(page) == text
+    assert one(spark, html_text(F.col("t")), t=page) == text
+
+
+def test_html_text_of_odd_pages(spark):
+    assert one(spark, html_text(F.col("t")), t=None) is None
+    assert visible_text("<b>" * 50_000 + "x" + "</b>" * 50_000) == "x"
+    assert visible_text("</i>" * 50_000 + "<p hidden>" + "<b>" * 50_000) == ""
+    assert visible_text("<a " + "x=1 " * 50_000 + ">y") == "y"
+    assert visible_text("<a " + '"' * 50_001) == "" and visible_text("<!--" * 20_000) == ""
 
 
 def test_founders(spark):
