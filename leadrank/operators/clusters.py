@@ -1,65 +1,212 @@
-"""K-means, assignment to centroids, silhouettes."""
+"""K-means, assignment to centroids, silhouettes.
+
+Everything is deterministic: fits start from a coreset, the vectors with the
+smallest digests of their ids, so a run on other partitions or machines gives
+the same clusters.
+"""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType
 
-from leadrank.functions.vectors import map_vectors
+from leadrank.functions.vectors import map_vectors, matrix_of
+from leadrank.operators.keys import MAX_KEY_BYTES
 from leadrank.session import Reuse
 
-MAX_CENTROIDS = 4096
-BLOCK_ROWS = 256
+#: Vectors of a coreset, and assign-and-average steps of a fit at most.
+CORESET_ROWS, STEPS = 4096, 10
+#: Rows whose Euclidean silhouette a sweep takes, each against all rows.
+SAMPLE_ROWS = 1024
+#: Rows that are compared with centroids or with each other at once.
+SLICE_ROWS = 512
+#: Rows of one tile of the exact silhouette.
+BLOCK_ROWS = 8192
+#: Sample rows whose sums travel together.
+GROUP_ROWS = 16
 
 
-def _features(rows: DataFrame, row_id: str, vec: str) -> DataFrame:
-    usable = rows.where(F.col(vec).isNotNull())
-    return usable.select(row_id, array_to_vector(F.col(vec).cast("array<double>")).alias("features"))
+def _usable(rows: DataFrame, row_id: str, vec: str) -> DataFrame:
+    kept = rows.where(F.col(vec).isNotNull())
+    return kept.select(F.col(row_id).alias("id"), F.col(vec).cast("array<double>").alias("vec"))
 
 
-def kmeans(rows: DataFrame, row_id: str, vec: str, k: int, seed: int = 0, reuse: Reuse | None = None):
-    """Fit k clusters; returns the model and ``(row_id, cluster)``."""
-    features = (reuse or Reuse()).keep(_features(rows, row_id, vec))
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(features)
-    return model, model.transform(features).select(row_id, "cluster")
+def _digest(seed: int):
+    return F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))).cast("binary"), 256)
+
 
+def coreset(rows: DataFrame, seed: int, size: int):
+    """The vectors with the smallest digests of ``seed`` and id, in that order, as a matrix.
+
+    Each task keeps its smallest, and the smallest of those are the smallest of
+    all, whatever the partitions.
+    """
+    import numpy as np
+
+    first = rows.select(_digest(seed).alias("_d"), "id", "vec").orderBy("_d", "id").limit(size).collect()
+    found = sorted(((r["_d"], str(r["id"]), r["vec"]) for r in first), key=lambda r: r[:2])
+    return np.array([r[2] for r in found], dtype=np.float64).reshape(len(found), -1 if found else 0)
+
+
+def _costs(x, centres):
+    """Squared distances but for |x|^2, which is the same for all centroids."""
+    return (centres * centres).sum(axis=1) - 2.0 * (x @ centres.T)
+
+
+def _weights(rows: DataFrame, points):
+    """For each point the number of rows it is nearest to."""
+    import numpy as np
 
-def nearest(centroids: list[list[float]]):
+    placed = map_vectors(rows, [], "vec", _nearest(rows, points), "at", IntegerType())
+    out = np.zeros(len(points), np.int64)
+    for r in placed.groupBy("at").agg(F.count(F.lit(1)).alias("n")).collect():
+        out[r["at"]] = r["n"]
+    return out
+
+
+def _nearest(rows: DataFrame, centres):
     """For ``map_vectors``: index of the nearest centroid, the first in a tie."""
+    sent = rows.sparkSession.sparkContext.broadcast(centres)
 
     def compute(x, _):
         import numpy as np
         import pyarrow as pa
 
-        c = np.asarray(centroids, dtype=np.float64)
-        # |x|^2 is the same for all centroids and cannot change the order.
-        cost = (c * c).sum(axis=1) - 2.0 * (x @ c.T)
-        return pa.array(cost.argmin(axis=1).astype(np.int32))
+        parts = [_costs(x[a : a + SLICE_ROWS], sent.value).argmin(axis=1) for a in range(0, len(x), SLICE_ROWS)]
+        return pa.array(np.concatenate(parts).astype(np.int32))
 
     return compute
 
 
+def seeds(points, weights, k: int):
+    """Starting centroids: the heaviest point, then each time the one with the largest weight times squared distance."""
+    import numpy as np
+
+    at = int(weights.argmax())
+    chosen = [at]
+    gaps = ((points - points[at]) ** 2).sum(axis=1)
+    for _ in range(min(k, len(points)) - 1):
+        at = int((weights * gaps).argmax())
+        chosen.append(at)
+        gaps = np.minimum(gaps, ((points - points[at]) ** 2).sum(axis=1))
+    return points[chosen]
+
+
+def _sums(rows: DataFrame, sets: list) -> list:
+    """For each set of centroids: number of rows, vector sum and sum of squared norms by nearest centroid.
+
+    One pass for all sets. A task passes on one row per centroid.
+    """
+    import numpy as np
+
+    sent = rows.sparkSession.sparkContext.broadcast(sets)
+    offsets = np.cumsum([0, *(len(c) for c in sets)])
+
+    def run(batches):
+        import pyarrow as pa
+
+        total = int(sum(len(c) for c in sent.value))
+        dims = sent.value[0].shape[1]
+        every = np.concatenate(sent.value)
+        ends = np.cumsum([0, *(len(c) for c in sent.value)])
+        counts, sums, squares = np.zeros(total, np.int64), np.zeros((total, dims)), np.zeros(total)
+        for batch in batches:
+            whole = matrix_of(batch.column(0))
+            for a in range(0, len(whole), SLICE_ROWS):
+                x = whole[a : a + SLICE_ROWS]
+                costs, norms = _costs(x, every), (x * x).sum(axis=1)
+                for start, end in zip(ends, ends[1:]):
+                    at = start + costs[:, start:end].argmin(axis=1)
+                    order = np.argsort(at, kind="stable")
+                    names, first = np.unique(at[order], return_index=True)
+                    sums[names] += np.add.reduceat(x[order], first, axis=0)
+                    squares += np.bincount(at, norms, total)
+                    counts += np.bincount(at, minlength=total)
+        held = np.flatnonzero(counts)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(held) + 1) * dims, dims, dtype=np.int32)), pa.array(sums[held].ravel()))
+        yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(counts[held]), lists, pa.array(squares[held])], names=["slot", "n", "sum", "q"])
+
+    parts = rows.select("vec").mapInArrow(run, "slot int, n bigint, sum array<double>, q double")
+    added = parts.groupBy("slot").agg(F.sum("n").alias("n"), Summarizer.sum(array_to_vector("sum")).alias("sum"), F.sum("q").alias("q"))
+    # As many rows as there are centroids.
+    found = {r["slot"]: r for r in added.select("slot", "n", vector_to_array("sum").alias("sum"), "q").collect()}
+    out = []
+    for start, centres in zip(offsets[:-1].tolist(), sets, strict=True):
+        counts, sums, squares = np.zeros(len(centres), np.int64), np.zeros(centres.shape), np.zeros(len(centres))
+        for k in range(len(centres)):
+            if start + k in found:
+                row = found[start + k]
+                counts[k], sums[k], squares[k] = row["n"], row["sum"], row["q"]
+        out.append((counts, sums, squares))
+    return out
+
+
+def fit(rows: DataFrame, ks: list[int], seed: int = 0, steps: int = STEPS, coreset_rows: int = CORESET_ROWS) -> list:
+    """Centroids for each number of clusters, from ``(id, vec)`` rows; all fits share each pass.
+
+    ``steps`` assign-and-average steps from the seeds of a weighted coreset, or
+    fewer where nothing moves any more. A cluster that loses all its rows keeps its
+    centroid.
+    """
+    import numpy as np
+
+    points = coreset(rows, seed, coreset_rows)
+    if not len(points):
+        return [points.reshape(0, 0) for _ in ks]
+    every = seeds(points, _weights(rows, points), max(ks))
+    # Seeds come one after the other, so fewer clusters start from the first of them.
+    now = [every[:k] for k in ks]
+    live = list(range(len(ks)))
+    for _ in range(steps):
+        if not live:
+            break
+        for k, (counts, sums, _) in zip(list(live), _sums(rows, [now[k] for k in live]), strict=True):
+            moved = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], now[k])
+            if np.abs(moved - now[k]).max() <= 1e-12:
+                live.remove(k)
+            now[k] = moved
+    return now
+
+
+def kmeans(rows: DataFrame, row_id: str, vec: str, k: int, seed: int = 0, reuse: Reuse | None = None):
+    """Fit k clusters; returns the centroids and ``(row_id, cluster)``.
+
+    Fewer rows than clusters give fewer clusters, rows without a vector none.
+    """
+    usable = (reuse or Reuse()).keep(_usable(rows, row_id, vec))
+    (centres,) = fit(usable, [k], seed)
+    if not len(centres):
+        return centres, usable.select(F.col("id").alias(row_id), F.lit(0).alias("cluster")).limit(0)
+    placed = map_vectors(usable, ["id"], "vec", _nearest(usable, centres), "cluster", IntegerType())
+    return centres, placed.withColumnRenamed("id", row_id)
+
+
 def centroid_rows(centroids: DataFrame) -> list[tuple[int, list[float]]]:
-    """``(cluster, vec)`` rows on the driver in cluster order; size-checked."""
-    rows = centroids.select("cluster", F.col("vec").cast("array<double>").alias("vec")).limit(MAX_CENTROIDS + 1).collect()
-    if len(rows) > MAX_CENTROIDS:
-        raise ValueError(f"more than {MAX_CENTROIDS} centroids")
-    return sorted((row.cluster, list(row.vec)) for row in rows)
+    """``(cluster, vec)`` rows on the driver in cluster order; their bytes are checked first."""
+    rows = centroids.select("cluster", F.col("vec").cast("array<double>").alias("vec"))
+    size = rows.agg(F.sum(F.size("vec").cast("bigint") * 8 + 16)).first()[0] or 0
+    if size > MAX_KEY_BYTES:
+        raise ValueError(f"centroids of {size} bytes are more than may be sent to every task")
+    return sorted((row.cluster, list(row.vec)) for row in rows.collect())
 
 
-def _assigned(
-    rows: DataFrame, keep: list[str], vec: str, current: list[tuple[int, list[float]]]
-) -> DataFrame:
-    names = F.array(*[F.lit(c) for c, _ in current])
+def _assigned(rows: DataFrame, keep: list[str], vec: str, current: list[tuple[int, list[float]]]) -> DataFrame:
+    import numpy as np
+
     usable = rows.where(F.col(vec).isNotNull())
-    placed = map_vectors(usable, keep, vec, nearest([v for _, v in current]), "_at", IntegerType())
-    return placed.select(*keep, F.get(names, "_at").alias("cluster"))
+    nearest = _nearest(rows, np.array([v for _, v in current], dtype=np.float64))
+    names = rows.sparkSession.sparkContext.broadcast(np.array([c for c, _ in current], dtype=np.int32))
+
+    def compute(x, batch):
+        import pyarrow as pa
+
+        return pa.array(names.value[nearest(x, batch).to_numpy()])
+
+    return map_vectors(usable, keep, vec, compute, "cluster", IntegerType())
 
 
 def assign(rows: DataFrame, row_id: str, vec: str, centroids: DataFrame) -> DataFrame:
@@ -89,44 +236,54 @@ def lloyd_steps(rows: DataFrame, vec: str, centroids: DataFrame, steps: int) ->
     raise ValueError("steps must be at least 1")
 
 
+def _moments(usable: DataFrame) -> tuple:
+    """Names, sizes, vector sums and sums of squared norms of the clusters of ``(label, vec)`` rows."""
+    import numpy as np
+
+    norm2 = F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x * x)
+    moments = usable.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), Summarizer.sum(array_to_vector("vec")).alias("sum"), F.sum(norm2).alias("q")
+    )
+    moments = moments.select(F.col("label").alias("cluster"), "n", vector_to_array("sum").alias("vec"), "q")
+    with Reuse() as reuse:
+        kept = reuse.keep(moments)
+        sums = dict(centroid_rows(kept))
+        others = {r["cluster"]: (r["n"], r["q"]) for r in kept.select("cluster", "n", "q").collect()}
+    names = sorted(sums)
+    return (
+        np.array(names, dtype=np.int64),
+        np.array([float(others[c][0]) for c in names]),
+        np.array([sums[c] for c in names], dtype=np.float64).reshape(len(names), -1 if names else 0),
+        np.array([others[c][1] for c in names], dtype=np.float64),
+    )
+
+
+def _labelled(rows: DataFrame, row_id: str, vec: str, label: str) -> DataFrame:
+    return rows.where(F.col(vec).isNotNull()).select(
+        F.col(row_id).alias("id"), F.col(label).cast("int").alias("label"), F.col(vec).cast("array<double>").alias("vec")
+    )
+
+
 def silhouette_squared(rows: DataFrame, row_id: str, vec: str, label: str) -> DataFrame:
     """``(row_id, label, s)`` under squared Euclidean distance, without any pairs.
 
     The mean squared distance of a row to a cluster follows from the cluster's
     size, vector sum and sum of squared norms, which are one row per cluster.
     """
-    usable = rows.where(F.col(vec).isNotNull()).select(
-        row_id, F.col(label).cast("int").alias(label), F.col(vec).cast("array<double>").alias("vec")
-    )
-    norm2 = F.aggregate("vec", F.lit(0.0), lambda acc, x: acc + x * x)
-    moments = (
-        usable.groupBy(label)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            Summarizer.sum(array_to_vector("vec")).alias("_sum"),
-            F.sum(norm2).alias("q"),
-        )
-        .select(F.col(label).alias("label"), "n", vector_to_array("_sum").alias("s"), "q")
-        .limit(MAX_CENTROIDS + 1)
-        .collect()
-    )
-    if len(moments) > MAX_CENTROIDS:
-        raise ValueError(f"more than {MAX_CENTROIDS} clusters")
-    stats = sorted((m.label, m.n, list(m.s), m.q) for m in moments)
+    usable = _labelled(rows, row_id, vec, label)
+    sent = rows.sparkSession.sparkContext.broadcast(_moments(usable))
 
     def width(x, batch):
         import numpy as np
         import pyarrow as pa
 
-        names = np.array([s[0] for s in stats])
-        sizes = np.array([float(s[1]) for s in stats])
-        sums = np.array([s[2] for s in stats])
-        squares = np.array([s[3] for s in stats])
-        own = np.searchsorted(names, np.asarray(batch.column(label)))
+        names, sizes, sums, squares = sent.value
+        own = np.searchsorted(names, np.asarray(batch.column("label")))
         totals = sizes * (x * x).sum(axis=1, keepdims=True) + squares - 2.0 * (x @ sums.T)
         return pa.array(_widths(totals, sizes, own))
 
-    return map_vectors(usable, [row_id, label], "vec", width, "s", DoubleType())
+    made = map_vectors(usable, ["id", "label"], "vec", width, "s", DoubleType())
+    return made.select(F.col("id").alias(row_id), F.col("label").alias(label), "s")
 
 
 def _widths(totals, sizes, own):
@@ -144,151 +301,242 @@ def _widths(totals, sizes, own):
     return np.where(sizes[own] > 1, s, 0.0)
 
 
+def _distances(x, y):
+    """Euclidean distances of all rows of x to all rows of y."""
+    import numpy as np
+
+    norms = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :]
+    squares = norms - 2.0 * (x @ y.T)
+    # What rounding leaves of equal vectors is no distance.
+    return np.sqrt(np.where(squares > 1e-14 * norms, squares, 0.0))
+
+
 def silhouette_exact(
     rows: DataFrame, row_id: str, vec: str, label: str, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """``(row_id, label, s)`` under plain Euclidean distance.
-
-    This measure needs the distance of every two rows, so the work grows with
-    the square of the table. Rows are packed into blocks; a task compares two
-    blocks as matrices and returns one sum per row and cluster, never pairs.
-    Use ``silhouette_squared`` for tables beyond some millions of rows.
+    """``(row_id, label, s)`` under plain Euclidean distance, of every row.
+
+    A row needs its mean distance to its own cluster and to the nearest other one.
+    The mean distance to a cluster lies between the distance to its centroid and
+    the root of that distance's square plus the cluster's variance, so clusters
+    whose lower bound is above the least upper bound of all are never compared with
+    the row, and nothing is lost. Clusters are dealt to tiles of at most about
+    ``block_rows`` rows; a row goes once to each tile of its own cluster and of those
+    left, and a tile returns one sum per row, never pairs. Where clusters are apart
+    this is far from all pairs; where they overlap it is not, and the work grows
+    with the square of the table.
     """
-    usable = rows.where(F.col(vec).isNotNull()).select(
-        F.col(row_id).alias("id"), F.col(label).cast("int").alias("label"), F.col(vec).cast("array<double>").alias("vec")
-    )
+    import numpy as np
+
+    with Reuse() as reuse:
+        usable = reuse.keep(_labelled(rows, row_id, vec, label))
+        names, sizes, sums, squares = _moments(usable)
+    usable = _labelled(rows, row_id, vec, label)
     id_type = usable.schema["id"].dataType.simpleString()
-    blocks = max(1, math.ceil(usable.count() / block_rows))
-    packed = (
-        usable.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-        .groupBy("block")
-        .agg(F.array_sort(F.collect_list(F.struct("id", "label", "vec"))).alias("r"))
-        .select("block", F.col("r.id").alias("ids"), F.col("r.label").alias("labels"), F.flatten("r.vec").alias("flat"))
-    )
-    left = packed.select(
-        F.col("ids").alias("my_ids"),
-        F.col("labels").alias("my_labels"),
-        F.col("flat").alias("my_flat"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-    )
-    pairs = left.join(packed, "block").select("my_ids", "my_labels", "my_flat", "labels", "flat")
+    centres = sums / np.maximum(sizes, 1.0)[:, None]
+    shift = sums.sum(axis=0) / max(1.0, sizes.sum()) if len(names) else np.zeros(0)
+    variances = np.maximum(squares / np.maximum(sizes, 1.0) - (centres * centres).sum(axis=1), 0.0) if len(names) else np.zeros(0)
+    tiles = np.maximum(1, np.ceil(sizes / block_rows)).astype(np.int64)
+    first = np.cumsum(tiles) - tiles
+    sent = rows.sparkSession.sparkContext.broadcast((names, sizes, centres - shift, variances, tiles, first, shift))
+    schema = f"tile bigint, query boolean, id {id_type}, label int, other int, vec array<double>"
+
+    def deal(batches):
+        import pyarrow as pa
 
-    def sums(batches):
-        import numpy as np
-        import pandas as pd
-
-        for pdf in batches:
-            for ids, own, mine, labels, theirs in pdf.itertuples(index=False):
-                x = np.asarray(mine).reshape(len(ids), -1)
-                y = np.asarray(theirs).reshape(len(labels), -1)
-                gaps = np.stack([np.sqrt(((y - row) ** 2).sum(axis=1)) for row in x])
-                for name in np.unique(labels):
-                    yield pd.DataFrame(
-                        {"id": ids, "label": own, "other": int(name), "total": gaps[:, labels == name].sum(axis=1)}
+        names, sizes, centres, variances, tiles, first, shift = sent.value
+
+        for batch in batches:
+            for a in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(a, SLICE_ROWS)
+                x = matrix_of(part.column(2)) - shift
+                own = np.searchsorted(names, np.asarray(part.column(1)))
+                gaps = _distances(x, centres)
+                at = np.arange(len(x))
+                upper = np.sqrt(gaps * gaps + variances)
+                upper[at, own] = np.inf
+                wanted = gaps <= upper.min(axis=1, keepdims=True) * (1 + 1e-9) + 1e-9
+                wanted[at, own] = True
+                # Singletons have no width to find.
+                wanted[sizes[own] <= 1] = False
+                # A cluster's rows are dealt to its tiles by a hash of their ids.
+                home = first[own] + np.asarray(part.column(3)) % tiles[own]
+                row, cluster = np.nonzero(wanted)
+                times = tiles[cluster]
+                row, cluster = np.repeat(row, times), np.repeat(cluster, times)
+                to = first[cluster] + np.arange(len(cluster)) - np.repeat(np.cumsum(times) - times, times)
+                for tile, of, other, query in ((home, at, own, False), (to, row, cluster, True)):
+                    lists = pa.ListArray.from_arrays(
+                        pa.array(np.arange(0, (len(of) + 1) * x.shape[1], x.shape[1], dtype=np.int32)), pa.array(x[of].ravel())
+                    )
+                    taken = pa.array(of)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(tile), pa.array(np.full(len(of), query)), part.column(0).take(taken), part.column(1).take(taken), pa.array(names[other].astype(np.int32)), lists],
+                        names=["tile", "query", "id", "label", "other", "vec"],
                     )
 
-    partial = pairs.mapInPandas(sums, f"id {id_type}, label int, other int, total double")
-    sizes = usable.groupBy(F.col("label").alias("other")).agg(F.count(F.lit(1)).alias("n"))
-    totals = partial.groupBy("id", "label", "other").agg(F.sum("total").alias("total")).join(sizes, "other")
+    def sums_of(batches):
+        import pyarrow as pa
+
+        now, data, ready = None, [], None
+        for batch in batches:
+            tile, query = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            cuts = np.flatnonzero((np.diff(tile) != 0) | (np.diff(query.astype(np.int8)) != 0)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(tile)], strict=True):
+                if a == b:
+                    continue
+                part = batch.slice(a, b - a)
+                if tile[a] != now:
+                    now, data, ready = tile[a], [], None
+                if not query[a]:
+                    data.append(matrix_of(part.column(5)))
+                    continue
+                if ready is None:
+                    ready = np.concatenate(data)
+                x = matrix_of(part.column(5))
+                total = np.concatenate([_distances(x[k : k + SLICE_ROWS], ready).sum(axis=1) for k in range(0, len(x), SLICE_ROWS)])
+                yield pa.RecordBatch.from_arrays([part.column(2), part.column(3), part.column(4), pa.array(total)], names=["id", "label", "other", "total"])
+
+    # The rows of a tile come before its queries. A tile without rows has no sums to give.
+    hashed = usable.withColumn("hash", F.shiftrightunsigned(F.xxhash64("id"), 1))
+    dealt = hashed.mapInArrow(deal, schema).repartition("tile").sortWithinPartitions("tile", "query")
+    partial = dealt.mapInArrow(sums_of, f"id {id_type}, label int, other int, total double")
+    totals = partial.groupBy("id", "label", "other").agg(F.sum("total").alias("total"))
+    size_of = rows.sparkSession.createDataFrame([(int(c), float(n)) for c, n in zip(names, sizes)], "other int, n double")
+    weighed = totals.join(F.broadcast(size_of), "other")
     own = F.col("other") == F.col("label")
-    per_row = totals.groupBy("id", "label").agg(
-        F.max(F.when(own, F.col("total") / F.greatest(F.col("n") - 1, F.lit(1)))).alias("a"),
+    per_row = weighed.groupBy("id", "label").agg(
+        F.max(F.when(own, F.col("total") / F.greatest(F.col("n") - 1, F.lit(1.0)))).alias("a"),
         F.min(F.when(~own, F.col("total") / F.col("n"))).alias("b"),
-        F.max(F.when(own, F.col("n"))).alias("own_n"),
     )
-    s = F.when((F.col("own_n") > 1) & (F.greatest("a", "b") > 0), (F.col("b") - F.col("a")) / F.greatest("a", "b"))
-    return per_row.select(F.col("id").alias(row_id), F.col("label").alias(label), F.coalesce(s, F.lit(0.0)).alias("s"))
+    top = F.greatest("a", "b")
+    s = F.coalesce(F.when(F.col("b").isNotNull() & (top > 0), (F.col("b") - F.col("a")) / top), F.lit(0.0))
+    alone = usable.join(F.broadcast(size_of.where("n <= 1").withColumnRenamed("other", "label")), "label").select("id", "label", F.lit(0.0).alias("s"))
+    return per_row.select("id", "label", s.alias("s")).unionByName(alone).select(F.col("id").alias(row_id), F.col("label").alias(label), "s")
+
 
+def _scores_squared(usable: DataFrame, sets: list) -> list[tuple[float, float]]:
+    """Mean squared-distance silhouette of all rows under each set of centroids."""
+    import numpy as np
 
-def k_sweep(rows: DataFrame, row_id: str, vec: str, ks=range(2, 100), seed: int = 0, exact: bool = False) -> DataFrame:
-    """``(k, silhouette)`` for each k, on one stored feature table.
+    sums = _sums(usable, sets)
+    sent = usable.sparkSession.sparkContext.broadcast([(c, *s) for c, s in zip(sets, sums, strict=True)])
 
-    The squared-distance silhouette is used unless ``exact`` asks for the
-    quadratic one, which takes all pairs once for all k.
-    """
-    spark = rows.sparkSession
-    with Reuse() as reuse:
-        features = reuse.keep(
-            _features(rows, row_id, vec).withColumn("vec", vector_to_array("features"))
-        )
-        evaluator = ClusteringEvaluator(predictionCol="cluster", featuresCol="features")
-        results, centres = [], []
-        for k in ks:
-            model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(features)
-            if exact:
-                centres.append((int(k), [list(map(float, c)) for c in model.clusterCenters()]))
-            else:
-                results.append((int(k), float(evaluator.evaluate(model.transform(features)))))
-        if centres:
-            scores = _exact_scores(features.select(F.col(row_id).alias("id"), "vec"), centres).collect()
-            results = [(r["k"], r["silhouette"]) for r in sorted(scores)]
-    return spark.createDataFrame(results, "k int, silhouette double")
-
-
-def _exact_scores(rows: DataFrame, centres: list[tuple[int, list[list[float]]]], block_rows: int = 512) -> DataFrame:
-    """``(k, silhouette)``: mean Euclidean silhouette under each set of centroids.
-
-    A task keeps one block of rows, takes the distances to all others block by
-    block and adds them up by cluster for every k; it returns one sum per k.
+    def run(batches):
+        import pyarrow as pa
+
+        totals, n = np.zeros(len(sent.value)), 0
+        for batch in batches:
+            whole = matrix_of(batch.column(0))
+            for a in range(0, len(whole), SLICE_ROWS):
+                x = whole[a : a + SLICE_ROWS]
+                norms = (x * x).sum(axis=1, keepdims=True)
+                n += len(x)
+                for k, (centres, counts, vectors, squares) in enumerate(sent.value):
+                    full = counts > 0
+                    if full.sum() > 1:
+                        own = (np.cumsum(full) - 1)[_costs(x, centres).argmin(axis=1)]
+                        sizes = counts[full].astype(np.float64)
+                        totals[k] += _widths(sizes * norms + squares[full] - 2.0 * (x @ vectors[full].T), sizes, own).sum()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(totals), dtype=np.int32)), pa.array(totals), pa.array(np.full(len(totals), n))], names=["k", "s", "n"])
+
+    found = usable.select("vec").mapInArrow(run, "k int, s double, n bigint").groupBy("k").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+    scores = {r["k"]: r["s"] / r["n"] for r in found.collect() if r["n"]}
+    return [(scores.get(k, 0.0), 0.0) for k in range(len(sets))]
+
+
+def _scores_euclid(usable: DataFrame, sets: list, seed: int, sample_rows: int) -> list[tuple[float, float]]:
+    """Mean Euclidean silhouette and its standard error under each set of centroids.
+
+    The rows of a sample (all rows of a small table) are compared with every row,
+    so each width is exact and the work grows with the table, not with its
+    square. Sums by cluster are taken for all sets at once.
     """
-    blocks = max(1, math.ceil(rows.count() / block_rows))
-    packed = (
-        rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-        .groupBy("block")
-        .agg(F.collect_list("vec").alias("r"))
-        .select("block", F.size("r").alias("n"), F.flatten("r").alias("flat"))
-    )
-    mine = packed.select(F.col("block").alias("home"), F.col("n").alias("my_n"), F.col("flat").alias("my_flat"))
-    theirs = packed.select("n", "flat", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("home"))
-    spread = theirs.join(mine, "home").select("home", "my_n", "my_flat", "n", "flat")
-    sent = rows.sparkSession.sparkContext.broadcast(centres)
+    import numpy as np
 
-    def sums(batches):
-        import numpy as np
+    rows = usable.count()
+    sample = coreset(usable, seed, sample_rows)
+    if not len(sample):
+        return [(0.0, 0.0) for _ in sets]
+    # Near the origin, rounding takes less from squared distances.
+    shift = sample.mean(axis=0)
+    counts = [c for c, _, _ in _sums(usable, sets)]
+    sent = usable.sparkSession.sparkContext.broadcast((sample, shift, sets))
+    groups = math.ceil(len(sample) / GROUP_ROWS)
+
+    def run(batches):
         import pyarrow as pa
 
-        sets = [(k, np.asarray(c)) for k, c in sent.value]
-
-        def labels(x):
-            return [((c * c).sum(axis=1) - 2.0 * (x @ c.T)).argmin(axis=1) for _, c in sets]
-
-        def vectors(column, i, n):
-            return column[i].values.to_numpy(zero_copy_only=False).reshape(n, -1)
-
-        def finish(own, totals, sizes):
-            made = []
-            for (k, _), at, total, size in zip(sets, own, totals, sizes, strict=True):
-                full = size > 0
-                names = np.cumsum(full) - 1
-                s = _widths(total[:, full], size[full], names[at]) if full.sum() > 1 else np.zeros(len(at))
-                made.append((k, float(s.sum()), len(at)))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([m[0] for m in made], pa.int32()), pa.array([m[1] for m in made]), pa.array([m[2] for m in made], pa.int64())],
-                names=["k", "total", "n"],
-            )
-
-        now = None
-        for rows in batches:
-            home, my_n, n = (rows.column(i).to_pylist() for i in (0, 1, 3))
-            for i in range(rows.num_rows):
-                if home[i] != now:
-                    if now is not None:
-                        yield finish(own, totals, sizes)
-                    now, x = home[i], vectors(rows.column(2), i, my_n[i])
-                    own = labels(x)
-                    totals, sizes = [np.zeros((len(x), len(c))) for _, c in sets], [np.zeros(len(c)) for _, c in sets]
-                y = vectors(rows.column(4), i, n[i])
-                gaps = np.stack([np.sqrt(((x - row) ** 2).sum(axis=1)) for row in y])
-                for at, total, size in zip(labels(y), totals, sizes, strict=True):
+        sample, shift, sets = sent.value
+        x = sample - shift
+        totals = [np.zeros((groups * GROUP_ROWS, len(c))) for c in sets]
+        for batch in batches:
+            whole = matrix_of(batch.column(0))
+            for a in range(0, len(whole), SLICE_ROWS):
+                y = whole[a : a + SLICE_ROWS]
+                gaps = _distances(y - shift, x)
+                for c, total in zip(sets, totals, strict=True):
+                    at = _costs(y, c).argmin(axis=1)
                     order = np.argsort(at, kind="stable")
-                    names, starts = np.unique(at[order], return_index=True)
-                    total[:, names] += np.add.reduceat(gaps[order], starts, axis=0).T
-                    size += np.bincount(at, minlength=len(size))
-        if now is not None:
-            yield finish(own, totals, sizes)
-
-    partial = spread.repartition("home").sortWithinPartitions("home").mapInArrow(sums, "k int, total double, n long")
-    return partial.groupBy("k").agg((F.sum("total") / F.sum("n")).alias("silhouette"))
+                    names, first = np.unique(at[order], return_index=True)
+                    total[: len(x), names] += np.add.reduceat(gaps[order], first, axis=0).T
+        for k, total in enumerate(totals):
+            flat = total.reshape(groups, -1)
+            ends = np.arange(0, flat.size + 1, flat.shape[1], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(groups, k, np.int32)), pa.array(np.arange(groups, dtype=np.int32)), lists], names=["k", "g", "sums"])
+
+    parts = usable.select("vec").mapInArrow(run, "k int, g int, sums array<double>")
+    added = parts.groupBy("k", "g").agg(Summarizer.sum(array_to_vector("sums")).alias("sums")).select("k", "g", vector_to_array("sums").alias("sums"))
+    own = [_costs(sample, c).argmin(axis=1) for c in sets]
+    told = usable.sparkSession.sparkContext.broadcast((counts, own))
+
+    def widths(batches):
+        import pyarrow as pa
+
+        counts, own = told.value
+        for batch in batches:
+            out = []
+            for k, g, sums in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                mine = own[k][g * GROUP_ROWS : (g + 1) * GROUP_ROWS]
+                full = counts[k] > 0
+                s = np.zeros(len(mine))
+                if full.sum() > 1:
+                    total = np.asarray(sums.values).reshape(GROUP_ROWS, -1)[: len(mine), full]
+                    s = _widths(total, counts[k][full].astype(np.float64), (np.cumsum(full) - 1)[mine])
+                out.append((k, float(s.sum()), float((s * s).sum())))
+            columns = list(zip(*out)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.float64()), pa.array(columns[2], pa.float64())], names=["k", "s", "q"])
+
+    found = added.mapInArrow(widths, "k int, s double, q double").groupBy("k").agg(F.sum("s").alias("s"), F.sum("q").alias("q"))
+    m, out = len(sample), [(0.0, 0.0)] * len(sets)
+    for r in found.collect():
+        mean = r["s"] / m
+        spread = max(0.0, r["q"] / m - mean * mean) * m / max(1, m - 1)
+        out[r["k"]] = (mean, math.sqrt(spread / m * (1 - m / rows)))
+    return out
+
+
+def k_sweep(
+    rows: DataFrame, row_id: str, vec: str, ks=range(2, 100), seed: int = 0, exact: bool = False, sample_rows: int = SAMPLE_ROWS
+) -> DataFrame:
+    """``(k, silhouette, error)`` for each number of clusters.
+
+    All fits share their passes. With ``exact`` the silhouette is the plain Euclidean
+    one: of all rows up to ``sample_rows`` (``error`` is 0), beyond that of as many
+    rows, each against all rows, with the standard error of their mean. Otherwise
+    it is the squared-distance one of all rows, which needs no pairs.
+    """
+    spark = rows.sparkSession
+    ks = [int(k) for k in ks]
+    with Reuse() as reuse:
+        usable = reuse.keep(_usable(rows, row_id, vec))
+        sets = fit(usable, ks, seed)
+        if not sets or not len(sets[0]):
+            scores = [(0.0, 0.0) for _ in ks]
+        else:
+            scores = _scores_euclid(usable, sets, seed, sample_rows) if exact else _scores_squared(usable, sets)
+    return spark.createDataFrame([(k, float(s), float(e)) for k, (s, e) in zip(ks, scores, strict=True)], "k int, silhouette double, error double")
 
 
 def best_k(sweep: DataFrame) -> DataFrame:

@@ -277,6 +277,99 @@ def test_the_query_sweeps_all_counts(spark, monkeypatch):
     plain = inspect.signature(clusters.k_sweep)
     monkeypatch.setattr(queries.clusters, "k_sweep", lambda *a, **k: asked.append(plain.bind(*a, **k)))
     monkeypatch.setattr(queries.X, "vectors", lambda *_: None)
+    monkeypatch.setattr(queries, "round_columns", lambda df, *names: df)
     queries.all_queries()["g4_k_sweep"](spark, "")
     asked[0].apply_defaults()
     assert list(asked[0].arguments["ks"]) == list(range(2, 100)) and asked[0].arguments["exact"]
+
+
+def lloyd(x, centres, steps=10):
+    for _ in range(steps):
+        at = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+        centres = np.stack([x[at == k].mean(axis=0) if (at == k).any() else c for k, c in enumerate(centres)])
+    return ((x[:, None, :] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+
+
+def by_digest(x, seed=0):
+    import hashlib
+
+    return np.array(sorted(range(len(x)), key=lambda i: hashlib.sha256(f"{seed}:{i}".encode()).hexdigest()))
+
+
+def test_kmeans_is_the_same_on_other_partitions(spark):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(c, 0.3, size=(40, 3)) for c in ([0, 0, 0], [4, 0, 0], [0, 4, 0], [0, 0, 4])])
+    order = by_digest(x)
+    start = clusters.seeds(x[order], np.ones(len(x), int), 4)
+    want = lloyd(x, start)
+    for parts in (1, 7):
+        _, placed = clusters.kmeans(vecs(spark, x).repartition(parts), "id", "vec", 4)
+        assert [r.cluster for r in placed.orderBy("id").collect()] == want.tolist()
+    assert len({tuple(sorted(np.flatnonzero(want == k))) for k in range(4)}) == 4
+
+
+def test_a_coreset_smaller_than_the_table(spark):
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(c, 0.2, size=(100, 2)) for c in ([0, 0], [6, 0], [0, 6])])
+    df = vecs(spark, x).repartition(5).withColumn("vec", F.col("vec").cast("array<double>"))
+    order = by_digest(x)[:20]
+    points = clusters.coreset(df, 0, 20)
+    assert np.allclose(points, x[order])
+    weights = clusters._weights(df, points)
+    near = ((x[:, None, :] - points[None]) ** 2).sum(axis=2).argmin(axis=1)
+    assert weights.tolist() == np.bincount(near, minlength=20).tolist()
+    fits = clusters.fit(df, [2, 3], coreset_rows=20)
+    assert [len(c) for c in fits] == [2, 3]
+    assert np.allclose(sorted(map(tuple, np.round(fits[1]).tolist())), [(0, 0), (0, 6), (6, 0)])
+
+
+def test_few_rows_and_no_rows(spark):
+    df = vecs(spark, [[0.0, 1.0], [2.0, 3.0]])
+    assert sorted(r.cluster for r in clusters.kmeans(df, "id", "vec", 5)[1].collect()) == [0, 1]
+    empty = df.limit(0)
+    assert clusters.kmeans(empty, "id", "vec", 3)[1].collect() == []
+    assert [tuple(r) for r in clusters.k_sweep(empty, "id", "vec", [2, 3], exact=True).collect()] == [(2, 0.0, 0.0), (3, 0.0, 0.0)]
+    assert [r.silhouette for r in clusters.k_sweep(df, "id", "vec", [2], exact=True).collect()] == [0.0]
+    nulls = spark.createDataFrame([(1, None)], "id long, vec array<double>")
+    assert clusters.kmeans(nulls, "id", "vec", 3)[1].collect() == []
+
+
+@pytest.mark.parametrize("apart", [0.1, 1.0, 50.0])
+@pytest.mark.parametrize("block_rows", [7, 10_000])
+def test_pruned_silhouettes(spark, apart, block_rows):
+    rng = np.random.default_rng(5)
+    labels = np.array([0] * 60 + [1] * 3 + [2] * 40 + [5] * 30 + [9])
+    x = rng.normal(size=(len(labels), 4)) + apart * rng.normal(size=(10, 4))[labels]
+    x[10:20] = x[10]
+    df = spark.createDataFrame([(i, list(map(float, v)), int(c)) for i, (v, c) in enumerate(zip(x, labels))], "id long, vec array<double>, c int").repartition(3)
+    got = [r.s for r in clusters.silhouette_exact(df, "id", "vec", "c", block_rows=block_rows).orderBy("id").collect()]
+    assert got == pytest.approx(brute_silhouette(x, labels, 1), abs=1e-6)
+
+
+def test_one_cluster_has_no_widths(spark):
+    df = spark.createDataFrame([(i, [float(i)], 3) for i in range(5)], "id long, vec array<double>, c int")
+    assert [r.s for r in clusters.silhouette_exact(df, "id", "vec", "c").collect()] == [0.0] * 5
+    assert clusters.silhouette_exact(df.limit(0), "id", "vec", "c").collect() == []
+
+
+def test_sweeps_equal_brute_force(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(150, 3))
+    df = vecs(spark, x).repartition(4)
+    order = by_digest(x)
+    for exact, power in ((True, 1), (False, 2)):
+        got = {r.k: (r.silhouette, r.error) for r in clusters.k_sweep(df, "id", "vec", [2, 3, 8], exact=exact).collect()}
+        for k in (2, 3, 8):
+            labels = lloyd(x, clusters.seeds(x[order], np.ones(150, int), k))
+            assert got[k][0] == pytest.approx(np.mean(brute_silhouette(x, labels, power)), abs=1e-6) and got[k][1] == 0
+    sampled = clusters.k_sweep(df, "id", "vec", [3], exact=True, sample_rows=40).first()
+    labels = lloyd(x, clusters.seeds(x[order], np.ones(150, int), 3))
+    widths = np.array(brute_silhouette(x, labels, 1))[order[:40]]
+    assert sampled.silhouette == pytest.approx(widths.mean(), abs=1e-6)
+    assert sampled.error == pytest.approx(widths.std(ddof=1) / np.sqrt(40) * np.sqrt(1 - 40 / 150), abs=1e-6)
+
+
+def test_more_than_four_thousand_centroids(spark):
+    df = vecs(spark, [[0.2], [4998.7]])
+    centroids = spark.createDataFrame([(i, [float(i)]) for i in range(5000)], "cluster int, vec array<double>")
+    assert sorted(r.cluster for r in clusters.assign(df, "id", "vec", centroids).collect()) == [0, 4999]
