@@ -22,7 +22,7 @@ def duckdb_views(sf_dir: str):
 
 
 def _plain(value):
-    if value is None:
+    if value is None or type(value).__name__ == "NAType":
         return None
     if hasattr(value, "item"):
         value = value.item()

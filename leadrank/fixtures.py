@@ -5,7 +5,7 @@ Every fixture covers its whole table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leadrank.functions.contacts import FIELDS, SLOTS, slot_column
 from leadrank.operators.embedding import mean_pool
@@ -107,10 +107,11 @@ def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as messages between ``c<id>@mail.example.com`` and us."""
-    turns = table(spark, sf_dir, "conversations").where(F.col("role") != "system")
+    turns = table(spark, sf_dir, "conversations")
     them = F.concat(F.lit("C"), F.col("conv_id").cast("string"), F.lit("@mail.example.com"))
     us = F.lit("me@mail.example.com")
-    outgoing = F.col("role") == "assistant"
+    # Instructions count as mail of ours.
+    outgoing = F.coalesce(F.col("role").isin("assistant", "system"), F.lit(False))
     return turns.select(
         F.format_string("%d-%d", "conv_id", "turn").alias("message_id"),
         F.col("turn").alias("sent"),
@@ -137,34 +138,25 @@ def mail_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages as nested MIME: plain part first, or inside a multipart child."""
-    from leadrank.operators.messages import PAYLOAD_TYPE
-
-    data = F.translate(F.base64(F.encode("text", "utf-8")), "+/", "-_")
-
-    def part(kind: str, body, parts=None):
-        fields = [F.lit(kind).alias("mimeType"), F.struct(body.alias("data")).alias("body")]
-        return F.struct(*fields, *([parts.alias("parts")] if parts is not None else []))
-
-    none = F.lit(None).cast("string")
-    leaf = part("text/plain", data)
-    html = part("text/html", data)
-    no_leaves = F.lit(None).cast("array<struct<mimeType:string,body:struct<data:string>>>")
-    inner = part("multipart/alternative", none, F.array(html, leaf))
-    middle_none = F.lit(None).cast(
-        "array<struct<mimeType:string,body:struct<data:string>,"
-        "parts:array<struct<mimeType:string,body:struct<data:string>>>>>"
-    )
-    flat = part("text/plain", data, middle_none)
-    nested = part("multipart/mixed", none, F.array(inner, part("text/plain", data, no_leaves)))
-    parts = F.when(F.col("from_addr") == "me@mail.example.com", F.array(flat)).otherwise(F.array(nested, flat))
-    headers = F.array(
-        F.struct(F.lit("To").alias("name"), F.element_at("to_addrs", 1).alias("value")),
-        F.struct(F.lit("Subject").alias("name"), F.concat(F.lit("Conversation "), F.col("conv_id").cast("string")).alias("value")),
-    )
-    return mail(spark, sf_dir).select(
-        "message_id", F.struct(headers.alias("headers"), parts.alias("parts")).cast(PAYLOAD_TYPE).alias("payload")
-    )
+    """Messages as nested MIME: plain part first, or up to ten multipart levels down."""
+    from leadrank.operators.messages import payload_of
+
+    # Spark breaks long base64 into lines; bodies have none.
+    data = F.translate(F.base64(F.encode("text", "utf-8")), "+/\r\n", "-_")
+    leaf = F.concat(F.lit('{"mimeType":"text/plain","body":{"data":"'), data, F.lit('"}}'))
+    html = F.concat(F.lit('{"mimeType":"text/html","body":{"data":"'), data, F.lit('"}}'))
+
+    def wrapped(inner: Column, _: Column) -> Column:
+        return F.concat(F.lit('{"mimeType":"multipart/mixed","body":{},"parts":['), html, F.lit(","), inner, F.lit("]}"))
+
+    levels = F.when(F.col("from_addr") == "me@mail.example.com", F.lit(0)).otherwise(1 + (F.col("conv_id") + F.col("turn")) % 10)
+    nested = F.aggregate(F.slice(F.sequence(F.lit(0), F.lit(10)), 1, levels.cast("int")), leaf, wrapped)
+    headers = F.concat(
+        F.lit('[{"name":"To","value":"'), F.element_at("to_addrs", 1),
+        F.lit('"},{"name":"Subject","value":"Conversation '), F.col("conv_id").cast("string"), F.lit('"}]'),
+    )
+    payload = F.concat(F.lit('{"headers":'), headers, F.lit(',"parts":['), nested, F.lit(","), leaf, F.lit("]}"))
+    return mail(spark, sf_dir).select("message_id", payload_of(payload).alias("payload"))
 
 
 def form_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leadrank.functions.text import clean_field, let
+from leadrank.functions.text import clean_field
 from leadrank.operators.ranking import numbered
 from leadrank.session import Reuse
 
 # The directions, in output order.
 DIRECTIONS = ("from", "to")
+#: Message columns of the wide table at most.
 MAX_WIDE = 1000
 
 
@@ -55,30 +56,41 @@ def long_table(contacts: DataFrame, messages: DataFrame, reuse: Reuse | None = N
     return indexed.join(bodies, "message_id").select("email", "direction", "message_index", "message_content")
 
 
-def wide_table(contacts: DataFrame, long: DataFrame, max_columns: int = MAX_WIDE, reuse: Reuse | None = None) -> DataFrame:
-    """``email``, ``from_1..n``, ``to_1..m``; contacts without mail kept.
-
-    The width is the largest index found. Where a direction needs more than half
-    of ``max_columns``, its mail goes on in further rows of the contact, and
-    ``row`` (from 0) numbers them; otherwise each contact has one row and there
-    is no such column.
-    """
-    long = (reuse or Reuse()).keep(long)
-    found = {r["direction"]: r["m"] for r in long.groupBy("direction").agg(F.max("message_index").alias("m")).collect()}
+def _wide(contacts: DataFrame, numbered_ids: DataFrame, with_content, max_columns: int) -> DataFrame:
+    """One row per contact and group of slots; widths come from ``numbered_ids``, content from ``with_content``."""
+    found = {r["direction"]: r["m"] for r in numbered_ids.groupBy("direction").agg(F.max("message_index").alias("m")).collect()}
     most = max(1, max_columns // len(DIRECTIONS))
-    widths = [(d, min(most, int(found.get(d) or 0))) for d in DIRECTIONS]
-    slots = [f"{d}_{i}" for d, w in widths for i in range(1, w + 1)]
+    slots = [f"{d}_{i}" for d in DIRECTIONS for i in range(1, min(most, int(found.get(d) or 0)) + 1)]
     people = contacts.select("email").distinct()
     if not slots:
-        return people
+        return people.withColumn("row", F.lit(0).cast("bigint"))
     at = F.col("message_index") - 1
-    slotted = long.withColumn("_slot", F.concat_ws("_", "direction", (at % most + 1).cast("string")))
-    if max(int(m or 0) for m in found.values()) <= most:
-        pivoted = slotted.groupBy("email").pivot("_slot", slots).agg(F.first("message_content"))
-        return people.join(pivoted, "email", "left")
-    slotted = slotted.withColumn("row", F.floor(at / most).cast("bigint"))
+    slotted = with_content(numbered_ids).select(
+        "email",
+        F.floor(at / most).cast("bigint").alias("row"),
+        F.concat_ws("_", "direction", (at % most + 1).cast("string")).alias("_slot"),
+        "message_content",
+    )
     pivoted = slotted.groupBy("email", "row").pivot("_slot", slots).agg(F.first("message_content"))
-    return people.join(pivoted, "email", "left").withColumn("row", F.coalesce("row", F.lit(0)))
+    return people.join(pivoted, "email", "left").withColumn("row", F.coalesce("row", F.lit(0).cast("bigint"))).select("email", "row", *slots)
+
+
+def wide_table(contacts: DataFrame, long: DataFrame, max_columns: int = MAX_WIDE, reuse: Reuse | None = None) -> DataFrame:
+    """``email``, ``row``, ``from_1..n``, ``to_1..m`` from a long table; contacts without mail kept.
+
+    The width is the largest index found. A contact has one row, number 0, as long
+    as no direction needs more than half of ``max_columns``; beyond that its mail
+    goes on in rows 1, 2, ... The columns are the same either way.
+    """
+    return _wide(contacts, (reuse or Reuse()).keep(long), lambda ids: ids, max_columns)
+
+
+def wide_mail(contacts: DataFrame, messages: DataFrame, max_columns: int = MAX_WIDE, reuse: Reuse | None = None) -> DataFrame:
+    """``wide_table`` straight from messages: widths come from ids alone, and bodies join once, into their slots."""
+    reuse = reuse or Reuse()
+    ids = reuse.keep(message_index(matched_ids(contacts, messages), reuse).select("email", "direction", "message_index", "message_id"))
+    bodies = messages.select("message_id", F.col("content").alias("message_content"))
+    return _wide(contacts, ids, lambda found: found.join(bodies, "message_id"), max_columns)
 
 
 def header_value(headers: Column, name: str) -> Column:
@@ -91,38 +103,40 @@ def decode_body(data: Column) -> Column:
     return F.decode(F.unbase64(F.translate(data, "-_", "+/")), "utf-8")
 
 
-def plain_text(parts: Column, depth: int = 3) -> Column:
-    """First plain-text body, depth first.
-
-    The search goes into the first multipart child only and does not come back
-    when that holds no plain text. ``depth`` is the nesting of the schema.
-    """
-
-    def is_plain(p: Column) -> Column:
-        return (p.mimeType == "text/plain") & p.body.data.isNotNull()
+def payload_of(json: Column) -> Column:
+    """A message's payload, nested to any depth, from its JSON."""
+    return F.parse_json(json)
 
-    if depth == 1:
-        first = F.get(F.filter(parts, is_plain), F.lit(0))
-        return F.coalesce(decode_body(first.body.data), F.lit(""))
 
-    def pick(p: Column) -> Column:
-        return F.when(is_plain(p), decode_body(p.body.data)).otherwise(plain_text(p.parts, depth - 1))
+def plain_text(parts: Column, steps: Column) -> Column:
+    """First plain-text body, depth first; "" where there is none.
 
-    first = F.get(F.filter(parts, lambda p: is_plain(p) | p.parts.isNotNull()), F.lit(0))
-    return F.coalesce(let(first, pick), F.lit(""))
+    ``parts`` is an array of variants. The search goes into the first multipart
+    child only and does not come back when that holds no plain text, so it is a
+    walk down: each step takes the first part that is plain text or has parts of
+    its own. ``steps`` bounds their number and may be larger than the depth.
+    """
 
+    def body(p: Column) -> Column:
+        return F.when(F.variant_get(p, "$.mimeType", "string") == "text/plain", F.variant_get(p, "$.body.data", "string"))
 
-def part_type(depth: int = 3) -> str:
-    """DDL of a MIME part nested to the given depth."""
-    inner = f",parts:array<{part_type(depth - 1)}>" if depth > 1 else ""
-    return f"struct<mimeType:string,body:struct<data:string>{inner}>"
+    def inner(p: Column) -> Column:
+        return F.variant_get(p, "$.parts", "array<variant>")
 
+    def step(state: Column, _: Column) -> Column:
+        first = F.get(F.filter(state.parts, lambda p: body(p).isNotNull() | inner(p).isNotNull()), F.lit(0))
+        down = F.struct(F.when(body(first).isNull(), inner(first)).alias("parts"), body(first).alias("data"))
+        return F.when(state.parts.isNull(), state).otherwise(down)
 
-PAYLOAD_TYPE = f"struct<headers:array<struct<name:string,value:string>>,parts:array<{part_type()}>>"
+    start = F.struct(parts.alias("parts"), F.lit(None).cast("string").alias("data"))
+    found = F.aggregate(F.sequence(F.lit(1), F.greatest(steps, F.lit(1))), start, step, lambda state: state.data)
+    return F.coalesce(decode_body(found), F.lit(""))
 
 
 def message_text(payload: Column) -> Column:
-    """``Subject: ...``, a blank line, and the plain text."""
-    return F.concat(
-        F.lit("Subject: "), header_value(payload.headers, "Subject"), F.lit("\n\n"), plain_text(payload.parts)
-    )
+    """``Subject: ...``, a blank line, and the plain text, of a payload as a variant."""
+    headers = F.variant_get(payload, "$.headers", "array<struct<name:string,value:string>>")
+    # A nested level has at least one key of that name.
+    levels = F.regexp_count(F.to_json(payload), F.lit('"parts"'))
+    parts = F.variant_get(payload, "$.parts", "array<variant>")
+    return F.concat(F.lit("Subject: "), header_value(headers, "Subject"), F.lit("\n\n"), plain_text(parts, levels.cast("int") + 1))

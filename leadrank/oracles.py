@@ -233,9 +233,9 @@ EMAIL_1 = f'"{slot_column("email", 1)}"'
 # Mail.
 
 MAIL = """
-mail AS (SELECT conv_id || '-' || turn AS message_id, turn AS sent, CASE role WHEN 'assistant' THEN 'to' ELSE 'from' END AS direction,
+mail AS (SELECT conv_id || '-' || turn AS message_id, turn AS sent, CASE WHEN role IN ('assistant', 'system') THEN 'to' ELSE 'from' END AS direction,
   'c' || conv_id || '@mail.example.com' AS email, 'Subject: Conversation ' || conv_id || chr(10) || chr(10) || text AS content
-  FROM conversations WHERE role <> 'system'),
+  FROM conversations),
 contacts AS (SELECT DISTINCT 'c' || id || '@mail.example.com' AS email FROM
   (SELECT conv_id AS id FROM conversations UNION ALL SELECT c_custkey FROM customer)),
 matched AS (SELECT email, direction, message_id, sent, content FROM mail JOIN contacts USING (email)),
@@ -254,11 +254,12 @@ def without(text: str, opening: str, closing: str) -> str:
 
 
 def visible(html: str) -> str:
+    """Text of a page by cutting: comments, elements that are not shown, then tags with their quoted values."""
     out = without(html, "<!--", "-->")
-    for element in ("script", "style"):
+    for element in ("script", "style", "title"):
         out = without(out, f"(?i)<{element}[\\s/>]", f"</{element}\\s*>")
-    out = f"regexp_replace({out}, '(?is)<head[\\s/>].*?</head\\s*>', ' ', 'g')"
-    out = f"array_to_string(list_transform(string_split({out}, '<'), lambda p, i: CASE WHEN i = 1 OR NOT contains(p, '>') THEN p ELSE ' ' || substr(p, strpos(p, '>') + 1) END), '')"
+    tag = """<(?:/?[A-Za-z](?:[^>"'']|"[^"]*"|''[^'']*'')*|[!?][^>]*)>"""
+    out = f"regexp_replace({out}, '{tag}', ' ', 'g')"
     # The entities of the test pages; the ampersand comes last.
     for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
         out = f"replace({out}, '{entity}', '{char}')"
@@ -310,6 +311,47 @@ ab AS (SELECT vec_id, label, max(CASE WHEN other = label THEN total / greatest(n
 SELECT vec_id, label, {r6('CASE WHEN own > 1 AND greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0.0 END')} AS s FROM ab"""
 
 
+def fitted(ks: str, steps: int = 10, points: int = 4096) -> str:
+    """Seeds of a weighted coreset and assign-and-average steps for each k of ``ks``; ends in ``member(k, vec_id, cluster)``."""
+    sql = f"""
+points AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('0:' || vec_id), vec_id) AS p, v FROM vecs QUALIFY p <= {points}),
+heavy AS MATERIALIZED (SELECT p, count(*) AS w FROM (SELECT vec_id, p FROM vecs, (SELECT p, v AS c FROM points)
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY list_distance(v, c), p) = 1) GROUP BY p),
+ks AS (SELECT unnest({ks}) AS k),
+grown AS (
+  SELECT 1 AS i, p, v, w, list_distance(v, first_value(v) OVER o) ** 2 AS gap, first_value(v) OVER o AS c
+  FROM points JOIN heavy USING (p) WINDOW o AS (ORDER BY w DESC, p)
+  UNION ALL
+  SELECT i + 1, p, v, w, least(gap, list_distance(v, first_value(v) OVER o) ** 2), first_value(v) OVER o
+  FROM grown WHERE i < (SELECT least(max(k), (SELECT count(*) FROM points)) FROM ks) WINDOW o AS (ORDER BY w * gap DESC, p)
+),
+m0 AS MATERIALIZED (SELECT k, i - 1 AS cluster, any_value(c) AS c FROM grown, ks WHERE i <= k GROUP BY k, i)"""
+    for n in range(steps + 1):
+        sql += f""",
+a{n} AS MATERIALIZED (SELECT k, vec_id, any_value(v) AS v, min(struct_pack(d := list_distance(v, c), cluster := cluster)).cluster AS cluster FROM vecs, m{n} GROUP BY k, vec_id)"""
+        if n < steps:
+            sql += f""",
+s{n} AS (SELECT k, cluster, list(x ORDER BY j) AS c FROM (SELECT k, cluster, j, avg(x) AS x FROM
+  (SELECT k, cluster, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM a{n}) GROUP BY ALL) GROUP BY ALL),
+m{n + 1} AS MATERIALIZED (SELECT k, cluster, coalesce(s.c, m.c) AS c FROM m{n} m LEFT JOIN s{n} s USING (k, cluster))"""
+    return sql + f""",
+member AS MATERIALIZED (SELECT k, vec_id, cluster FROM a{steps})"""
+
+
+def swept(rows: int = 1024) -> str:
+    """Mean silhouette of the first rows by digest under each fit, with its standard error."""
+    return f"""WITH RECURSIVE {VECS},{fitted("range(2, 100)")},
+taken AS (SELECT vec_id, v FROM vecs QUALIFY row_number() OVER (ORDER BY sha256('0:' || vec_id), vec_id) <= {rows}),
+far AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b, list_distance(a.v, b.v) AS d FROM taken a, vecs b),
+sums AS (SELECT k, a, cluster, sum(d) AS total, count(*) AS n FROM far JOIN member ON member.vec_id = far.b GROUP BY ALL),
+ab AS (SELECT s.k, a, max(CASE WHEN s.cluster = own.cluster THEN total / greatest(n - 1, 1) END) AS a_,
+  min(CASE WHEN s.cluster <> own.cluster THEN total / n END) AS b_, max(CASE WHEN s.cluster = own.cluster THEN n END) AS n
+  FROM sums s JOIN member own ON own.k = s.k AND own.vec_id = s.a GROUP BY s.k, a),
+w AS (SELECT k, CASE WHEN n > 1 AND greatest(a_, b_) > 0 AND b_ IS NOT NULL THEN (b_ - a_) / greatest(a_, b_) ELSE 0.0 END AS s FROM ab)
+SELECT k::INTEGER AS k, {r6('avg(s)')} AS silhouette,
+  {r6('coalesce(sqrt(var_samp(s) / count(*) * (1 - count(*) / (SELECT count(*) FROM vecs))), 0)')} AS error FROM w GROUP BY k"""
+
+
 PROMPT = (
     "'Name: ' || c_name || CASE WHEN c_acctbal > 0 THEN ', Annual revenue: ' || c_acctbal ELSE '' END"
     " || ', Starred: ' || CASE WHEN c_mktsegment = 'MACHINERY' THEN 'True' ELSE 'False' END || ', Nation: ' || c_nationkey"
@@ -409,6 +451,9 @@ SELECT company_id, name, {r6('sim')} AS sim FROM p"""
 WITH {LABELLED}, s AS (SELECT starred, prior, ({words('text')}) / 10.0::DOUBLE AS score FROM labelled)
 SELECT starred, count(*) AS n, {r6('avg(score)')} AS mean_score, {r6('stddev_samp(score)')} AS sd_score, {r6('avg(prior)')} AS mean_prior
 FROM s GROUP BY starred"""
+    q["g1_kmeans"] = f"""WITH RECURSIVE {VECS},{fitted("[10]")}
+SELECT cluster::INTEGER AS cluster, count(*) AS n FROM member GROUP BY cluster"""
+    q["g4_k_sweep"] = swept()
     q["g1_lloyd_steps"] = f"""
 WITH {VECS}, {CENTROIDS}, {lloyd('start', 'one')}, {lloyd('one', 'two')}
 SELECT cluster, n, (i - 1)::INTEGER AS dim, {r6('x')} AS v FROM two_dims"""
@@ -421,12 +466,12 @@ SELECT cluster, n, (i - 1)::INTEGER AS dim, {r6('x')} AS v FROM two_dims"""
     q["h3_choose_top_auto"] = f"WITH {CHOSEN} SELECT * FROM cut WHERE rank <= least(100, (SELECT floor(0.1::DOUBLE * count(*)) FROM docs2))"
     q["h4_index"] = f"WITH {MAIL} SELECT email, direction, message_id, message_index FROM indexed"
     q["h5_long"] = f"WITH {MAIL} SELECT email, direction, message_index, content AS message_content FROM indexed"
-    q["h6_wide"] = f"WITH {MAIL} SELECT email, " + ", ".join(
+    q["h6_wide"] = f"WITH {MAIL} SELECT email, 0::BIGINT AS row, " + ", ".join(
         f"max(content) FILTER (direction = '{d}' AND message_index = {i}) AS {d}_{i}" for d in ("from", "to") for i in (1, 2, 3, 4)
     ) + " FROM contacts LEFT JOIN indexed USING (email) GROUP BY email"
     q["h7_message_text"] = """
 SELECT conv_id || '-' || turn AS message_id, 'Subject: Conversation ' || conv_id || chr(10) || chr(10) || text AS content
-FROM conversations WHERE role <> 'system'"""
+FROM conversations"""
     q["s1_requests"] = f"WITH {FORMS} SELECT request_id, email, file_id, error FROM parsed"
     q["s2_request_parse"] = f"""
 WITH {FORMS}, {REQUEST_LINES} SELECT request_id, sector, file_id, name, weight FROM split WHERE trim(name) <> ''

@@ -396,7 +396,7 @@ def f7_label_stats(spark, sf):
 
 @query
 def g1_kmeans(spark, sf):
-    model, placed = clusters.kmeans(X.vectors(spark, sf), "vec_id", "vec", 10)
+    _, placed = clusters.kmeans(X.vectors(spark, sf), "vec_id", "vec", 10)
     return placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -423,7 +423,7 @@ def g3_silhouette_squared(spark, sf):
 
 @query
 def g4_k_sweep(spark, sf):
-    return clusters.k_sweep(X.vectors(spark, sf), "vec_id", "vec", exact=True)
+    return round_columns(clusters.k_sweep(X.vectors(spark, sf), "vec_id", "vec", exact=True), "silhouette", "error")
 
 
 # Order, cuts, mail tables
@@ -475,7 +475,7 @@ def h5_long(spark, sf):
 
 @query
 def h6_wide(spark, sf):
-    return messages.wide_table(X.mail_contacts(spark, sf), _long(spark, sf))
+    return messages.wide_mail(X.mail_contacts(spark, sf), X.mail(spark, sf))
 
 
 @query

@@ -6,10 +6,11 @@ import io
 import pytest
 
 import __spark_entry__ as entry
+from leadrank import oracles, queries
 from leadrank.compare import differences, duckdb_views
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = queries.all_queries()
+ORACLES = oracles.all_oracles()
 ROWS_ONLY = {"g1_kmeans", "g4_k_sweep"}
 
 
@@ -42,6 +43,11 @@ def test_query(spark, sf, con, name):
         assert differences(ours, con.execute(ORACLES[name]).df()) == ""
 
 
+def test_the_entry_registers_them():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_entry(spark):
     rows = entry.entry(spark)
     assert rows.columns == ["vec_id", "keyword_score", "sector_score", "score", "rank"]

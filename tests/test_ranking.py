@@ -89,12 +89,16 @@ def test_long_table(spark):
 def test_wide_table(spark):
     long = messages.long_table(people(spark), mail(spark))
     wide = messages.wide_table(people(spark), long)
-    assert wide.columns == ["email", "from_1", "from_2", "to_1"]
-    assert sorted(tuple(r) for r in wide.collect()) == [
-        ("ann@x.com", "c2", "c1", "c3"),
-        ("bo@x.com", None, None, "c2"),
-        ("cy@x.com", None, None, None),
-    ]
+    assert wide.columns == ["email", "row", "from_1", "from_2", "to_1"]
+    want = [("ann@x.com", 0, "c2", "c1", "c3"), ("bo@x.com", 0, None, None, "c2"), ("cy@x.com", 0, None, None, None)]
+    assert sorted(tuple(r) for r in wide.collect()) == want
+    direct = messages.wide_mail(people(spark), mail(spark))
+    assert direct.columns == wide.columns and sorted(tuple(r) for r in direct.collect()) == want
+    cut = {(r.email, r.row): r for r in messages.wide_mail(people(spark), mail(spark), max_columns=2).collect()}
+    assert set(cut) == {("ann@x.com", 0), ("ann@x.com", 1), ("bo@x.com", 0), ("cy@x.com", 0)}
+    assert (cut["ann@x.com", 0].from_1, cut["ann@x.com", 1].from_1, cut["ann@x.com", 0].to_1) == ("c2", "c1", "c3")
+    none = messages.wide_mail(people(spark), mail(spark).limit(0))
+    assert none.columns == ["email", "row"] and none.count() == 3
 
 
 def test_wide_table_goes_on_in_further_rows(spark):
@@ -126,7 +130,7 @@ def payload(spark, parts):
 
     record = {"headers": [{"name": "To", "value": "x"}, {"name": "Subject", "value": "Hi"}], "parts": parts}
     df = spark.createDataFrame([(json.dumps(record),)], "j string")
-    parsed = df.select(F.from_json("j", messages.PAYLOAD_TYPE).alias("p"))
+    parsed = df.select(messages.payload_of(F.col("j")).alias("p"))
     return parsed.select(messages.message_text(F.col("p")).alias("t")).first().t
 
 
@@ -150,6 +154,44 @@ def test_message_text(spark):
     assert payload(spark, None) == "Subject: Hi\n\n"
 
 
+def extracted(parts):
+    """A recursive reading of the same rule."""
+    import base64
+
+    for p in parts or []:
+        if p["mimeType"] == "text/plain" and "data" in p["body"]:
+            return base64.urlsafe_b64decode(p["body"]["data"]).decode()
+        if "parts" in p:
+            return extracted(p["parts"])
+    return ""
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_message_text_at_any_depth(spark, seed):
+    import json
+    import random
+
+    rng = random.Random(seed)
+
+    def tree(depth):
+        parts = []
+        for _ in range(rng.randint(1, 3)):
+            kind = rng.choice(["text/plain", "text/html", "multipart/mixed"])
+            if depth and kind == "multipart/mixed":
+                parts.append(part(kind, None, tree(depth - 1)))
+            else:
+                parts.append(part(kind, f"{kind} {depth} {rng.random()}" if rng.random() < 0.7 else None))
+        return parts
+
+    deep = [part("text/plain", "the bottom")]
+    for _ in range(12):
+        deep = [part("text/html", "no"), part("multipart/mixed", None, deep)]
+    payloads = [deep, [], [part("multipart/mixed", None, [])]] + [tree(10) for _ in range(20)]
+    rows = [(i, json.dumps({"headers": [], "parts": p})) for i, p in enumerate(payloads)]
+    df = spark.createDataFrame(rows, "i int, j string").select("i", messages.message_text(messages.payload_of(F.col("j"))).alias("t"))
+    assert {r.i: r.t for r in df.collect()} == {i: "Subject: \n\n" + extracted(p) for i, p in enumerate(payloads)}
+
+
 def web(spark):
     rows = [
         (1, "https://A.example.com/fr/home", "<p>and the</p>"),
@@ -181,8 +223,7 @@ def test_site_scores_equal_scores_of_the_whole_text(spark, monkeypatch, blocked)
     from leadrank.sources.keywords import keyword_table
 
     if blocked:
-        monkeypatch.setattr(phrases, "local_keys", lambda *a, **k: None)
-        monkeypatch.setattr(phrases, "UNROLLED_KEYS", 1)
+        monkeypatch.setattr(phrases, "MAX_KEY_BYTES", 70)
     keys = keyword_table(spark, {"and the": 10, "none": 1})
     got = sorted((r.site, r.score, r.density) for r in sites.site_scores(web(spark), keys).collect())
     # Pages joined by line breaks: a phrase cannot run over one. The length holds one space.
