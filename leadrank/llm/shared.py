@@ -35,25 +35,53 @@ def crc_mod(key: str, n: int) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % n
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme that Spark would give it; call this on the driver.
+
+    A path without a scheme belongs to the cluster's default file system, which
+    need not be the local one.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    made = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return made.rstrip("/")
+
+
 def open_fs(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a URI; a plain path is a local one."""
-    if "://" in uri or uri.startswith("file:"):
+    if uri.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    if "://" in uri:
         return fs.FileSystem.from_uri(uri)
     return fs.LocalFileSystem(), uri
 
 
 def put(folder: str, name: str, parts: Iterable[bytes]) -> str:
-    """Write a file in the folder; it appears under its name when whole."""
+    """Write a file in the folder; it appears under its name when whole.
+
+    A name that is there already stays: it holds what another attempt of the same
+    task wrote.
+    """
     system, path = open_fs(folder)
     system.create_dir(path, recursive=True)
     draft = f"{path}/.{name}.{uuid.uuid4().hex}"
     with system.open_output_stream(draft) as out:
         for part in parts:
             out.write(part)
-    system.move(draft, f"{path}/{name}")
+    if system.get_file_info(f"{path}/{name}").type == fs.FileType.NotFound:
+        system.move(draft, f"{path}/{name}")
+    else:
+        system.delete_file(draft)
     return name
 
 
+def read_if_there(folder: str, name: str) -> bytes | None:
+    """A whole file, or None where there is none."""
+    system, path = open_fs(folder)
+    if system.get_file_info(f"{path}/{name}").type == fs.FileType.NotFound:
+        return None
+    return read_range(folder, name)
+
+
 def read_range(folder: str, name: str, start: int = 0, length: int | None = None) -> bytes:
     """Bytes of a file; a negative start counts from its end."""
     system, path = open_fs(folder)

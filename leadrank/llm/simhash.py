@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from leadrank.llm.components import connected_components
 from leadrank.llm.shared import groups_of, stored
@@ -95,19 +95,24 @@ def prints_of(texts: list[str | None], shingle: int) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, print)`` of every row; the 64 bits are held as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 3, key: str = "doc_id", text: str = "text", others: list[str] | None = None) -> DataFrame:
+    """``(id, print)`` and ``others`` of every row; the 64 bits are held as a signed long."""
+    kept = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"), *(others or []))
+    schema = kept.select("id").schema.add("print", T.LongType())
+    for name in others or []:
+        schema = schema.add(kept.schema[name])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             texts = rows.column(1).to_pylist()
             for a, b in groups_of(texts):
                 prints = prints_of(texts[a:b], shingle).view(np.int64)
-                yield pa.RecordBatch.from_arrays([rows.column(0).slice(a, b - a), pa.array(prints)], names=["id", "print"])
+                same = [c.slice(a, b - a) for c in rows.columns]
+                yield pa.RecordBatch.from_arrays([same[0], pa.array(prints), *same[2:]], names=["id", "print", *rows.schema.names[2:]])
         # The worker waits for other tasks; what it does not use goes back.
         pa.default_memory_pool().release_unused()
 
-    return docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text")).mapInArrow(run, "id bigint, print bigint")
+    return kept.mapInArrow(run, schema)
 
 
 def _keyed(classes: DataFrame) -> DataFrame:
@@ -261,20 +266,23 @@ def links(classes: DataFrame, bits: int = 3, limit: int = LIMIT) -> DataFrame:
     return found.unionAll(_linked(large, [*names, "c1", "c2"], bits))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, print, component)`` of every row.
+def near_duplicates(
+    docs: DataFrame, shingle: int = 3, bits: int = 3, key: str = "doc_id", text: str = "text", others: list[str] | None = None
+) -> DataFrame:
+    """``(key, print, component, root)`` and ``others`` of every row.
 
     ``component`` is the smallest key that links reach, the row's own included.
+    ``root`` names the group itself, which repeated or null keys do not.
     """
-    prints = stored(fingerprints(docs, shingle, key, text), "simhash-prints")
+    prints = stored(fingerprints(docs, shingle, key, text, others), "simhash-prints")
     # A class is known by its fingerprint, as a repeated key may be in several.
     classes = stored(prints.groupBy("print").agg(F.min("id").alias("least")), "simhash-classes")
     roots = connected_components(links(classes.select("print", F.col("print").alias("id")), bits))
     member = classes.join(roots.withColumnRenamed("id", "print"), "print", "left")
     member = member.select("print", "least", F.coalesce("component", "print").alias("root"))
     named = member.groupBy("root").agg(F.min("least").alias("component"))
-    of_class = member.join(named, "root").select("print", "component")
-    return prints.join(of_class, "print").select(F.col("id").alias(key), "print", "component")
+    of_class = member.join(named, "root").select("print", "component", "root")
+    return prints.join(of_class, "print").select(F.col("id").alias(key), "print", "component", "root", *(others or []))
 
 
 def hexadecimal(print_: Column) -> Column:
