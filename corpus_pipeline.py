@@ -7,21 +7,26 @@ return the columns of ``documents``:
 * quality: documents that the quality model scores below 0.3 go. The model
   learns from the labelled documents among those given; rows without an id are
   scored like all others.
-* near duplicates: of documents whose SimHash fingerprints are linked, the one
-  with the smallest doc_id stays (rows without an id stay).
-* decontamination: texts that hold 0.8 or more of a benchmark item go, whatever
-  their ids.
+* near duplicates: of documents whose SimHash fingerprints are linked, one stays:
+  the one with the smallest doc_id, one with an id before any without.
+* decontamination: documents whose text holds 0.8 or more of a benchmark item go.
 * secrets: findings are cut out of the texts; ``n_chars`` follows.
 * encoding: doc_id, the number of SentencePiece ids, and digests of the ids and
   of the decoded text.
 
-Columns beyond those of ``documents`` pass through the first four stages.
+Stages judge rows, not ids: a row is known by its file and place, so rows that
+share an id, or have none, are judged each for itself. What an operator finds
+goes to the rows as notes in the shared folder (see ``row_notes``), and texts are
+read once more but never shuffled or joined for it. Null texts count as empty:
+they are scored, linked with other empty texts, hold no item and no secret, and
+are encoded as empty. Texts of any length are worked on whole. Empty tables pass
+through. Columns beyond those of ``documents`` pass through the first four stages;
+names that start with ``__lr_`` are the pipeline's own.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -31,66 +36,56 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from leadrank.llm import decontaminate, quality, secrets, sentencepieces, simhash  # noqa: E402
 from leadrank.llm.queries import table, vocabulary  # noqa: E402
-from leadrank.llm.shared import groups_of, stored  # noqa: E402
+from leadrank.llm.row_notes import FILE, ROW, located, with_notes, without, without_rows, write_notes  # noqa: E402
+from leadrank.llm.secrets import redact  # noqa: E402
+from leadrank.llm.shared import stored  # noqa: E402
 from leadrank.session import scratch_path  # noqa: E402
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    names = docs.columns
-    # The text's digest stands for the row: equal texts get equal scores.
-    keyed = docs.withColumn("__lr_digest", F.sha2(F.col("text").cast("binary"), 256))
-    featured = stored(quality.features(keyed, others=["__lr_digest"]), "pipeline-features")
+    rows = located(docs)
+    featured = stored(quality.features(rows, others=[FILE, ROW]), "pipeline-features")
     model = quality.learn(featured, table(spark, sf_dir, "labels"))
-    bad = quality.score(featured, model).where("predicted = 0").select(F.col("doc_id").alias("__lr_id"), F.col("__lr_digest").alias("__lr_bad")).distinct()
-    bad = stored(bad, "pipeline-bad")
-    same = F.col("doc_id").eqNullSafe(F.col("__lr_id")) & F.col("__lr_digest").eqNullSafe(F.col("__lr_bad"))
-    return keyed.join(bad, same, "left_anti").select(*names)
-
-
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` but for the ids in ``gone``.
-
-    The ids are a stored table, so that Spark knows its size: it broadcasts a
-    small one and no text moves; a large one is a shuffled join.
-    """
-    ids = stored(gone.select(F.col("doc_id").alias("__lr_id")).distinct(), "pipeline-gone")
-    return docs.join(ids, F.col("doc_id") == F.col("__lr_id"), "left_anti")
+    return without(rows, quality.score(featured, model).where("predicted = 0"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = simhash.near_duplicates(docs, shingle=3, bits=3)
-    return _without(docs, found.where("doc_id <> component"))
+    rows = located(docs)
+    found = stored(simhash.near_duplicates(rows, shingle=3, bits=3, others=[FILE, ROW]), "pipeline-groups")
+    # Ids first, rows without one last; the place tells equal ids apart.
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", FILE, ROW)
+    stays = found.groupBy("root").agg(F.min(place).alias("stays"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    gone = found.join(stays.select("root", "stays"), "root").where(place != F.col("stays"))
+    return without(rows, gone)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # By the text's digest: what a text holds does not depend on its id.
-    keyed = docs.withColumn("__lr_digest", F.sha2(F.col("text").cast("binary"), 256))
-    hits = decontaminate.contaminated(keyed, table(spark, sf_dir, "benchmark"), key="__lr_digest")
-    gone = stored(hits.select(F.col("__lr_digest").alias("__lr_gone")).distinct(), "pipeline-gone")
-    return keyed.join(gone, F.col("__lr_digest") == F.col("__lr_gone"), "left_anti").select(*docs.columns)
+    rows = located(docs)
+    placed = rows.withColumn("__lr_place", F.struct(FILE, ROW))
+    hits = decontaminate.contaminated(placed, table(spark, sf_dir, "benchmark"), key="__lr_place")
+    # This stage runs no Python on the executors.
+    return without_rows(rows, hits.select("__lr_place.*"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Findings are blobs' findings, so they meet the texts by address and doc_id."""
-    found = secrets.scan_versions(docs, scratch_path(spark, "pipeline-ledger"), path="doc_id")
-    found = found.where("spans <> ''").select(F.col("doc_id").alias("__lr_id"), F.col("blob").alias("__lr_blob"), F.col("spans").alias("__lr_spans")).distinct()
-    found = stored(found, "pipeline-findings")
-    address = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    same = F.col("doc_id").eqNullSafe(F.col("__lr_id")) & (F.col("__lr_at") == F.col("__lr_blob"))
-    marked = docs.withColumn("__lr_at", address).join(found, same, "left").select(*docs.columns, "__lr_spans")
-    place = docs.columns.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            texts, spans = rows.column(place).to_pylist(), rows.column(len(rows.columns) - 1).to_pylist()
-            for a, b in groups_of(texts):
-                part = rows.slice(a, b - a)
-                columns = part.columns[:-1]
-                columns[place] = pa.array(secrets.redact(texts[a:b], spans[a:b]), pa.string())
-                yield pa.RecordBatch.from_arrays(columns, names=rows.schema.names[:-1])
-
-    clean = marked.mapInArrow(run, docs.schema)
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
+    rows = located(docs)
+    placed = rows.withColumn("__lr_place", F.struct(FILE, ROW))
+    found = secrets.scan_versions(placed, scratch_path(spark, "pipeline-ledger"), path="__lr_place")
+    notes = found.where("spans <> ''").select("__lr_place.*", F.col("spans").alias("note"))
+    place, schema = docs.columns.index("text"), docs.schema
+
+    def cut(batch: pa.RecordBatch, spans: dict[int, str | None]) -> pa.RecordBatch:
+        if not spans:
+            return batch
+        texts = batch.column(place).to_pylist()
+        for k, line in spans.items():
+            texts[k] = redact([texts[k]], [line])[0]
+        columns = batch.columns
+        columns[place] = pa.array(texts, batch.schema.field(place).type)
+        return pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    clean = with_notes(rows, write_notes(notes), cut)
+    return clean.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
