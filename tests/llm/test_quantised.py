@@ -1,5 +1,3 @@
-from collections import Counter
-
 import numpy as np
 import pytest
 
@@ -10,10 +8,10 @@ from leadrank.llm.queries import all_queries
 def brute(rows, least=0.95):
     rows = [(i, v if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
     good = [k for k, (_, v) in enumerate(rows) if v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
-    sizes = Counter(len(rows[k][1]) for k in good)
-    good = [k for k in good if len(rows[k][1]) == min(sizes, key=lambda n: (-sizes[n], n))]
     out = {k: (0, i) for k, (i, _) in enumerate(rows)}
-    if good:
+    every = good
+    for size in {len(rows[k][1]) for k in every}:
+        good = [k for k in every if len(rows[k][1]) == size]
         u = np.array([rows[k][1] for k in good])
         u /= np.linalg.norm(u, axis=1)[:, None]
         near = u @ u.T >= least
@@ -65,7 +63,7 @@ def test_nothing_to_link(spark, rows):
 def test_probes_and_coded_distances_suffice(rows):
     x = quantised.unit(np.array([v for _, v in rows[:600]]))
     model = quantised.fit(x[:200], 20)
-    lists, codes, error = model.encode(x)
+    lists, codes, error, norm = model.encode(x)
     radius = np.sqrt(0.1)
     i, j = np.nonzero(x @ x.T >= 0.95)
     probed = set(zip(*(a.tolist() for a in model.probes(x, radius))))
@@ -77,6 +75,40 @@ def test_probes_and_coded_distances_suffice(rows):
         assert (np.abs(coded - true) <= error[of][None, :] + 1e-7).all()
 
 
+def test_tables_hold_the_products_of_codes(rows):
+    x = quantised.unit(np.array([v for _, v in rows[:300]]))
+    model = quantised.fit(x[:200], 9)
+    lists, codes, error, norm = model.encode(x)
+    words = np.stack([w[codes[:, j]] for j, w in enumerate(model.codebook)], axis=1).reshape(len(x), -1)[:, :24]
+    coded = model.centroids[lists] + words
+    assert np.allclose(norm, (coded**2).sum(axis=1)) and np.allclose(error, np.linalg.norm(x - coded, axis=1))
+    assert np.allclose(model.looked_up(model.tables(x[:7]), codes), x[:7] @ words.T)
+
+
+@pytest.mark.parametrize("more", [{}, {"indexes": 1}, {"indexes": 0}, {"indexes": 0, "block": 40}, {"block": 40, "lists": 6}])
+def test_mixed_lengths(spark, more):
+    rng = np.random.default_rng(8)
+    out = [(1, [1.0, 2.0]), (2, [2.0, 4.0]), (3, [1.0, 2.0, 0.0]), (4, [1.0]), (5, [3.0]), (6, [-1.0])]
+    for d, n in ((3, 330), (24, 300), (5, 90)):
+        centres = rng.normal(size=(12, d))
+        out += [(100 * d + k, (centres[rng.integers(12)] + 0.1 * rng.normal(size=d)).tolist()) for k in range(n)]
+    have = got(spark, out, **more)
+    assert have == brute(out)
+    assert have[:3] == [(1, 1, 1), (2, 1, 1), (3, have[2][1], have[2][2])]
+
+
+def test_visits_are_those_of_all_probes():
+    layout = quantised.Layout(np.array([0, 0, 1, 4]), np.array([1, 1, 3, 2]), np.zeros(4))
+    row, group = layout.visits(np.array([0, 2, 5]), np.array([0, 0, 1, 1, 2]), np.array([0, 2, 1, 3, 2]))
+    want = set()
+    for r, probes in enumerate(([0, 2], [1, 3], [2])):
+        mine = [0, 2, 5][r]
+        for g in {g for p in probes for g in range(layout.first[p], layout.first[p] + layout.count[p])}:
+            if mine == g or (mine < g) == ((mine + g) % 2 == 1):
+                want.add((r, g))
+    assert set(zip(row.tolist(), group.tolist())) == want and len(row) == len(want)
+
+
 def test_query(spark, sf):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     found = all_queries()["op1_quantised"](spark, sf).collect()
