@@ -32,6 +32,8 @@ from leadrank.llm.shared import crc_mod, groups_of, once, share
 
 LONGEST, PLACES = 3, 1 << 14
 SAMPLE_ROWS, LANDMARKS, RIDGE = 6_000, 160, 1e-2
+#: Languages that a model tells apart at most.
+MAX_LANGUAGES = 500
 UNKNOWN = "und"
 #: Characters and texts that are worked on at once.
 SLICE, ROWS = 2_000_000, 256
@@ -124,8 +126,10 @@ def held_out(key: str = "doc_id"):
     return F.coalesce(crc_mod(key, 4) == 2, F.lit(False))
 
 
-def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on rows outside the held-out fold."""
+def learn(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS, max_languages: int = MAX_LANGUAGES
+) -> Model:
+    """Fit on rows outside the held-out fold; at most ``max_languages`` languages are learned, the commonest."""
     rows = docs.where(~held_out(key)).where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     # One row per language comes to the driver.
     sizes = {r[0]: r[1] for r in rows.groupBy(lang).agg(F.count(F.lit(1))).collect()}
@@ -155,14 +159,16 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, lang_pred, score)`` of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # Arrays and names only, so that workers need not have this package.
+    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.landmarks, model.weights))
     schema = docs.select(key).schema.add("lang_pred", T.StringType()).add("score", T.DoubleType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(*sent.value)
         for rows in batches:
             texts = rows.column(1).to_pylist()
             for a, b in groups_of(texts):
-                names, scores = sent.value.predict(texts[a:b])
+                names, scores = model.predict(texts[a:b])
                 yield pa.RecordBatch.from_arrays([rows.column(0).slice(a, b - a), pa.array(names), pa.array(scores)], names=[key, "lang_pred", "score"])
 
     return docs.select(key, text).mapInArrow(run, schema)

@@ -82,32 +82,38 @@ def write_notes(notes: DataFrame) -> str:
     return folder
 
 
+def noted(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[tuple[pa.RecordBatch, dict[int, str | None]]]:
+    """In a task: batches of located rows without their places, and the notes of their rows by place in the batch."""
+    at: tuple[str, int] | None = None
+    known: dict[int, str | None] = {}
+    for batch in batches:
+        width = batch.num_columns - 2
+        files, places = batch.column(width).dictionary_encode(), batch.column(width + 1).to_pylist()
+        found = {}
+        texts = files.dictionary.to_pylist()
+        for k, (file, place) in enumerate(zip(files.indices.to_pylist(), places, strict=True)):
+            if at != (texts[file], place // RUN):
+                at = (texts[file], place // RUN)
+                data = read_if_there(folder, name_of(*at))
+                table = pa.ipc.open_file(pa.BufferReader(data)).read_all() if data else None
+                known = dict(zip(table["row"].to_pylist(), table["note"].to_pylist(), strict=True)) if table else {}
+            if place in known:
+                found[k] = known[place]
+        yield pa.RecordBatch.from_arrays(batch.columns[:width], names=batch.schema.names[:width]), found
+
+
 def with_notes(df: DataFrame, folder: str, work: Callable[[pa.RecordBatch, dict[int, str | None]], pa.RecordBatch]) -> DataFrame:
     """``work`` on each batch of ``located`` rows, with the notes of its rows by their place in the batch.
 
     ``work`` gets and returns the columns of the table itself.
     """
-    names = [c for c in df.columns if c not in (FILE, ROW)]
-    rows = df.select(*[F.col(f"`{c}`") for c in names], FILE, ROW)
+    names = [F.col(f"`{c}`") for c in df.columns if c not in (FILE, ROW)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at: tuple[str, int] | None = None
-        known: dict[int, str | None] = {}
-        for batch in batches:
-            files, places = batch.column(len(names)).dictionary_encode(), batch.column(len(names) + 1).to_pylist()
-            found = {}
-            texts = files.dictionary.to_pylist()
-            for k, (file, place) in enumerate(zip(files.indices.to_pylist(), places, strict=True)):
-                if at != (texts[file], place // RUN):
-                    at = (texts[file], place // RUN)
-                    data = read_if_there(folder, name_of(*at))
-                    table = pa.ipc.open_file(pa.BufferReader(data)).read_all() if data else None
-                    known = dict(zip(table["row"].to_pylist(), table["note"].to_pylist(), strict=True)) if table else {}
-                if place in known:
-                    found[k] = known[place]
-            yield work(pa.RecordBatch.from_arrays(batch.columns[: len(names)], names=batch.schema.names[: len(names)]), found)
-
-    return rows.mapInArrow(run, df.select(*[F.col(f"`{c}`") for c in names]).schema)
+        for batch, found in noted(batches, folder):
+            yield work(batch, found)
+
+    return df.select(*names, FILE, ROW).mapInArrow(run, df.select(*names).schema)
 
 
 def without(df: DataFrame, gone: DataFrame) -> DataFrame:

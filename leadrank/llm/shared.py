@@ -25,6 +25,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tasks_for(spark: SparkSession, items: int, each: int) -> int:
+    """Tasks for so many items: all cores while these are few, ``each`` items a task beyond that."""
+    return max(1, min(items, 2 * spark.sparkContext.defaultParallelism), -(-items // each))
+
+
 def share(key: Column, seed: str) -> Column:
     """A number in [0, 1) that depends on the key and the seed alone."""
     return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1_000_000)) / 1_000_000

@@ -10,8 +10,9 @@ decompressed frame, so one record costs two reads: the footer and one frame.
 Of records with equal payloads of at least ``min_bytes``, the one with the
 largest key is a response and the others revisit it and carry no payload. Which
 one that is comes from an aggregation on payload digests that combines before it
-shuffles; payloads move once. A group of copies of any size is no hot task, as
-revisits are short and Spark may split the join.
+shuffles. Only digests move: what a page is goes back to it as a note, and tasks
+write the pages of their own part of the table. A group of copies of any size is
+no hot task, as its rows are narrow and Spark may split their join.
 
 Tasks write each bundle whole under a name of their own attempt, and the index
 names the bundles that count; a lost executor leaves an unread file at worst.
@@ -30,15 +31,18 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from leadrank.llm.shared import batch, put, read_range, stored
+from leadrank.llm.row_notes import FILE, ROW, located, noted, write_notes
+from leadrank.llm.shared import batch, put, qualified, read_range, stored, tasks_for
 
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 FOOTER, HEADER, ENTRY = "<IBI", "<II", "<II"
 #: Bytes of records in a frame and of frames in a bundle, before and after compression.
 FRAME_BYTES, BUNDLE_BYTES = 1 << 20, 64 << 20
 LEVEL = 3
+#: Frames that a task reads back, where there are many.
+FRAMES_A_TASK = 64
 #: One date for all records keeps archives of equal tables equal.
 DATE = "1970-01-01T00:00:00Z"
 INDEX = "record string, key bigint, bundle string, frame int, offset bigint, length bigint"
@@ -163,16 +167,16 @@ def write(
     pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", payload: str = "html", min_bytes: int = 0
 ) -> DataFrame:
     """Write a record per page under ``folder`` and return the index."""
+    folder = qualified(pages.sparkSession, folder)
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
-    rows = pages.select(F.col(key).cast("bigint").alias("key"), F.col(url).cast("string").alias("url"), body.alias("body"))
-    rows = rows.withColumn("sha", F.sha1("body")).withColumn("size", F.octet_length("body"))
+    rows = located(pages).select(F.col(key).cast("bigint").alias("key"), F.col(url).cast("string").alias("url"), body.alias("body"), FILE, ROW)
+    digests = rows.select("key", FILE, ROW, F.sha1("body").alias("sha"), F.octet_length("body").alias("size"))
+    digests = stored(digests.where(F.col("size") >= min_bytes), "warc-digests")
     # Payloads with one digest and size are equal; single ones need no partner.
-    copies = rows.groupBy("sha", "size").agg(F.max("key").alias("last"), F.count(F.lit(1)).alias("n"))
-    copies = copies.where((F.col("n") > 1) & (F.col("size") >= min_bytes) & F.col("last").isNotNull())
-    copies = copies.select(F.col("sha").alias("s"), F.col("size").alias("z"), "last")
-    linked = rows.join(copies, (F.col("sha") == F.col("s")) & (F.col("size") == F.col("z")), "left")
-    other: Column = F.col("last").isNotNull() & ~F.col("key").eqNullSafe(F.col("last"))
-    linked = linked.select("key", "url", "sha", "size", F.when(~other, F.col("body")).alias("body"), F.when(other, F.col("last")).alias("refers_to"))
+    copies = digests.groupBy("sha", "size").agg(F.max("key").alias("last"), F.count(F.lit(1)).alias("n"))
+    copies = copies.where((F.col("n") > 1) & F.col("last").isNotNull()).select(F.col("sha").alias("s"), F.col("size").alias("z"), "last")
+    linked = digests.join(copies, (F.col("sha") == F.col("s")) & (F.col("size") == F.col("z")))
+    notes = write_notes(linked.where(~F.col("key").eqNullSafe(F.col("last"))).select(FILE, ROW, F.col("last").cast("string").alias("note")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, attempt, number = TaskContext.get().partitionId(), uuid.uuid4().hex[:12], 0
@@ -189,11 +193,11 @@ def write(
             bundle, entries, number = Bundle(), [], number + 1
             return out
 
-        for rows_ in batches:
-            for row in zip(*(c.to_pylist() for c in rows_.columns), strict=True):
-                key_, url_, hexa, size, data, refers = row
-                sha = base64.b32encode(bytes.fromhex(hexa)).decode()
-                record = record_bytes(key_, url_, data or b"", sha, size, refers)
+        for rows_, found in noted(batches, notes):
+            for k, (key_, url_, data) in enumerate(zip(*(c.to_pylist() for c in rows_.columns), strict=True)):
+                refers = int(found[k]) if k in found else None
+                sha, size = digest(data), len(data)
+                record = record_bytes(key_, url_, data, sha, size, refers)
                 frame, offset = bundle.add(record)
                 entries.append((record_id(key_), key_, frame, offset, len(record)))
                 if bundle.packed >= BUNDLE_BYTES:
@@ -202,7 +206,7 @@ def write(
             yield close()
 
     # The bundles are written once, when the index is.
-    return stored(linked.mapInArrow(run, INDEX), "warc-index")
+    return stored(rows.mapInArrow(run, INDEX), "warc-index")
 
 
 def read(index: DataFrame, folder: str) -> DataFrame:
@@ -212,6 +216,7 @@ def read(index: DataFrame, folder: str) -> DataFrame:
     payload that was read and must equal its header. Frames are dealt out, not
     bundles.
     """
+    folder = qualified(index.sparkSession, folder)
     frames = index.select("bundle", "frame").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,7 +247,9 @@ def read(index: DataFrame, folder: str) -> DataFrame:
                     out["payload"].append(None if revisit else payload)
                 yield batch(out, schema)
 
-    spread = frames.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame")
+    # Frames are few small rows, so a number is given: without one they would be merged into one task.
+    n = tasks_for(index.sparkSession, frames.count(), FRAMES_A_TASK)
+    spread = frames.repartition(n, "bundle", "frame").sortWithinPartitions("bundle", "frame")
     return spread.mapInArrow(
         run,
         "record string, key bigint, url string, record_type string, payload_bytes bigint, payload_digest string, refers_to bigint, payload binary",
