@@ -14,7 +14,7 @@ import codecs
 import os
 import re
 from collections.abc import Callable
-from unicodedata import is_normalized
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,19 +22,22 @@ import pyarrow.compute as pc
 
 #: Marks that may end a word of letters: those of ASCII, without digits.
 MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
-#: Letters of scripts whose letters all tools agree on: Latin, Greek, Cyrillic, kana, Han and Hangul.
-LETTERS = re.compile(
-    "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0391-\u03a1\u03a3-\u03ff\u0400-\u0481\u048a-\u052f"
-    "\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3]+)(" + f"[{re.escape(MARKS)}]*)"
+#: Letters of scripts whose letters and lower case all tools agree on, one character for one: Latin, Greek, Cyrillic,
+#: kana, Han and Hangul. Texts of these alone are composed already.
+LETTERS = (
+    "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f\u0391-\u03a1\u03a4-\u03ce\u03d8-\u03ef\u0400-\u0481\u048a-\u052f"
+    "\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
 )
-#: Letters whose lower case depends on their place or is more than one character, and the Greek ones that are symbols.
-UNLIKE = re.compile("[\u0130\u03a3\u03f0-\u03ff\u03cf-\u03d7]")
 #: How byte-level vocabularies write a space.
 SPACE = "\u0120"
-#: Runs of marks that are kept at most.
-MAX_TAILS = 100_000
-#: Chunks that are kept at most, and chunks in one call of the library.
-KEPT, JOINED = 600_000, 2_000
+#: Marks behind a word at most, and runs of marks that are kept.
+TAIL, MAX_TAILS = 8, 100_000
+#: Before chunks that are no word of letters, in the table of known ones.
+OTHER = "\0"
+#: Forms that are kept at most, and forms in one call of the library.
+KEPT, JOINED = 400_000, 2_000
+#: Characters of texts that are encoded together; more of them share more chunks.
+GROUP = 4_000_000
 
 
 def tokenizer_of(path: str):
@@ -90,21 +93,24 @@ class ChunkTable:
 
     def slots(self, chunks: list[str]) -> np.ndarray:
         """Slot of each of these distinct chunks."""
-        got = list(map(self.known.get, chunks))
-        new = [c for c, slot in zip(chunks, got, strict=True) if slot is None]
-        if not new:
-            return np.array(got, np.int64)
+        got = np.fromiter(map(self.known.get, chunks, repeat(-1)), np.int64, len(chunks))
+        unknown = np.flatnonzero(got < 0)
+        if not len(unknown):
+            return got
+        new = [chunks[k] for k in unknown.tolist()]
         if len(self.known) + len(new) > self.size:
-            kept = [(c, slot) for c, slot in zip(chunks, got, strict=True) if slot is not None]
-            old = np.array([slot for _, slot in kept], np.int64)
+            held = np.flatnonzero(got >= 0)
+            old = got[held]
             starts, sizes, ids = self.starts[old], self.sizes[old], self.ids
             self.starts, self.sizes, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
             self._append(ids[ragged(starts, np.maximum(sizes, 0))], sizes)
-            self.known = {c: k for k, (c, _) in enumerate(kept)}
+            self.known = dict(zip([chunks[k] for k in held.tolist()], range(len(held)), strict=True))
+            got[held] = np.arange(len(held))
         first = len(self.sizes)
         self._append(*self.make(new))
         self.known.update(zip(new, range(first, first + len(new)), strict=True))
-        return np.array([self.known[c] for c in chunks], np.int64)
+        got[unknown] = first + np.arange(len(new))
+        return got
 
 
 class ChunkedEncoder:
@@ -183,54 +189,66 @@ class ChunkedEncoder:
             parts.append(ids)
         return np.concatenate(parts), np.concatenate(sizes)
 
-    def _new(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and sizes of new chunks; size -1 for chunks whose text must go to the library whole."""
-        words: dict[str, int] = {}
-        others: dict[str, int] = {}
-        places, tails = [], []
-        for chunk in chunks:
-            word, tail = self.parted(chunk)
-            if word is not None:
-                places.append(words.setdefault(word, len(words)))
-                tails.append(tail)
-            else:
-                form = self.form(chunk)
-                # Others are numbered from -2 down.
-                places.append(-1 if form is None else -2 - others.setdefault(form, len(others)))
-                tails.append("")
-        place = np.array(places, np.int64)
-        place[place < -1] = len(words) - 2 - place[place < -1]
-        (ids, sizes), (more, more_sizes) = self._word_ids(list(words)), self._bulk(list(others))
+    def _new(self, forms: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and sizes of new forms; size -1 for chunks whose text must go to the library whole."""
+        other = np.array([f.startswith(OTHER) for f in forms], bool)
+        texts = [self.form(f[len(OTHER) :]) for f in forms if f.startswith(OTHER)]
+        ids, sizes = self._word_ids([f for f in forms if not f.startswith(OTHER)])
+        more, more_sizes = self._bulk([t for t in texts if t is not None])
+        place = np.empty(len(forms), np.int64)
+        place[~other] = np.arange(len(sizes))
+        good = np.array([t is not None for t in texts], bool)
+        at = np.full(len(texts), -1, np.int64)
+        at[good] = len(sizes) + np.arange(int(good.sum()))
+        place[other] = at
         ids, sizes = np.concatenate([ids, more]), np.concatenate([sizes, more_sizes])
         starts = np.cumsum(sizes) - sizes
-        new = [t for t in dict.fromkeys(tails) if t not in self.tails]
+        own = np.where(place >= 0, np.append(sizes, 0)[place], 0)
+        return ids[ragged(np.append(starts, 0)[place], own)], np.where(place >= 0, own, -1)
+
+    def word(self, words: pa.Array) -> pa.Array:
+        """Words as the vocabulary's model takes them."""
+        return words
+
+    def form(self, chunk: str) -> str | None:
+        """The text to encode for a chunk that is no word; None if it cannot stand alone."""
+        raise NotImplementedError
+
+    def parted(self, chunks: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Form of each distinct chunk, and the marks behind those that are words."""
+        words = pc.utf8_rtrim(chunks, characters=MARKS)
+        behind = pc.subtract(pc.binary_length(chunks), pc.binary_length(words)).to_numpy()
+        plain = pc.match_substring_regex(words, f"^[{LETTERS}]+$").to_numpy(zero_copy_only=False) & (behind <= TAIL) & self.plain
+        tails = np.full(len(chunks), "", object)
+        for n in range(1, TAIL + 1):
+            at = np.flatnonzero(plain & (behind == n))
+            if len(at):
+                tails[at] = pc.utf8_slice_codeunits(chunks.take(pa.array(at)), start=-n).to_pylist()
+        mask = pa.array(plain)
+        forms = pc.if_else(mask, self.word(words), pc.binary_join_element_wise(pa.scalar(OTHER), chunks, ""))
+        return forms, pa.array(tails, pa.string())
+
+    def joined(self, forms: pa.Array, tails: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct chunks, one after the other, and their sizes; -1 where a chunk has none."""
+        coded, ends = forms.dictionary_encode(), tails.dictionary_encode()
+        slots = self.cache.slots(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        names = ends.dictionary.to_pylist()
+        new = [t for t in names if t not in self.tails]
         self.tails.update(zip(new, self.whole(new), strict=True))
-        held = {t: k for k, t in enumerate(dict.fromkeys(tails))}
-        ends = [self.tails[t] for t in held]
-        end_of = np.array([held[t] for t in tails], np.int64)
-        end_sizes = np.array([len(e) for e in ends], np.int64)
+        held = [self.tails[t] for t in names]
         if len(self.tails) > MAX_TAILS:
             self.tails = {"": self.tails[""]}
-        good = place >= 0
-        own = np.zeros(len(place), np.int64)
-        own[good] = sizes[place[good]]
-        full = own + np.where(good, end_sizes[end_of], 0)
+        end_sizes = np.array([len(e) for e in held], np.int64)
+        end = ends.indices.to_numpy()
+        sizes = self.cache.sizes[slots]
+        own = np.maximum(sizes, 0)
+        behind = np.where(sizes < 0, 0, end_sizes[end])
+        full = own + behind
         to = np.cumsum(full) - full
         out = np.empty(int(full.sum()), np.uint32)
-        out[ragged(to[good], own[good])] = ids[ragged(starts[place[good]], own[good])]
-        behind = full - own
-        flat_ends = np.concatenate(ends)
-        end_starts = np.cumsum(end_sizes) - end_sizes
-        out[ragged(to[good] + own[good], behind[good])] = flat_ends[ragged(end_starts[end_of[good]], behind[good])]
-        return out, np.where(good, full, -1)
-
-    def parted(self, chunk: str) -> tuple[str | None, str]:
-        """A chunk's word, as the vocabulary's model takes it, and the marks behind it; None for any other chunk."""
-        raise NotImplementedError
-
-    def form(self, chunk: str) -> str | None:
-        """The text to encode for another chunk; None if it cannot stand alone."""
-        raise NotImplementedError
+        out[ragged(to, own)] = self.cache.ids[ragged(self.cache.starts[slots], own)]
+        out[ragged(to + own, behind)] = np.concatenate(held)[ragged((np.cumsum(end_sizes) - end_sizes)[end], behind)]
+        return out, np.where(sizes < 0, -1, full)
 
     def chunks(self, texts: pa.Array) -> pa.ListArray:
         raise NotImplementedError
@@ -246,26 +264,29 @@ class ChunkedEncoder:
         offsets = split.offsets.to_numpy().astype(np.int64)
         every = split.flatten()
         coded = every.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        heads = self.first(every.take(pa.array(offsets[:-1])).to_pylist()) or []
-        place = {c: len(distinct) + k for k, c in enumerate(dict.fromkeys(heads))}
-        # One look-up for all, as the table may be emptied for room by it.
-        known = self.cache.slots(distinct + list(place))
-        slots = known[coded.indices.to_numpy()]
+        slots = coded.indices.to_numpy().astype(np.int64)
+        forms, tails = self.parted(coded.dictionary)
+        heads = self.first(every.take(pa.array(offsets[:-1])).to_pylist())
         if heads:
-            slots[offsets[:-1]] = known[[place[c] for c in heads]]
-        sizes = self.cache.sizes[slots]
+            # First chunks have forms of their own, behind the others.
+            place = {c: len(forms) + k for k, c in enumerate(dict.fromkeys(heads))}
+            slots[offsets[:-1]] = [place[c] for c in heads]
+            forms = pa.concat_arrays([forms, pa.array([OTHER + c for c in place], pa.string())])
+            tails = pa.concat_arrays([tails, pa.array([""] * len(place), pa.string())])
+        known, own = self.joined(forms, tails)
+        starts = np.cumsum(np.maximum(own, 0)) - np.maximum(own, 0)
+        sizes = own[slots]
         odd = np.zeros(len(slots) + 1, np.int64)
         np.cumsum(sizes < 0, out=odd[1:])
         whole = np.flatnonzero(odd[offsets[1:]] > odd[offsets[:-1]])
         sizes = np.maximum(sizes, 0)
-        ids = self.cache.ids[ragged(self.cache.starts[slots], sizes)]
+        ids = known[ragged(starts[slots], sizes)]
         ends = np.concatenate([[0], np.cumsum(sizes)])[offsets]
         lengths = np.diff(ends)
         if len(whole):
             parts = np.split(ids, ends[1:-1])
-            for k, own in zip(whole.tolist(), self.whole([column[k].as_py() for k in whole.tolist()]), strict=True):
-                parts[k], lengths[k] = own, len(own)
+            for k, own_ids in zip(whole.tolist(), self.whole([column[k].as_py() for k in whole.tolist()]), strict=True):
+                parts[k], lengths[k] = own_ids, len(own_ids)
             ids = np.concatenate(parts)
         return ids, lengths
 
@@ -295,17 +316,6 @@ class ByteLevelEncoder(ChunkedEncoder):
     def mapped(self, words: list[str]) -> str:
         return SPACE + super().mapped(words).replace(" ", f" {SPACE}")
 
-    def parted(self, chunk: str) -> tuple[str | None, str]:
-        if self.plain and chunk.isascii():
-            if chunk.isalpha():
-                return chunk, ""
-            word = chunk.rstrip(MARKS)
-            if word.isalpha():
-                return word, chunk[len(word) :]
-        elif self.plain and (found := LETTERS.fullmatch(chunk)):
-            return found.groups()
-        return None, ""
-
     def form(self, chunk: str) -> str | None:
         lead = self.FIRST if chunk.startswith(self.FIRST) else "\n" if chunk.startswith("\n") else ""
         body = chunk[len(lead) :]
@@ -331,19 +341,9 @@ class WordLevelEncoder(ChunkedEncoder):
     def at_edge(self, token: str) -> bool:
         return token.endswith("</w>")
 
-    def parted(self, chunk: str) -> tuple[str | None, str]:
-        # The vocabulary has lower case only, one character at a time.
-        if self.plain and chunk.isascii():
-            if chunk.isalpha():
-                return chunk.lower(), ""
-            word = chunk.rstrip(MARKS)
-            if word.isalpha():
-                return word.lower(), chunk[len(word) :]
-        elif self.plain and (found := LETTERS.fullmatch(chunk)):
-            word, tail = found.groups()
-            if is_normalized("NFC", word) and not UNLIKE.search(word):
-                return word.lower(), tail
-        return None, ""
+    def word(self, words: pa.Array) -> pa.Array:
+        # The vocabulary has lower case only.
+        return pc.utf8_lower(words)
 
     def form(self, chunk: str) -> str | None:
         if any(s in chunk.lower() for s in self.special):

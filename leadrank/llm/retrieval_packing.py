@@ -12,12 +12,13 @@ powers of two, which need no padding.
 
 Document frequencies, the mean length and the number of items are those of all
 documents; there is one number per id of the vocabulary, so they are bounded.
-Shards hold items that lie near each other: a range shuffle orders items by the
-two terms that weigh most in them, then by a row number, so that neither a very
-common term nor a group of copies meets in one task. What is shuffled are ids at
-two bytes each where the vocabulary allows it. Every item is a possible neighbour
-of every other of its shard; a shard is closed at ``SHARD_ITEMS`` items or
-``SHARD_IDS`` ids.
+Shards hold items that lie near each other: a range shuffle orders items by their
+two rarest terms, then by a row number, so that neither a very common term nor a
+group of copies meets in one task. Rarest means last in the vocabulary, which lists
+its pieces as they were merged, commonest first; that is known before any count is.
+What is shuffled are ids at two bytes each where the vocabulary allows it. Every
+item is a possible neighbour of every other of its shard; a shard is closed at
+``SHARD_ITEMS`` items or ``SHARD_IDS`` ids.
 
 A null text is empty and holds the end id alone. Repeated and null document ids
 are documents of their own. An empty table gives no pieces. A very long document
@@ -33,17 +34,17 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from leadrank.llm.chunked_ids import WordLevelEncoder, ragged, tokenizer_of
+from leadrank.llm.chunked_ids import GROUP, WordLevelEncoder, ragged, tokenizer_of
 from leadrank.llm.shared import groups_of, once, stored
 
 WINDOW, END_ID = 2048, 1
-SHARD_ITEMS, SHARD_IDS = 4096, 4_000_000
+SHARD_ITEMS, SHARD_IDS = 1024, 4_000_000
 #: The usual parameters of BM25.
 K1, B = 1.2, 0.75
 #: Numbers of items and of their ids, beside the terms' own counts.
 ITEMS, LENGTH = -1, -2
 
-ENCODED = "doc_id bigint, ids binary, terms array<struct<term int, n bigint>>"
+ENCODED = "doc_id bigint, ids binary, lead int, second int, terms array<struct<term int, n bigint>>"
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
@@ -69,23 +70,28 @@ def encode(docs: DataFrame, tokenizer_file: str, end_id: int = END_ID, window: i
         vocabulary = max(encoder.vocabulary, end_id + 1)
         kind = np.dtype(kind_of(vocabulary))
         counts, items, length = np.zeros(vocabulary, np.int64), 0, 0
-        schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("terms", pa.list_(pa.struct([("term", pa.int32()), ("n", pa.int64())])))])
+        schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("lead", pa.int32()), ("second", pa.int32()), ("terms", pa.list_(pa.struct([("term", pa.int32()), ("n", pa.int64())])))])
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for a, b in groups_of(texts):
+            for a, b in groups_of(texts, GROUP):
                 ids, sizes = encoder.flat(texts[a:b])
-                out = []
+                out, lead, second = [], [], []
                 for own in np.split(ids.astype(kind), np.cumsum(sizes)[:-1]):
                     own = np.append(own, kind.type(end_id))
                     out.append(own.tobytes())
                     left = item_of(own, window)
+                    terms = np.unique(left)
+                    rarest = [-1, -1, *terms[-2:].tolist()]
+                    lead.append(rarest[-1])
+                    second.append(rarest[-2])
                     if len(left):
-                        counts[np.unique(left)] += 1
+                        counts[terms] += 1
                         items, length = items + 1, length + len(left)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(out, pa.binary()), pa.nulls(b - a, schema.field("terms").type)], schema=schema)
+                columns = [batch.column(0).slice(a, b - a), pa.array(out, pa.binary()), pa.array(lead, pa.int32()), pa.array(second, pa.int32())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(b - a, schema.field("terms").type)], schema=schema)
         held = np.flatnonzero(counts)
         terms = [{"term": ITEMS, "n": items}, {"term": LENGTH, "n": length}] + [{"term": t, "n": n} for t, n in zip(held.tolist(), counts[held].tolist(), strict=True)]
-        yield pa.RecordBatch.from_pylist([{"doc_id": None, "ids": None, "terms": terms}], schema=schema)
+        yield pa.RecordBatch.from_pylist([{"terms": terms}], schema=schema)
 
     made = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string")).mapInArrow(run, ENCODED)
     return stored(made.withColumn("row", F.monotonically_increasing_id()), "packing-ids")
@@ -103,14 +109,6 @@ class Statistics:
         """BM25 weight of a term that occurs ``tf`` times in an item of that length."""
         return self.idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths / self.mean))
 
-    def leading(self, ids: np.ndarray) -> tuple[int, int]:
-        """The two heaviest terms that another item holds too; -1 where there is none."""
-        terms, tf = np.unique(ids, return_counts=True)
-        shared = self.df[terms] > 1
-        terms, tf = terms[shared], tf[shared]
-        best = terms[np.argsort(-self.weights(terms, tf, np.full(len(terms), len(ids))), kind="stable")[:2]].tolist()
-        return tuple(best + [-1] * (2 - len(best)))
-
 
 class Index:
     """Inverted index of one shard: items and weights by term."""
@@ -122,7 +120,7 @@ class Index:
         pairs, tf = np.unique(of * size + np.concatenate(items), return_counts=True)
         self.item_of, terms = pairs // size, pairs % size
         weights = statistics.weights(terms, tf, lengths[self.item_of])
-        # Terms of each item, and postings of each term. A term of one item alone has no neighbour to give.
+        # Terms of each item, and postings of each term.
         self.heads = np.searchsorted(self.item_of, np.arange(len(items) + 1))
         self.names, self.terms = np.unique(terms, return_inverse=True)
         order = np.argsort(self.terms, kind="stable")
@@ -130,11 +128,17 @@ class Index:
         self.first = np.searchsorted(self.terms[order], np.arange(len(self.names) + 1))
         self.n = len(items)
 
+    def keep(self, unused: np.ndarray) -> None:
+        """Leave out the postings of items that are used; they are no neighbours any more."""
+        kept = unused[self.postings]
+        before = np.concatenate([[0], np.cumsum(kept)])
+        self.first = before[self.first]
+        self.postings, self.weights = self.postings[kept], self.weights[kept]
+
     def scores(self, item: int) -> np.ndarray:
         """BM25 score of every item of the shard for the terms of one."""
         terms = self.terms[self.heads[item] : self.heads[item + 1]]
         sizes = self.first[terms + 1] - self.first[terms]
-        terms, sizes = terms[sizes > 1], sizes[sizes > 1]
         at = ragged(self.first[terms], sizes)
         return np.bincount(self.postings[at], self.weights[at], minlength=self.n)
 
@@ -145,10 +149,13 @@ def fill(items: list[np.ndarray], statistics: Statistics, window: int = WINDOW)
     unused = np.ones(len(items), bool)
     left = np.array([len(x) for x in items], np.int64)
     begin = np.zeros(len(items), np.int64)
-    windows = []
+    windows, indexed = [], len(items)
     for seed in range(len(items)):
         if not unused[seed]:
             continue
+        if 2 * (remaining := int(unused.sum())) < indexed:
+            index.keep(unused)
+            indexed = remaining
         room = window - int(left[seed])
         pieces = [(seed, int(begin[seed]), int(left[seed]))]
         unused[seed] = False
@@ -210,16 +217,9 @@ def pack(docs: DataFrame, tokenizer_file: str, window: int = WINDOW, end_id: int
     # Arrays and numbers only: workers need not have the package to read them.
     sent = docs.sparkSession.sparkContext.broadcast((df, found.get(ITEMS, 0), found.get(LENGTH, 0)))
 
-    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        statistics = Statistics(*sent.value)
-        for batch in batches:
-            pairs = [statistics.leading(item_of(np.frombuffer(x, kind), window)) for x in batch.column(1).to_pylist()]
-            leads = [pa.array([pair[k] for pair in pairs], pa.int32()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *leads], names=["doc_id", "ids", "row", "lead", "second"])
-
-    led = encoded.where("ids is not null").select("doc_id", "ids", "row").mapInArrow(lead, "doc_id bigint, ids binary, row bigint, lead int, second int")
     order = ["lead", "second", "row"]
-    near = led.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
+    held_ids = encoded.where("ids is not null")
+    near = held_ids.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         statistics, number = Statistics(*sent.value), TaskContext.get().partitionId() << 33
