@@ -17,6 +17,41 @@ def test_held_out_accuracy(spark, sf):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in got.values())
 
 
+def plain_features(text):
+    """The features by the book."""
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    if not raw:
+        return [0.0] * len(quality.FEATURES)
+    n, words = len(raw), raw.split()
+    n_words = max(1, len(words))
+    lines = [x for x in raw.split(b"\n") if x] or [b""]
+    among = lambda low, high: sum(low <= b <= high for b in raw)
+    visible = among(33, 126)
+    letters, digits = among(65, 90) + among(97, 122), among(48, 57)
+    return [
+        np.log1p(n),
+        sum(len(w) for w in words) / n_words,
+        among(65, 90) / n,
+        (visible - letters - digits) / n,
+        sum(chr(b) in "#$%&*<=>@[\\]^_`{|}~!" for b in raw) / n,
+        digits / n,
+        sum(b > 127 for b in raw) / n,
+        len(set(words)) / n_words,
+        sum(a == b for a, b in zip(words, words[1:])) / n_words,
+        len(set(lines)) / len(lines),
+        n_words / len(lines),
+        n_words / max(1, sum(chr(b) in ".?" for b in raw)),
+    ]
+
+
+def test_features_are_those_of_a_plain_version(spark, docs_of, odd_texts):
+    texts = [*odd_texts, "A line.\nA line.\n\nWhat? No! 12%", "é" * 50, "word " * 200_000]
+    for t in texts:
+        assert np.allclose(quality.text_features(t), plain_features(t)), t
+    found = {r.doc_id: r.x for r in quality.features(docs_of(list(enumerate(texts)))).collect()}
+    assert all(np.allclose(found[i], plain_features(t)) for i, t in enumerate(texts))
+
+
 def test_scores_are_table_sums():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(600, len(quality.FEATURES)))

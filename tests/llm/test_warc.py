@@ -73,6 +73,19 @@ def test_index_and_plain_readers(spark, tmp_path):
         assert whole.startswith(b"WARC/1.1\r\n") and sum(f[2] for f in table) == len(whole)
 
 
+def test_frames_are_read_back_by_many_tasks(spark, tmp_path, monkeypatch):
+    """Tasks in proportion to frames, and no payload in a shuffle."""
+    monkeypatch.setattr(warc, "FRAME_BYTES", 2_000)
+    folder = str(tmp_path / "warc")
+    index = warc.write(pages(spark, [(i, "u", f"{i} " * 800) for i in range(60)]), folder)
+    frames = index.select("bundle", "frame").distinct().count()
+    read = warc.read(index, folder)
+    assert frames >= 60 and read.rdd.getNumPartitions() == min(frames, 2 * spark.sparkContext.defaultParallelism)
+    assert sorted(r.key for r in read.collect()) == list(range(60))
+    monkeypatch.setattr(warc, "FRAMES_A_TASK", 2)
+    assert warc.read(index, folder).rdd.getNumPartitions() == -(-frames // 2)
+
+
 def test_empty_table(spark, tmp_path):
     index = warc.write(pages(spark, []), str(tmp_path))
     assert index.count() == 0 and warc.read(index, str(tmp_path)).collect() == []
