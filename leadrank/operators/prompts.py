@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from leadrank.functions.text import let, strip
+from leadrank.functions.text import strip
+from leadrank.operators.ranking import top_n
 from leadrank.operators.rows import exploded
 
 # Chat roles.
@@ -63,28 +64,28 @@ def request_table(
 ) -> DataFrame:
     """Add ``messages``: system text, example pairs in order, then the row's prompt.
 
-    ``examples`` is a short table ``(idx, input, output)``.
+    ``examples`` is a short table ``(idx, input, output)``. All of it is part of every
+    prompt, so a prompt's size bounds it; it comes in as one row.
     """
-    shots: list[Column] = []
-    if examples is not None:
-        # All examples are part of every prompt, so a prompt's size bounds them.
-        rows = examples.select("idx", "input", "output").collect()
-        for row in sorted(rows, key=lambda r: r["idx"]):
-            shots += [message(USER, F.lit(row["input"])), message(ASSISTANT, F.lit(row["output"]))]
-    return prompts.withColumn(
-        "messages",
-        F.array(message(SYSTEM, F.lit(instructions)), *shots, message(USER, F.col(prompt))),
-    )
+    last = F.array(message(USER, F.col(prompt)))
+    first = F.array(message(SYSTEM, F.lit(instructions)))
+    if examples is None:
+        return prompts.withColumn("messages", F.concat(first, last))
+    pairs = F.array_sort(F.collect_list(F.struct("idx", "input", "output")))
+    shots = F.flatten(F.transform(pairs, lambda e: F.array(message(USER, e.input), message(ASSISTANT, e.output))))
+    shown = examples.agg(shots.alias("shots"))
+    with_shots = prompts.withColumn("_shots", shown.scalar())
+    return with_shots.withColumn("messages", F.concat(first, "_shots", last)).drop("_shots")
 
 
 def limited_result(df: DataFrame, row_id: str, n: int, column: str, result: Column) -> DataFrame:
     """All rows; ``column`` holds ``result`` for the first ``n`` by id, else null.
 
-    The id of the n-th row comes from a top-n cut and is compared with, so
-    nothing is numbered over the whole table.
+    The id of the n-th row is compared with, so only ids are ordered: in a cut that
+    combines in each task for a small ``n``, through a range shuffle for a large one.
     """
-    last = df.select(row_id).orderBy(row_id).limit(n).agg(F.max(row_id).alias("last"))
-    return df.withColumn(column, F.when(F.col(row_id) <= last.scalar(), result))
+    first = top_n(df.select(row_id), [F.asc(row_id)], n, out=None).agg(F.max(row_id).alias("last"))
+    return df.withColumn(column, F.when(F.col(row_id) <= first.scalar(), result))
 
 
 def founders(replies: DataFrame, reply_id: str, text: str) -> DataFrame:

@@ -8,6 +8,8 @@ from leadrank.session import Reuse
 
 #: Cuts of more rows than this are ranked through the range shuffle.
 ONE_TASK_ROWS = 100_000
+#: One part in so many is how far a sketch's rank may be off.
+SKETCH_ACCURACY = 20_000
 
 
 def scaled(value: Column, low: Column, high: Column) -> Column:
@@ -49,13 +51,25 @@ def combined(df: DataFrame, keyword: str, sector: str | None, combine: str = "su
     return minmax(df.withColumn("_raw", raw), {"_raw": "score"}).drop("_raw")
 
 
-def best_first(score: str, row_id: str) -> list[Column]:
+class Order(list):
+    """Order columns, best first, and the value that leads them.
+
+    ``leading`` is a number of which larger values come first and nulls last.
+    """
+
+    def __init__(self, columns: list[Column], leading: Column) -> None:
+        super().__init__(columns)
+        self.leading = leading
+
+
+def best_first(score: str, row_id: str) -> Order:
     """Order by score, best first, nulls last; the id breaks ties.
 
     Scores that agree to nine digits are ties: below that, sums taken in
     another order differ, and copies of a text would swap places between runs.
     """
-    return [F.desc_nulls_last(F.round(score, 9)), F.asc(row_id)]
+    value = F.round(score, 9)
+    return Order([F.desc_nulls_last(value), F.asc(row_id)], value)
 
 
 def _positions(df: DataFrame, order: list[Column], reuse: Reuse) -> DataFrame:
@@ -91,16 +105,43 @@ def ranked(df: DataFrame, order: list[Column], out: str = "rank", reuse: Reuse |
     return placed.withColumn(out, (F.col("_at") + 1).cast("bigint")).drop("_at")
 
 
+def survivors(df: DataFrame, leading: Column, n: int, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+    """Rows that may be among the ``n`` with the largest ``leading`` values; all of those are among them.
+
+    A mergeable quantile sketch gives a threshold a little below the cut, from one
+    number per row; a count proves that enough rows reach it. Rows that tie with
+    the threshold stay. Where no threshold is proven, the table comes back whole.
+    """
+    value = leading.cast("double")
+    kept = F.isnotnull(value) & ~F.isnan(value)
+    total = df.where(kept).count()
+    if n >= total:
+        return df
+    # The sketch's rank may be off by one part in ``accuracy`` on either side.
+    share = n / total + 2.0 / accuracy
+    while share < 1.0:
+        bound = df.where(kept).agg(F.percentile_approx(value, F.lit(1.0 - share), F.lit(accuracy)).alias("b")).first()["b"]
+        reached = F.isnan(value) | (value >= F.lit(bound))
+        if df.where(kept & (value >= F.lit(bound))).count() >= n:
+            return df.where(F.coalesce(reached, F.lit(False)))
+        share *= 2
+    return df
+
+
 def top_n(
     df: DataFrame, order: list[Column], n: int, out: str | None = "rank", reuse: Reuse | None = None
 ) -> DataFrame:
     """First ``n`` rows, with a rank that is numbered after the cut.
 
     A large ``n`` goes through the range shuffle, so that the cut never meets in
-    one task.
+    one task. Where the order says what leads it, rows that cannot make the cut are
+    left out before, and little more than ``n`` rows are shuffled.
     """
     if n > ONE_TASK_ROWS:
-        # Ranks are taken before the cut here; they are the same.
+        reuse = reuse or Reuse()
+        if isinstance(order, Order):
+            df = survivors(reuse.keep(df), order.leading, n)
+        # Those left out come after all others, so ranks are the same.
         large = ranked(df, order, out or "_rank", reuse)
         large = large.where(F.col(out or "_rank") <= n)
         return large if out else large.drop("_rank")

@@ -7,14 +7,14 @@ null similarities and scores, and count as rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StringType, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructType
 
 from leadrank.functions import vectors as V
-from leadrank.functions.text import let
-from leadrank.operators.keys import Key, local_keys, with_key_blocks
-from leadrank.operators.rows import exploded, inlined
+from leadrank.operators import keys as K
+from leadrank.operators.keys import KeyTable, key_tables
 from leadrank.session import Reuse, spread
 
 #: Rows whose similarities are computed at once.
@@ -30,11 +30,15 @@ class Dense:
     def prepared(self, rows: DataFrame) -> tuple[DataFrame, Column]:
         return rows, F.col(self.column).cast("array<double>")
 
-    def key_side(self, keys: list[Key]):
+    def tiles(self, table: KeyTable) -> list[KeyTable]:
+        """The table in parts whose matrices may be sent."""
+        return [table]
+
+    def key_side(self, tables: list[KeyTable]):
         """What a task needs of the keys."""
         import numpy as np
 
-        return V.unit_rows(np.array([k.vec for k in keys], dtype=np.float64)).T
+        return V.unit_rows(np.concatenate([t.vec for t in tables])).T
 
     @staticmethod
     def cosines(side, column):
@@ -46,13 +50,6 @@ class Dense:
             return np.full((len(rows), side.shape[1]), np.nan)
         return V.unit_rows(rows) @ side
 
-    def against_column(self, keys: Column, mode: str) -> Column:
-        vec = V.l2_normalize(F.col(self.column).cast("array<double>"))
-        return let(
-            vec,
-            lambda v: F.transform(keys, lambda k: V.similarity(V.dot(v, V.l2_normalize(k.vec)), mode)),
-        )
-
 
 @dataclass(frozen=True)
 class HashedText:
@@ -69,14 +66,18 @@ class HashedText:
     def prepared(self, rows: DataFrame) -> tuple[DataFrame, Column]:
         return spread(rows), V.term_counts(F.col(self.column), self.dims)
 
-    def key_side(self, keys: list[Key]):
+    def tiles(self, table: KeyTable) -> list[KeyTable]:
+        # A key's row of the matrix is as wide as slots are used.
+        used = len(_slots([table])[0])
+        step = max(1, K.MAX_KEY_BYTES // (8 * max(1, used)))
+        return [table.part(a, a + step) for a in range(0, max(1, len(table)), step)]
+
+    def key_side(self, tables: list[KeyTable]):
         import numpy as np
 
-        used = np.array(sorted({d for k in keys for d, _ in k.terms or ()}), dtype=np.int64)
-        matrix = np.zeros((len(used), len(keys)))
-        for at, key in enumerate(keys):
-            for d, v in key.terms or ():
-                matrix[np.searchsorted(used, d), at] += v
+        used, dim, value, key = _slots(tables)
+        matrix = np.zeros((len(used), sum(map(len, tables))))
+        np.add.at(matrix, (np.searchsorted(used, dim), key), value)
         return used, matrix
 
     @staticmethod
@@ -98,30 +99,35 @@ class HashedText:
         with np.errstate(divide="ignore", invalid="ignore"):
             return (counts @ matrix) / np.where(norm > 0, norm, np.nan)[:, None]
 
-    def against_column(self, keys: Column, mode: str) -> Column:
-        def against(counts: Column) -> Column:
-            pair = F.struct(counts.alias("hits"), V.counts_norm(counts).alias("norm"))
-            return let(
-                pair,
-                lambda p: F.transform(keys, lambda k: V.similarity(_hit_dot(k.terms, p.hits) / p.norm, mode)),
-            )
-
-        return let(V.term_counts(F.col(self.column), self.dims), against)
 
+def _slots(tables: list[KeyTable]):
+    """Slots that some key uses; and slot, value and key number of every term."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
-def _hit_dot(terms: Column, hits: Column) -> Column:
-    """Dot product of a key's terms with term counts."""
+    lists = pa.chunked_array([t.terms for t in tables]).combine_chunks() if tables else None
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0), dtype=np.int64)
+    flat = pc.list_flatten(lists)
+    dim, value = np.asarray(flat.field(0), dtype=np.int64), np.asarray(flat.field(1), dtype=np.float64)
+    return np.unique(dim), dim, value, np.repeat(np.arange(len(sizes)), sizes)
 
-    def count_at(dim: Column) -> Column:
-        return F.coalesce(F.get(F.filter(hits, lambda h: h.dim == dim), F.lit(0)).n, F.lit(0))
 
-    return F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t.v * count_at(t.dim))
+def _rounds(groups: dict[str, DataFrame], shape) -> list[dict[str, KeyTable]]:
+    """Key tables of all groups, so that those of a round may be sent together; one round where they are small."""
+    rounds: list[dict[str, KeyTable]] = [{}]
+    for name, keys in groups.items():
+        tiles = [t for table in key_tables(keys) for t in shape.tiles(table) if len(t)]
+        rounds[0] |= {name: t for t in tiles[:1]}
+        rounds += [{name: t} for t in tiles[1:]]
+    return [r for r in rounds if r]
 
 
-def _compared(rows: DataFrame, keep: list[str], keys: list[Key], shape, mode: str, finish, made: StructType) -> DataFrame:
+def _compared(rows: DataFrame, keep: list[str], keys: list[KeyTable], shape, mode: str, finish, made: StructType) -> DataFrame:
     """``finish(similarities, kept columns)`` of every batch; rows stay where they lie.
 
-    The key matrix is broadcast once; its size was checked by ``local_keys``.
+    The key matrix is broadcast once; its size was checked by ``key_tables``.
     """
     V._require_mode(mode)
     rows, column = shape.prepared(rows)
@@ -145,7 +151,7 @@ def _compared(rows: DataFrame, keep: list[str], keys: list[Key], shape, mode: st
     return kept.mapInArrow(run, schema)
 
 
-def _sims(rows: DataFrame, keep: list[str], keys: list[Key], shape, mode: str) -> DataFrame:
+def _sims(rows: DataFrame, keep: list[str], keys: list[KeyTable], shape, mode: str) -> DataFrame:
     """``keep`` columns and ``sims``, one similarity per key."""
 
     def finish(sims, kept):
@@ -154,32 +160,28 @@ def _sims(rows: DataFrame, keep: list[str], keys: list[Key], shape, mode: str) -
     return _compared(rows, keep, keys, shape, mode, finish, StructType().add("sims", ArrayType(DoubleType())))
 
 
-def _joined_sims(shape, mode: str) -> Column:
-    """Similarities to the keys of a block; nulls for a row without a vector."""
-    return F.coalesce(
-        shape.against_column(F.col("keys"), mode), F.transform("keys", lambda k: F.lit(None).cast("double"))
-    )
-
-
 def similarity_rows(rows: DataFrame, row_id: str, keys: DataFrame, shape, mode: str = "mult") -> DataFrame:
     """Long form ``(row_id, name, sim)`` of all similarities."""
-    local = local_keys(keys)
-    if local is None:
-        base, _ = shape.prepared(rows)
-        sims = _joined_sims(shape, mode)
-        wide = with_key_blocks(base, keys, row_id).select(row_id, F.col("keys.name").alias("name"), sims.alias("sim"))
-        return inlined(wide, [row_id], F.arrays_zip("name", "sim"), ["name", "sim"])
-    names = [k.name for k in local]
+    V._require_mode(mode)
+    made = StructType().add("name", StringType()).add("sim", DoubleType())
 
-    def finish(sims, kept):
-        import numpy as np
-        import pyarrow as pa
+    def tile(table: KeyTable) -> DataFrame:
+        names = table.names
 
-        at = pa.array(np.repeat(np.arange(len(sims)), len(names)))
-        return [kept[0].take(at), pa.array(names * len(sims), pa.string()), pa.array(sims.ravel(), from_pandas=True)]
+        def finish(sims, kept):
+            import numpy as np
+            import pyarrow as pa
 
-    made = StructType().add("name", StringType()).add("sim", DoubleType())
-    return _compared(rows, [row_id], local, shape, mode, finish, made)
+            at = pa.array(np.repeat(np.arange(len(sims)), len(names)))
+            return [kept[0].take(at), pa.array(names * len(sims), pa.string()), pa.array(sims.ravel(), from_pandas=True)]
+
+        return _compared(rows, [row_id], [table], shape, mode, finish, made)
+
+    tiles = [tile(t) for r in _rounds({"": keys}, shape) for t in r.values()]
+    if not tiles:
+        none = F.lit(None)
+        return rows.select(row_id, none.cast("string").alias("name"), none.cast("double").alias("sim")).limit(0)
+    return reduce(DataFrame.unionAll, tiles)
 
 
 def soft_idf(total: Column, count: Column) -> Column:
@@ -211,31 +213,36 @@ def soft_scores(
     """
     reuse = reuse or Reuse()
     carry = carry or {}
-    local = {name: local_keys(keys) for name, keys in groups.items()}
-    if any(keys is None for keys in local.values()):
-        # Scaling reads the scores more than once.
-        return reuse.keep(_blocked_scores(rows, row_id, groups, shape, mode, weighting, carry))
+    rounds = _rounds(groups, shape)
+    if not rounds:
+        raise ValueError("at least one key is needed")
+    parts = [_round_scores(rows, row_id, r, list(groups), shape, mode, weighting, carry, reuse) for r in rounds]
+    if len(parts) == 1:
+        return parts[0]
+    # Only ids and sums meet; a row without a vector has null in every part.
+    together = reduce(DataFrame.unionAll, parts).groupBy(row_id)
+    return reuse.keep(together.agg(*[F.first(c).alias(c) for c in carry], *[F.sum(g).alias(g) for g in groups]))
+
 
+def _round_scores(rows, row_id, tables: dict[str, KeyTable], names: list[str], shape, mode, weighting, carry, reuse) -> DataFrame:
+    """Scores from the key tables of one round, 0 for groups that have none in it."""
     import numpy as np
 
-    flat = [key for keys in local.values() for key in keys]
-    if not flat:
-        raise ValueError("at least one key is needed")
-    factors = np.zeros((len(flat), len(local)))
+    width = sum(map(len, tables.values()))
+    factors = np.zeros((width, len(names)))
     start = 0
-    for at, keys in enumerate(local.values()):
-        factors[start : start + len(keys), at] = [k.weight for k in keys]
-        start += len(keys)
+    for name, table in tables.items():
+        factors[start : start + len(table), names.index(name)] = table.weights
+        start += len(table)
     # Read twice: for the idf of each key and for the scores.
-    sims = reuse.keep(_sims(rows.withColumns(carry), [row_id, *carry], flat, shape, mode))
+    sims = reuse.keep(_sims(rows.withColumns(carry), [row_id, *carry], list(tables.values()), shape, mode))
     if weighting != "none":
-        idfs = np.zeros(len(flat))
-        totals = _sums(sims, len(flat)).groupBy("pos").agg(soft_idf(F.sum("total"), F.sum("n")).alias("idf"))
+        idfs = np.zeros(width)
+        totals = _sums(sims, width).groupBy("pos").agg(soft_idf(F.sum("total"), F.sum("n")).alias("idf"))
         # One number per key; a key without an idf adds nothing.
         for row in totals.collect():
             idfs[row["pos"]] = row["idf"] or 0.0
         factors *= idfs[:, None]
-    names = list(local)
 
     def weigh(batches):
         import pyarrow as pa
@@ -275,76 +282,39 @@ def _sums(sims: DataFrame, width: int) -> DataFrame:
     return sims.select("sims").mapInArrow(run, "pos int, total double, n bigint")
 
 
-def _blocked_scores(rows, row_id, groups, shape, mode, weighting, carry) -> DataFrame:
-    """``soft_scores`` for key tables too large to broadcast."""
-    base, _ = shape.prepared(rows)
-    sep = "\x1f"
-    tagged = None
-    for group, keys in groups.items():
-        part = keys.withColumn("name", F.concat(F.lit(group + sep), F.col("name")))
-        tagged = part if tagged is None else tagged.unionByName(part, allowMissingColumns=True)
-    if weighting != "none":
-        zipped = F.arrays_zip(
-            F.col("keys.name").alias("name"), _joined_sims(shape, mode).alias("sim")
-        )
-        pairs = exploded(with_key_blocks(base, tagged, row_id), [], zipped, "p")
-        # The pairs are summed as they are made; only one row per key and task
-        # reaches the shuffle.
-        idf = pairs.groupBy(F.col("p.name").alias("name")).agg(
-            soft_idf(F.sum("p.sim"), F.count(F.lit(1))).alias("_idf")
-        )
-        tagged = tagged.join(idf, "name").withColumn("weight", F.col("weight") * F.col("_idf")).drop("_idf")
-
-    weighted = F.zip_with(
-        shape.against_column(F.col("keys"), mode),
-        F.col("keys"),
-        lambda s, k: F.struct(k["name"].alias("name"), F.when(s.isNotNull(), F.coalesce(s * k.weight, F.lit(0.0))).alias("x")),
-    )
-    scored = with_key_blocks(base.withColumns(carry), tagged, row_id).select(row_id, *carry, weighted.alias("w"))
-
-    def group_sum(group: str) -> Column:
-        mine = F.filter("w", lambda x: F.startswith(x["name"], F.lit(group + sep)) & x.x.isNotNull())
-        # A row without a vector has none at all, and null for its score.
-        mine = F.when(F.size(mine) > 0, mine)
-        return F.sum(F.aggregate(mine, F.lit(0.0), lambda acc, x: acc + x.x)).alias(group)
-
-    return scored.groupBy(row_id).agg(
-        *[F.first(name).alias(name) for name in carry], *[group_sum(g) for g in groups]
-    )
-
-
 def best_key(rows: DataFrame, row_id: str, keys: DataFrame, shape, mode: str = "mult") -> DataFrame:
     """The most similar key of each row: ``(row_id, name, sim)``.
 
     The first key wins ties, by ``pos`` where the keys have one, else by name. A
     row without a vector has no key.
     """
-    local = local_keys(keys)
-    if local is not None:
-        names = [k.name for k in local]
+    V._require_mode(mode)
+    made = StructType().add("name", StringType()).add("sim", DoubleType()).add("pos", LongType())
+
+    def tile(table: KeyTable) -> DataFrame:
+        names, places = table.names, [p for p, _ in table.order]
 
         def finish(sims, kept):
             import numpy as np
             import pyarrow as pa
 
             known = ~np.isnan(sims).all(axis=1)
-            at = np.where(np.isnan(sims), -np.inf, sims).argmax(axis=1)
+            # Equal keys may differ in the last digits, by where they stand in the matrix.
+            at = np.where(np.isnan(sims), -np.inf, np.round(sims, 12)).argmax(axis=1)
             best = np.where(known, sims[np.arange(len(sims)), at], np.nan)
             found = [names[i] if k else None for i, k in zip(at.tolist(), known.tolist())]
-            return [kept[0], pa.array(found, pa.string()), pa.array(best, from_pandas=True)]
-
-        made = StructType().add("name", StringType()).add("sim", DoubleType())
-        return _compared(rows, [row_id], local, shape, mode, finish, made)
-    base, _ = shape.prepared(rows)
-    ordered = keys if "pos" in keys.columns else keys.withColumn("pos", F.lit(0))
-    options = F.zip_with(
-        shape.against_column(F.col("keys"), mode),
-        F.col("keys"),
-        lambda s, k: F.struct((-s).alias("n"), k["pos"].alias("pos"), k["name"].alias("name")),
-    )
+            pos = [places[i] if k else None for i, k in zip(at.tolist(), known.tolist())]
+            return [kept[0], pa.array(found, pa.string()), pa.array(best, from_pandas=True), pa.array(pos, pa.int64())]
+
+        return _compared(rows, [row_id], [table], shape, mode, finish, made)
+
+    tiles = [tile(t) for r in _rounds({"": keys}, shape) for t in r.values()]
+    if not tiles:
+        none = F.lit(None)
+        return rows.select(row_id, none.cast("string").alias("name"), none.cast("double").alias("sim"))
+    if len(tiles) == 1:
+        return tiles[0].drop("pos")
     # Of equal similarities the first key has the smallest (pos, name).
-    per_block = with_key_blocks(base, ordered, row_id).select(
-        row_id, F.array_min(F.filter(options, lambda o: o.n.isNotNull())).alias("b")
-    )
-    chosen = per_block.groupBy(row_id).agg(F.min("b").alias("m"))
-    return chosen.select(row_id, F.col("m.name").alias("name"), (-F.col("m.n")).alias("sim"))
+    option = F.when(F.col("sim").isNotNull(), F.struct((-F.round("sim", 12)).alias("n"), "pos", "name", "sim"))
+    chosen = reduce(DataFrame.unionAll, tiles).groupBy(row_id).agg(F.min(option).alias("m"))
+    return chosen.select(row_id, F.col("m.name").alias("name"), F.col("m.sim").alias("sim"))

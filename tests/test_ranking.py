@@ -125,6 +125,39 @@ def test_large_top_n_has_no_single_partition(spark):
     assert "GlobalLimit" not in plan and "TakeOrdered" not in plan
 
 
+@pytest.mark.parametrize("n", [100_001, 3_000_000, 4_999_999, 6_000_000])
+def test_large_cuts_equal_the_sorted_cut(spark, n):
+    """Survivors of the sketch, ranked, are the first rows of the whole order."""
+    total = 5_000_000
+    df = spark.range(total).select("id", ((F.col("id") * 7919) % 1_000_003 % 50_021).cast("double").alias("score"))
+    order = ranking.best_first("score", "id")
+    kept = ranking.survivors(df, order.leading, n)
+    rows = kept.count()
+    assert rows >= min(n, total) and (n > total or rows <= n + total * 5e-4 + 200)
+    cut = ranking.top_n(df, order, n)
+    assert cut.count() == min(n, total)
+    # Every row of the cut is before every row outside, and ranks count up.
+    last = cut.orderBy(F.desc("rank")).first()
+    assert last["rank"] == min(n, total)
+    before = df.where((F.col("score") > last.score) | ((F.col("score") == last.score) & (F.col("id") <= last.id)))
+    assert before.count() == min(n, total)
+    some = cut.where(F.col("rank") % 499_979 == 1).collect()
+    for r in some:
+        ahead = df.where((F.col("score") > r.score) | ((F.col("score") == r.score) & (F.col("id") < r.id))).count()
+        assert ahead == r["rank"] - 1
+
+
+def test_cuts_with_ties_nulls_and_nans(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "ONE_TASK_ROWS", 5)
+    rows = [(i, s) for i, s in enumerate([None, 1.0, float("nan"), 1.0, None, 2.0, 1.0, 1.0, 0.0, 3.0, 1.0, float("nan")])]
+    df = spark.createDataFrame(rows, "id long, score double")
+    order = ranking.best_first("score", "id")
+    want = [r.id for r in df.orderBy(*order).collect()]
+    for n in (6, 7, 9, 11, 12, 40):
+        got = ranking.top_n(df, order, n).orderBy("rank").collect()
+        assert [r.id for r in got] == want[:n] and [r["rank"] for r in got] == list(range(1, len(got) + 1))
+
+
 def payload(spark, parts):
     import json
 
