@@ -198,6 +198,14 @@ def founder_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lead_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model's reply for customers with an account; some give no reason."""
+    reason = F.concat(F.lit("A good match because of "), F.lower("c_mktsegment"), F.lit(" goods.\nMore of the same."))
+    return table(spark, sf_dir, "customer").where("c_acctbal > 0").select(
+        F.col("c_custkey").alias("company_id"), F.when(F.col("c_nationkey") % 5 != 0, reason).otherwise("No reason.").alias("reply")
+    )
+
+
 def keyword_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A small keyword object per part, with keys that differ only in case."""
     return table(spark, sf_dir, "part").select(

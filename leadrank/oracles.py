@@ -374,6 +374,12 @@ SELECT set_id, name, arg_max(weight, pos) AS weight FROM e GROUP BY set_id, name
     q["a5_vector_cache_miss"] = """
 SELECT DISTINCT sha256(text) AS key, length(text) AS chars FROM documents
 WHERE sha256(text) NOT IN (SELECT sha256(text) FROM documents JOIN labels USING (doc_id))"""
+    q["a5_cached_clusters"] = f"""
+WITH RECURSIVE {DOCS}, {hashed('docs', 'company_id', 'd', 64, 'dv')},
+vecs AS MATERIALIZED (SELECT g.company_id AS vec_id, list(coalesce(v, 0.0) ORDER BY i) AS v
+  FROM (SELECT company_id, unnest(range(64)) AS i FROM docs WHERE d IS NOT NULL) g
+  LEFT JOIN dv_v ON dv_v.company_id = g.company_id AND dim = i GROUP BY g.company_id),{fitted("[5]")}
+SELECT cluster::INTEGER AS cluster, count(*) AS n FROM member GROUP BY cluster"""
     q["b1_suffix_clean"] = "SELECT doc_id AS company_id, lang, source FROM documents"
     q["b2_drop_null"] = """
 SELECT doc_id AS company_id, text AS "Description" FROM documents JOIN labels USING (doc_id) WHERE quality IS NOT NULL AND text IS NOT NULL"""
@@ -473,6 +479,7 @@ SELECT cluster, n, (i - 1)::INTEGER AS dim, {r6('x')} AS v FROM two_dims"""
 SELECT conv_id || '-' || turn AS message_id, 'Subject: Conversation ' || conv_id || chr(10) || chr(10) || text AS content
 FROM conversations"""
     q["s1_requests"] = f"WITH {FORMS} SELECT request_id, email, file_id, error FROM parsed"
+    q["s1_form_sheet"] = f"WITH {FORMS} SELECT email, file_id, error, (SELECT count(*) - 1 FROM parsed) AS last_row FROM parsed"
     q["s2_request_parse"] = f"""
 WITH {FORMS}, {REQUEST_LINES} SELECT request_id, sector, file_id, name, weight FROM split WHERE trim(name) <> ''
 QUALIFY pos = max(pos) OVER (PARTITION BY request_id, name)"""
@@ -495,6 +502,17 @@ lead_docs AS (SELECT doc_id AS company_id, text AS d, lang, {EMAIL_1} AS email_1
 best AS (SELECT company_id, lang, email_1, keyword_score, sector_score, score FROM scored JOIN lead_docs USING (company_id) WHERE {words('d')} >= 20)
 SELECT company_id, lang, email_1, {r6('keyword_score')} AS keyword_score, {r6('sector_score')} AS sector_score, {r6('score')} AS score,
   row_number() OVER (ORDER BY round(best.score, 9) DESC, company_id) AS rank FROM best QUALIFY rank <= 500"""
+    found = q["l1_lead_ranking"]
+    q["l1_lead_requests"] = f"""
+WITH l AS ({found}), m AS (SELECT company_id, 0 AS pos, 'system' AS role, 'Give one reason in the form: of ...' AS content FROM l
+UNION ALL SELECT company_id, 1 + 2 * r_regionkey, 'user', r_name FROM l, region
+UNION ALL SELECT company_id, 2 + 2 * r_regionkey, 'assistant', 'of ' || lower(r_name) FROM l, region
+UNION ALL SELECT company_id, 1 + 2 * (SELECT count(*) FROM region)::INTEGER, 'user',
+  concat_ws(', ', 'lang: ' || d.lang, 'source: ' || d.source, 'rank: ' || rank) FROM l JOIN documents d ON doc_id = company_id) SELECT * FROM m"""
+    q["l1_lead_replies"] = f"""
+WITH l AS ({found}), r AS (SELECT c_custkey, CASE WHEN c_nationkey % 5 <> 0 THEN
+  'A good match because of ' || lower(c_mktsegment) || ' goods.' || chr(10) || 'More of the same.' ELSE 'No reason.' END AS reply FROM customer WHERE c_acctbal > 0)
+SELECT company_id, rank, nullif(regexp_extract(reply, '(of [^\\n]*)', 1), '') AS "WLYB" FROM l LEFT JOIN r ON c_custkey = company_id"""
     q["l2_relevance_rank"] = dense_scores("mult", "sum", True)
     q["l2_text_rank"] = "WITH " + ",".join([DOCS, *text_scored("docs", 2**18)]) + " " + scores_out("company_id", True)
     q["l3_legacy_rank"] = dense_scores("legacy_mult", "product", True)

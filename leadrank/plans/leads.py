@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadrank.functions.text import word_count
+from leadrank.functions.text import reply_tail, word_count
 from leadrank.operators import contacts as C
 from leadrank.operators.embedding import phrase_vectors
+from leadrank.operators.prompts import request_table, row_prompt
 from leadrank.operators.ranking import best_first, choose_top
 from leadrank.operators.similarity import HashedText
 from leadrank.plans.relevance import scored_rows, sector_phrases
@@ -59,6 +60,27 @@ def lead_ranking(
     return C.compact_contacts(best) if verify_email else best
 
 
+def lead_requests(
+    best: DataFrame, row_id: str, instructions: str, examples: DataFrame | None = None, columns: list[str] | None = None
+) -> DataFrame:
+    """``(row_id, prompt, messages)``: a request for a chat model for each lead.
+
+    The prompt names the lead's ``columns`` (all by default) that hold a value;
+    ``examples`` as in ``request_table``.
+    """
+    asked = best.select(row_id, row_prompt(best, columns).alias("prompt"))
+    return request_table(asked, "prompt", instructions, examples)
+
+
+def with_replies(best: DataFrame, row_id: str, replies: DataFrame, out: str = "WLYB") -> DataFrame:
+    """Leads with the reason from the model's ``(row_id, reply)``, one reply a lead at most.
+
+    A lead without a reply, or whose reply gives no reason, stays with null.
+    """
+    reasons = replies.select(F.col(row_id).alias("_lead"), reply_tail(F.col("reply")).alias(out))
+    return best.join(reasons, F.col(row_id) == F.col("_lead"), "left").drop("_lead")
+
+
 def rank_company_file(
     spark: SparkSession, path: str, keywords: dict[str, float] | str, sector: str | None = None, **options
 ) -> DataFrame:

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from leadrank.functions.text import sentences
 from leadrank.operators.embedding import phrase_vectors
+from leadrank.operators.latent import Latent, fit_latent, latent_keys, with_latent
 from leadrank.operators.ranking import best_first, combined, ranked, top_n
-from leadrank.operators.similarity import HashedText, best_key, soft_scores
+from leadrank.operators.similarity import Dense, HashedText, best_key, soft_scores
 from leadrank.operators.sites import site_scores
 from leadrank.session import Reuse
 
@@ -73,6 +74,23 @@ def text_rank(
     )
 
 
+def latent_rank(
+    rows, row_id, text, phrases, sectors=None, model: Latent | None = None, mode="mult", combine="sum", reuse=None
+) -> DataFrame:
+    """``relevance_rank`` over texts, embedded by a projection learned from them (or by ``model``)."""
+    reuse = reuse or Reuse()
+    model = model or fit_latent(rows, text)
+    vectors = reuse.keep(with_latent(rows, [row_id], text, model))
+    keys = latent_keys(phrases, model)
+    return relevance_rank(vectors, row_id, keys, Dense("vec"), None if sectors is None else latent_keys(sectors, model), mode, combine, reuse)
+
+
+def latent_sector(rows, row_id, text, sectors, model: Latent | None = None, mode="mult") -> DataFrame:
+    """``predict_sector`` over texts, embedded by a projection learned from them (or by ``model``)."""
+    model = model or fit_latent(rows, text)
+    return predict_sector(with_latent(rows, [row_id], text, model), row_id, latent_keys(sectors, model), Dense("vec"), mode)
+
+
 def predict_sector(rows, row_id, sectors, shape, mode="mult") -> DataFrame:
     """``(row_id, predicted_sector, sim)``: the most similar sector."""
     best = best_key(rows, row_id, sectors, shape, mode)

@@ -13,12 +13,12 @@ from leadrank import fixtures as X
 from leadrank.functions import text as T
 from leadrank.functions import vectors as V
 from leadrank.functions.contacts import FIELDS, SLOTS, slot_column, title_rank
-from leadrank.operators import clusters, contacts, embedding, messages, phrases, prompts, ranking, sites
+from leadrank.operators import clusters, contacts, embedding, latent, messages, phrases, prompts, ranking, sites
 from leadrank.operators.rows import inlined
 from leadrank.operators.similarity import Dense, HashedText, similarity_rows, soft_idf_table, soft_scores
-from leadrank.plans import leads, relevance
+from leadrank.plans import clustering, leads, relevance
 from leadrank.session import scratch_path
-from leadrank.sources import keywords, tables, vector_cache
+from leadrank.sources import form_sheet, keywords, tables, vector_cache
 from leadrank.streaming import requests
 
 DENSE = Dense("vec")
@@ -259,6 +259,13 @@ def d1_hash_embed(spark, sf):
     return round_columns(embedding.hashed_terms_long(X.companies(spark, sf), "company_id", "Description"), "v")
 
 
+@query
+def d1_latent_embed(spark, sf):
+    docs = X.companies(spark, sf)
+    vectors = latent.with_latent(docs, ["company_id"], "Description", latent.fit_latent(docs, "Description"))
+    return vectors.select("company_id", F.posexplode("vec").alias("dim", "v")).select("company_id", "dim", rounded("v").alias("v"))
+
+
 @query
 def d2_mean_pool(spark, sf):
     tokens = X.vectors(spark, sf).withColumn("mask", (F.get("vec", F.lit(0)) > 0).cast("int"))
@@ -494,6 +501,26 @@ def s1_requests(spark, sf):
     return spark.read.parquet(out).select("request_id", "email", "file_id", "error")
 
 
+@query
+def s1_form_sheet(spark, sf):
+    sheet, out, state = (scratch_path(spark, n) for n in ("form-sheet", "form-parsed", "form-state"))
+    X.form_rows(spark, sf).write.json(sheet)
+    requests.store_parsed(form_sheet.read_sheet(spark, sheet), out, state).awaitTermination()
+    rows = spark.read.parquet(out)
+    # Rows are numbered without a gap.
+    last = rows.agg(F.max("row").alias("m")).scalar()
+    return rows.select("email", "file_id", "error", last.alias("last_row"))
+
+
+@query
+def a5_cached_clusters(spark, sf):
+    docs, cache = X.companies(spark, sf), scratch_path(spark, "vector-cache")
+    first = X.labelled_companies(spark, sf)
+    clustering.company_clusters(first, "company_id", "text", cache, 5)
+    placed = clustering.company_clusters(docs, "company_id", "Description", cache, 5)
+    return placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def s2_request_parse(spark, sf):
     parsed = requests.parse_requests(X.form_rows(spark, sf))
@@ -538,16 +565,34 @@ def s4_scored_requests(spark, sf):
 # Jobs
 
 
-@query
-def l1_lead_ranking(spark, sf):
+def _leads(spark, sf) -> DataFrame:
     rows = X.companies(spark, sf).join(X.contacts(spark, sf), "company_id")
     rows = rows.withColumnRenamed("lang", "lang_x").withColumn("lang_y", F.lit("?"))
-    best = leads.lead_ranking(rows, "company_id", X.phrases(spark), relevance.sector_phrases(X.sector_text(spark), "sector"))
+    return leads.lead_ranking(rows, "company_id", X.phrases(spark), relevance.sector_phrases(X.sector_text(spark), "sector"))
+
+
+@query
+def l1_lead_ranking(spark, sf):
+    best = _leads(spark, sf)
     return round_columns(
         best.select("company_id", "lang", F.col(f"`{slot_column('email', 1)}`").alias("email_1"), *SCORES, "rank"), *SCORES
     )
 
 
+@query
+def l1_lead_requests(spark, sf):
+    examples = X.table(spark, sf, "region").select(
+        F.col("r_regionkey").alias("idx"), F.col("r_name").alias("input"), F.concat(F.lit("of "), F.lower("r_name")).alias("output")
+    )
+    built = leads.lead_requests(_leads(spark, sf), "company_id", INSTRUCTIONS, examples, ["lang", "source", "rank"])
+    return built.select("company_id", F.posexplode("messages").alias("pos", "m")).select("company_id", "pos", "m.role", "m.content")
+
+
+@query
+def l1_lead_replies(spark, sf):
+    return leads.with_replies(_leads(spark, sf), "company_id", X.lead_replies(spark, sf)).select("company_id", "rank", "WLYB")
+
+
 def flagship(spark, sf) -> DataFrame:
     rank = relevance.relevance_rank(X.vectors(spark, sf), "vec_id", X.key_vectors(spark, sf), DENSE, X.sector_vectors(spark, sf))
     return round_columns(rank, *SCORES)
@@ -565,6 +610,19 @@ def l2_text_rank(spark, sf):
     return round_columns(rank, *SCORES)
 
 
+@query
+def l2_latent_rank(spark, sf):
+    sectors = relevance.sector_phrases(X.sector_text(spark), "sector")
+    rank = relevance.latent_rank(X.companies(spark, sf), "company_id", "Description", X.phrases(spark), sectors)
+    return round_columns(rank, *SCORES)
+
+
+@query
+def l4_latent_sector(spark, sf):
+    sectors = X.table(spark, sf, "benchmark").select(F.col("text").alias("name"), F.lit(1.0).alias("weight"))
+    return round_columns(relevance.latent_sector(X.companies(spark, sf), "company_id", "Description", sectors, mode="add"), "sim")
+
+
 @query
 def l3_legacy_rank(spark, sf):
     rank = relevance.legacy_rank(X.vectors(spark, sf), "vec_id", X.key_vectors(spark, sf), DENSE, X.sector_vectors(spark, sf))

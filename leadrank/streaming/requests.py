@@ -2,7 +2,9 @@
 
 Each request names a company file and brings its own phrases and sector. The
 stream's checkpoint remembers what was handled; results and errors are written
-under the request's id with overwrite, so a replayed batch changes nothing.
+under the request's id with overwrite, so a replayed batch changes nothing. Rows
+of a sheet have numbers: each is a request of its own, even where it repeats
+another, and requests are taken up in the order of their rows.
 """
 
 from __future__ import annotations
@@ -61,12 +63,14 @@ def last_wins(entries: Column) -> Column:
 
 
 def parse_requests(rows: DataFrame) -> DataFrame:
-    """``(request_id, email, sector, phrases, file_id, error)`` from form rows.
+    """``(request_id, email, sector, phrases, file_id, error)`` from form rows, and ``row`` where they have numbers.
 
     Narrow, so it runs on a stream or a table. ``error`` is null for a request
     that can be worked on.
     """
     fields = [F.coalesce(F.col(c), F.lit("")) for c in REQUEST_SCHEMA.fieldNames()]
+    numbers = ["row"] if "row" in rows.columns else []
+    fields += [F.col(c).cast("string") for c in numbers]
     staged = rows.withColumn("_entries", phrase_entries(F.coalesce("phrases", F.lit(""))))
     bad_weight = F.exists("_entries", lambda e: e.weight.isNull())
     return staged.select(
@@ -78,6 +82,7 @@ def parse_requests(rows: DataFrame) -> DataFrame:
         F.when(bad_weight, F.lit("a weight is not a number"))
         .when(F.size("_entries") == 0, F.lit("no phrase given"))
         .alias("error"),
+        *numbers,
     )
 
 
@@ -145,8 +150,9 @@ def answer_requests(
     keeps in the ``Reuse`` is freed then. Rejected and failed requests go to
     ``out/errors`` with their reason, and the stream goes on. All rejects of a
     batch are one write. Accepted requests come to the driver a window at a time
-    and ``at_once`` of them are scored together, each a distributed job; a
-    success removes the error of an earlier try.
+    and ``at_once`` of them are scored together, each a distributed job; with 1
+    they are answered strictly one after the other, in the order of their rows
+    where these have numbers. A success removes the error of an earlier try.
     """
 
     def handle(batch: DataFrame, _: int) -> None:
@@ -167,7 +173,8 @@ def answer_requests(
             gated = reuse.keep(gate_requests(parse_requests(batch), files))
             _store_errors(gated.where("error is not null"), out)
             # A request that arrives twice in a batch is one.
-            accepted = gated.where("error is null").dropDuplicates(["request_id"]).toLocalIterator()
+            accepted = gated.where("error is null").dropDuplicates(["request_id"])
+            accepted = (accepted.orderBy("row") if "row" in accepted.columns else accepted).toLocalIterator()
             with ThreadPoolExecutor(at_once) as pool:
                 while window := [row.asDict() for row in islice(accepted, 16 * at_once)]:
                     if failed := [f for f in pool.map(answer, window) if f is not None]:

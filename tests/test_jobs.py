@@ -5,6 +5,7 @@ from leadrank import fixtures as X
 from leadrank.functions.contacts import slot_column
 from leadrank.plans import leads
 from leadrank.session import Reuse, durable, scratch_path
+from leadrank.sources.form_sheet import read_sheet
 from leadrank.sources import tables
 from leadrank.sources.keywords import keyword_table
 from leadrank.streaming import requests
@@ -90,6 +91,77 @@ def test_stream_resumes_after_the_last_request(spark):
     assert spark.read.parquet(out).count() == 3
 
 
+def lines(*rows):
+    import json
+
+    return "".join(json.dumps({**FORM, **r}) + "\n" for r in rows)
+
+
+def test_the_sheet_resumes_at_the_next_row(spark, tmp_path):
+    """Stop and start; half-written rows wait; equal rows are requests of their own."""
+    sheet, out, state = tmp_path / "sheet", str(tmp_path / "out"), str(tmp_path / "state")
+    sheet.mkdir()
+    run = lambda: requests.store_parsed(read_sheet(spark, str(sheet)), out, state).awaitTermination()
+    found = lambda: sorted(r.row for r in spark.read.parquet(out).collect())
+    (sheet / "a.jsonl").write_text(lines({}, {}, {"phrases": "x=y"}))
+    run()
+    assert found() == [0, 1, 2]
+    run()
+    assert found() == [0, 1, 2]
+    more = lines({"email": "half"})
+    with open(sheet / "a.jsonl", "a") as f:
+        f.write(lines({}) + more[:20])
+    run()
+    assert found() == [0, 1, 2, 3]
+    with open(sheet / "a.jsonl", "a") as f:
+        f.write(more[20:] + "no json\n\n")
+    (sheet / "b.jsonl").write_text(lines({"email": "next file"}))
+    run()
+    rows = {r.row: r for r in spark.read.parquet(out).collect()}
+    assert sorted(rows) == list(range(8)) and len({r.request_id for r in rows.values()}) == 8
+    assert rows[4].email == "half" and rows[7].email == "next file"
+    assert [rows[k].error for k in (2, 5, 6)] == ["a weight is not a number", "no phrase given", "no phrase given"]
+
+
+def test_long_sheets_are_cut_at_marks(spark, tmp_path, monkeypatch):
+    from leadrank.sources import form_sheet
+
+    monkeypatch.setattr(form_sheet, "MARK_ROWS", 7)
+    monkeypatch.setattr(form_sheet, "CHUNK", 50)
+    for k, n in enumerate([20, 0, 1, 33]):
+        (tmp_path / f"{k}.jsonl").write_text(lines(*[{"email": f"{k}-{i}"} for i in range(n)]))
+    reader = form_sheet.SheetReader(str(tmp_path))
+    want = [f"{k}-{i}" for k, n in enumerate([20, 0, 1, 33]) for i in range(n)]
+    assert reader.latestOffset() == {"row": 54}
+    for a, b in [(0, 54), (3, 5), (6, 8), (19, 22), (20, 21), (53, 54), (10, 10)]:
+        parts = form_sheet.SheetReader(str(tmp_path)).partitions({"row": a}, {"row": b})
+        assert a == b or len(parts) >= (b - a) // 7
+        got = [r for p in parts for r in reader.read(p)]
+        assert [r[1] for r in got] == want[a:b] and [r[-1] for r in got] == list(range(a, b))
+
+
+def test_rows_are_answered_once_and_in_order(spark, tmp_path):
+    sheet, out, state = tmp_path / "sheet", str(tmp_path / "out"), str(tmp_path / "state")
+    sheet.mkdir()
+    files = spark.createDataFrame([("f1", "list.csv")], "file_id string, file_name string")
+    seen = []
+
+    def score(request, reuse):
+        seen.append(request["row"])
+        return keyword_table(spark, request["phrases"])
+
+    def run():
+        requests.answer_requests(read_sheet(spark, str(sheet)), files, score, out, state, at_once=1).awaitTermination()
+
+    (sheet / "a.jsonl").write_text(lines({}, {"phrases": "a=x"}, {}, {}, {}))
+    run()
+    with open(sheet / "a.jsonl", "a") as f:
+        f.write(lines({}, {}))
+    run()
+    assert seen == [0, 2, 3, 4, 5, 6]
+    assert len({r.request_id for r in spark.read.parquet(f"{out}/results").collect()}) == 6
+
+
 def test_answers_and_errors(spark):
     inbox, out, state = (scratch_path(spark, n) for n in ("in", "out", "state"))
     rows = [{}, {"link": "id=f2"}, {"phrases": "a=x"}, {"email": "boom"}, {"link": "id=unknown"}]

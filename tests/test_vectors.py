@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from leadrank import fixtures as X
 from leadrank.functions import vectors as V
-from leadrank.operators import clusters, embedding, similarity
+from leadrank.operators import clusters, embedding, keys as key_tables, similarity
 from leadrank.operators.similarity import Dense, HashedText
 from leadrank.plans import relevance
 from leadrank.sources import vector_cache
@@ -59,9 +59,7 @@ def cloud():
 def test_soft_scores(spark, cloud, monkeypatch, blocked):
     x, k = cloud
     if blocked:
-        small = similarity.with_key_blocks
-        monkeypatch.setattr(similarity, "local_keys", lambda *a, **k: None)
-        monkeypatch.setattr(similarity, "with_key_blocks", lambda *a: small(*a, block_rows=3, salts=4))
+        monkeypatch.setattr(key_tables, "MAX_KEY_BYTES", 300)
     groups = {"a": keys(spark, k[:4]), "b": keys(spark, k[4:])}
     got = similarity.soft_scores(vecs(spark, x), "id", groups, DENSE, carry={"twice": F.col("id") * 2}).orderBy("id").collect()
     assert [r.twice for r in got] == [2 * i for i in range(200)]
@@ -79,15 +77,34 @@ def test_scores_do_not_depend_on_partitions(spark, cloud):
 def test_best_key(spark, cloud, monkeypatch, blocked):
     x, k = cloud
     if blocked:
-        small = similarity.with_key_blocks
-        monkeypatch.setattr(similarity, "local_keys", lambda *a, **k: None)
-        monkeypatch.setattr(similarity, "with_key_blocks", lambda *a: small(*a, block_rows=3, salts=4))
+        monkeypatch.setattr(key_tables, "MAX_KEY_BYTES", 300)
     got = similarity.best_key(vecs(spark, x), "id", keys(spark, k), DENSE, "cosine").orderBy("id").collect()
     cos = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ (k / np.linalg.norm(k, axis=1, keepdims=True)).T
     assert [r.name for r in got] == [f"k{i}" for i in cos.argmax(axis=1)]
     assert [r.sim for r in got] == pytest.approx(cos.max(axis=1))
 
 
+@pytest.mark.parametrize("limit", [150, 400, 1 << 20])
+def test_key_tables_in_tiles_give_the_same(spark, cloud, monkeypatch, limit):
+    x, k = cloud
+    table = keys(spark, np.concatenate([k, k, -k]))
+    sims = lambda: sorted(map(tuple, similarity.similarity_rows(vecs(spark, x), "id", table, DENSE, "cosine").collect()))
+    best = lambda: sorted(map(tuple, similarity.best_key(vecs(spark, x), "id", table, DENSE, "cosine").collect()))
+    want = sims(), best()
+    monkeypatch.setattr(key_tables, "MAX_KEY_BYTES", limit)
+    assert (len(key_tables.key_tables(table)) > 1) == (limit < 1 << 20)
+    got = sims(), best()
+    for a, b in zip(want, got):
+        assert [r[:2] for r in a] == [r[:2] for r in b]
+        assert [r[2] for r in a] == pytest.approx([r[2] for r in b])
+
+
+def test_no_keys(spark, cloud):
+    none = keys(spark, cloud[1]).limit(0)
+    assert similarity.similarity_rows(vecs(spark, cloud[0]), "id", none, DENSE).collect() == []
+    assert {(r.name, r.sim) for r in similarity.best_key(vecs(spark, cloud[0]), "id", none, DENSE).collect()} == {(None, None)}
+
+
 def test_best_key_tie_goes_to_the_first(spark):
     got = similarity.best_key(vecs(spark, [[1, 0]]), "id", keys(spark, [[2, 0], [1, 0]]), DENSE, "cosine").first()
     assert got.name == "k0"
@@ -114,7 +131,7 @@ def test_unequal_lengths_are_an_error(spark):
 @pytest.mark.parametrize("blocked", [False, True])
 def test_rows_without_a_vector_stay_and_count(spark, monkeypatch, blocked):
     if blocked:
-        monkeypatch.setattr(similarity, "local_keys", lambda *a, **k: None)
+        monkeypatch.setattr(key_tables, "MAX_KEY_BYTES", 100)
     df = spark.createDataFrame([(1, "a b"), (2, " .!"), (3, None), (4, "b c")], "id long, t string")
     phrases = embedding.phrase_vectors(spark.createDataFrame([("b", 2.0)], "name string, weight double"), 64)
     shape = HashedText("t", 64)
@@ -161,9 +178,7 @@ def test_hashed_text_equals_dense_vectors(spark, sf, monkeypatch, blocked):
     want = similarity.soft_scores(wide, "company_id", {"s": dense(phrases).drop("terms")}, DENSE)
     want = {r.company_id: r.s for r in want.collect()}
     if blocked:
-        small = similarity.with_key_blocks
-        monkeypatch.setattr(similarity, "local_keys", lambda *a, **k: None)
-        monkeypatch.setattr(similarity, "with_key_blocks", lambda *a: small(*a, block_rows=3, salts=4))
+        monkeypatch.setattr(key_tables, "MAX_KEY_BYTES", 300)
         got = similarity.soft_scores(docs, "company_id", {"s": phrases}, HashedText("Description", 64))
     got = {r.company_id: r.s for r in got.collect()}
     assert got == pytest.approx(want)
@@ -217,6 +232,57 @@ def test_vector_cache(spark, tmp_path):
     assert seen == [2, 1, 0]
 
 
+def test_two_runs_add_a_key_once(spark, tmp_path):
+    """A run that commits while another embeds; the first commit of a key counts."""
+    path = str(tmp_path / "vectors")
+    texts = lambda *t: spark.createDataFrame([(x,) for x in t], "t string")
+
+    def embed(mark):
+        return lambda todo: todo.select("key", F.lit(mark).alias("by"))
+
+    def embed_meanwhile(todo):
+        vector_cache.cached_vectors(spark, path, texts("a", "b", "c"), "t", embed("other"))
+        return embed("late")(todo)
+
+    vector_cache.cached_vectors(spark, path, texts("a"), "t", embed("first"))
+    found = vector_cache.cached_vectors(spark, path, texts("a", "b", "d"), "t", embed_meanwhile)
+    by = {r.key: r.by for r in found.collect()}
+    key = lambda t: spark.range(1).select(vector_cache.text_key(F.lit(t))).first()[0]
+    assert by == {key("a"): "first", key("b"): "other", key("c"): "other", key("d"): "late"} and found.count() == 4
+    assert [n for n, _, _ in vector_cache.manifests(spark, path)] == [0, 1, 2]
+
+
+def test_a_run_that_stops_leaves_nothing(spark, tmp_path):
+    path = str(tmp_path / "vectors")
+    texts = spark.createDataFrame([("a",), ("b",)], "t string")
+
+    def broken(todo):
+        todo.select("key").write.parquet(f"{path}/commits/commit=half")
+        raise RuntimeError("stopped")
+
+    with pytest.raises(RuntimeError):
+        vector_cache.cached_vectors(spark, path, texts, "t", broken)
+    assert vector_cache.read_cache(spark, path) is None
+    # A claimed number without a manifest is passed over.
+    (tmp_path / "vectors" / "manifests").mkdir(parents=True)
+    (tmp_path / "vectors" / "manifests" / "000000000000.json").write_text("")
+    made = vector_cache.cached_vectors(spark, path, texts, "t", lambda todo: todo.select("key", F.length("text").alias("n")))
+    assert made.count() == 2 and [m[0] for m in vector_cache.manifests(spark, path)] == [1]
+
+
+def test_rows_get_the_vector_of_their_text(spark, tmp_path):
+    path = str(tmp_path / "vectors")
+    rows = spark.createDataFrame([(1, "a"), (2, "bb"), (3, "a"), (4, None)], "id long, t string")
+    embed = lambda todo: todo.select("key", F.array(F.length("text").cast("double")).alias("vec"))
+    for _ in range(2):
+        got = {r.id: r.vec for r in vector_cache.vectors_of(spark, path, rows, "t", embed).collect()}
+        assert got == {1: [1.0], 2: [2.0], 3: [1.0], 4: None}
+    assert len(vector_cache.manifests(spark, path)) == 1
+    key = spark.range(1).select(vector_cache.text_key(F.lit("a")).alias("k")).first().k
+    assert [r.key for r in vector_cache.read_cache(spark, path, [key[:2]]).collect()] == [key]
+    assert vector_cache.read_cache(spark, path, ["zz"]).count() == 0
+
+
 def brute_silhouette(x, labels, power):
     d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2)) ** power
     out = []
