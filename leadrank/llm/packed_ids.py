@@ -14,7 +14,8 @@ File format, all numbers little-endian:
 Any run of ids is read from the blocks it touches, without the rest of the file.
 
 Files follow each other in ascending doc_id order (null ids first; repeated ids
-in any order among themselves). A null or empty text holds the end id alone. An
+in any order among themselves). A null or empty text holds the end id alone. A very long text is encoded whole, in a
+group of its own, and may fill a file by itself. An
 empty table has no files. Files are written whole under a name of their own per
 task attempt; the manifest names those that count.
 """
@@ -30,8 +31,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from leadrank.llm.chunked_ids import ByteLevelEncoder as Encoder
-from leadrank.llm.shared import groups_of, once, put, read_range, stored
+from leadrank.llm.chunked_ids import GROUP, ByteLevelEncoder as Encoder
+from leadrank.llm.shared import groups_of, once, put, qualified, read_range, stored, tasks_for
 
 MAGIC, VERSION = b"LRPK", 1
 HEAD = "<4sIIIQQQ"
@@ -39,6 +40,8 @@ HEAD_BYTES = struct.calcsize(HEAD)
 BLOCK_IDS = 8192
 #: A file is closed when it holds this many ids.
 FILE_IDS = 4_000_000
+#: Files that a task reads back, where there are many.
+FILES_A_TASK = 16
 
 MANIFEST = T.StructType(
     [
@@ -129,7 +132,10 @@ def write_packed(
     One range shuffle brings the texts in doc_id order; each task writes its
     files as it goes and holds one at a time.
     """
-    ordered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    folder = qualified(docs.sparkSession, folder)
+    # A row number behind the id spreads an id of very many rows over several tasks.
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.monotonically_increasing_id().alias("row"))
+    ordered = rows.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row").select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = once(f"packed-ids {tokenizer_file}", lambda: Encoder(tokenizer_file))
@@ -153,7 +159,7 @@ def write_packed(
 
         for rows in batches:
             doc_ids, texts = rows.column(0).to_pylist(), rows.column(1).to_pylist()
-            for a, b in groups_of(texts):
+            for a, b in groups_of(texts, GROUP):
                 for doc_id, ids in zip(doc_ids[a:b], encoder.ids(texts[a:b]), strict=True):
                     names.append(doc_id)
                     parts.append(ids + end)
@@ -175,7 +181,9 @@ def read_packed(manifest: DataFrame, folder: str) -> DataFrame:
     """
     # One row per file, so this window is bounded by the number of files.
     before = F.sum("n_ids").over(Window.orderBy("partition", "place").rowsBetween(Window.unboundedPreceding, -1))
-    files = manifest.select("file", F.coalesce(before, F.lit(0)).alias("first")).repartition(max(1, manifest.count()))
+    folder = qualified(manifest.sparkSession, folder)
+    n = tasks_for(manifest.sparkSession, manifest.count(), FILES_A_TASK)
+    files = manifest.select("file", F.coalesce(before, F.lit(0)).alias("first")).repartition(n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
