@@ -18,7 +18,8 @@ a text never moves. Beyond that number, hits are found by a shuffled join on the
 hash, and only texts with hits are read again for the verification; the rows are
 the same.
 
-Null and empty texts and items match nothing. Repeated rows of documents give
+Null and empty texts and items match nothing. Very long texts are one row each and
+are searched whole; the work grows with their length. Repeated rows of documents give
 the same pairs once. Empty tables give no pairs.
 """
 

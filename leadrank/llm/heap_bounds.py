@@ -17,8 +17,8 @@ held apart by a margin for rounding. Ties among popped vectors go to the smaller
 number. Distances are exact whole numbers: in doubles while squares stay below
 2**53, in 64-bit integers while they fit, and in Python integers beyond.
 
-A round is one narrow pass from a stored table of blocks to the next; a lost
-executor repeats its blocks. Blocks pass up sums per cluster and component, which
+A round is one narrow pass from a stored table of blocks to the next, which then
+takes its place; a lost executor repeats its blocks. Blocks pass up sums per cluster and component, which
 Spark adds up, so the driver gets as many numbers as centroids have components.
 Sums travel in limbs of 48 bits and have no limit. No row meets another in a
 shuffle, so equal vectors, however many, are no hot spot.
@@ -40,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from leadrank.llm.shared import stored
+from leadrank.llm.shared import stored_anew
 
 #: Vectors of a block at most.
 BLOCK = 4096
@@ -269,7 +269,7 @@ def cluster(
     rows = vectors.select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("vec")).where(whole(F.col("vec"), dims))
     centroids = starts(rows, clusters, seed, dims, scale)
     drift = [0.0] * len(centroids)
-    blocks = stored(first_round(rows, centroids, dims, scale, rounds == 0), "heap-blocks")
+    blocks, place = stored_anew(first_round(rows, centroids, dims, scale, rounds == 0), "heap-blocks")
     for number in range(rounds):
         sums = totals(blocks)
         moved = [
@@ -279,7 +279,7 @@ def cluster(
         steps = [root(sum((a - b) ** 2 for a, b in zip(old, new, strict=True))) for old, new in zip(centroids, moved, strict=True)]
         centroids = moved
         drift = [d + steps[k] + max([s for j, s in enumerate(steps) if j != k], default=0.0) for k, d in enumerate(drift)]
-        blocks = stored(next_round(blocks, centroids, drift, dims, number == rounds - 1), "heap-blocks")
+        blocks, place = stored_anew(next_round(blocks, centroids, drift, dims, number == rounds - 1), "heap-blocks", place)
     return _members(blocks, centroids, key)
 
 

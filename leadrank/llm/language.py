@@ -15,7 +15,8 @@ inputs of a prediction.
 
 A null text and a text without a letter are ``und`` with score 0; so is every
 text where there is no row to learn from. Ties go to the first language in
-alphabetical order. Repeated rows stay; null keys count as not held out and
+alphabetical order. Very long texts are read whole, in slices of characters that
+overlap. Repeated rows stay; null keys count as not held out and
 are learned from as any other.
 """
 

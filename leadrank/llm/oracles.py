@@ -8,34 +8,23 @@ _ORACLES: dict[str, str] = {}
 def all_oracles() -> dict[str, str]:
     return dict(_ORACLES)
 
+# Every item laid over every text at every offset where at least one word agrees.
 _ORACLES["op3_decontamination"] = r"""
 with d as (
-  select doc_id, regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') as w from documents where text is not null
-), p as (
-  select doc_id, unnest(range(len(w) - 5)) as pos, w from d where len(w) >= 6
-), s as (
-  select doc_id, pos, unnest([
-    '0 ' || w[pos+1] || ' ' || w[pos+2] || ' ' || w[pos+3] || ' ' || w[pos+5] || ' ' || w[pos+6],
-    '1 ' || w[pos+1] || ' ' || w[pos+3] || ' ' || w[pos+4] || ' ' || w[pos+5] || ' ' || w[pos+6]]) as seed from p
+  select doc_id, row_number() over () as r, regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') as w from documents where text is not null
 ), b as (
-  select item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w
+  select item_id, row_number() over () as r, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w
   from benchmark where text is not null
-), bp as (
-  select item_id, unnest(range(len(w) - 5)) as pos, w from b where len(w) >= 6
-), bs as (
-  select item_id, pos, unnest([
-    '0 ' || w[pos+1] || ' ' || w[pos+2] || ' ' || w[pos+3] || ' ' || w[pos+5] || ' ' || w[pos+6],
-    '1 ' || w[pos+1] || ' ' || w[pos+3] || ' ' || w[pos+4] || ' ' || w[pos+5] || ' ' || w[pos+6]]) as seed from bp
-), h as (
-  select distinct s.doc_id, bs.item_id, s.pos - bs.pos as o from s join bs using (seed)
+), dw as (
+  select doc_id, r as dr, unnest(w) as word, generate_subscripts(w, 1) as pos from d
+), bw as (
+  select item_id, r as br, len(w) as n, unnest(w) as word, generate_subscripts(w, 1) as j from b
 ), m as (
-  select h.doc_id, h.item_id, len(b.w) as n_words,
-         len(list_filter(range(len(b.w)), lambda j: h.o + j >= 0 and h.o + j < len(d.w) and d.w[h.o + j + 1] = b.w[j + 1])) as n_matched
-  from h join d using (doc_id) join b using (item_id)
+  select doc_id, dr, item_id, br, n, count(*) as n_matched from dw join bw using (word)
+  group by doc_id, dr, item_id, br, n, pos - j having count(*) >= 0.8 * n
 )
-select doc_id, item_id, max(n_matched)::integer as n_matched, max(n_words)::integer as n_words,
-       round(max(n_matched) / max(n_words), 6) as overlap
-from m group by doc_id, item_id having max(n_matched) >= 0.8 * max(n_words)
+select doc_id, item_id, max(n_matched)::integer as n_matched, max(n)::integer as n_words, round(max(n_matched) / max(n), 6) as overlap
+from m group by doc_id, item_id
 """
 
 _ORACLES["op1_quantised"] = r"""

@@ -13,7 +13,8 @@ source or ids. The tables are fitted on at most ``sample_rows`` labelled rows,
 chosen by a hash of the key; at that bound they and the collected feature rows
 stay small whatever the table's size. Everything else runs on all rows.
 
-Null and empty texts have features of zero length and get a score. Repeated
+Null and empty texts have features of zero length and get a score. Very long texts
+are read whole, one at a time. Repeated
 rows stay. Null keys are scored and count as not held out; they carry no label.
 Without labelled rows every score is 0.5; with one class only, its share.
 """

@@ -13,7 +13,8 @@ texts through three patterns; spans are code points, end exclusive, the whole
 match; a match that fails its length test is dropped, with what it covers.
 
 A null text counts as empty and has no findings. Repeated paths and versions
-stay as rows. Paths may be null. An empty table scans nothing.
+stay as rows. Paths may be null. An empty table scans nothing. Very long texts are
+scanned whole, one at a time.
 """
 
 from __future__ import annotations
@@ -102,7 +103,8 @@ def scan_versions(
     texts = held.join(first, (F.col("blob") == F.col("b")) & F.col("path").eqNullSafe(F.col("p")), "left_semi")
     # A repeated row may bring the same blob twice.
     scan(texts, rule_version).dropDuplicates(["blob"]).write.mode("append").parquet(ledger)
-    known = spark.read.schema(LEDGER).parquet(ledger).where(F.col("rule_version") == rule_version)
+    # Two writers at once may both have scanned a blob; their findings are the same.
+    known = spark.read.schema(LEDGER).parquet(ledger).where(F.col("rule_version") == rule_version).dropDuplicates(["blob"])
     return held.select("path", "blob").join(known, "blob", "left").select(
         F.col("path").alias(path), "blob", "n_assign", "n_access", "n_hex", "spans"
     )

@@ -11,7 +11,8 @@ together; long chunks use a heap. Symbols outside the vocabulary become bytes.
 Every new chunk is checked against the sentencepiece library, as is one whole
 text per group of texts; a difference is an error.
 
-Null and empty texts have no ids and decode to the empty string. Repeated rows
+Null and empty texts have no ids and decode to the empty string. Very long texts are
+encoded whole; their chunks are checked like all others, but not the text at once. Repeated rows
 stay. Other columns pass through untouched.
 """
 

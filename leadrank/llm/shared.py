@@ -25,6 +25,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_anew(df: DataFrame, name: str, before: str | None = None) -> tuple[DataFrame, str]:
+    """``stored``, and where; the table at ``before``, which only ``df`` needed, goes once the new one is whole."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    if before is not None:
+        old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(before)
+        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def tasks_for(spark: SparkSession, items: int, each: int) -> int:
     """Tasks for so many items: all cores while these are few, ``each`` items a task beyond that."""
     return max(1, min(items, 2 * spark.sparkContext.defaultParallelism), -(-items // each))

@@ -20,7 +20,8 @@ must agree as well); those still above it are compared as pairs of chunks in
 tasks of their own. Nothing is capped.
 
 Null texts count as empty; texts without a word have fingerprint zero and link
-like any other. Repeated doc_ids stay as rows. Null doc_ids are rows of their
+like any other. Very long texts are worked on whole; their bits are counted in
+slices of shingles. Repeated doc_ids stay as rows. Null doc_ids are rows of their
 own fingerprint, but never name a component.
 """
 

@@ -8,19 +8,24 @@ over it also starts in a document with a smaller id. Steps:
    hashes of each document; those of one document only are out.
 2. A second pass cuts, in documents with shared anchors, each run of windows on
    one anchor into a segment (all words of those windows) and keeps its digest.
-   Equal segments are counted together, map-side first, so that a passage in
-   very many documents becomes one segment with its smallest document. All other
-   copies of a segment are repeats as a whole.
-3. The first copies of segments whose anchor has several go to a shard by
-   anchor. Each shard builds an FM-index of its segments; those that a smaller
-   document may precede are streamed through it by backward search on a wavelet
-   matrix, and windows whose matching statistics reach 50 words in a smaller
-   document are reported.
+   Equal segments are one, counted map-side first, so that a passage in very
+   many documents becomes one segment with its smallest document.
+3. Segments that more than one document holds, and all those of an anchor that
+   has several, go to a shard by anchor. Each shard builds an FM-index of its
+   segments and streams them through it by backward search on a wavelet matrix;
+   windows whose matching statistics reach 50 words in a smaller document are
+   reported: once for the smallest document of a segment, and once for all
+   documents behind it, for which the segment's own document is a smaller one.
+   Nothing is removed but what an index reports.
 4. Windows found are brought to their documents and the words they cover go.
 
-Anchors in more than ``hot`` documents are cut window by window, keyed by the
-whole window: such windows meet their equals already in the aggregation of step
-2, so no shard ever holds a hot anchor. Windows are judged on the input.
+Anchors in more than ``hot`` documents are cut window by window, and each window is
+an anchor of its own, so no shard ever holds a hot anchor. Windows are judged on
+the input.
+
+Rows are known by a 128-bit digest of id and text, so rows that share an id are
+judged each for itself, and equal rows alike. Very long texts are worked on whole,
+one at a time.
 
 Words are compared by 64-bit hashes; taking two different windows for one needs
 such a collision at every place where they differ.
@@ -98,11 +103,11 @@ class Windows:
 
 
 def _anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """``(key, id)``: the distinct anchor hashes of each row."""
+    """``(key, id, uid)``: the distinct anchor hashes of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            ids, texts = rows.column(0).to_numpy(zero_copy_only=False), rows.column(1).to_pylist()
+            texts = rows.column(1).to_pylist()
             for a, b in groups_of(texts):
                 w = Windows(texts[a:b], window, gram)
                 if not len(w.key):
@@ -112,13 +117,14 @@ def _anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 key, row = w.key[order], row[order]
                 new = np.ones(len(key), bool)
                 new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(key[new]), pa.array(ids[a:b][row[new]])], names=["key", "id"])
+                at = pa.array(a + row[new])
+                yield pa.RecordBatch.from_arrays([pa.array(key[new]), rows.column(0).take(at), rows.column(2).take(at)], names=["key", "id", "uid"])
 
-    return docs.where("id is not null").select("id", "text").mapInArrow(run, "key bigint, id bigint")
+    return docs.where("id is not null").select("id", "text", "uid").mapInArrow(run, "key bigint, id bigint, uid binary")
 
 
 PARTS = (
-    "id bigint, uid bigint, n_words bigint, kept_sha256 string, text string, "
+    "id bigint, uid binary, n_words bigint, kept_sha256 string, text string, "
     "segments array<struct<key: bigint, digest: binary, start: int, n: int>>"
 )
 
@@ -129,14 +135,14 @@ def _segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
-        from xxhash import xxh3_128_digest, xxh64_intdigest
+        from xxhash import xxh3_128_digest
 
         segment = pa.struct([("key", pa.int64()), ("digest", pa.binary()), ("start", pa.int32()), ("n", pa.int32())])
         schema = pa.schema(
-            [("id", pa.int64()), ("uid", pa.int64()), ("n_words", pa.int64()), ("kept_sha256", pa.string()), ("text", pa.string()), ("segments", pa.list_(segment))]
+            [("id", pa.int64()), ("uid", pa.binary()), ("n_words", pa.int64()), ("kept_sha256", pa.string()), ("text", pa.string()), ("segments", pa.list_(segment))]
         )
         for rows in batches:
-            ids, texts, keys, hot = (c.to_pylist() for c in rows.columns)
+            ids, texts, uids, keys, hot = (c.to_pylist() for c in rows.columns)
             for a, b in groups_of(texts):
                 some = [i for i in range(a, b) if keys[i] or hot[i]]
                 w = Windows([texts[i] for i in some], window, gram)
@@ -162,27 +168,26 @@ def _segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 out_rows: dict[str, list] = {f.name: [] for f in schema}
                 for i in range(a, b):
                     words = words_of(texts[i])
-                    uid = xxh64_intdigest(f"{ids[i]} ".encode() + b" ".join(words)) - (1 << 63)
                     pending = bool(found.get(i))
                     kept = None if pending else hashlib.sha256(b" ".join(words)).hexdigest()
-                    row = (ids[i], uid, len(words), kept, texts[i] if pending else None, found.get(i, []))
+                    row = (ids[i], uids[i], len(words), kept, texts[i] if pending else None, found.get(i, []))
                     for name, value in zip(out_rows, row, strict=True):
                         out_rows[name].append(value)
                 yield batch(out_rows, schema)
 
-    return docs.select("id", "text", "keys", "hot").mapInArrow(run, PARTS)
+    return docs.select("id", "text", "uid", "keys", "hot").mapInArrow(run, PARTS)
 
 
 def _firsts(pending: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Words of the first copies: ``(shard, key, owner, digest, words)``."""
-    asked = wanted.groupBy("uid").agg(F.collect_list(F.struct("shard", "key", "owner", "digest", "start", "length")).alias("parts"))
+    """Words of the first copies: ``(shard, key, owner, again, digest, words)``."""
+    asked = wanted.groupBy("uid").agg(F.collect_list(F.struct("shard", "key", "owner", "again", "digest", "start", "length")).alias("parts"))
     # Rows that are equal share a uid; one of them is enough.
     texts = pending.select("uid", "text").join(asked, "uid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
-        schema = pa.schema([("shard", pa.int32()), ("key", pa.int64()), ("owner", pa.int64()), ("digest", pa.binary()), ("words", pa.binary())])
+        schema = pa.schema([("shard", pa.int32()), ("key", pa.int64()), ("owner", pa.int64()), ("again", pa.bool_()), ("digest", pa.binary()), ("words", pa.binary())])
         for rows in batches:
             texts = rows.column(0).to_pylist()
             for a, b in groups_of(texts):
@@ -191,48 +196,57 @@ def _firsts(pending: DataFrame, wanted: DataFrame) -> DataFrame:
                     words = words_of(text)
                     h = np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
                     for p in parts:
-                        for name in ("shard", "key", "owner", "digest"):
+                        for name in ("shard", "key", "owner", "again", "digest"):
                             out[name].append(p[name])
                         out["words"].append(h[p["start"] : p["start"] + p["length"]].tobytes())
                 yield batch(out, schema)
 
-    return texts.select("text", "parts").mapInArrow(run, "shard int, key bigint, owner bigint, digest binary, words binary")
+    return texts.select("text", "parts").mapInArrow(run, "shard int, key bigint, owner bigint, again boolean, digest binary, words binary")
 
 
 def _searched(firsts: DataFrame, shards: int, window: int) -> DataFrame:
-    """``(digest, marks)``: for each first copy, a byte per window that says whether a smaller id has it."""
+    """``(key, digest, marks, later)``: a byte per window of a segment that says whether a smaller id has it.
+
+    ``marks`` holds for the segment's smallest document, ``later`` for those behind it.
+    """
+    schema = pa.schema([("key", pa.int64()), ("digest", pa.binary()), ("marks", pa.binary()), ("later", pa.binary())])
 
-    def shard(segments: list[tuple[int, int, bytes, np.ndarray]]) -> pa.RecordBatch | None:
-        owners = np.array([s[1] for s in segments], np.int64)
-        keys = np.array([s[0] for s in segments], np.int64)
+    def shard(segments: list[tuple[int, int, bool, bytes, np.ndarray]]) -> pa.RecordBatch | None:
+        keys, owners, again = (np.array([s[k] for s in segments]) for k in range(3))
         # The smallest owner of an anchor has none before it.
         order = np.lexsort((owners, keys))
         lead = np.ones(len(order), bool)
         lead[1:] = keys[order][1:] != keys[order][:-1]
         least = np.empty(len(order), np.int64)
         least[order] = owners[order][np.flatnonzero(lead)[np.cumsum(lead) - 1]]
-        asked = np.flatnonzero(owners > least)
+        first, later = np.flatnonzero(owners > least), np.flatnonzero(again)
+        asked = np.concatenate([first, later])
         if not len(asked):
             return None
-        index = FMIndex([s[3] for s in segments], owners)
-        marks = index.earlier(asked, owners[asked], window)
-        found = [(segments[i][2], m.astype(np.uint8).tobytes()) for i, m in zip(asked.tolist(), marks, strict=True) if m.any()]
-        return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.binary())], names=["digest", "marks"])
+        index = FMIndex([s[4] for s in segments], owners)
+        # Whoever comes behind the owner has an id of at least one more.
+        marks = index.earlier(asked, np.concatenate([owners[first], owners[later] + 1]), window)
+        found: dict[int, list[bytes | None]] = {}
+        for k, (i, m) in enumerate(zip(asked.tolist(), marks, strict=True)):
+            if m.any():
+                found.setdefault(i, [None, None])[int(k >= len(first))] = m.astype(np.uint8).tobytes()
+        columns = {"key": [segments[i][0] for i in found], "digest": [segments[i][3] for i in found], "marks": [m[0] for m in found.values()], "later": [m[1] for m in found.values()]}
+        return batch(columns, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for rows in batches:
-            for number, key, owner, digest, words in zip(*(c.to_pylist() for c in rows.columns), strict=True):
+            for number, key, owner, again, digest, words in zip(*(c.to_pylist() for c in rows.columns), strict=True):
                 if number != now:
                     if held and (out := shard(held)) is not None:
                         yield out
                     now, held = number, []
-                held.append((key, owner, digest, np.frombuffer(words, np.uint64)))
+                held.append((key, owner, again, digest, np.frombuffer(words, np.uint64)))
         if held and (out := shard(held)) is not None:
             yield out
 
     spread = firsts.repartition(shards, "shard").sortWithinPartitions("shard")
-    return spread.mapInArrow(run, "digest binary, marks binary")
+    return spread.mapInArrow(run, "key bigint, digest binary, marks binary, later binary")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, shard_words: int = SHARD_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -243,35 +257,34 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot:
     """
     if 2 * window - gram > DEPTH:
         raise ValueError("windows are longer than the index is deep")
-    rows = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
+    rows = rows.withColumn("uid", F.unhex(F.md5(F.concat_ws(" ", F.col("id").cast("string"), "text").cast("binary"))))
     # A null id gets no anchors, so it joins nothing below.
     pairs = stored(_anchors(rows, window, gram), "repeat-anchors")
     shared = pairs.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count(F.lit(1)).alias("n"))
     shared = shared.where("a < b").select("key", (F.col("n") > hot).alias("is_hot"))
-    by_doc = pairs.join(shared, "key").groupBy("id").agg(
+    by_row = pairs.join(shared, "key").groupBy("uid").agg(
         F.collect_set(F.when(~F.col("is_hot"), F.col("key"))).alias("keys"),
         F.collect_set(F.when(F.col("is_hot"), F.col("key"))).alias("hot"),
     )
-    parts = stored(_segments(rows.join(by_doc, "id", "left"), window, gram), "repeat-parts")
+    parts = stored(_segments(rows.join(by_row, "uid", "left"), window, gram), "repeat-parts")
     pending = parts.where("text is not null")
     copies = pending.select("id", "uid", F.explode("segments").alias("s")).select("id", "uid", "s.*")
     firsts = copies.groupBy("key", "digest").agg(F.min(F.struct("id", "uid", "start")).alias("first"), F.max("n").alias("n"), F.max("id").alias("last"))
     firsts = stored(firsts.select("key", "digest", "first.*", "n", "last"), "repeat-firsts")
-    several = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    wanted = firsts.join(several, "key", "left_semi").withColumn("length", F.col("n") + F.lit(window - 1))
+    several = firsts.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("key").alias("_key"))
+    wanted = firsts.join(several, F.col("key") == F.col("_key"), "left").where("last > id or _key is not null")
+    wanted = wanted.withColumn("length", F.col("n") + F.lit(window - 1))
     total = wanted.agg(F.sum("length")).first()[0] or 0
     shards = max(1, int(total // shard_words) + 1)
     wanted = wanted.select(
-        F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard"), "key", F.col("id").alias("owner"), "digest", "uid", "start", "length"
-    )
-    marks = _searched(_firsts(pending, wanted), shards, window).dropDuplicates(["digest"])
-    # Copies behind the first are repeats as a whole; the first ones have their marks.
-    told = firsts.join(marks, "digest", "left").where("marks is not null or last > id").select("key", "digest", F.col("id").alias("first"), "marks")
-    gone = copies.join(told, ["key", "digest"]).select(
-        "uid", "start", "n", F.when(F.col("id") == F.col("first"), F.col("marks")).alias("marks"), (F.col("id") > F.col("first")).alias("whole")
+        F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard"), "key", F.col("id").alias("owner"), (F.col("last") > F.col("id")).alias("again"), "digest", "uid", "start", "length"
     )
-    gone = gone.where("whole or marks is not null")
-    gone = gone.groupBy("uid").agg(F.collect_list(F.struct("start", "n", "marks")).alias("gone"))
+    # Rows that are equal bring the same segment.
+    told = _searched(_firsts(pending, wanted), shards, window).dropDuplicates(["key", "digest"])
+    told = told.join(firsts.select("key", "digest", F.col("id").alias("first")), ["key", "digest"])
+    gone = copies.join(told, ["key", "digest"]).select("uid", "start", F.when(F.col("id") == F.col("first"), F.col("marks")).otherwise(F.col("later")).alias("marks"))
+    gone = gone.where("marks is not null").groupBy("uid").agg(F.collect_set(F.struct("start", "marks")).alias("gone"))
     left = pending.select("id", "uid", "text").join(gone, "uid", "left").select("id", "text", "gone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,8 +300,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot:
                     words = words_of(text_)
                     change = np.zeros(len(words) + window + 1, np.int64)
                     for s in spans or []:
-                        hit = np.frombuffer(s["marks"], np.uint8) if s["marks"] is not None else np.ones(s["n"], np.uint8)
-                        at = s["start"] + np.flatnonzero(hit)
+                        at = s["start"] + np.flatnonzero(np.frombuffer(s["marks"], np.uint8))
                         np.add.at(change, at, 1)
                         np.add.at(change, at + window, -1)
                     stay = np.cumsum(change)[: len(words)] == 0

@@ -62,6 +62,25 @@ def test_only_unseen_pairs_are_scanned(spark, docs_of, ledger):
     assert spark.read.parquet(ledger).count() == 6
 
 
+def test_two_writers_of_one_blob(spark, docs_of, ledger):
+    rows = [(1, CASES[0]), (2, CASES[0]), (3, CASES[1])]
+    secrets.scan_versions(docs_of(rows), ledger, path="doc_id").collect()
+    held = spark.createDataFrame(spark.read.parquet(ledger).collect(), secrets.LEDGER)
+    held.write.mode("append").parquet(ledger)
+    assert results(secrets.scan_versions(docs_of(rows), ledger, path="doc_id")) == want(rows)
+
+
+def test_query(spark, sf):
+    import hashlib
+
+    from leadrank.llm.queries import all_queries
+
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    found = all_queries()["op6_secrets"](spark, sf).collect()
+    assert sorted(((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.spans) for r in found), key=str) == want(rows)
+    assert all(r.base_sha256 == hashlib.sha256(r.spans.encode()).hexdigest() for r in found)
+
+
 def test_empty_table(docs_of, ledger):
     assert secrets.scan_versions(docs_of([]), ledger, path="doc_id").collect() == []
 

@@ -57,6 +57,24 @@ def test_kept_text(docs_of):
     assert (found[2].kept, found[2].n_removed, found[1].kept, found[3].n_removed) == ("before behind", 60, None, 0)
 
 
+def test_nothing_goes_but_what_an_index_reports(docs_of, passages, monkeypatch):
+    """Without the index's marks all words stay, equal passages and hot anchors included."""
+    monkeypatch.setattr(FMIndex, "earlier", lambda self, asked, owners, length: [np.zeros(max(0, int(self.sizes[i]) - length + 1), bool) for i in asked])
+    same = " ".join(f"w{k}" for k in range(70))
+    rows = passages + [(900 + k, same) for k in range(10)]
+    for more in ({}, {"hot": 4}):
+        found = substrings.remove_repeats(docs_of(rows), window=8, gram=3, **more)
+        assert {r.n_removed for r in found.collect()} == {0}
+
+
+def test_rows_that_share_an_id_are_judged_for_themselves(docs_of, words_of):
+    rng = random.Random(9)
+    shared = " ".join(f"s{k}" for k in range(60))
+    rows = [(5, f"own{k} " * 3 + " ".join(rng.choices("abcdef", k=70))) for k in range(40)]
+    rows += [(5, shared), (5, shared), (5, f"x {shared}"), (4, f"{shared} y"), (5, rows[3][1]), (None, shared), (6, rows[3][1])]
+    assert got(substrings.remove_repeats(docs_of(rows))) == brute(rows, words_of)
+
+
 def test_empty_table(docs_of):
     assert substrings.remove_repeats(docs_of([])).collect() == []
 
