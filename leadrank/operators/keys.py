@@ -77,10 +77,21 @@ def _fetched(keys: DataFrame) -> KeyTable:
     )
 
 
+def _known_bytes(keys: DataFrame) -> int | None:
+    """Bytes of a table that is on the driver already, which the planner knows exactly; None for any other."""
+    plan = keys._jdf.queryExecution().optimizedPlan()
+    return int(plan.stats().sizeInBytes()) if plan.getClass().getSimpleName() == "LocalRelation" else None
+
+
+def _bytes(keys: DataFrame) -> int:
+    known = _known_bytes(keys)
+    return known if known is not None else int(keys.agg(F.sum(_sized(keys)).alias("bytes")).first()["bytes"] or 0)
+
+
 def key_tables(keys: DataFrame, max_bytes: int | None = None) -> list[KeyTable]:
     """The key table in parts of at most ``max_bytes``; one part, perhaps an empty one, where it fits."""
     limit = MAX_KEY_BYTES if max_bytes is None else max_bytes
-    total = keys.agg(F.sum(_sized(keys)).alias("bytes")).first()["bytes"] or 0
+    total = _bytes(keys)
     if total <= limit:
         return [_fetched(keys)]
     # Twice as many parts as needed on average, so that an uneven one fits as well.
@@ -93,7 +104,7 @@ def local_keys(keys: DataFrame, max_bytes: int | None = None) -> list[Key] | Non
     """Names and weights on the driver, or None when they are too large."""
     plain = keys.select("name", "weight", *(["pos"] if "pos" in keys.columns else []))
     limit = MAX_KEY_BYTES if max_bytes is None else max_bytes
-    if (plain.agg(F.sum(_sized(plain)).alias("bytes")).first()["bytes"] or 0) > limit:
+    if _bytes(plain) > limit:
         return None
     found = _fetched(plain)
     return [Key(name, float(weight)) for name, weight in zip(found.names, found.weights, strict=True)]

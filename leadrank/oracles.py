@@ -467,6 +467,7 @@ SELECT cluster, n, (i - 1)::INTEGER AS dim, {r6('x')} AS v FROM two_dims"""
     q["g3_silhouette_exact"] = silhouette("list_distance(a.v, b.v)")
     q["g3_silhouette_squared"] = silhouette("list_distance(a.v, b.v) ** 2")
     q["h1_rank"] = "SELECT c_custkey, c_acctbal, row_number() OVER (ORDER BY c_acctbal DESC NULLS LAST, c_custkey) AS rank FROM customer"
+    q["a2_ranked_round_trip"] = "SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal DESC NULLS LAST, c_custkey) AS rank FROM customer"
     q["h2_top_n"] = q["h1_rank"] + " QUALIFY rank <= 500"
     q["h3_choose_top_n"] = f"WITH {CHOSEN} SELECT * FROM cut WHERE rank <= 150"
     q["h3_choose_top_auto"] = f"WITH {CHOSEN} SELECT * FROM cut WHERE rank <= least(100, (SELECT floor(0.1::DOUBLE * count(*)) FROM docs2))"

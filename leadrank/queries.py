@@ -59,6 +59,14 @@ def a1_a2_csv_round_trip(spark, sf):
     return tables.read_csv(spark, path, docs.schema)
 
 
+@query
+def a2_ranked_round_trip(spark, sf):
+    rows = X.table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    path = scratch_path(spark, "ranked")
+    tables.write_ranked(ranking.ranked(rows, ranking.best_first("c_acctbal", "c_custkey")), path)
+    return tables.read_parquet(spark, path, ["c_custkey", "rank"])
+
+
 @query
 def a3_keywords(spark, sf):
     return keywords.parse_keywords(X.keyword_objects(spark, sf), "set_id", "json")

@@ -40,5 +40,8 @@ def read_keywords(spark: SparkSession, path: str, tokenize: bool = False) -> Dat
 
 
 def keyword_table(spark: SparkSession, weights: dict[str, float]) -> DataFrame:
-    """Keyword table ``(name, weight)`` from a Python mapping."""
-    return spark.createDataFrame([(k, float(v)) for k, v in weights.items()], "name string, weight double")
+    """Keyword table ``(name, weight)`` from a Python mapping; it stays on the driver, so its size is known."""
+    import pyarrow as pa
+
+    columns = {"name": pa.array(list(weights), pa.string()), "weight": pa.array([float(v) for v in weights.values()], pa.float64())}
+    return spark.createDataFrame(pa.table(columns))
