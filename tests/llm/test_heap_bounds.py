@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -14,7 +15,7 @@ SCHEMA = "vec_id long, embedding array<double>, cluster string, distance string,
 def brute_force(rows, clusters=16, rounds=3, seed=1, dims=64, scale=64):
     """(id, cluster, distance, centroid) of each vector that takes part, in whole numbers."""
     kept = [
-        (i, [math.floor(scale * x) if abs(x) < 2**40 else scale * int(x) for x in v])
+        (i, [math.floor(scale * Fraction(x)) for x in v])
         for i, v in rows
         if v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v)
     ]
@@ -50,7 +51,7 @@ def found(spark, rows, **how):
 
 
 def points(rng, n, centres, spread, dims=64):
-    return [[rng.choice(centres)[j] + rng.gauss(0, spread) for j in range(dims)] for _ in range(n)]
+    return [[x + rng.gauss(0, spread) for x in rng.choice(centres)[:dims]] for _ in range(n)]
 
 
 def test_random_vectors(spark):

@@ -72,7 +72,9 @@ def test_probes_and_coded_distances_suffice(rows):
         of = np.flatnonzero(lists == number)
         coded = model.coded(x, number, codes[of])
         true = np.sqrt(quantised.distances(x, x[of]))
-        assert (np.abs(coded - true) <= error[of][None, :] + 1e-7).all()
+        # Tables are single precision, so squares may be off by what a bound leaves for that.
+        slack, e = quantised.TABLE_SLACK, error[of][None, :]
+        assert (coded**2 <= (true + e) ** 2 + slack).all() and (coded**2 >= np.maximum(true - e, 0) ** 2 - slack).all()
 
 
 def test_tables_hold_the_products_of_codes(rows):
@@ -82,7 +84,7 @@ def test_tables_hold_the_products_of_codes(rows):
     words = np.stack([w[codes[:, j]] for j, w in enumerate(model.codebook)], axis=1).reshape(len(x), -1)[:, :24]
     coded = model.centroids[lists] + words
     assert np.allclose(norm, (coded**2).sum(axis=1)) and np.allclose(error, np.linalg.norm(x - coded, axis=1))
-    assert np.allclose(model.looked_up(model.tables(x[:7]), codes), x[:7] @ words.T)
+    assert np.allclose(model.looked_up(model.tables(x[:7]), codes), x[:7] @ words.T, atol=1e-6)
 
 
 @pytest.mark.parametrize("more", [{}, {"indexes": 1}, {"indexes": 0}, {"indexes": 0, "block": 40}, {"block": 40, "lists": 6}])
