@@ -30,7 +30,7 @@ Centroids and code words are fitted on a bounded sample of the vectors; every
 vector is in the index. Equal vectors are one class with a count. Neighbouring
 lists share a group of at most ``block`` vectors, and longer lists are dealt over
 several groups. A query goes once to each group that holds a list it probes and is
-looked up in those lists alone; of two groups only one sends its queries to the
+compared with those lists alone; of two groups only one sends its queries to the
 other, so that each pair meets once. A task returns link counts per class and the
 edges of a spanning forest, not pairs.
 
@@ -111,17 +111,21 @@ class Quantiser:
         return lists, codes, np.sqrt(error), norm
 
     def tables(self, x: np.ndarray) -> np.ndarray:
-        """Products of each query with every code word: queries by subspaces by words."""
+        """Products of each query with every code word: subspaces by words by queries, in single precision."""
         cut = self.parts(x)
-        return np.stack([cut[:, j] @ words.T for j, words in enumerate(self.codebook)], axis=1)
+        return np.stack([words @ cut[:, j].T for j, words in enumerate(self.codebook)]).astype(np.float32)
 
     @staticmethod
     def looked_up(tables: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """Products of queries with the words that codes stand for: one look-up per subspace, added up."""
-        total = np.take(tables[:, 0], codes[:, 0], axis=1)
+        """Products of queries with the words that codes stand for: one look-up per subspace, added up.
+
+        A look-up takes a word's row, the products of all queries with it.
+        """
+        total = tables[0].take(codes[:, 0], axis=0)
+        row = np.empty_like(total)
         for j in range(1, codes.shape[1]):
-            total += np.take(tables[:, j], codes[:, j], axis=1)
-        return total
+            total += tables[j].take(codes[:, j], axis=0, out=row, mode="clip")
+        return total.T
 
     def probes(
         self, x: np.ndarray, radius: float, deviations: float | None = None, reach: np.ndarray | None = None
@@ -317,34 +321,37 @@ def links(classes: DataFrame, model: Quantiser, least: float, layout: Layout, de
         model, layout = Quantiser(*sent.value[0]), Layout(*sent.value[1])
 
         def held(data: list[pa.RecordBatch]) -> tuple:
-            """Of a group: vectors, ids, counts, codes, the least product with a query that may be linked, and where each list lies."""
+            """Of a group: vectors, ids, counts, codes, the least product with a query that may be linked, and the lists' numbers."""
             table = pa.Table.from_batches(data).combine_chunks()
             lists, ids, counts, error, norm = (table.column(k).to_numpy() for k in (3, 4, 5, 8, 9))
             codes = np.frombuffer(b"".join(table.column(7).to_pylist()), np.uint8).reshape(len(ids), -1)
             # |x-y|^2 = 1 + |y|^2 - 2xy for queries of length one.
             product = (1 + norm - (radius + error + SLACK) ** 2) / 2 - TABLE_SLACK
-            names, first = np.unique(lists, return_index=True)
-            cuts = list(zip(first.tolist(), [*first[1:].tolist(), len(lists)], strict=True))
-            return rows_of(table.column(6).combine_chunks(), model.dims), ids, counts, codes, product, names, cuts
+            names, number = np.unique(lists, return_inverse=True)
+            return rows_of(table.column(6).combine_chunks(), model.dims), ids, counts, codes, product.astype(np.float32), names, number
 
         def step(group: int, data: tuple, asked: pa.RecordBatch) -> pa.RecordBatch | None:
             """Queries of one batch against the group's data."""
-            y, ids, counts, codes, product, names, cuts = data
+            y, ids, counts, codes, product, names, number = data
             home, own, q_ids, q_counts = (asked.column(k).to_numpy(zero_copy_only=False) for k in (2, 3, 4, 5))
             x = rows_of(asked.column(6), model.dims)
             left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for a in range(0, len(x), STEP):
                 part = x[a : a + STEP]
-                tables = model.tables(part).astype(np.float32)
-                centre = part @ model.centroids[names].T
+                tables = model.tables(part)
+                centre = (part @ model.centroids[names].T).astype(np.float32)
                 probed = model.wanted(part, names, radius, deviations, layout.reach, own[a : a + STEP])
-                for k, (start, stop) in enumerate(cuts):
-                    rows = np.flatnonzero(probed[:, k])
-                    if not len(rows):
+                # What a list that is not probed holds is out of reach.
+                centre[~probed] = -np.inf
+                centre = np.ascontiguousarray(centre.T)
+                some = probed.any(axis=0)
+                for start in range(0, len(y), STEP):
+                    of = number[start : start + STEP]
+                    if not some[of].any():
                         continue
-                    products = model.looked_up(tables[rows], codes[start:stop])
-                    i, j = np.nonzero(products >= product[None, start:stop] - centre[rows, k][:, None])
-                    i, j = a + rows[i], start + j
+                    products = model.looked_up(tables, codes[start : start + STEP])
+                    j, i = np.nonzero(products.T + centre[of] >= product[start : start + STEP, None])
+                    i, j = a + i, start + j
                     # Within the group each pair comes up twice.
                     once = (home[i] != group) | (q_ids[i] < ids[j])
                     i, j = i[once], j[once]
