@@ -18,6 +18,8 @@ from leadrank.functions.vectors import map_vectors, matrix_of
 from leadrank.operators.keys import MAX_KEY_BYTES
 from leadrank.session import Reuse
 
+#: Centroids that come to the driver at most; their bytes are checked as well.
+MAX_CENTROIDS = 1_000_000
 #: Vectors of a coreset, and assign-and-average steps of a fit at most.
 CORESET_ROWS, STEPS = 4096, 10
 #: Rows whose Euclidean silhouette a sweep takes, each against all rows.
@@ -133,16 +135,14 @@ def _sums(rows: DataFrame, sets: list) -> list:
     parts = rows.select("vec").mapInArrow(run, "slot int, n bigint, sum array<double>, q double")
     added = parts.groupBy("slot").agg(F.sum("n").alias("n"), Summarizer.sum(array_to_vector("sum")).alias("sum"), F.sum("q").alias("q"))
     # As many rows as there are centroids.
-    found = {r["slot"]: r for r in added.select("slot", "n", vector_to_array("sum").alias("sum"), "q").collect()}
-    out = []
-    for start, centres in zip(offsets[:-1].tolist(), sets, strict=True):
-        counts, sums, squares = np.zeros(len(centres), np.int64), np.zeros(centres.shape), np.zeros(len(centres))
-        for k in range(len(centres)):
-            if start + k in found:
-                row = found[start + k]
-                counts[k], sums[k], squares[k] = row["n"], row["sum"], row["q"]
-        out.append((counts, sums, squares))
-    return out
+    found = added.select("slot", "n", vector_to_array("sum").alias("sum"), "q").toArrow()
+    total, dims = int(offsets[-1]), sets[0].shape[1]
+    counts, sums, squares = np.zeros(total, np.int64), np.zeros((total, dims)), np.zeros(total)
+    if found.num_rows:
+        slots = found.column("slot").to_numpy()
+        counts[slots], squares[slots] = found.column("n").to_numpy(), found.column("q").to_numpy()
+        sums[slots] = matrix_of(found.column("sum").combine_chunks())
+    return [(counts[a:b], sums[a:b], squares[a:b]) for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
 
 
 def fit(rows: DataFrame, ks: list[int], seed: int = 0, steps: int = STEPS, coreset_rows: int = CORESET_ROWS) -> list:
@@ -186,12 +186,11 @@ def kmeans(rows: DataFrame, row_id: str, vec: str, k: int, seed: int = 0, reuse:
 
 
 def centroid_rows(centroids: DataFrame) -> list[tuple[int, list[float]]]:
-    """``(cluster, vec)`` rows on the driver in cluster order; their bytes are checked first."""
-    rows = centroids.select("cluster", F.col("vec").cast("array<double>").alias("vec"))
-    size = rows.agg(F.sum(F.size("vec").cast("bigint") * 8 + 16)).first()[0] or 0
-    if size > MAX_KEY_BYTES:
-        raise ValueError(f"centroids of {size} bytes are more than may be sent to every task")
-    return sorted((row.cluster, list(row.vec)) for row in rows.collect())
+    """``(cluster, vec)`` rows on the driver in cluster order, up to the size that may be sent to every task."""
+    rows = centroids.select("cluster", F.col("vec").cast("array<double>").alias("vec")).limit(MAX_CENTROIDS + 1).toArrow()
+    if rows.num_rows > MAX_CENTROIDS or rows.nbytes > MAX_KEY_BYTES:
+        raise ValueError(f"{rows.num_rows} centroids of {rows.nbytes} bytes are more than may be sent to every task")
+    return sorted(zip(rows.column("cluster").to_pylist(), rows.column("vec").to_pylist(), strict=True))
 
 
 def _assigned(rows: DataFrame, keep: list[str], vec: str, current: list[tuple[int, list[float]]]) -> DataFrame:
@@ -231,6 +230,7 @@ def lloyd_steps(rows: DataFrame, vec: str, centroids: DataFrame, steps: int) ->
         if step == steps - 1:
             return moved
         latest = dict(current)
+        # No more clusters than there are centroids.
         latest.update(centroid_rows(moved))
         current = sorted(latest.items())
     raise ValueError("steps must be at least 1")
@@ -245,16 +245,20 @@ def _moments(usable: DataFrame) -> tuple:
         F.count(F.lit(1)).alias("n"), Summarizer.sum(array_to_vector("vec")).alias("sum"), F.sum(norm2).alias("q")
     )
     moments = moments.select(F.col("label").alias("cluster"), "n", vector_to_array("sum").alias("vec"), "q")
-    with Reuse() as reuse:
-        kept = reuse.keep(moments)
-        sums = dict(centroid_rows(kept))
-        others = {r["cluster"]: (r["n"], r["q"]) for r in kept.select("cluster", "n", "q").collect()}
-    names = sorted(sums)
+    first = usable.select(F.size("vec").alias("d")).first()
+    if first is None:
+        return np.zeros(0, np.int64), np.zeros(0), np.zeros((0, 0)), np.zeros(0)
+    # One row per cluster, fetched up to the size that may be sent to every task.
+    most = MAX_KEY_BYTES // (8 * max(1, first["d"]))
+    found = moments.limit(most + 1).toArrow()
+    if found.num_rows > most:
+        raise ValueError(f"more than {most} clusters are more than may be sent to every task")
+    order = np.argsort(found.column("cluster").to_numpy(), kind="stable")
     return (
-        np.array(names, dtype=np.int64),
-        np.array([float(others[c][0]) for c in names]),
-        np.array([sums[c] for c in names], dtype=np.float64).reshape(len(names), -1 if names else 0),
-        np.array([others[c][1] for c in names], dtype=np.float64),
+        found.column("cluster").to_numpy()[order].astype(np.int64),
+        found.column("n").to_numpy()[order].astype(np.float64),
+        matrix_of(found.column("vec").combine_chunks())[order],
+        found.column("q").to_numpy()[order],
     )
 
 
@@ -328,10 +332,8 @@ def silhouette_exact(
     """
     import numpy as np
 
-    with Reuse() as reuse:
-        usable = reuse.keep(_labelled(rows, row_id, vec, label))
-        names, sizes, sums, squares = _moments(usable)
     usable = _labelled(rows, row_id, vec, label)
+    names, sizes, sums, squares = _moments(usable)
     id_type = usable.schema["id"].dataType.simpleString()
     centres = sums / np.maximum(sizes, 1.0)[:, None]
     shift = sums.sum(axis=0) / max(1.0, sizes.sum()) if len(names) else np.zeros(0)

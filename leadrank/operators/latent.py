@@ -24,10 +24,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructType
 
-from leadrank.functions.vectors import list_array, term_counts
+from leadrank.functions.vectors import list_array, matrix_of, term_counts
 from leadrank.session import Reuse, spread
 
-SLOTS, DIMENSIONS, MARGIN, ROUNDS = 1 << 14, 64, 16, 5
+SLOTS, DIMENSIONS, MARGIN, ROUNDS = 1 << 14, 64, 8, 3
 #: Terms that are multiplied with the block at once.
 STEP_TERMS = 20_000
 
@@ -122,9 +122,11 @@ def _applied(terms: DataFrame, idf, block):
 
     parts = terms.select("_x").mapInArrow(run, "slot int, v array<double>")
     added = parts.groupBy("slot").agg(Summarizer.sum(array_to_vector("v")).alias("v")).select("slot", vector_to_array("v").alias("v"))
+    # One row per slot.
+    found = added.toArrow()
     out = np.zeros_like(block)
-    for r in added.collect():
-        out[r["slot"]] = r["v"]
+    if found.num_rows:
+        out[found.column("slot").to_numpy()] = matrix_of(found.column("v").combine_chunks())
     return out
 
 
