@@ -7,6 +7,7 @@ from pyspark.sql import Column, functions as F
 # The whitespace class used everywhere, and its characters.
 WHITESPACE = r"[ \t\n\r\f\x0B]+"
 WHITESPACE_CHARS = " \t\n\r\f\x0b"
+BETWEEN_WORDS = r"[^\p{L}\p{N}]+"
 
 
 def let(value: Column, body) -> Column:
@@ -35,7 +36,12 @@ def word_count(text: Column) -> Column:
 
 def word_tokens(text: Column) -> Column:
     """Lower-case runs of letters and digits."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    return F.filter(F.split(F.lower(text), BETWEEN_WORDS), lambda t: t != "")
+
+
+def spaced_words(text: Column) -> Column:
+    """The words of ``word_tokens`` in one run of bytes, a space between any two, perhaps one at either end."""
+    return F.regexp_replace(F.lower(text), BETWEEN_WORDS, " ").cast("binary")
 
 
 def has_words(text: Column) -> Column:

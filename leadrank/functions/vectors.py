@@ -121,6 +121,43 @@ def hash_vector(text: Column, dims: int, normalize: bool = True) -> Column:
     return let(term_counts(text, dims), weigh)
 
 
+#: Bytes of words that are taken apart at once, and words whose slots a task remembers at most.
+STEP_BYTES, KNOWN_WORDS = 1 << 22, 1 << 18
+
+
+def word_slots(column, dims: int, known: dict):
+    """Of an Arrow column of ``spaced_words``, in steps: first row, rows, and row and slot of each word.
+
+    The slots are those of ``hash_dim``. Each different word of a step is hashed
+    once, and not again if ``known``, the caller's for a whole task, has it.
+    """
+    import hashlib
+
+    import numpy as np
+    import pyarrow.compute as pc
+
+    ends = np.concatenate([[0], np.cumsum(np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64))])
+    start = 0
+    while start < len(column):
+        stop = max(start + 1, int(np.searchsorted(ends, ends[start] + STEP_BYTES, side="right")) - 1)
+        parts = pc.split_pattern(column.slice(start, stop - start), b" ")
+        words = pc.dictionary_encode(pc.list_flatten(parts))
+        slots = np.empty(len(words.dictionary), np.int64)
+        for i, word in enumerate(words.dictionary.to_pylist()):
+            at = known.get(word)
+            if at is None:
+                # Nothing lies between two spaces but at the ends.
+                at = int.from_bytes(hashlib.md5(word, usedforsecurity=False).digest()[:4], "big") % dims if word else -1
+                if len(known) < KNOWN_WORDS:
+                    known[word] = at
+            slots[i] = at
+        slot = slots[words.indices.to_numpy()]
+        row = np.repeat(np.arange(stop - start), np.asarray(pc.fill_null(pc.list_value_length(parts), 0), dtype=np.int64))
+        held = slot >= 0
+        yield start, stop - start, row[held], slot[held]
+        start = stop
+
+
 def matrix_of(column):
     """Rows of an Arrow list column as a matrix; a null list is a row of NaN.
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructType
 
-from leadrank.functions.vectors import hash_vector
+from leadrank.functions.text import spaced_words
+from leadrank.functions.vectors import list_array, word_slots
 from leadrank.operators.clusters import k_sweep, kmeans
 from leadrank.session import Reuse
 from leadrank.sources.vector_cache import vectors_of
@@ -15,10 +17,26 @@ DIMS = 64
 
 
 def hashed_dense(todo: DataFrame, dims: int = DIMS) -> DataFrame:
-    """``(key, vec)`` of ``(key, text)``: the hashed bag of words as a dense vector; zero for a text without words."""
-    terms = F.map_from_entries(F.coalesce(hash_vector(F.col("text"), dims), F.array().cast("array<struct<dim:int,v:double>>")))
-    dense = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: F.coalesce(F.element_at("_terms", i), F.lit(0.0)))
-    return todo.withColumn("_terms", terms).select("key", dense.alias("vec"))
+    """``(key, vec)`` of ``(key, text)``: the hashed bag of words as a dense vector; zero for a text without words.
+
+    The vectors are those of ``hash_vector``. A word is hashed once per step of a
+    batch; as an expression, each of the ``dims`` numbers would hash the text again.
+    """
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        known: dict = {}
+        for batch in batches:
+            for start, n, row, slot in word_slots(batch.column(1), dims, known):
+                counts = np.bincount(row * dims + slot, minlength=n * dims).reshape(n, dims)
+                norm = np.sqrt((counts * counts).sum(axis=1, keepdims=True).astype(np.float64))
+                made = counts / np.where(norm > 0, norm, 1.0)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, n), list_array(made)], names=["key", "vec"])
+
+    key = StructType([todo.schema["key"]])
+    return todo.select("key", spaced_words(F.col("text")).alias("_words")).mapInArrow(run, key.add("vec", ArrayType(DoubleType())))
 
 
 def company_clusters(

@@ -1,12 +1,16 @@
+import hashlib
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from leadrank import fixtures as X
 from leadrank.functions import vectors as V
+from leadrank.functions.vectors import hash_vector
 from leadrank.operators import clusters, embedding, keys as key_tables, similarity
 from leadrank.operators.similarity import Dense, HashedText
-from leadrank.plans import relevance
+from leadrank.plans import clustering, relevance
 from leadrank.sources import vector_cache
 from leadrank.sources.keywords import keyword_table
 
@@ -283,6 +287,40 @@ def test_rows_get_the_vector_of_their_text(spark, tmp_path):
     assert vector_cache.read_cache(spark, path, ["zz"]).count() == 0
 
 
+def test_dense_vectors_hash_a_text_once(spark):
+    """The vectors of the expression, whose plan hashed a text again for each of its numbers."""
+    texts = ["", None, " .!", "one", "One two ONE, one-two", "Ünï ünï 東京 x²", "\u0130stanbul e\u0301a \U0001d7d8\U0001f600z", "a " * 40_000, " lead\ttrail\n"]
+    texts += [" ".join(f"w{i * j % 997}" for j in range(i)) for i in range(300)]
+    df = spark.createDataFrame([(f"k{i}", t) for i, t in enumerate(texts)], "key string, text string").repartition(3)
+    made = clustering.hashed_dense(df, 16)
+    assert made.schema.simpleString() == "struct<key:string,vec:array<double>>"
+    assert "md5(" not in made._jdf.queryExecution().optimizedPlan().toString()
+    want = {r.key: {d: v for d, v in r.x or []} for r in df.select("key", hash_vector(F.col("text"), 16).alias("x")).collect()}
+    got = {r.key: r.vec for r in made.collect()}
+    assert len(got) == len(texts)
+    assert got == {k: [x.get(d, 0.0) for d in range(16)] for k, x in want.items()}
+
+
+def test_words_are_hashed_once(monkeypatch):
+    """Across steps and batches, with empty rows and nulls; words beyond those remembered are hashed again."""
+    column = pa.array([b"b a b", None, b"", b" a c ", b"b"], pa.binary())
+    hashed = []
+    plain = hashlib.md5
+    monkeypatch.setattr(hashlib, "md5", lambda word, **how: (hashed.append(bytes(word)), plain(word, **how))[1])
+    monkeypatch.setattr(V, "STEP_BYTES", 6)
+    slot = {w: int(plain(w).hexdigest()[:8], 16) % 7 for w in (b"a", b"b", b"c")}
+    want = [(0, b"b"), (0, b"a"), (0, b"b"), (3, b"a"), (3, b"c"), (4, b"b")]
+    known = {}
+    for _ in range(2):
+        steps = list(V.word_slots(column, 7, known))
+        assert len(steps) > 1 and sum(n for _, n, _, _ in steps) == 5
+        got = [(start + r, s) for start, _, row, at in steps for r, s in zip(row.tolist(), at.tolist())]
+        assert got == [(r, slot[w]) for r, w in want]
+    assert sorted(hashed) == [b"a", b"b", b"c"]
+    monkeypatch.setattr(V, "KNOWN_WORDS", 1)
+    assert sum(len(s) for _, _, _, s in V.word_slots(column, 7, {})) == 6
+
+
 def brute_silhouette(x, labels, power):
     d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2)) ** power
     out = []
