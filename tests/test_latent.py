@@ -1,8 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from leadrank import fixtures as X
+from leadrank.functions.text import spaced_words
 from leadrank.functions.vectors import term_counts
 from leadrank.operators import latent
 from leadrank.plans import relevance
@@ -81,6 +83,50 @@ def test_ranking_and_sectors(spark, topics):
     assert all(found[i] == f"t{i % 4}w1 t{i % 4}w2 t{i % 4}w5" for i in range(120)) and found[500] is None
 
 
+def test_products_of_frequent_and_rare_slots(monkeypatch):
+    """Over steps of few rows and terms; frequent slots as dense columns, all or none of them."""
+    rng = np.random.default_rng(3)
+    counts = rng.poisson(0.15, (300, 50)) * (rng.random(50) < 0.9)
+    counts[[0, 17, 18, 299]] = 0
+    counts[:, 7] = 1
+    idf, block = rng.random(50) + 0.5, rng.normal(size=(50, 6))
+    a = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * idf
+    a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-300)
+    row, slot = np.nonzero(counts)
+    sizes = np.bincount(row, minlength=300)
+    monkeypatch.setattr(latent, "STEP_TERMS", 11)
+    for share, rows in ((0.005, 4096), (0.16, 64), (2.0, 33), (-1.0, 1)):
+        monkeypatch.setattr(latent, "DENSE_SHARE", share)
+        monkeypatch.setattr(latent, "STEP_ROWS", rows)
+        made, back = np.zeros((300, 6)), np.zeros((50, 6))
+        for start, n, parted in latent._steps(sizes, slot, counts[row, slot], idf):
+            made[start : start + n] = latent._times(parted, block)
+            latent._add_back(back, parted, made[start : start + n])
+            assert share != 0.16 or 0 < len(parted[0]) < 50 and (parted[2][1] != 7).all()
+        assert np.allclose(made, a @ block, atol=1e-12) and np.allclose(back, a.T @ a @ block, atol=1e-12)
+
+
+def test_counts_are_packed_once(spark, topics, monkeypatch):
+    """A fit takes its texts apart once and keeps eight bytes a term; parts of an Arrow column keep their rows."""
+    texts = topics.select("id", spaced_words(F.col("t")).alias("w"))
+    kept = latent._packed(texts.select("w"), 256)
+    assert kept.schema.simpleString() == "struct<_x:binary>" and "md5(" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    column = kept.toArrow().column("_x").combine_chunks()
+    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+    want = sorted([(x.dim, x.n) for x in r.x or []] for r in topics.select(term_counts(F.col("t"), 256).alias("x")).collect())
+    got = []
+    for a in range(0, len(column), 7):
+        sizes, slot, count = latent._unpacked(column.slice(a, 7))
+        ends = np.cumsum(sizes)
+        got += [list(zip(slot[e - n : e].tolist(), count[e - n : e].tolist())) for e, n in zip(ends, sizes)]
+    assert sorted(got) == want
+    made = []
+    packed = latent._packed
+    monkeypatch.setattr(latent, "_packed", lambda *a: made.append(packed(*a)) or made[-1])
+    latent.fit_latent(topics, "t", k=4, slots=256)
+    assert len(made) == 1
+
+
 def test_corpus_rank(spark, sf):
     rank = relevance.latent_rank(X.companies(spark, sf), "company_id", "Description", X.phrases(spark), mode="add")
     rows = rank.collect()
