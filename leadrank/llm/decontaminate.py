@@ -14,19 +14,25 @@ missed. Texts give only the kinds of seeds that some item holds.
 
 The scan, the seeds, the join with the item seeds and the verification are one
 narrow stage: the seeds of the items are broadcast, up to a checked number, and
-a text never moves. Beyond that number, hits are found by a shuffled join on the
-hash, and only texts with hits are read again for the verification; the rows are
-the same.
+a text never moves. Beyond that number a sieve of the item seeds is broadcast, a
+blocked Bloom filter of some bits a seed; what passes it meets the item seeds in a
+shuffled join on the hash. A second sieve holds the texts with hits, so that only
+these are moved for the verification, and once each. The rows are the same.
 
 Null and empty texts and items match nothing. Very long texts are one row each and
-are searched whole; the work grows with their length. Repeated rows of documents give
-the same pairs once. Empty tables give no pairs.
+are searched whole; work and memory grow with their length. Repeated rows of documents
+give the same pairs once. Empty tables give no pairs.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from leadrank.llm.shared import stored
+
 #: Fixed masks: 1 counts, 0 is ignored.
 MASKS = ("111011", "101111")
 #: Seeds of items under ``LONG`` tokens.
@@ -37,6 +43,12 @@ SPAN = len(MASKS[0])
 BREAK = r"[^\p{L}\p{N}]+"
 #: Item seeds that are broadcast at most; a seed is a row of about 40 bytes.
 MAX_BROADCAST_SEEDS = 1_000_000
+#: A block of a sieve has so many words of 64 bits, and a hash sets one bit in each.
+SIEVE_WORDS = 4
+#: Hashes a block; about one in 300 others passes. More come to a block only beyond ``MAX_SIEVE_BLOCKS``.
+SIEVE_FILL = 16
+#: A block is a row of about 60 bytes.
+MAX_SIEVE_BLOCKS = 1 << 20
 
 
 def tokens(text: Column) -> Column:
@@ -44,16 +56,14 @@ def tokens(text: Column) -> Column:
     return F.split(F.lower(text), BREAK)
 
 
-def _windows(words: Column) -> Column:
-    """For each position, the tokens from there on as fields w0 to w5."""
-    return F.arrays_zip(words.alias("w0"), *[F.slice(words, k + 1, F.greatest(F.size(words), F.lit(1))).alias(f"w{k}") for k in range(1, SPAN)])
-
-
 def seeds(table: DataFrame, keep: list[str], words: str, kinds: list[int]) -> DataFrame:
     """``keep``, ``pos`` (0-based), ``kind`` and ``seed`` for each position and mask in ``kinds``."""
     # The outer form: an inner one filters on the array's size and computes it twice.
+    at = table.select(*dict.fromkeys([*keep, words]), F.posexplode_outer(words).alias("pos", "first"))
+    # The array is looked into at each position; no further array of windows is made.
+    t = F.struct(F.col("first").alias("w0"), *[F.get(words, F.col("pos") + k).alias(f"w{k}") for k in range(1, SPAN)])
     shortest = min(len(KINDS[k]) for k in kinds)
-    at = table.select(*keep, F.posexplode_outer(_windows(F.col(words))).alias("pos", "t")).where(f"t.`w{shortest - 1}` is not null")
+    at = at.withColumn("t", t).where(f"t.`w{shortest - 1}` is not null")
     of = F.array(*[F.struct(F.lit(k).alias("kind"), _seed(k, shortest).alias("seed")) for k in kinds])
     made = at.select(*keep, "pos", F.explode(of).alias("s")).select(*keep, "pos", "s.kind", "s.seed")
     return made if all(len(KINDS[k]) == shortest for k in kinds) else made.where("seed is not null")
@@ -77,10 +87,65 @@ def _item_seeds(bench: DataFrame, least: float) -> DataFrame:
     return made.where(fits).select("item_id", F.col("pos").alias("item_pos"), "kind", "seed").distinct()
 
 
-def _same(words: Column, item: Column, offset: Column) -> Column:
-    """Number of places at which the item agrees with the text from ``offset`` on."""
-    places = F.sequence(F.lit(0), F.size(item) - 1)
-    return F.size(F.filter(places, lambda j: F.get(words, offset + j) == F.get(item, j)))
+def _fresh() -> Column:
+    """False where the window one place before is the same in text and item.
+
+    Then that one is a hit at the same offset under either mask, so the run's first
+    hit stands for all. Short items have seeds only at some places; theirs all count.
+    """
+    before = [F.get("words", F.col("pos") + k) == F.get("item", F.col("item_pos") + k) for k in range(-1, SPAN - 1)]
+    inside = (F.size("item") >= LONG) & (F.col("pos") > 0) & (F.col("item_pos") > 0)
+    return ~F.coalesce(reduce(and_, before, inside), F.lit(False))
+
+
+def _block(hashed: str, blocks: int) -> Column:
+    return F.shiftrightunsigned(hashed, 6 * SIEVE_WORDS).bitwiseAND(F.lit(blocks - 1))
+
+
+def _bit(hashed: str, k: int) -> Column:
+    return F.shiftrightunsigned(hashed, 6 * k).bitwiseAND(F.lit(63)).cast("int")
+
+
+def sifted(table: DataFrame, hashed: str, held: DataFrame, n: int) -> DataFrame:
+    """The rows of ``table`` whose ``hashed`` may be among the ``n`` of ``held``: all that are, and few others.
+
+    ``hashed`` is a 64-bit hash in both tables. What is broadcast is some bits for each of ``held``, and bounded.
+    """
+    blocks = min(1 << (max(n, 1) // SIEVE_FILL).bit_length(), MAX_SIEVE_BLOCKS)
+    one = "shiftleft(1L, `b{}`)"
+    bits = held.select(_block(hashed, blocks).alias("block"), *[_bit(hashed, k).alias(f"b{k}") for k in range(SIEVE_WORDS)])
+    sieve = bits.groupBy("block").agg(*[F.bit_or(F.expr(one.format(k))).alias(f"b{k}") for k in range(SIEVE_WORDS)])
+    sieve = sieve.select(F.struct(*sieve.columns).alias("__sieve"))
+    passes = [F.bit_get(f"__sieve.b{k}", _bit(hashed, k)) == 1 for k in range(SIEVE_WORDS)]
+    return table.join(F.broadcast(sieve), (_block(hashed, blocks) == F.col("__sieve.block")) & reduce(and_, passes)).drop("__sieve")
+
+
+def _shuffled_hits(texts: DataFrame, bench: DataFrame, wanted: DataFrame, n: int, kinds: list[int]) -> DataFrame:
+    """Hits with ``words`` and ``item``, each offset once; sizes of the tables do not matter."""
+    # Rows of one id, or of none, are told apart by their texts.
+    near = sifted(seeds(texts, ["id", "hash"], "words", kinds).select("id", "hash", "pos", "seed"), "seed", wanted, n)
+    # Sizes on disk say little of repeated rows, so no join here is left to the planner.
+    found = near.join(wanted.hint("merge"), "seed").select("id", "hash", "item_id", (F.col("pos") - F.col("item_pos")).alias("offset"))
+    found = stored(found.distinct(), "item-hits")
+    hit = found.select("hash").distinct()
+    again = sifted(texts, "hash", hit, hit.count()).select(F.col("id").alias("its_id"), F.col("hash").alias("its_hash"), "words")
+    whole = found.join(bench.hint("merge"), "item_id")
+    return whole.join(again.hint("merge"), F.col("id").eqNullSafe(F.col("its_id")) & (F.col("hash") == F.col("its_hash")))
+
+
+def _matched(hits: DataFrame) -> DataFrame:
+    """``id``, ``item_id``, ``n_words`` and ``n_matched`` of each text, item and offset.
+
+    The item's places are generated and summed, so that this stays in one piece with
+    the hits: a row that left it would copy the whole text, once for each hit, and all
+    of a text's rows would wait in memory together.
+    """
+    place = ["id", "hash", "item_id", "item_hash", "offset"]
+    at = hits.select(*place, F.size("item").alias("n_words"), "words", F.posexplode_outer("item").alias("j", "word"))
+    same = F.coalesce((F.get("words", F.col("offset") + F.col("j")) == F.col("word")).cast("int"), F.lit(0))
+    sums = at.groupBy(*place).agg(F.sum(same).alias("same"), F.count_if(F.col("j") == 0).alias("times"), F.max("n_words").alias("n_words"))
+    # Several hits at an offset, and equal rows of documents or items, count the same places again.
+    return sums.select("id", "item_id", "n_words", F.expr("same div times").cast("int").alias("n_matched"))
 
 
 def contaminated(
@@ -94,35 +159,27 @@ def contaminated(
 
     Of several places the best one counts.
     """
-    texts = docs.select(F.col(key).alias("id"), tokens(F.col("text")).alias("words"))
+    texts = docs.select(F.col(key).alias("id"), tokens(F.col("text")).alias("words")).withColumn("hash", F.xxhash64("words"))
     bench = items.select("item_id", F.array_remove(tokens(F.col("text")), "").alias("item")).where(F.size("item") > 0)
+    bench = bench.withColumn("item_hash", F.xxhash64("item"))
     wanted = _item_seeds(bench, least)
     # One row per mask.
     held = {r["kind"]: r["count"] for r in wanted.groupBy("kind").count().collect()}
     kinds = sorted(held) or list(range(len(MASKS)))
     wanted = wanted.drop("kind")
-    if sum(held.values()) <= max_broadcast:
+    n = sum(held.values())
+    if n <= max_broadcast:
         # Items hold no more rows than their seeds, so both sides are bounded.
         hits = (
-            seeds(texts, ["id", "words"], "words", kinds)
+            seeds(texts, ["id", "hash", "words"], "words", kinds)
             .join(F.broadcast(wanted), "seed")
             .join(F.broadcast(bench), "item_id")
+            .where(_fresh())
             .withColumn("offset", F.col("pos") - F.col("item_pos"))
         )
     else:
-        # A null id is told apart by its text; equal hashes do no harm, as hits are verified.
-        texts = texts.withColumn("hash", F.xxhash64("words"))
-        again = texts.select(F.col("id").alias("its_id"), F.col("hash").alias("its_hash"), "words")
-        hits = (
-            seeds(texts, ["id", "hash"], "words", kinds)
-            .join(wanted, "seed")
-            .select("id", "hash", "item_id", (F.col("pos") - F.col("item_pos")).alias("offset"))
-            .distinct()
-            .join(again, F.col("id").eqNullSafe(F.col("its_id")) & (F.col("hash") == F.col("its_hash")))
-            .join(bench, "item_id")
-        )
-    matched = hits.select("id", "item_id", F.size("item").alias("n_words"), _same(F.col("words"), F.col("item"), F.col("offset")).alias("n_matched"))
-    best = matched.groupBy("id", "item_id").agg(F.max("n_matched").alias("n_matched"), F.max("n_words").alias("n_words"))
+        hits = _shuffled_hits(texts, bench, wanted, n, kinds)
+    best = _matched(hits).groupBy("id", "item_id").agg(F.max("n_matched").alias("n_matched"), F.max("n_words").alias("n_words"))
     return best.where(F.col("n_matched") >= F.lit(least) * F.col("n_words")).select(
         F.col("id").alias(key), "item_id", "n_matched", "n_words", F.round(F.col("n_matched") / F.col("n_words"), 6).alias("overlap")
     )

@@ -83,3 +83,36 @@ def test_null_ids_with_hits_in_both_branches(spark, docs_of):
     broadcast, shuffled = (decontaminate.contaminated(docs_of(docs), spark.createDataFrame([(1, ITEM)], "item_id long, text string"), max_broadcast=n) for n in (10**6, 0))
     assert {r.doc_id for r in shuffled.collect()} == {None, 1}
     assert sorted(map(str, shuffled.collect())) == sorted(map(str, broadcast.collect()))
+
+
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_many_hits_in_a_long_text(spark, docs_of, most):
+    # Rows of hits that hold the text would be 20,000 copies of 115,000 tokens.
+    text = " ".join(f"{ITEM} " + " ".join(f"x{k}y{j}" for j in range(100)) for k in range(1000))
+    assert found(spark, [(1, text), (2, "nothing of it")], [(1, ITEM)], docs_of, max_broadcast=most) == [(1, 1, 15, 15)]
+
+
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_repeated_rows_and_offsets_count_once(spark, docs_of, most):
+    words = ITEM.split()
+    changed = " ".join("other" if k in (2, 7, 12) else w for k, w in enumerate(words))
+    docs = [(1, changed), (1, changed), (1, "a " + changed), (2, f"{changed} and {ITEM}"), (None, ITEM), (None, ITEM), (None, "a " + changed)]
+    items = [(1, ITEM), (1, ITEM), (2, " ".join(words[1:])), (3, "alpha beta gamma"), (3, "alpha beta gamma"), (None, ITEM)]
+    best = {}
+    for d, i, n, size in brute([(-1 if d is None else d, t) for d, t in docs], [(i, t) for i, t in items if i is not None]):
+        best[d, i] = max(best.get((d, i), (0, 0)), (n, size))
+    want = sorted((*pair, *of) for pair, of in best.items())
+    got = [tuple(r) for r in decontaminate.contaminated(docs_of(docs), spark.createDataFrame(items, "item_id long, text string"), max_broadcast=most).drop("overlap").collect()]
+    got = sorted((-1 if d is None else d, *rest) for d, *rest in got)
+    assert [r for r in got if r[1] != 3] == want
+    assert [r for r in got if r[1] == 3] == [(-1, 3, 3, 3), (2, 3, 3, 3)]
+
+
+def test_sieve_keeps_all_that_are_held_and_few_others(spark):
+    from pyspark.sql import functions as F
+
+    hashes = spark.range(200_000).select("id", F.xxhash64("id").alias("h"))
+    held = hashes.where("id < 2000").select("h")
+    passed = [r.id for r in decontaminate.sifted(hashes, "h", held, 2000).collect()]
+    assert len(passed) == len(set(passed)) and set(range(2000)) <= set(passed)
+    assert len(passed) < 2000 + 0.02 * 198_000
